@@ -167,7 +167,7 @@ def catalogue_pages(spark: SparkSession, sf: str, per_page: int = 100) -> DataFr
 
 
 def rating_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Rating pages in XML: per game, 100 user blocks, with some blank and non-numeric fields."""
+    """Rating pages in XML: 100 ratings each at most, with some blank and non-numeric fields."""
     r = ratings(spark, sf).join(users(spark, sf), "user_id").join(games(spark, sf).select("game_id", "game"), "game_id")
     pair = F.col("user_id") + F.col("game_id")
     tag = F.concat(
@@ -175,7 +175,7 @@ def rating_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('" rating="'), F.when(pair % 7 == 0, "N/A").otherwise(F.format_string("%.4f", "rating")),
         F.lit('" value="'), F.when(pair % 5 == 0, "").otherwise(F.concat(F.lit("says "), F.col("user_id").cast("string"))),
         F.lit('"/>'))
-    page = (F.col("user_id") % 16).alias("page")
+    page = F.floor(F.col("user_id") / 100).alias("page")
     return r.groupBy("game_id", "game", page).agg(F.array_join(F.array_sort(F.collect_list(tag)), "").alias("tags")).select(
         "game_id", "page",
         F.concat(
@@ -193,7 +193,7 @@ def rating_pages_v1(spark: SparkSession, sf: str) -> DataFrame:
         F.when(pair % 7 == 0, "N/A").otherwise(F.floor("rating").cast("string")), F.lit('">'),
         F.when(pair % 5 == 0, "N/A").otherwise(F.concat(F.lit("says "), F.col("user_id").cast("string"))),
         F.lit("</comment>"))
-    page = (F.col("user_id") % 16).alias("page")
+    page = F.floor(F.col("user_id") / 100).alias("page")
     return r.groupBy("game_id", page).agg(F.array_join(F.array_sort(F.collect_list(tag)), "").alias("tags")).select(
         "game_id", "page",
         F.concat(

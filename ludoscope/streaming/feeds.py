@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ludoscope.functions.scale import first_per_key
 from ludoscope.sources.landed import parse_article, skip_loaded_games
 
 # The one source whose feed covers more than its topic, and the mark of the links kept.
@@ -31,7 +32,8 @@ def unseen_links(links: DataFrame, ts: str = "ts", delay: str = "1 day") -> Data
     dated = links.withColumn("day", F.to_date(ts))
     if links.isStreaming:
         return dated.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-    return dated.dropDuplicates(keys)
+    rest = [c for c in dated.columns if c not in keys]
+    return first_per_key(dated, keys, F.col(ts), rest)
 
 
 def articles_from(
