@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.scale import broadcast_if_small, salted_lookup
+from ludoscope.functions.scale import broadcast_if_small, salted_lookup, with_position
 from ludoscope.operators.similar import attribute_sets
 from ludoscope.session import cut_lineage
 

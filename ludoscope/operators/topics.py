@@ -34,7 +34,7 @@ class Factors:
 
 @dataclass
 class _Side:
-    """The cells as the update of one factor reads them: placed by the other factor's key."""
+    """The cells placed by one key, and in how many places each factor row of that key is needed."""
 
     cells: DataFrame
     copies: DataFrame
@@ -42,10 +42,7 @@ class _Side:
 
 
 def _place(cells: DataFrame, key: str, other: str) -> _Side:
-    """Store the cells by ``key``, a key with many cells spread over several places.
-
-    ``copies(key, copies)`` says in how many places a factor row is needed.
-    """
+    """Store the cells by ``key``, a key with many cells spread over several places."""
     counts = cells.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(hot_keys(counts, key))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
@@ -58,9 +55,7 @@ def _place(cells: DataFrame, key: str, other: str) -> _Side:
 
 def _weighted(side: _Side, factor: DataFrame, out: str, k: int) -> DataFrame:
     """(out, s): for each row or column, the sum of value x factor over its cells."""
-    sent = factor.join(side.copies, side.key).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.col("_copies") - 1))
-    ).select(side.key, "_salt", "f")
+    sent = factor.select(side.key, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_salt"), "f")
     joined = side.cells.join(sent, [side.key, "_salt"])
     sums = [F.sum(F.col("value") * F.col("f")[i]).alias(f"_s{i}") for i in range(k)]
     return joined.groupBy(out).agg(*sums).select(out, F.array(*[f"_s{i}" for i in range(k)]).alias("s"))
@@ -91,7 +86,7 @@ def _update(factor: DataFrame, key: str, sums: DataFrame, products: np.ndarray,
     below = F.zip_with(line, F.col("f"), lambda d, x: d + alpha * x + TINY)
     above = F.coalesce("s", F.transform("f", lambda x: F.lit(0.0)))
     ratio = F.zip_with(above, below, lambda n, d: n / d)
-    return cut_lineage(known.select(key, F.zip_with("f", ratio, lambda x, r: x * r).alias("f")))
+    return cut_lineage(known.select(key, "_copies", F.zip_with("f", ratio, lambda x, r: x * r).alias("f")))
 
 
 def start_factor(ids: DataFrame, key: str, k: int, seed: int, scale: Column) -> DataFrame:
@@ -101,7 +96,8 @@ def start_factor(ids: DataFrame, key: str, k: int, seed: int, scale: Column) ->
         text = F.concat_ws("|", F.lit(f"{key}{seed}"), F.col(key).cast("string"), F.lit(str(i)))
         return (F.conv(F.substring(F.md5(text), 1, 6), 16, 10).cast("double") + 1) / (1 << 24)
 
-    return ids.select(key, F.array(*[draw(i) * scale for i in range(k)]).alias("f"))
+    kept = [c for c in ids.columns if c != key]
+    return ids.select(key, *kept, F.array(*[draw(i) * scale for i in range(k)]).alias("f"))
 
 
 def nmf(
@@ -115,7 +111,7 @@ def nmf(
     """
     cells = cells.select("row", "col", F.col("value").cast("double").alias("value"))
     by_row, by_col = _place(cells, "row", "col"), _place(cells, "col", "row")
-    rows, cols = by_row.copies.select("row"), by_col.copies.select("col")
+    rows, cols = by_row.copies, by_col.copies
     total = by_row.cells.agg(F.sum("value"))
     mean = total.scalar() / (rows.agg(F.count(F.lit(1))).scalar() * cols.agg(F.count(F.lit(1))).scalar())
     scale = F.sqrt(mean / k)
@@ -130,7 +126,7 @@ def nmf(
             if last is not None and last - error <= tol * last:
                 break
             last = error
-    return Factors(w, h, k)
+    return Factors(w.drop("_copies"), h.drop("_copies"), k)
 
 
 def nmf_error(cells: DataFrame, factors: Factors) -> float:
@@ -216,13 +212,13 @@ def label_games(games: DataFrame, assigned: DataFrame, official: DataFrame, firs
     """
     if first is not None:
         games = games.orderBy("game_id").limit(first)
-    titles = official.select("game_id", F.col("title").alias("Game"))
+    titles = official.select("game_id", F.col("title").alias("_title"))
     joined = games.join(assigned.select("game_id", "topic"), "game_id").join(titles, "game_id")
     return joined.select(
         F.col("rank").alias("Board Game Rank"),
         "game_id",
         F.col("game").alias("bgg_game"),
-        "Game",
+        F.col("_title").alias("Game"),
         F.col("description").alias("Description"),
         F.col("topic").alias("nmf"),
         F.col("playing_time").alias("Playing Time"),

@@ -6,6 +6,8 @@ it lies, and a payload that does not parse is kept aside by ``split_rejects`` in
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ludoscope import schemas
@@ -279,9 +281,17 @@ def html_text(html: Column) -> Column:
 
 
 def parse_article(
-    pages: DataFrame, source: Column, now: Column | None = None, url: str = "url", col: str = "html"
+    pages: DataFrame,
+    source: Column,
+    now: Column | None = None,
+    url: str = "url",
+    col: str = "html",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Article records; pages without a title or text are dropped, a missing date becomes ``now``."""
+    """Article records; pages without a title or text are dropped, a missing date becomes ``now``.
+
+    ``keep`` names columns of ``pages`` to carry along.
+    """
     html = F.col(col)
     body = html_text(F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1))
     authors = F.regexp_extract_all(html, F.lit(r'(?i)<meta name="author" content="([^"]*)"'), 1)
@@ -295,5 +305,6 @@ def parse_article(
         ),
         authors.alias("author"),
         body.alias("article_text"),
+        *keep,
     )
     return parsed.where((F.col("headline") != "") & (F.col("article_text") != ""))

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ludoscope.functions.scale import first_per_key
+from ludoscope.schemas import ARTICLES
 from ludoscope.sources.landed import parse_article, skip_loaded_games
 
 # The one source whose feed covers more than its topic, and the mark of the links kept.
@@ -23,25 +24,30 @@ def without_known(articles: DataFrame, stored: DataFrame) -> DataFrame:
     return articles.join(stored.select("url").distinct(), "url", "left_anti")
 
 
-def unseen_links(links: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """The first row of each (source, day, url), for batches and streams alike.
-
-    On a stream the state of a link is dropped ``delay`` after it was seen.
-    """
+def first_links(links: DataFrame, ts: str = "ts") -> DataFrame:
+    """The earliest row of each (source, day, url)."""
     keys = ["source", "day", "url"]
     dated = links.withColumn("day", F.to_date(ts))
-    if links.isStreaming:
-        return dated.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
-    rest = [c for c in dated.columns if c not in keys]
-    return first_per_key(dated, keys, F.col(ts), rest)
+    return first_per_key(dated, keys, F.col(ts), [c for c in dated.columns if c not in keys])
+
 
+def articles_from(links: DataFrame, ts: str = "ts", now: Column | None = None) -> DataFrame:
+    """Articles of the feeds' links, each link once per source and day."""
+    fresh = first_links(feed_link_filter(links), ts)
+    return parse_article(fresh, F.col("source"), now if now is not None else F.col(ts), keep=["day"])
 
-def articles_from(
-    links: DataFrame, ts: str = "ts", delay: str = "1 day", now: Column | None = None
-) -> DataFrame:
-    """Unseen links of the feeds, parsed to article records."""
-    fresh = unseen_links(feed_link_filter(links), ts, delay)
-    return parse_article(fresh, F.col("source"), now if now is not None else F.col(ts))
+
+def load_articles_batch(batch: DataFrame, batch_id: int, out: str, ts: str = "ts") -> None:
+    """W1, one batch: links no earlier batch has stored for their source and day, parsed and stored.
+
+    Each batch owns one folder and overwrites it, so doing it again after a failure adds nothing
+    twice. Folders hold one part per day, so only the days of the batch are read back.
+    """
+    seen = batch.sparkSession.read.schema("source string, url string, batch long, day date").parquet(out)
+    stored = seen.where(F.col("batch") < batch_id).select("source", "day", "url")
+    dated = feed_link_filter(batch).withColumn("day", F.to_date(ts))
+    fresh = dated.join(stored, ["source", "day", "url"], "left_anti").drop("day")
+    articles_from(fresh, ts).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch={batch_id}")
 
 
 def stream_articles(
@@ -50,17 +56,40 @@ def stream_articles(
     schema: StructType,
     out: str,
     checkpoint: str,
-    delay: str = "1 day",
+    ts: str = "ts",
     every: str | None = None,
 ) -> StreamingQuery:
     """Append the articles of newly landed feed files; stop when done, or poll at ``every``.
 
-    The checkpoint remembers which files and links were seen, so a second run adds nothing.
+    The store itself is the memory of what was seen, so a link that lands late is neither lost nor
+    stored twice, and no state grows in the executors.
     """
+    nothing = spark.createDataFrame([], StructType([*ARTICLES.fields]).add("day", "date"))
+    nothing.write.mode("ignore").partitionBy("day").parquet(f"{out}/batch=-1")
     links = spark.readStream.schema(schema).parquet(landing)
-    writer = articles_from(links, delay=delay).writeStream.format("parquet").option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.outputMode("append").trigger(**trigger).start(out)
+    return (
+        links.writeStream.foreachBatch(lambda df, batch_id: load_articles_batch(df, batch_id, out, ts))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
+def recent_links(links: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
+    """W1 without a store: a stream's links once per source and day, remembered for ``delay``.
+
+    Rows later than ``delay`` are dropped by Spark; use ``stream_articles`` where that must not be.
+    """
+    dated = feed_link_filter(links).withColumn("day", F.to_date(ts))
+    return dated.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["source", "day", "url"])
+
+
+def read_articles(spark: SparkSession, out: str) -> DataFrame:
+    """The stored articles."""
+    return spark.read.schema(
+        StructType([*ARTICLES.fields]).add("batch", "long").add("day", "date")
+    ).parquet(out).drop("batch")
 
 
 def load_ratings_batch(
