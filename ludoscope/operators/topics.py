@@ -100,8 +100,29 @@ def start_factor(ids: DataFrame, key: str, k: int, seed: int, scale: Column) ->
     return ids.select(key, *kept, F.array(*[draw(i) * scale for i in range(k)]).alias("f"))
 
 
+@dataclass
+class Placed:
+    """The cells of a matrix, stored once by row and once by column, with their mean."""
+
+    by_row: _Side
+    by_col: _Side
+    mean: float
+
+    @classmethod
+    def of(cls, cells: DataFrame) -> Placed:
+        cells = cells.select("row", "col", F.col("value").cast("double").alias("value"))
+        by_row, by_col = _place(cells, "row", "col"), _place(cells, "col", "row")
+        total = by_row.cells.agg(F.sum("value")).first()[0] or 0.0
+        return cls(by_row, by_col, total / max(by_row.copies.count() * by_col.copies.count(), 1))
+
+
 def nmf(
-    cells: DataFrame, k: int, iters: int = 100, alpha: float = 0.0, seed: int = 34, tol: float | None = None
+    cells: DataFrame | Placed,
+    k: int,
+    iters: int = 100,
+    alpha: float = 0.0,
+    seed: int = 34,
+    tol: float | None = None,
 ) -> Factors:
     """M1: V ~ W H with no negative entry, by multiplicative updates on the cells.
 
@@ -109,14 +130,11 @@ def nmf(
     by row and by column, so an iteration moves factor rows only. With ``tol`` the loop ends when
     the error falls by less than that share.
     """
-    cells = cells.select("row", "col", F.col("value").cast("double").alias("value"))
-    by_row, by_col = _place(cells, "row", "col"), _place(cells, "col", "row")
-    rows, cols = by_row.copies, by_col.copies
-    total = by_row.cells.agg(F.sum("value"))
-    mean = total.scalar() / (rows.agg(F.count(F.lit(1))).scalar() * cols.agg(F.count(F.lit(1))).scalar())
-    scale = F.sqrt(mean / k)
-    w = cut_lineage(start_factor(rows, "row", k, seed, scale))
-    h = cut_lineage(start_factor(cols, "col", k, seed, scale))
+    placed = cells if isinstance(cells, Placed) else Placed.of(cells)
+    by_row, by_col = placed.by_row, placed.by_col
+    scale = F.lit(float(np.sqrt(placed.mean / k)))
+    w = cut_lineage(start_factor(by_row.copies, "row", k, seed, scale))
+    h = cut_lineage(start_factor(by_col.copies, "col", k, seed, scale))
     last = None
     for _ in range(iters):
         h = _update(h, "col", _weighted(by_row, w, "col", k), gram(w, k), alpha)
@@ -176,10 +194,10 @@ def nmf_metrics(cells: DataFrame, factors: Factors) -> dict[str, float]:
 
 def nmf_sweep(cells: DataFrame, ranks: Sequence[int], iters: int = 100, alpha: float = 0.0, seed: int = 34) -> DataFrame:
     """M3: one row per rank with the error and the other measures of its factorisation."""
-    cells = cut_lineage(cells)
+    placed = Placed.of(cells)
     rows = []
     for k in ranks:
-        found = nmf_metrics(cells, nmf(cells, k, iters, alpha, seed))
+        found = nmf_metrics(placed.by_row.cells, nmf(placed, k, iters, alpha, seed))
         rows.append((k, float(np.sqrt(found["rss"])), *found.values()))
     return cells.sparkSession.createDataFrame(
         rows, "k int, error double, rss double, evar double, kl double, sparseness_w double, sparseness_h double"
