@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A plain scan over few files, dealt out to all cores; a scan with enough splits is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
@@ -53,7 +59,7 @@ def attrs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -64,7 +70,7 @@ def comments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "pages")
+    return spread(table(spark, sf, "pages"))
 
 
 def topics(spark: SparkSession, sf: str) -> DataFrame:

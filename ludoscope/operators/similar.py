@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ludoscope.functions.scale import broadcast_if_small, salted_lookup, top_per_key, with_position
 from ludoscope.functions.text import title_score
+from ludoscope.session import cut_lineage
 
 ATTR_BLOCK = 2048
 TEXT_BLOCK = 512
@@ -144,9 +145,9 @@ def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Callabl
     Games with equal sets are one row of the block step. Such a group needs no more than its k + 1
     smallest ids: ties go to the smaller id, so a larger one can never be among k partners.
     """
-    sets = attribute_sets(games, attrs)
+    sets = cut_lineage(attribute_sets(games, attrs))
     key = F.min("game_id").alias("key")
-    groups = sets.groupBy("terms").agg(key, F.count(F.lit(1)).alias("_rows"))
+    groups = cut_lineage(sets.groupBy("terms").agg(key, F.count(F.lit(1)).alias("_rows")))
     ones = F.transform("terms", lambda t: F.lit(1.0))
     near = nearest_rows(groups.select("key", "terms", ones.alias("weights")), k + 1, measure, ATTR_BLOCK)
 

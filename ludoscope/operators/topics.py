@@ -53,26 +53,31 @@ def _place(cells: DataFrame, key: str, other: str) -> _Side:
     return _Side(cut_lineage(placed), cut_lineage(copies), key)
 
 
+def _sums(k: int) -> list[Column]:
+    """Per topic, the sum of cell value x factor."""
+    return [F.expr(f"sum(value * f[{i}]) AS _s{i}") for i in range(k)]
+
+
 def _weighted(side: _Side, factor: DataFrame, out: str, k: int) -> DataFrame:
     """(out, s): for each row or column, the sum of value x factor over its cells."""
     sent = factor.select(side.key, F.explode(F.sequence(F.lit(0), F.col("_copies") - 1)).alias("_salt"), "f")
     joined = side.cells.join(sent, [side.key, "_salt"])
-    sums = [F.sum(F.col("value") * F.col("f")[i]).alias(f"_s{i}") for i in range(k)]
-    return joined.groupBy(out).agg(*sums).select(out, F.array(*[f"_s{i}" for i in range(k)]).alias("s"))
+    return joined.groupBy(out).agg(*_sums(k)).select(out, F.array(*[f"_s{i}" for i in range(k)]).alias("s"))
 
 
 def gram(factor: DataFrame, k: int) -> np.ndarray:
     """The k x k products of a factor with itself: the only numbers brought to the driver."""
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    row = factor.agg(*[F.sum(F.col("f")[i] * F.col("f")[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    row = factor.selectExpr(*[f"sum(f[{i}] * f[{j}])" for i, j in pairs]).first()
     out = np.zeros((k, k))
-    for i, j in pairs:
-        out[i, j] = out[j, i] = row[f"g{i}_{j}"] or 0.0
+    for (i, j), value in zip(pairs, row):
+        out[i, j] = out[j, i] = value or 0.0
     return out
 
 
 def _literal(matrix: np.ndarray) -> Column:
-    return F.array(*[F.array(*[F.lit(float(x)) for x in line]) for line in matrix])
+    lines = ("array(" + ", ".join(f"{float(x)!r}D" for x in line) + ")" for line in matrix)
+    return F.expr("array(" + ", ".join(lines) + ")")
 
 
 def _dot(a: Column, b: Column) -> Column:
@@ -151,21 +156,22 @@ def nmf_error(cells: DataFrame, factors: Factors) -> float:
     """M2: the Frobenius norm of V - W H, reading the non-zero cells only."""
     k = factors.k
     squares = cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
-    sums = [F.sum(F.col("value") * F.col("f")[i]).alias(f"_s{i}") for i in range(k)]
-    across = cells.join(factors.w, "row").groupBy("col").agg(*sums)
-    both = across.join(factors.h, "col")
-    cross = both.agg(F.sum(sum((F.col(f"_s{i}") * F.col("f")[i] for i in range(k)), F.lit(0.0)))).first()[0] or 0.0
+    across = cells.join(factors.w, "row").groupBy("col").agg(*_sums(k))
+    dots = " + ".join(f"_s{i} * f[{i}]" for i in range(k))
+    cross = across.join(factors.h, "col").selectExpr(f"sum({dots})").first()[0] or 0.0
     rest = float((gram(factors.w, k) * gram(factors.h, k)).sum())
     return float(np.sqrt(max(squares - 2 * cross + rest, 0.0)))
 
 
 def sparseness(factor: DataFrame, k: int) -> float:
     """Mean over topics of Hoyer's sparseness of the topic's entries."""
-    one = [F.sum(F.abs(F.col("f")[i])).alias(f"a{i}") for i in range(k)]
-    two = [F.sqrt(F.sum(F.col("f")[i] * F.col("f")[i])).alias(f"b{i}") for i in range(k)]
-    row = factor.agg(F.count(F.lit(1)).alias("n"), *one, *two).first()
-    root = float(np.sqrt(row["n"]))
-    return float(np.mean([(root - row[f"a{i}"] / max(row[f"b{i}"], TINY)) / max(root - 1, TINY) for i in range(k)]))
+    one = [f"sum(abs(f[{i}]))" for i in range(k)]
+    two = [f"sqrt(sum(f[{i}] * f[{i}]))" for i in range(k)]
+    n, *norms = factor.selectExpr("count(1)", *one, *two).first()
+    root = float(np.sqrt(n))
+    return float(np.mean([
+        (root - a / max(b, TINY)) / max(root - 1, TINY) for a, b in zip(norms[:k], norms[k:])
+    ]))
 
 
 def nmf_metrics(cells: DataFrame, factors: Factors) -> dict[str, float]:
@@ -179,7 +185,7 @@ def nmf_metrics(cells: DataFrame, factors: Factors) -> dict[str, float]:
         F.sum(F.when(v > 0, v * F.log(v / x)).otherwise(0.0) - v).alias("kl"),
     ).first()
     sides = [
-        np.array(f.agg(*[F.sum(F.col("f")[i]).alias(f"t{i}") for i in range(k)]).first(), dtype="f8")
+        np.array(f.selectExpr(*[f"sum(f[{i}])" for i in range(k)]).first(), dtype="f8")
         for f in (factors.w, factors.h)
     ]
     rss = nmf_error(cells, factors) ** 2
