@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ludoscope.session import tune
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -101,7 +103,10 @@ def checked(name: str, views: str = "", sql: str | None = None) -> Callable[[Que
     """Register a query with the SQL that must give the same rows."""
 
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            return fn(tune(spark), sf)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = with_views(views, sql)
         return fn

@@ -31,14 +31,16 @@ def salted_lookup(
     """Join of a large table to a table with unique keys, with hot keys split.
 
     Rows of a hot key go to ``SALTS`` places picked by ``spread_by``; only the dimension rows of
-    those few keys are copied. ``counts(key, _rows)`` may be passed when it is known already.
+    those few keys are copied. Rows without a key match nothing and are spread as well.
+    ``counts(key, _rows)`` may be passed when it is known already. Lookups that are not done over
+    and over leave hot keys to adaptive execution instead, which needs no counts.
     """
     if counts is None:
         counts = facts.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(hot_keys(counts, key))
     salt = F.pmod(F.xxhash64(*spread_by), F.lit(SALTS)).cast("int")
     left = facts.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0))
+        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0))
     )
     right = dims.join(hot, key, "left").withColumn(
         "_salt",
@@ -83,21 +85,24 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n:
     return df.withColumn(name, F.row_number().over(window)).where(F.col(name) <= n)
 
 
-def product(left: DataFrame, left_key: str, right: DataFrame, right_key: str, blocks: int = 32) -> DataFrame:
-    """Every pair of a left and a right row, as an equi-join on ``blocks`` x ``blocks`` even cells.
+def product(
+    left: DataFrame, left_key: str, right: DataFrame, right_key: str, left_blocks: int = 32, right_blocks: int = 32
+) -> DataFrame:
+    """Every pair of a left and a right row, as an equi-join on even cells, one per two blocks.
 
     The pairs are the feature itself (all candidates of all users). No side has to fit in memory and
     no cell grows with a hot key, because cells are picked by hash of the unique keys.
     """
-    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
 
-    def block(key: str) -> Column:
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    def block(key: str, blocks: int) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
-    cells = left.withColumn("_lb", block(left_key)).withColumn("_rb", every)
-    return cells.join(
-        right.withColumn("_rb", block(right_key)).withColumn("_lb", every), ["_lb", "_rb"]
-    ).drop("_lb", "_rb")
+    rows = left.withColumn("_lb", block(left_key, left_blocks)).withColumn("_rb", every(right_blocks))
+    cols = right.withColumn("_rb", block(right_key, right_blocks)).withColumn("_lb", every(left_blocks))
+    return rows.join(cols, ["_lb", "_rb"]).drop("_lb", "_rb")
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:

@@ -17,6 +17,8 @@ from ludoscope.operators.similar import attribute_sets
 from ludoscope.session import cut_lineage
 
 WORD_BITS = 64
+# A silhouette holds one sum per cluster and row.
+MAX_CLUSTERS = 1000
 
 
 @dataclass
@@ -89,7 +91,7 @@ def init_cao(groups: DataFrame, k: int, n_words: int) -> list[list[int]]:
     """
     total, counts = _attribute_counts(groups)
     size = max(counts, default=-1) + 1
-    gain = F.array(*[F.lit(2 * counts.get(t, 0) - total).cast("long") for t in range(size)] or [F.lit(0).cast("long")])
+    gain = F.expr("array(" + ", ".join(f"{2 * counts.get(t, 0) - total}L" for t in range(max(size, 1))) + ")")
     base = sum(total - c for c in counts.values())
     density = F.aggregate(
         F.transform("terms", lambda t: F.get(gain, t.cast("int"))), F.lit(base).cast("long"), lambda acc, x: acc + x
@@ -254,7 +256,9 @@ def silhouette_samples(attrs: DataFrame, labels: DataFrame, col: str = "cluster"
     """
     labels = labels.select("game_id", F.col(col).alias("cluster"))
     held = attrs.select("game_id", "kind", "name").distinct().join(labels, "game_id")
-    sizes = {r["cluster"]: r["n"] for r in cluster_sizes(labels).collect()}
+    sizes = {r["cluster"]: r["n"] for r in cluster_sizes(labels).limit(MAX_CLUSTERS + 1).collect()}
+    if len(sizes) > MAX_CLUSTERS:
+        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
     clusters = sorted(sizes)
     counts = held.groupBy("kind", "name").agg(
         *[F.count(F.when(F.col("cluster") == c, 1)).alias(f"_n{c}") for c in clusters]

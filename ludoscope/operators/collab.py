@@ -9,9 +9,9 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.scale import top_per_key, with_position
+from ludoscope.functions.scale import salted_lookup, top_per_key, with_position
 from ludoscope.session import shared_dir
 
 USERS_PER_BLOCK = 1024
@@ -45,6 +45,23 @@ def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
+def score_user(model: ALSModel, user: DataFrame, games: DataFrame) -> DataFrame:
+    """A2 for one user: the predicted rating of each of ``games``.
+
+    The user's factors are a scalar of the plan, so the games are joined on their own ids only and
+    one user's rows never meet in one task. A user the model does not know gets no rows.
+    """
+    mine = model.userFactors.join(user.select(F.col("user_id").alias("id")), "id").select("features").scalar()
+    factors = model.itemFactors.select(F.col("id").alias("game_id"), F.col("features").alias("_g"))
+    scored = games.join(factors, "game_id").withColumn("_u", mine)
+    return scored.withColumn("prediction", _dot("_u", "_g")).where("prediction IS NOT NULL").drop("_u", "_g")
+
+
+def _dot(a: str, b: str) -> Column:
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+
 def rmse(model: ALSModel, data: DataFrame) -> float:
     """A3: root mean squared error over the pairs that can be scored."""
     evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
@@ -106,8 +123,10 @@ def rank_predictions(scored: DataFrame) -> DataFrame:
     """Each user's games from the highest prediction down, ``rank`` counting from 1, ties by game."""
     order = [F.col("user_id"), F.col("prediction").desc(), F.col("game_id")]
     placed = with_position(scored, order, "_place")
-    first = placed.groupBy("user_id").agg(F.min("_place").alias("_first"))
-    return placed.join(first, "user_id").withColumn("rank", F.col("_place") - F.col("_first") + 1).drop(
+    lists = placed.groupBy("user_id").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    named = salted_lookup(
+        placed, lists.select("user_id", "_first"), "user_id", ["_place"], lists.select("user_id", "_rows"))
+    return named.withColumn("rank", F.col("_place") - F.col("_first") + 1).drop(
         "_place", "_first"
     )
 
@@ -185,11 +204,10 @@ def dot_products(model: ALSModel, pairs: DataFrame) -> DataFrame:
     """A2 from the stored factors: the predicted rating as the dot product of user and game factors."""
     users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("_u"))
     games = model.itemFactors.select(F.col("id").alias("game_id"), F.col("features").alias("_g"))
-    products = F.zip_with("_u", "_g", lambda a, b: a.cast("double") * b.cast("double"))
     return (
         pairs.join(users, "user_id")
         .join(games, "game_id")
-        .withColumn("prediction", F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x))
+        .withColumn("prediction", _dot("_u", "_g"))
         .drop("_u", "_g")
     )
 

@@ -136,14 +136,14 @@ def unrated_games(ratings: DataFrame, user: DataFrame) -> DataFrame:
 
     ``user`` holds one ``user_id`` or, for an unknown name, no row; then the result is empty.
     """
-    return unrated_all(ratings, user, blocks=1)
+    return unrated_all(ratings, user, user_blocks=1, game_blocks=256)
 
 
-def unrated_all(ratings: DataFrame, users: DataFrame, blocks: int = 32) -> DataFrame:
+def unrated_all(ratings: DataFrame, users: DataFrame, user_blocks: int = 32, game_blocks: int = 32) -> DataFrame:
     """The same for all given users at once."""
     games = ratings.select("game_id").distinct()
     users = users.select("user_id").distinct()
-    pairs = product(users, "user_id", games, "game_id", blocks)
+    pairs = product(users, "user_id", games, "game_id", user_blocks, game_blocks)
     rated = ratings.select("user_id", "game_id").join(users, "user_id", "left_semi")
     return pairs.join(rated, ["user_id", "game_id"], "left_anti").select(
         "user_id", "game_id", F.lit(0.0).alias("rating")

@@ -195,7 +195,7 @@ def cosine_topk(tfidf: DataFrame, k: int, digits: int = 9) -> DataFrame:
     rows = tfidf.groupBy(F.col("doc_id").cast("long").alias("key")).agg(pairs.alias("_p")).select(
         "key", F.col("_p.term_id").alias("terms"), F.col("_p.tfidf").alias("weights")
     )
-    near = nearest_rows(rows, k + 1, lambda dot, a, b: np.round(dot, digits), TEXT_BLOCK)
+    near = nearest_rows(cut_lineage(rows), k + 1, lambda dot, a, b: np.round(dot, digits), TEXT_BLOCK)
     others = near.where(F.col("key") != F.col("partner"))
     return top_per_key(others, ["key"], [F.col("score").desc(), F.col("partner")], k, "rank").select(
         F.col("key").alias("doc_id"), F.col("partner").alias("other_id"), F.col("score").alias("similarity"), "rank"

@@ -19,8 +19,9 @@ def comments_corpus(comments: DataFrame, order: Sequence[str], part_rows: int =
     """
     said = comments.where(F.col("comment").isNotNull()).select("game_id", *order, "comment")
     placed = with_position(said, [F.col("game_id"), *[F.col(c) for c in order], F.col("comment")], "_place", start=0)
-    first = placed.groupBy("game_id").agg(F.min("_place").alias("_first"))
-    numbered = placed.join(first, "game_id")
+    games = placed.groupBy("game_id").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    numbered = salted_lookup(
+        placed, games.select("game_id", "_first"), "game_id", ["_place"], games.select("game_id", "_rows"))
     part = F.floor((F.col("_place") - F.col("_first")) / part_rows).alias("part")
     lines = F.array_sort(F.collect_list(F.struct("_place", "comment")))
     return numbered.groupBy("game_id", part).agg(

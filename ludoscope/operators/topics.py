@@ -15,7 +15,7 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.scale import SALTS, hot_keys, top_per_key
+from ludoscope.functions.scale import SALTS, hot_keys, salted_lookup, top_per_key
 from ludoscope.functions.text import terms
 from ludoscope.operators.text import without_stop
 from ludoscope.session import cut_lineage
@@ -145,19 +145,20 @@ def nmf(
         h = _update(h, "col", _weighted(by_row, w, "col", k), gram(w, k), alpha)
         w = _update(w, "row", _weighted(by_col, h, "row", k), gram(h, k), alpha)
         if tol is not None:
-            error = nmf_error(by_row.cells, Factors(w, h, k))
+            error = nmf_error(placed, Factors(w.drop("_copies"), h.drop("_copies"), k))
             if last is not None and last - error <= tol * last:
                 break
             last = error
     return Factors(w.drop("_copies"), h.drop("_copies"), k)
 
 
-def nmf_error(cells: DataFrame, factors: Factors) -> float:
+def nmf_error(cells: DataFrame | Placed, factors: Factors) -> float:
     """M2: the Frobenius norm of V - W H, reading the non-zero cells only."""
     k = factors.k
-    squares = cells.agg(F.sum(F.col("value") * F.col("value"))).first()[0] or 0.0
-    across = cells.join(factors.w, "row").groupBy("col").agg(*_sums(k))
-    dots = " + ".join(f"_s{i} * f[{i}]" for i in range(k))
+    side = cells.by_row if isinstance(cells, Placed) else _place(cells, "row", "col")
+    squares = side.cells.selectExpr("sum(value * value)").first()[0] or 0.0
+    across = _weighted(side, factors.w.join(side.copies, "row"), "col", k)
+    dots = " + ".join(f"s[{i}] * f[{i}]" for i in range(k))
     cross = across.join(factors.h, "col").selectExpr(f"sum({dots})").first()[0] or 0.0
     rest = float((gram(factors.w, k) * gram(factors.h, k)).sum())
     return float(np.sqrt(max(squares - 2 * cross + rest, 0.0)))
@@ -174,11 +175,14 @@ def sparseness(factor: DataFrame, k: int) -> float:
     ]))
 
 
-def nmf_metrics(cells: DataFrame, factors: Factors) -> dict[str, float]:
+def nmf_metrics(cells: DataFrame | Placed, factors: Factors) -> dict[str, float]:
     """M3: residual sum of squares, explained variance, Kullback-Leibler divergence, sparseness."""
     k = factors.k
-    fitted = _dot(F.col("w.f"), F.col("h.f"))
-    joined = cells.alias("v").join(factors.w.alias("w"), "row").join(factors.h.alias("h"), "col")
+    placed = cells if isinstance(cells, Placed) else Placed.of(cells)
+    plain = placed.by_row.cells.drop("_salt")
+    half = salted_lookup(plain, factors.w.withColumnRenamed("f", "_w"), "row", ["col"])
+    joined = salted_lookup(half, factors.h.withColumnRenamed("f", "_h"), "col", ["row"])
+    fitted = _dot(F.col("_w"), F.col("_h"))
     v, x = F.col("value"), F.greatest(fitted, F.lit(TINY))
     row = joined.agg(
         F.sum(v * v).alias("squares"),
@@ -188,7 +192,7 @@ def nmf_metrics(cells: DataFrame, factors: Factors) -> dict[str, float]:
         np.array(f.selectExpr(*[f"sum(f[{i}])" for i in range(k)]).first(), dtype="f8")
         for f in (factors.w, factors.h)
     ]
-    rss = nmf_error(cells, factors) ** 2
+    rss = nmf_error(placed, factors) ** 2
     return {
         "rss": rss,
         "evar": 1 - rss / row["squares"],
@@ -203,7 +207,7 @@ def nmf_sweep(cells: DataFrame, ranks: Sequence[int], iters: int = 100, alpha: f
     placed = Placed.of(cells)
     rows = []
     for k in ranks:
-        found = nmf_metrics(placed.by_row.cells, nmf(placed, k, iters, alpha, seed))
+        found = nmf_metrics(placed, nmf(placed, k, iters, alpha, seed))
         rows.append((k, float(np.sqrt(found["rss"])), *found.values()))
     return cells.sparkSession.createDataFrame(
         rows, "k int, error double, rss double, evar double, kl double, sparseness_w double, sparseness_h double"
@@ -328,14 +332,13 @@ def doc_topics(topics: Topics) -> DataFrame:
 
 def lda_terms(topics: Topics, n: int) -> DataFrame:
     """M9: (topic, rank, term, weight) of the ``n`` heaviest terms."""
-    names = F.array(*[F.lit(t) for t in topics.words.vocabulary])
-    listed = topics.model.describeTopics(n).select(
-        (F.col("topic") + 1).alias("topic"), F.posexplode(F.arrays_zip("termIndices", "termWeights")).alias("pos", "t")
-    )
-    return listed.select(
-        "topic", (F.col("pos") + 1).alias("rank"), F.get(names, F.col("t.termIndices")).alias("term"),
-        F.col("t.termWeights").alias("weight"),
-    )
+    names = topics.words.vocabulary
+    rows = [
+        (r["topic"] + 1, place + 1, names[i], float(weight))
+        for r in topics.model.describeTopics(n).collect()
+        for place, (i, weight) in enumerate(zip(r["termIndices"], r["termWeights"]))
+    ]
+    return topics.vectors.sparkSession.createDataFrame(rows, "topic int, rank int, term string, weight double")
 
 
 def topic_term_table(topics: Topics) -> DataFrame:

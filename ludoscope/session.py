@@ -9,15 +9,22 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+ADAPTIVE = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even if the rows must then be shuffled once more.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def build_session(app_name: str = "ludoscope", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution, skew handling and UTC timestamps."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     settings = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.session.timeZone": "UTC",
+        **ADAPTIVE,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
@@ -27,6 +34,13 @@ def build_session(app_name: str = "ludoscope", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """The settings the library counts on, set on a session somebody else has built."""
+    for key, value in ADAPTIVE.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 

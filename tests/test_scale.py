@@ -24,6 +24,13 @@ def test_salted_lookup_with_hot_key(spark, how):
     assert [r["k"] for r in salted] == [0]
 
 
+def test_salted_lookup_keeps_rows_without_key(spark):
+    facts = spark.range(100).select("id", F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"))
+    dims = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    got = scale.salted_lookup(facts, dims, "k", ["id"], how="left")
+    assert got.count() == 100 and got.where("v is null").count() == 50
+
+
 def test_salted_lookup_on_empty(spark):
     facts = spark.createDataFrame([], "id long, k long")
     dims = spark.createDataFrame([(1, 2)], "k long, v long")
@@ -33,7 +40,7 @@ def test_salted_lookup_on_empty(spark):
 def test_product_gives_every_pair_once(spark):
     a = spark.range(37).withColumnRenamed("id", "a")
     b = spark.range(53).withColumnRenamed("id", "b")
-    pairs = scale.product(a, "a", b, "b", blocks=5).collect()
+    pairs = scale.product(a, "a", b, "b", 5, 3).collect()
     assert len(pairs) == 37 * 53 == len({(r["a"], r["b"]) for r in pairs})
 
 
