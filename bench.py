@@ -48,7 +48,7 @@ def main() -> None:
         state["tfidf"] = cut_lineage(tfidf(docs, numbered=True))
 
     def factorise() -> None:
-        cells = state["tfidf"].select(F.col("doc_id").alias("row"), F.col("term").alias("col"), F.col("tfidf").alias("value"))
+        cells = state["tfidf"].select(F.col("doc_id").alias("row"), F.col("term_id").alias("col"), F.col("tfidf").alias("value"))
         topics.nmf(cells, 8, iters=5, alpha=0.01)
 
     steps = {

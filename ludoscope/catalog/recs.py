@@ -75,14 +75,15 @@ def _(spark, sf):
 
 
 @checked("A5_grid_search", "ratings", """
-    SELECT * FROM (VALUES (2, 0.2, 2, 1), (2, 0.75, 2, 1), (4, 0.2, 2, 1), (4, 0.75, 2, 1)) AS t(rank, reg, max_iter, n_best)""")
+    SELECT rank, CAST(reg AS DOUBLE) AS reg, max_iter, n_best
+    FROM (VALUES (2, 0.2, 2, 1), (2, 0.75, 2, 1), (4, 0.2, 2, 1), (4, 0.75, 2, 1)) AS t(rank, reg, max_iter, n_best)""")
 def _(spark, sf):
     ratings = cut_lineage(fx.ratings(spark, sf))
     train, val, _ = rating_ops.hash_split(ratings, [0.6, 0.2, 0.2], KEYS)
     _, table = collab.grid_search(train, val, [2, 4], [0.2, 0.75], [2])
     best = table.where("best").agg(F.count(F.lit(1))).scalar()
     lowest = table.agg(F.min("rmse")).scalar() == table.where("best").agg(F.max("rmse")).scalar()
-    return table.select("rank", F.col("reg").cast("decimal(3,2)").cast("double").alias("reg"), "max_iter",
+    return table.select("rank", "reg", "max_iter",
                         F.when(lowest, best).otherwise(-1).cast("int").alias("n_best"))
 
 

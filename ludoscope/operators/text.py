@@ -91,14 +91,21 @@ def term_counts(docs: DataFrame, stop: Sequence[str] = (), ngram_range: tuple[in
     )
 
 
-def document_frequencies(
-    counts: DataFrame, n_docs: Column, min_df: float = 1, max_df: float = 1.0
+def counted_terms(
+    docs: DataFrame, stop: Sequence[str] = (), ngram_range: tuple[int, int] = (1, 1)
+) -> tuple[DataFrame, DataFrame]:
+    """The term counts and the (term, df) table, each stored once as several steps read them."""
+    counts = cut_lineage(term_counts(docs, stop, ngram_range))
+    return counts, cut_lineage(counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+
+
+def within_limits(
+    frequencies: DataFrame, n_docs: Column, min_df: float = 1, max_df: float = 1.0
 ) -> DataFrame:
-    """T5: (term, df) within the limits; whole numbers count documents, fractions are shares of them."""
+    """T5: the (term, df) within the limits; whole numbers count documents, fractions are shares of them."""
     low = F.lit(min_df) if isinstance(min_df, int) else min_df * n_docs
     high = F.lit(max_df) if isinstance(max_df, int) else max_df * n_docs
-    found = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    return found.where((F.col("df") >= low) & (F.col("df") <= high))
+    return frequencies.where((F.col("df") >= low) & (F.col("df") <= high))
 
 
 def count_vectorize(
@@ -109,11 +116,10 @@ def count_vectorize(
     ngram_range: tuple[int, int] = (1, 1),
 ) -> DataFrame:
     """T5: term counts of the terms within the document-frequency limits: (doc_id, term, tf, df)."""
-    counts = term_counts(docs, stop, ngram_range)
+    counts, frequencies = counted_terms(docs, stop, ngram_range)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    kept = document_frequencies(counts, n_docs, min_df, max_df)
-    sizes = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
-    return salted_lookup(counts, kept, "term", ["doc_id"], sizes)
+    kept = within_limits(frequencies, n_docs, min_df, max_df)
+    return salted_lookup(counts, kept, "term", ["doc_id"], frequencies.withColumnRenamed("df", "_rows"))
 
 
 def vocabulary(counts: DataFrame, start: int = 0) -> DataFrame:
@@ -131,17 +137,16 @@ def tfidf(
 ) -> DataFrame:
     """(doc_id, term, tf, tfidf) with idf = ln((1 + n) / (1 + df)) + 1 and rows of length 1.
 
-    T10 is this with a domain ``stop`` list and ``max_df=0.5``. ``numbered`` adds ``term_id``. The
-    counts are stored once, since frequencies, weights and norms all read them.
+    T10 is this with a domain ``stop`` list and ``max_df=0.5``. ``numbered`` adds ``term_id``.
     """
-    counts = cut_lineage(term_counts(docs, stop, ngram_range))
+    counts, frequencies = counted_terms(docs, stop, ngram_range)
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    kept = document_frequencies(counts, n_docs, min_df, max_df)
+    kept = within_limits(frequencies, n_docs, min_df, max_df)
     idf = F.log((1 + n_docs) / (1 + F.col("df"))) + 1
     weights = kept.withColumn("_idf", idf)
     if numbered:
         weights = with_position(weights, [F.col("term")], "term_id", start=0)
-    sizes = counts.groupBy("term").agg(F.count(F.lit(1)).alias("_rows"))
+    sizes = frequencies.withColumnRenamed("df", "_rows")
     raw = salted_lookup(counts, weights, "term", ["doc_id"], sizes).withColumn("_w", F.col("tf") * F.col("_idf"))
     norms = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
     columns = ["doc_id", "term", "tf", (F.col("_w") / F.col("_norm")).alias("tfidf")]
