@@ -1 +1,8 @@
 """ludoscope: item recommendation and catalogue analytics as PySpark DataFrame jobs."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors with the job, so it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

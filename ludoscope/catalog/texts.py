@@ -204,14 +204,14 @@ def _(spark, sf):
     SELECT rank AS "Board Game Rank", game_id, game AS bgg_game, 'Title ' || game_id AS "Game", 'about ' || game AS "Description",
            topic AS nmf, playing_time AS "Playing Time", min_players AS "Min Players", max_players AS "Max Players",
            best_num_players AS "Best Num Players", round(avg_weight * 2, 6) AS avg_rating, round(avg_weight, 6) AS "Avg Weight"
-    FROM (SELECT * FROM games ORDER BY game_id LIMIT 1000) JOIN topics USING (game_id) WHERE game_id % 5 <> 0""")
+    FROM games JOIN topics USING (game_id) WHERE game_id % 5 <> 0""")
 def _(spark, sf):
     games = fx.games(spark, sf).withColumns({
         "description": F.concat(F.lit("about "), "game"), "avg_rating": F.round(F.col("avg_weight") * 2, 6),
         "avg_weight": F.round("avg_weight", 6)})
     official = games.where("game_id % 5 <> 0").select(
         "game_id", F.concat(F.lit("Title "), F.col("game_id").cast("string")).alias("title"))
-    return topics.label_games(games, fx.topics(spark, sf), official, first=1000)
+    return topics.label_games(games, fx.topics(spark, sf), official)
 
 
 @checked("M8_cluster_members", "games topics", "SELECT game_id, game FROM games JOIN topics USING (game_id) WHERE topic = 5")

@@ -11,6 +11,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ludoscope.functions.blocks import best_columns
 from ludoscope.functions.scale import salted_lookup, top_per_key, with_position
 from ludoscope.session import shared_dir
 
@@ -177,12 +178,8 @@ def recommend_all(
         scores = np.stack(us["features"]).astype("f8") @ np.stack(gs["features"]).astype("f8").T
         seen = seen[seen["user_id"].isin(uid) & seen["game_id"].isin(gid)]
         scores[np.searchsorted(uid, seen["user_id"]), np.searchsorted(gid, seen["game_id"])] = -np.inf
-        top = np.argsort(-scores, axis=1, kind="stable")[:, :n]
-        picked = pd.DataFrame({
-            "user_id": np.repeat(uid, top.shape[1]),
-            "game_id": gid[top].ravel(),
-            "prediction": np.take_along_axis(scores, top, axis=1).ravel(),
-        })
+        rows, cols = best_columns(scores, n)
+        picked = pd.DataFrame({"user_id": uid[rows], "game_id": gid[cols], "prediction": scores[rows, cols]})
         return picked[np.isfinite(picked["prediction"])]
 
     best = (

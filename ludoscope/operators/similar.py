@@ -14,21 +14,21 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.scale import broadcast_if_small, salted_lookup, top_per_key, with_position
+from ludoscope.functions.blocks import best_columns, inner_products, vectors
+from ludoscope.functions.scale import broadcast_if_small, local_if_small, salted_lookup, top_per_key, with_position
 from ludoscope.functions.text import title_score
 from ludoscope.session import cut_lineage
 
 ATTR_BLOCK = 2048
 TEXT_BLOCK = 512
-TERM_TILE = 4096
 
 
 def _shared_counts(games: DataFrame, attrs: DataFrame, probe: int) -> DataFrame:
     """Per game: own attributes, and those shared with the probe; games without attributes hold 0."""
     held = attrs.select("game_id", "kind", "name").distinct()
-    mine = held.where(F.col("game_id") == probe).select("kind", "name", F.lit(True).alias("_shared"))
+    mine, size = local_if_small(held.where(F.col("game_id") == probe).select("kind", "name"))
     counts = (
-        held.join(broadcast_if_small(mine), ["kind", "name"], "left")
+        held.join(mine.withColumn("_shared", F.lit(True)), ["kind", "name"], "left")
         .groupBy("game_id")
         .agg(F.count(F.lit(1)).alias("own"), F.count("_shared").alias("shared"))
     )
@@ -37,7 +37,7 @@ def _shared_counts(games: DataFrame, attrs: DataFrame, probe: int) -> DataFrame:
         "game_id",
         F.coalesce("own", zero).alias("own"),
         F.coalesce("shared", zero).alias("shared"),
-        F.lit(mine.count()).alias("probe"),
+        F.lit(size).alias("probe"),
     )
 
 
@@ -56,38 +56,6 @@ def jaccard_similarity(games: DataFrame, attrs: DataFrame, probe: int) -> DataFr
     )
 
 
-def _vectors(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row keys (ascending), row number, term and weight of every entry."""
-    pdf = pdf.sort_values("key")
-    lengths = pdf["terms"].str.len().to_numpy(dtype="i8", na_value=0)
-    rows = np.repeat(np.arange(len(pdf)), lengths)
-    if not len(rows):
-        return pdf["key"].to_numpy(), rows, np.zeros(0, "i8"), np.zeros(0)
-    return (
-        pdf["key"].to_numpy(),
-        rows,
-        np.concatenate(pdf["terms"].to_numpy()).astype("i8"),
-        np.concatenate(pdf["weights"].to_numpy()).astype("f8"),
-    )
-
-
-def _inner_products(a, b) -> np.ndarray:
-    """Inner products of all rows of two blocks, over tiles of the terms both blocks hold."""
-    out = np.zeros((len(a[0]), len(b[0])))
-    common = np.intersect1d(a[2], b[2])
-    for at in range(0, len(common), TERM_TILE):
-        tile = common[at:at + TERM_TILE]
-        sides = []
-        for keys, rows, terms, weights in (a, b):
-            place = np.searchsorted(tile, terms).clip(max=len(tile) - 1)
-            held = tile[place] == terms
-            dense = np.zeros((len(keys), len(tile)))
-            dense[rows[held], place[held]] = weights[held]
-            sides.append(dense)
-        out += sides[0] @ sides[1].T
-    return out
-
-
 def nearest_rows(
     rows: DataFrame, k: int, measure: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], block_rows: int
 ) -> DataFrame:
@@ -105,21 +73,17 @@ def nearest_rows(
 
     def best_in_cell(cell: pd.DataFrame) -> pd.DataFrame:
         lo, hi = cell["lo"].iloc[0], cell["hi"].iloc[0]
-        a = _vectors(cell[cell["own"] == lo])
-        b = a if lo == hi else _vectors(cell[cell["own"] == hi])
-        products = _inner_products(a, b)
+        a = vectors(cell[cell["own"] == lo])
+        b = a if lo == hi else vectors(cell[cell["own"] == hi])
+        products = inner_products(a, b)
         size_a = np.bincount(a[1], minlength=len(a[0]))[:, None]
         size_b = np.bincount(b[1], minlength=len(b[0]))[None, :]
         scores = measure(products, size_a, size_b)
         parts = []
         for mine, theirs, table in ((a[0], b[0], scores), (b[0], a[0], scores.T)):
             if table.size:
-                top = np.argsort(-table, axis=1, kind="stable")[:, :k]
-                parts.append(pd.DataFrame({
-                    "key": np.repeat(mine, top.shape[1]),
-                    "partner": theirs[top].ravel(),
-                    "score": np.take_along_axis(table, top, axis=1).ravel(),
-                }))
+                rows, cols = best_columns(table, k)
+                parts.append(pd.DataFrame({"key": mine[rows], "partner": theirs[cols], "score": table[rows, cols]}))
             if lo == hi:
                 break
         return pd.concat(parts) if parts else pd.DataFrame({"key": [], "partner": [], "score": []})

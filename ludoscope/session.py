@@ -26,6 +26,8 @@ def build_session(app_name: str = "ludoscope", master: str | None = None, **conf
     settings = {
         **ADAPTIVE,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # One thread per task in numpy; tasks fill the cores already.
+        "spark.executorEnv.OMP_NUM_THREADS": "1",
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }

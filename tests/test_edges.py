@@ -168,6 +168,18 @@ def test_lemmas_and_stop_words_keep_repeats(spark):
     assert rows(text_ops.remove_stopwords(got, ["run"]), "tokens") == [(["dog", "dog"],), ([],)]
 
 
+def test_label_games_first_by_id(spark):
+    games = spark.createDataFrame([(3,), (1,), (2,)], "game_id long")
+    for c, t in [("rank", "int"), ("game", "string"), ("description", "string"), ("playing_time", "int"),
+                 ("min_players", "int"), ("max_players", "int"), ("best_num_players", "int"), ("avg_rating", "double"),
+                 ("avg_weight", "double")]:
+        games = games.withColumn(c, F.lit(None).cast(t))
+    topic = spark.createDataFrame([(1, 4), (2, 5), (3, 6)], "game_id long, topic int")
+    official = spark.createDataFrame([(1, "One"), (3, "Three")], "game_id long, title string")
+    assert rows(topics.label_games(games, topic, official), "game_id", "Game", "nmf") == [(1, "One", 4), (3, "Three", 6)]
+    assert rows(topics.label_games(games, topic, official, first=2), "game_id") == [(1,)]
+
+
 def test_assign_topic_first_wins(spark):
     w = spark.createDataFrame([(1, [0.2, 0.5, 0.5]), (2, [0.0, 0.0, 0.0])], "row int, f array<double>")
     assert rows(topics.assign_topic(w)) == [(1, 2), (2, 1)]

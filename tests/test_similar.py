@@ -4,8 +4,10 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
+from ludoscope.functions import blocks
 from ludoscope.operators import similar
 from ludoscope.operators.text import tfidf
 
@@ -47,10 +49,35 @@ def test_topk_is_exact(spark, monkeypatch, name, measure, block):
         g: round(measure(sets[40], s, size), 9) for g, s in sets.items()}
 
 
+@pytest.mark.parametrize("share", [1, 8, 10**9])
+@pytest.mark.parametrize("chunk", [1, 7, 10**6])
+def test_inner_products(monkeypatch, share, chunk):
+    monkeypatch.setattr(blocks, "SPARSE_SHARE", share)
+    monkeypatch.setattr(blocks, "PAIR_CHUNK", chunk)
+    monkeypatch.setattr(blocks, "TERM_TILE", 2)
+    rng = np.random.default_rng(1)
+    sides, dense = [], []
+    for n in (9, 6):
+        m = rng.random((n, 15)) * (rng.random((n, 15)) < 0.4)
+        m[:, 0] = 1.0
+        rows, terms = m.nonzero()
+        sides.append((np.arange(n), rows, terms * 10, m[rows, terms]))
+        dense.append(m)
+    assert np.allclose(blocks.inner_products(*sides), dense[0] @ dense[1].T)
+    empty = (np.arange(3), np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0))
+    assert not blocks.inner_products(empty, sides[1]).any()
+
+
+def test_best_columns_breaks_ties_by_column():
+    table = np.array([[1.0, 3.0, 3.0, 3.0], [0.0, 0.0, 0.0, 0.0], [4.0, 1.0, 2.0, 3.0]])
+    rows, cols = blocks.best_columns(table, 2)
+    assert cols.tolist() == [1, 2, 0, 1, 0, 3] and rows.tolist() == [0, 0, 1, 1, 2, 2]
+
+
 @pytest.mark.parametrize("block, tile", [(5, 3), (512, 4096)])
 def test_cosine_topk_is_exact(spark, monkeypatch, block, tile):
     monkeypatch.setattr(similar, "TEXT_BLOCK", block)
-    monkeypatch.setattr(similar, "TERM_TILE", tile)
+    monkeypatch.setattr(blocks, "TERM_TILE", tile)
     rnd = random.Random(3)
     words = [f"w{i}" for i in range(40)]
     docs = {d: "same text here" if d < 8 else " ".join(rnd.choices(words, k=rnd.randint(2, 30))) for d in range(24)}
