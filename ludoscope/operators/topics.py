@@ -46,11 +46,12 @@ def _place(cells: DataFrame, key: str, other: str) -> _Side:
     counts = cells.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     hot = F.broadcast(hot_keys(counts, key))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
-    placed = cells.join(hot, key, "left").withColumn("_salt", salt).drop("_hot").repartition(key, "_salt")
+    placed = cells.join(hot, key, "left").withColumn("_salt", salt).drop("_hot")
+    placed = placed.repartition(key, "_salt").sortWithinPartitions(key, "_salt")
     copies = counts.join(hot, key, "left").select(
         F.col(key), F.when(F.col("_hot"), SALTS).otherwise(1).alias("_copies")
     )
-    return _Side(cut_lineage(placed), cut_lineage(copies), key)
+    return _Side(cut_lineage(placed, keep_partitioning=True), cut_lineage(copies), key)
 
 
 def _sums(k: int) -> list[Column]:

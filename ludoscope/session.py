@@ -64,7 +64,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and go on from the stored rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
+    """Write ``df`` to the checkpoint folder once and go on from the stored rows.
+
+    Spark forgets how rows were placed when an adaptive plan is stored. ``keep_partitioning`` plans
+    this one step without it, so later joins on the same keys do not move the rows again.
+    """
+    spark = df.sparkSession
+    shared_dir(spark)
+    if not keep_partitioning:
+        return df.checkpoint(eager=True)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
