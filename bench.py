@@ -40,6 +40,8 @@ def main() -> None:
     labeled = cut_lineage(fx.labeled(spark, SF))
     users, docs = fx.users(spark, SF), fx.docs(spark, SF)
     state: dict = {}
+    # One served query unclocked, so the first timing is not that of a cold JVM.
+    run(QUERIES["F7_recommend_similar"](spark, SF))
 
     def fit() -> None:
         state["als"] = collab.fit_als(ratings, max_iter=10)
