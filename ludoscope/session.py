@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,13 +44,11 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only a local session that names none gets a folder of its own.
+    A session that names none gets a folder in its warehouse, which is shared as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        named = os.path.join(tempfile.gettempdir(), "ludoscope-shared")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
         spark.conf.set("spark.checkpoint.dir", named)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
@@ -64,6 +60,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and go on from the files: columns can be pruned when they are read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame, keep_partitioning: bool = False) -> DataFrame:
     """Write ``df`` to the checkpoint folder once and go on from the stored rows.
 
