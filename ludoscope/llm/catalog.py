@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import near_dups
+from ludoscope.llm import near_dups, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +49,37 @@ SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, coalesce(l.m, d.doc_id)
        coalesce(l.m, d.doc_id) = d.doc_id AS kept
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least l ON l.doc_id = d.doc_id
 """
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and the cascade's verdict."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality.grade(docs, counts=True)
+    return out.select("doc_id", *quality.REPORTED, "base_failed", "kept")
+
+
+ORACLES["op5_quality_rules"] = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM words)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM words WHERE len(w) > 7)),
+twice AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(0, 8)) AS k) GROUP BY doc_id),
+counts AS (
+  SELECT t.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+         coalesce(r.n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+         len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutter,
+         length(regexp_replace(text, '[^A-Za-z\x{C0}-\x{FFFF}]', '', 'g')) AS n_letters
+  FROM words t LEFT JOIN lines l ON l.doc_id = t.doc_id LEFT JOIN repeats r ON r.doc_id = t.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines
+            OR 100 * n_stutter > 30 * n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 2 * n_letters < word_chars) AS kept
+FROM counts
+"""

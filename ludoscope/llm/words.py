@@ -59,6 +59,16 @@ def _spans(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) ->
     return mix(raw + (end - begin).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+def blank(data: np.ndarray) -> np.ndarray:
+    """Which bytes part words."""
+    return _BLANK[data]
+
+
+def byte_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The hash of data[begin:end] for each span."""
+    return _spans(_BYTES[data], begin, end, _BASE_BYTES)
+
+
 class Words:
     """The words of some texts: ``first[i]:first[i+1]`` are those of text i, with byte bounds and hashes."""
 
@@ -76,6 +86,16 @@ class Words:
         self.count = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(bounds) - 1), self.count)
         self.hash = _spans((_BYTES_LOWER if lower else _BYTES)[data], self.begin, self.end, _BASE_BYTES)
+        self.memo: dict = {}
+
+    def take(self, rows: np.ndarray) -> Words:
+        """The words of some of the texts."""
+        if len(rows) == len(self.count):
+            return self
+        sizes = self.bounds[rows + 1] - self.bounds[rows]
+        parts = [self.data[a : a + n] for a, n in zip(self.bounds[rows], sizes)]
+        data = np.concatenate(parts) if parts else self.data[:0]
+        return Words(data, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
 
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The first word and the hash of every window of ``size`` words within one text."""
