@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from ludoscope.llm import near_dups, quality
+from ludoscope.llm import bpe, near_dups, packing, quality
+
+# The tokenizer's files are not part of the library; their place is a parameter of the operators.
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +88,15 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
             OR 100 * n_stutter > 30 * n_words OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 2 * n_letters < word_chars) AS kept
 FROM counts
 """
+
+
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and what they decode to, as digests."""
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), RANKS, PATTERN, ids=False, digests=True)
+
+
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 1024 ids."""
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), RANKS, PATTERN))
