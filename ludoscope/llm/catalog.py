@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import bpe, near_dups, packing, quality
+from ludoscope.llm import bpe, near_dups, packing, quality, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -100,3 +100,16 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 ids."""
     return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), RANKS, PATTERN))
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Whether a document's label is kept for the test of a model."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % 5 == 0
+
+
+@query
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")

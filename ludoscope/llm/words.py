@@ -72,10 +72,11 @@ def byte_spans(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarr
 class Words:
     """The words of some texts: ``first[i]:first[i+1]`` are those of text i, with byte bounds and hashes."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> None:
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = False, between: np.ndarray = _BLANK) -> None:
+        """``between``: for each byte, whether it parts words."""
         self.data, self.bounds = data, bounds
         solid = np.zeros(len(data) + 2, dtype=bool)
-        solid[1:-1] = ~_BLANK[data]
+        solid[1:-1] = ~between[data]
         before, after = solid[:-2].copy(), solid[2:].copy()
         edges = bounds[(bounds > 0) & (bounds < len(data))]
         before[edges] = False
@@ -97,6 +98,10 @@ class Words:
         data = np.concatenate(parts) if parts else self.data[:0]
         return Words(data, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64))
 
+    def prefixes(self, size: int) -> np.ndarray:
+        """The hash of each word's first ``size`` bytes, or of the whole of a shorter word."""
+        return byte_spans(self.data, self.begin, np.minimum(self.begin + size, self.end))
+
     def windows(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The first word and the hash of every window of ``size`` words within one text."""
         starts = np.arange(max(0, len(self.hash) - size + 1))
