@@ -20,6 +20,8 @@ TRAIN_ROWS = 50_000
 TABLES, PLACES = 2, 1 << 19
 #: A feature's log-odds matter from this many standard deviations on.
 LEAST_Z = 3.0
+#: And from these odds on: frequent words that lean slightly to one side would add up over long texts.
+LEAST_ODDS = 1.0
 #: The Dirichlet prior: PRIOR_DOCS documents spread like the whole sample, and half a document on each side.
 PRIOR_DOCS, PRIOR_FLAT = 10.0, 0.5
 #: Besides whole words, their first bytes: word stems in languages with endings.
@@ -168,7 +170,10 @@ class Scorer:
             self.at.append(at)
 
     def odds(self, words: Words, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The words that tell and their log-odds. With labels, each document's own count is taken out first."""
+        """The words that tell and their log-odds. With labels, each document's own count is taken out first.
+
+        The odds are those of occurring in a document at all, so a word counts where it first stands in its document.
+        """
         m = self.model
         features = _features(words)
         at = [self.at[t][_places(features, t)] for t in range(TABLES)]
@@ -187,12 +192,15 @@ class Scorer:
             sure.append(z)
         less = sure[1] < sure[0]
         value, z = np.where(less, values[1], values[0]), np.where(less, sure[1], sure[0])
-        tells = z >= LEAST_Z
+        tells = (z >= LEAST_Z) & (value >= LEAST_ODDS)
         word, value, z = word[tells], value[tells], z[tells]
         order = np.lexsort((-z, word))
         word, value = word[order], value[order]
         first = np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.zeros(0, dtype=bool)
-        return word[first], value[first]
+        word, value = word[first], value[first]
+        _, once = np.unique(mix(words.hash[word] ^ mix(words.doc[word].astype(np.uint64) + np.uint64(1))), return_index=True)
+        once.sort()
+        return word[once], value[once]
 
     def segments(self, words: Words, label: np.ndarray | None = None) -> list[list[tuple[float, int, int]]]:
         """Each document's maximal segments as (score, first word, word after the last)."""
