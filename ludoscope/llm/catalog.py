@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import bpe, near_dups, packing, quality, toxicity
+from ludoscope.llm import archives, bpe, html_text, near_dups, packing, quality, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -113,3 +113,26 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
     return toxicity.score(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op8_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a record, read back from the packages."""
+    packages = archives.write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return archives.read_archives(packages, payloads=False)
+
+
+ORACLES["op8_warc_zip"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS n, sha256(html) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+"""
+
+
+@query
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
