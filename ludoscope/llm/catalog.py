@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import archives, bpe, html_text, near_dups, packing, quality, toxicity
+from ludoscope.llm import archives, bpe, edit_walk, html_text, near_dups, packing, quality, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -136,3 +136,9 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     return html_text.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@query
+def op3_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint beside that of its edited text and of the next document."""
+    return edit_walk.compare_with_next(table(spark, sf_dir, "documents"))

@@ -11,6 +11,10 @@ from pyspark.sql import DataFrame, functions as F
 from ludoscope.session import stored, tune
 
 
+#: Items, and their weight, that one part of a bucket holds on average.
+BLOCK_ITEMS, BLOCK_WEIGHT = 512, 500_000
+
+
 def ready(df: DataFrame) -> DataFrame:
     """The same rows, with adaptive execution and its skew handling on in their session."""
     tune(df.sparkSession)
@@ -95,6 +99,28 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
     return stars.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def meeting_blocks(items: DataFrame, weight: str) -> DataFrame:
+    """(block, key): items (key, bands, a weight) that meet in a band, in blocks of bounded size on average.
+
+    A bucket, all items with one band, is cut into even parts, and every two parts are a block. So any two items of a
+    bucket meet in a block. Buckets of different bands with the same members count once.
+    """
+    rows = items.select("key", weight, F.explode("bands").alias("band"))
+    sizes = rows.groupBy("band").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("weight"),
+        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(7))).alias("y"),
+    ).where("n > 1")
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK_ITEMS), F.ceil(F.col("weight") / BLOCK_WEIGHT)).cast("int")
+    sizes = sizes.select("band", F.xxhash64("n", "x", "y").alias("bucket"), parts.alias("parts"))
+    members = rows.select("band", "key").join(sizes, "band").select("bucket", "parts", "key").distinct()
+    # Part i meets every other part; a bucket of one part is the pair (0, 0).
+    own = F.pmod(F.xxhash64("key", F.lit(11)), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    members = members.withColumn("i", own).withColumn("j", other).where("parts = 1 or i != j")
+    block = F.xxhash64("bucket", F.least("i", "j"), F.greatest("i", "j"))
+    return members.select(block.alias("block"), "key")
+
+
 def _mark(edges: DataFrame) -> tuple:
     """A number of rows and an order-free digest of them."""
     row = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.bit_xor(F.xxhash64("v", "u"))).first()

@@ -9,14 +9,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ludoscope.llm.frames import binary_rows, components, per_group, ready, roots
+from ludoscope.llm.frames import binary_rows, components, meeting_blocks, per_group, ready, roots
 from ludoscope.llm.hyperminhash import BANDS, BUCKETS, bands, estimate, registers
 from ludoscope.llm.words import Words, word_chunks
 from ludoscope.session import stored
 
 SHINGLE = 5
-#: Documents and shingles that a block of a bucket holds on average; a larger bucket is worked off in pairs of blocks.
-BLOCK_DOCS, BLOCK_SHINGLES = 512, 500_000
 #: Estimates this far below the threshold are still verified: over four standard deviations at BUCKETS registers.
 MARGIN = 0.14
 
@@ -140,27 +138,6 @@ def _verified(percent: int):
     return per_group("block", work)
 
 
-def _blocks(classes: DataFrame) -> DataFrame:
-    """(block, key, registers): the sets that meet in a band, each bucket cut into even blocks that are taken in pairs.
-
-    Buckets of different bands with the same members count once.
-    """
-    rows = classes.select("key", "n_shingles", F.explode("bands").alias("band"))
-    sizes = rows.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"),
-        F.bit_xor(F.xxhash64("key")).alias("x"), F.bit_xor(F.xxhash64("key", F.lit(7))).alias("y"),
-    ).where("n > 1")
-    parts = F.greatest(F.ceil(F.col("n") / BLOCK_DOCS), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
-    sizes = sizes.select("band", F.xxhash64("n", "x", "y").alias("bucket"), parts.alias("parts"))
-    members = rows.select("band", "key").join(sizes, "band").select("bucket", "parts", "key").distinct()
-    # Block i meets every other block; a bucket of one block is the pair (0, 0).
-    own = F.pmod(F.xxhash64("key", F.lit(11)), F.col("parts")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    members = members.withColumn("i", own).withColumn("j", other).where("parts = 1 or i != j")
-    block = F.xxhash64("bucket", F.least("i", "j"), F.greatest("i", "j"))
-    return members.select(block.alias("block"), "key")
-
-
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): its group of documents linked by similar shingle sets.
 
@@ -187,7 +164,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     )
     classes = stored(least, "classes")
     # Keys of single members need no registers, so those join to the members of buckets only.
-    blocks = _blocks(classes).join(classes.select("key", "registers"), "key").repartition("block").sortWithinPartitions("block")
+    blocks = meeting_blocks(classes, "n_shingles").join(classes.select("key", "registers"), "key").repartition("block").sortWithinPartitions("block")
     floor = percent / 100 - MARGIN
     near = stored(blocks.select("block", "key", "registers").mapInArrow(_candidates(floor), "block long, key binary"), "near")
     # One text of each class that has candidates gives the full set.
