@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import archives, bpe, edit_walk, html_text, near_dups, packing, quality, toxicity
+from ludoscope.llm import archives, bpe, edit_walk, html_text, near_dups, packing, quality, repeats, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -142,3 +142,25 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fingerprint beside that of its edited text and of the next document."""
     return edit_walk.compare_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document keeps once passages of 50 words that stand in an earlier one are gone."""
+    return repeats.count_repeats(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_substring_dedup"] = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words WHERE len(w) > 49)),
+late AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM late, (SELECT unnest(range(0, 50)) AS k)),
+kept AS (
+  SELECT p.doc_id, string_agg(p.x, ' ' ORDER BY p.i) AS t, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM words) p
+  LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.i = p.i WHERE g.i IS NULL GROUP BY p.doc_id)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
+"""
