@@ -1,8 +1,8 @@
-"""Passages repeated across documents: whole-corpus removal by window owners, and suffix automata for given references.
+"""Passages repeated across documents, found by matching statistics on suffix automata of reference shards.
 
-The corpus is its own reference, so automata of it would grow with it: ``strip_repeats`` finds the smallest doc_id of every
-repeated window of words through shuffles instead (see the README for figures). ``strip_references`` holds texts against a
-reference of bounded size by automata of its shards.
+``strip_references`` takes a reference of bounded size and broadcasts its shards. In ``strip_repeats`` the corpus is its
+own reference and grows without bound, so a shard is one document, and it is brought together with just the texts that share
+an anchor with it.
 """
 
 from __future__ import annotations
@@ -21,10 +21,69 @@ from ludoscope.llm.words import Words, mix, word_chunks
 from ludoscope.session import stored
 
 WINDOW, GRAM = 50, 8
+#: Texts that are held against one copy of a reference, on average.
+TEXTS = 256
 #: Words of a reference that one automaton holds, and all of it may hold.
 SHARD_WORDS, REFERENCE_WORDS = 50_000, 2_000_000
 
 
+class SuffixAutomaton:
+    """The suffix automaton of some word sequences; no path leads from one sequence into the next."""
+
+    def __init__(self) -> None:
+        self.next: list[dict[int, int]] = [{}]
+        self.link, self.length = [-1], [0]
+
+    def add(self, sequence: Iterable[int]) -> None:
+        """Add a sequence, word by word."""
+        last = 0
+        for word in sequence:
+            last = self._extend(last, word)
+
+    def _extend(self, last: int, word: int) -> int:
+        known = self.next[last].get(word)
+        if known is not None:
+            if self.length[known] == self.length[last] + 1:
+                return known
+            return self._split(last, known, word)
+        state = len(self.next)
+        self.next.append({})
+        self.length.append(self.length[last] + 1)
+        self.link.append(0)
+        at = last
+        while at >= 0 and word not in self.next[at]:
+            self.next[at][word] = state
+            at = self.link[at]
+        if at >= 0:
+            target = self.next[at][word]
+            self.link[state] = target if self.length[target] == self.length[at] + 1 else self._split(at, target, word)
+        return state
+
+    def _split(self, at: int, target: int, word: int) -> int:
+        """A copy of ``target`` for the shorter strings that end in it."""
+        copy = len(self.next)
+        self.next.append(dict(self.next[target]))
+        self.length.append(self.length[at] + 1)
+        self.link.append(self.link[target])
+        self.link[target] = copy
+        while at >= 0 and self.next[at].get(word) == target:
+            self.next[at][word] = copy
+            at = self.link[at]
+        return copy
+
+    def matches(self, sequence: Iterable[int]) -> Iterator[int]:
+        """Matching statistics: at each word, the length of the longest suffix so far that occurs in a reference."""
+        state = length = 0
+        for word in sequence:
+            while state and word not in self.next[state]:
+                state = self.link[state]
+                length = self.length[state]
+            if word in self.next[state]:
+                state = self.next[state][word]
+                length += 1
+            yield length
+
+
 def _slide_min(values: np.ndarray, span: int) -> np.ndarray:
     """The smallest of values[i:i+span] for each i, by doubling; places near the end have fewer."""
     out, have = values.copy(), 1
@@ -87,42 +146,63 @@ def _survey(size: int):
     return work
 
 
-def _windows(size: int):
-    """Windows of candidate texts whose anchor is shared: hash, check, doc_id, key and the first word's place."""
+def _held_against(size: int):
+    """For rows sorted by (first, part, turn): texts held against the automaton of the first document that has their anchors.
+
+    Turn 0 brings the reference, turn 1 the texts, one at a time. Of a text, only windows with the anchors listed are looked
+    at. Those that occur in the reference are gone. The others come out with a hash and a check: their anchor stands there in
+    other surroundings, so another document owns them, perhaps the text itself.
+    """
+    names = ["doc_id", "number", "gone", "window", "check", "at"]
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, automaton = None, SuffixAutomaton()
         for batch in batches:
             for row, words in word_chunks(batch.column("text")):
                 n = len(words.count)
-                keys, shared = batch.column("key").slice(row, n).to_pylist(), batch.column("shared").slice(row, n)
+                part = batch.slice(row, n)
+                first, chunk, turn, ids, numbers = (part.column(c).to_pylist() for c in ("first", "part", "turn", "doc_id", "number"))
                 starts, hashes, anchors = _anchored(words, size)
                 cut = np.searchsorted(words.doc[starts], np.arange(n + 1))
-                wanted = np.zeros(len(starts), dtype=bool)
+                out: list[tuple] = []
                 for i in range(n):
-                    own = np.asarray(shared[i].values).view(np.uint64)
-                    wanted[cut[i] : cut[i + 1]] = np.isin(anchors[cut[i] : cut[i + 1]], own)
-                at = np.flatnonzero(wanted)
-                doc = words.doc[starts[at]]
-                check = mix(hashes[at] ^ anchors[at]) ^ words.hash[starts[at]] ^ mix(words.hash[starts[at] + size - 1])
-                ids = batch.column("doc_id").slice(row, n).to_numpy(zero_copy_only=False)
-                numbers = np.array([zlib.crc32(k) - (1 << 31) for k in keys], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(hashes[at].view(np.int64)), pa.array((check >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                        pa.array(ids[doc].astype(np.int64)), pa.array(numbers[doc]), pa.array((starts[at] - words.first[doc]).astype(np.int32)),
-                    ],
-                    names=["window", "check", "doc_id", "number", "at"],
-                )
+                    if (first[i], chunk[i]) != group:
+                        group, automaton = (first[i], chunk[i]), SuffixAutomaton()
+                    low = int(words.first[i])
+                    own = words.hash[low : words.first[i + 1]]
+                    if turn[i] == 0:
+                        automaton.add(own.tolist())
+                        continue
+                    here = slice(cut[i], cut[i + 1])
+                    wanted = np.isin(anchors[here], np.asarray(part.column("anchors")[i].values).view(np.uint64))
+                    at = starts[here][wanted] - low
+                    step = np.zeros(len(own) + 1, dtype=np.int64)
+                    np.add.at(step, at, 1)
+                    np.add.at(step, at + size, -1)
+                    covered = np.concatenate(([0], (np.cumsum(step[:-1]) > 0).astype(np.int8), [0]))
+                    length = np.zeros(len(own) + 1, dtype=np.int64)
+                    for a, b in zip(np.flatnonzero(np.diff(covered) == 1).tolist(), np.flatnonzero(np.diff(covered) == -1).tolist()):
+                        length[a + 1 : b + 1] = np.fromiter(automaton.matches(own[a:b].tolist()), np.int64, b - a)
+                    gone = length[at + size] >= size
+                    rest = np.flatnonzero(wanted)[~gone] + cut[i]
+                    check = mix(hashes[rest] ^ anchors[rest]) ^ words.hash[starts[rest]] ^ mix(words.hash[starts[rest] + size - 1])
+                    out.append((ids[i], numbers[i], at[gone], hashes[rest].view(np.int64), (check >> np.uint64(32)).astype(np.uint32).view(np.int32), at[~gone]))
+                kinds = [pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=names)
 
     return work
 
 
-def _only_own(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text has the key: a doc_id may stand before several texts."""
+def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts with the key and a short number of their word sequence: a doc_id may stand before several texts."""
     for batch in batches:
         for row, words in word_chunks(batch.column("text")):
             part = batch.slice(row, len(words.count))
-            yield part.filter(pa.array([_key(words, i) == k for i, k in enumerate(part.column("key").to_pylist())], pa.bool_()))
+            keys = [_key(words, i) for i in range(len(words.count))]
+            numbers = pa.array([zlib.crc32(k) - (1 << 31) for k in keys], pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc_id"), pa.array(keys, pa.binary()), numbers, part.column("text")], names=["doc_id", "key", "number", "text"]
+            )
 
 
 def _strip(size: int):
@@ -158,8 +238,13 @@ def find_repeats(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFr
 
     The second table has doc_id, key, kept. A window is owned by the smallest doc_id it occurs in; in any other document
     its words are removed. Equal sequences are one to begin with: all but the smallest doc_id lose everything, if they
-    are as long as a window. Of the others, only windows whose anchor occurs under two doc_ids are looked at, and the owner of a
-    window is a minimum that is summed up before the shuffle and joined back, so no window's rows meet in one place.
+    are as long as a window. Of the others, only windows whose anchor occurs under two doc_ids are looked at:
+
+    1. The smallest doc_id with an anchor owns every window with it that it has. Its suffix automaton is the reference
+       shard that the other texts with that anchor are streamed through; a reference with many texts is copied to as
+       many parts, so none of them holds more than about TEXTS.
+    2. Windows that are not in that reference have an owner in between. Their owner is a minimum per window hash, summed
+       up before the shuffle and joined back, so no window's rows meet in one place.
     """
     docs = ready(docs).select("doc_id", "text")
     fields = "doc_id long, n_words long, key binary, sha256 string, anchors array<long>"
@@ -169,26 +254,39 @@ def find_repeats(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFr
     known = survey.select("doc_id", "n_words", "key", "sha256").join(firsts, "key", "left")
     own = long.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors"))
     own = own.select("doc_id", "key", F.explode("anchors").alias("anchor"))
-    shared = own.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b").select("anchor")
+    shared = own.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("anchor", "first")
     # A document's anchors are as many as its text has.
-    per_text = own.join(shared, "anchor").groupBy("doc_id", "key").agg(F.collect_list("anchor").alias("shared"))
-    texts = docs.join(per_text, "doc_id").select("doc_id", "key", "shared", "text")
-    texts = texts.mapInArrow(_only_own, texts.schema).dropDuplicates(["doc_id", "key"])
-    texts = stored(texts, "texts")
-    rows = stored(texts.mapInArrow(_windows(size), "window long, check int, doc_id long, number int, at int"), "windows")
-    owners = rows.groupBy("window", "check").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("b")).where("owner < b")
+    members = own.join(shared, "anchor").where("doc_id > first").groupBy("doc_id", "key", "first").agg(F.collect_list("anchor").alias("anchors"))
+    members = stored(members, "members")
+    texts = docs.join(members.select("doc_id").union(members.select("first")).distinct(), "doc_id")
+    fields = "doc_id long, key binary, number int, text string"
+    texts = stored(texts.mapInArrow(_keyed, fields).dropDuplicates(["doc_id", "key"]), "texts")
+    parts = members.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / TEXTS).cast("int").alias("parts"))
+    references = texts.withColumnRenamed("doc_id", "first").join(parts, "first").select(
+        "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("turn"),
+        F.col("first").alias("doc_id"), "number", F.array().cast("array<bigint>").alias("anchors"), "text",
+    )
+    held = members.join(parts, "first").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int")).join(texts, ["doc_id", "key"])
+    held = held.select("first", "part", F.lit(1).alias("turn"), "doc_id", "number", "anchors", "text")
+    held = references.unionByName(held).repartition("first", "part").sortWithinPartitions("first", "part", "turn")
+    fields = "doc_id long, number int, gone array<int>, window array<long>, check array<int>, at array<int>"
+    found = stored(held.mapInArrow(_held_against(size), fields), "windows")
+    rows = found.select("doc_id", "number", F.explode(F.arrays_zip("window", "check", "at")).alias("x")).select("doc_id", "number", "x.*")
+    owners = rows.groupBy("window", "check").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last")
     late = rows.join(owners.select("window", "check", "owner"), ["window", "check"]).where("doc_id > owner")
-    late = late.groupBy("doc_id", "number").agg(F.collect_list("at").alias("at"))
-    cut = texts.withColumn("number", (F.crc32("key") - (1 << 31)).cast("int")).join(late, ["doc_id", "number"]).select("doc_id", "key", "at", "text")
+    late = late.groupBy("doc_id", "number").agg(F.collect_list("at").alias("gone"))
+    late = found.where(F.size("gone") > 0).select("doc_id", "number", "gone").unionByName(late)
+    late = late.groupBy("doc_id", "number").agg(F.flatten(F.collect_list("gone")).alias("at"))
+    cut = texts.join(late, ["doc_id", "number"]).select("doc_id", "key", "at", "text")
     left = stored(cut.mapInArrow(_strip(size), "doc_id long, key binary, n_removed long, sha256 string, kept string"), "left")
     part = left.select("doc_id", "key", F.col("n_removed").alias("some"), F.col("sha256").alias("cut_sha256"))
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
-    found = known.join(part, ["doc_id", "key"], "left").select(
+    out = known.join(part, ["doc_id", "key"], "left").select(
         "doc_id", "key", "n_words",
         F.when(copy, F.col("n_words")).otherwise(F.coalesce("some", F.lit(0))).alias("n_removed"),
         F.when(copy, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("cut_sha256", "sha256")).alias("kept_sha256"),
     )
-    return found, left.select("doc_id", "key", "kept")
+    return out, left.select("doc_id", "key", "kept")
 
 
 def count_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -233,63 +331,6 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 # --- given references ---
 
 
-class SuffixAutomaton:
-    """The suffix automaton of some word sequences; no path leads from one sequence into the next."""
-
-    def __init__(self) -> None:
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-
-    def add(self, sequence: Iterable[int]) -> None:
-        """Add a sequence, word by word."""
-        last = 0
-        for word in sequence:
-            last = self._extend(last, word)
-
-    def _extend(self, last: int, word: int) -> int:
-        known = self.next[last].get(word)
-        if known is not None:
-            if self.length[known] == self.length[last] + 1:
-                return known
-            return self._split(last, known, word)
-        state = len(self.next)
-        self.next.append({})
-        self.length.append(self.length[last] + 1)
-        self.link.append(0)
-        at = last
-        while at >= 0 and word not in self.next[at]:
-            self.next[at][word] = state
-            at = self.link[at]
-        if at >= 0:
-            target = self.next[at][word]
-            self.link[state] = target if self.length[target] == self.length[at] + 1 else self._split(at, target, word)
-        return state
-
-    def _split(self, at: int, target: int, word: int) -> int:
-        """A copy of ``target`` for the shorter strings that end in it."""
-        copy = len(self.next)
-        self.next.append(dict(self.next[target]))
-        self.length.append(self.length[at] + 1)
-        self.link.append(self.link[target])
-        self.link[target] = copy
-        while at >= 0 and self.next[at].get(word) == target:
-            self.next[at][word] = copy
-            at = self.link[at]
-        return copy
-
-    def matches(self, sequence: Iterable[int]) -> Iterator[int]:
-        """Matching statistics: at each word, the length of the longest suffix so far that occurs in a reference."""
-        state = length = 0
-        for word in sequence:
-            while state and word not in self.next[state]:
-                state = self.link[state]
-                length = self.length[state]
-            if word in self.next[state]:
-                state = self.next[state][word]
-                length += 1
-            yield length
-
-
 def strip_references(docs: DataFrame, references: DataFrame, size: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with every word removed that lies in a span of at least ``size`` words which occurs in a text of ``references``.
 
