@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import archives, bpe, edit_walk, html_text, near_dups, packing, quality, repeats, toxicity
+from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, near_dups, packing, quality, repeats, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -164,3 +164,48 @@ kept AS (
 SELECT w.doc_id, len(w.w)::BIGINT AS n_words, (len(w.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
 FROM words w LEFT JOIN kept k ON k.doc_id = w.doc_id
 """
+
+
+def tool_messages(conversations: DataFrame) -> DataFrame:
+    """Conversations read as tool use, of which the table has none.
+
+    Every assistant's turn makes a call on its text, with the identifier c<turn>; every later user's turn is the result of the call in
+    the turn before. Calls name three tools in turn, of which one has a schema that fits, one that does not, and one has none.
+    """
+    name = F.when(F.col("turn") % 3 == 0, "summarise").when(F.col("turn") % 3 == 1, "search").otherwise("guess")
+    words = F.size(F.split(F.coalesce("text", F.lit("")), " "))
+    call = F.struct(F.concat(F.lit("c"), "turn").alias("id"), name.alias("name"), F.struct(words.alias("words"), F.coalesce("text", F.lit("")).alias("text")).alias("arguments"))
+    answers = (F.col("role") == "user") & (F.col("turn") > 0)
+    return conversations.select(
+        "conv_id", "turn", F.when(answers, "tool").otherwise(F.col("role")).alias("role"),
+        F.when(F.coalesce(F.col("role") != "assistant", F.lit(True)), F.col("text")).alias("text"),
+        F.when(F.col("role") == "assistant", F.to_json(F.array(call))).alias("calls"),
+        F.when(answers, F.concat(F.lit("c"), F.col("turn") - 1)).alias("call_id"),
+    )
+
+
+@query
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's messages as canonical JSON lines, calls linked with their results."""
+    schemas = spark.sql("SELECT * FROM VALUES ('search', map('text', 'string', 'words', 'integer')), ('summarise', map('text', 'string', 'words', 'string?')) AS t(name, params)")
+    return chat.format_messages(tool_messages(table(spark, sf_dir, "conversations")), schemas)
+
+
+ORACLES["op4_chat_format"] = """
+WITH m AS (
+  SELECT conv_id, turn, CASE WHEN role = 'user' AND turn > 0 THEN 'tool' ELSE role END AS role, coalesce(text, '') AS text,
+         CASE turn % 3 WHEN 0 THEN 'summarise' WHEN 1 THEN 'search' ELSE 'guess' END AS name FROM conversations),
+k AS (
+  SELECT m.*, EXISTS (SELECT 1 FROM m o WHERE o.conv_id = m.conv_id AND o.turn = m.turn + 1 AND o.role = 'tool') AS answered,
+         EXISTS (SELECT 1 FROM m o WHERE o.conv_id = m.conv_id AND o.turn = m.turn - 1 AND o.role = 'assistant') AS called FROM m)
+SELECT conv_id, turn, role, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::BIGINT AS place,
+  CASE role
+    WHEN 'assistant' THEN '{"calls":[{"arguments":{"text":' || to_json(text)::VARCHAR || ',"words":' || len(string_split(text, ' '))
+      || '},"id":"c' || turn || '","name":"' || name || '"}],"role":"assistant"}'
+    WHEN 'tool' THEN '{"call_id":"c' || (turn - 1) || '","content":' || to_json(text)::VARCHAR || ',"role":"tool"}'
+    ELSE '{"content":' || to_json(text)::VARCHAR || ',"role":"' || role || '"}' END AS line,
+  CASE role WHEN 'assistant' THEN CASE WHEN answered THEN 'ok' ELSE 'missing' END
+            WHEN 'tool' THEN CASE WHEN called THEN 'ok' ELSE 'orphan' END END AS status,
+  CASE WHEN role = 'assistant' THEN CASE name WHEN 'summarise' THEN 'wrong type: words' WHEN 'guess' THEN 'unknown tool' END END AS problem
+FROM k
+"""

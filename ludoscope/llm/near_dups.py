@@ -184,3 +184,20 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
         "doc_id", "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
     )
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: that with the smallest doc_id, a null one only if there is no other.
+
+    Groups are those of ``near_duplicates`` over rows, so of rows repeated under one doc_id one stays too. Documents without
+    words are in no group and all stay. All columns are kept.
+    """
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent).where("n_shingles > 0")
+    # Only groups of two or more can lose a row.
+    sizes = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
+    members = groups.join(sizes, "component_id").select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row")
+    stays = members.groupBy("component_id").agg(F.min(order).alias("first"))
+    gone = members.join(stays, "component_id").where(F.col("_row") != F.col("first._row")).select("_row")
+    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
