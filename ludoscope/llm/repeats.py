@@ -22,7 +22,7 @@ from ludoscope.session import stored
 
 WINDOW, GRAM = 50, 8
 #: Texts that are held against one copy of a reference, on average.
-TEXTS = 256
+TEXTS = 1024
 #: Words of a reference that one automaton holds, and all of it may hold.
 SHARD_WORDS, REFERENCE_WORDS = 50_000, 2_000_000
 
@@ -200,9 +200,8 @@ def _keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(row, len(words.count))
             keys = [_key(words, i) for i in range(len(words.count))]
             numbers = pa.array([zlib.crc32(k) - (1 << 31) for k in keys], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(keys, pa.binary()), numbers, part.column("text")], names=["doc_id", "key", "number", "text"]
-            )
+            columns = [part.column("doc_id"), pa.array(keys, pa.binary()), numbers, part.column("text"), part.column("uses")]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "number", "text", "uses"])
 
 
 def _strip(size: int):
@@ -253,33 +252,34 @@ def find_repeats(docs: DataFrame, size: int = WINDOW) -> tuple[DataFrame, DataFr
     firsts = long.groupBy("key").agg(F.min("doc_id").alias("first"))
     known = survey.select("doc_id", "n_words", "key", "sha256").join(firsts, "key", "left")
     own = long.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("anchors").alias("anchors"))
-    own = own.select("doc_id", "key", F.explode("anchors").alias("anchor"))
+    own = own.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = own.groupBy("anchor").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last").select("anchor", "first")
-    # A document's anchors are as many as its text has.
-    members = own.join(shared, "anchor").where("doc_id > first").groupBy("doc_id", "key", "first").agg(F.collect_list("anchor").alias("anchors"))
+    # A document's anchors are as many as its text has; a doc_id before several texts has those of all.
+    members = own.join(shared, "anchor").where("doc_id > first").groupBy("doc_id", "first").agg(F.collect_set("anchor").alias("anchors"))
     members = stored(members, "members")
-    texts = docs.join(members.select("doc_id").union(members.select("first")).distinct(), "doc_id")
-    fields = "doc_id long, key binary, number int, text string"
-    texts = stored(texts.mapInArrow(_keyed, fields).dropDuplicates(["doc_id", "key"]), "texts")
     parts = members.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / TEXTS).cast("int").alias("parts"))
-    references = texts.withColumnRenamed("doc_id", "first").join(parts, "first").select(
-        "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("turn"),
-        F.col("first").alias("doc_id"), "number", F.array().cast("array<bigint>").alias("anchors"), "text",
-    )
-    held = members.join(parts, "first").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int")).join(texts, ["doc_id", "key"])
-    held = held.select("first", "part", F.lit(1).alias("turn"), "doc_id", "number", "anchors", "text")
-    held = references.unionByName(held).repartition("first", "part").sortWithinPartitions("first", "part", "turn")
+    part = F.pmod(F.xxhash64("doc_id"), "parts").cast("int").alias("part")
+    uses = members.join(parts, "first").select("doc_id", F.struct("first", part, F.lit(1).alias("turn"), "anchors").alias("use"))
+    none = F.array().cast("array<bigint>").alias("anchors")
+    copies = parts.select(F.col("first").alias("doc_id"), "first", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    uses = uses.unionByName(copies.select("doc_id", F.struct("first", "part", F.lit(0).alias("turn"), none).alias("use")))
+    uses = uses.groupBy("doc_id").agg(F.collect_list("use").alias("uses"))
+    # The right side grows with the corpus, so it is never broadcast.
+    texts = docs.join(uses.hint("merge"), "doc_id").select("doc_id", "text", "uses")
+    texts = stored(texts.mapInArrow(_keyed, StructType().add("doc_id", "long").add("key", "binary").add("number", "integer").add("text", "string").add(texts.schema["uses"])), "texts")
+    held = texts.select("doc_id", "number", "text", F.explode("uses").alias("use")).select("doc_id", "number", "text", "use.*")
+    held = held.repartition("first", "part").sortWithinPartitions("first", "part", "turn")
     fields = "doc_id long, number int, gone array<int>, window array<long>, check array<int>, at array<int>"
     found = stored(held.mapInArrow(_held_against(size), fields), "windows")
     rows = found.select("doc_id", "number", F.explode(F.arrays_zip("window", "check", "at")).alias("x")).select("doc_id", "number", "x.*")
     owners = rows.groupBy("window", "check").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last")
     late = rows.join(owners.select("window", "check", "owner"), ["window", "check"]).where("doc_id > owner")
-    late = late.groupBy("doc_id", "number").agg(F.collect_list("at").alias("gone"))
+    late = late.groupBy("doc_id", "number").agg(F.collect_set("at").alias("gone"))
     late = found.where(F.size("gone") > 0).select("doc_id", "number", "gone").unionByName(late)
-    late = late.groupBy("doc_id", "number").agg(F.flatten(F.collect_list("gone")).alias("at"))
-    cut = texts.join(late, ["doc_id", "number"]).select("doc_id", "key", "at", "text")
+    late = late.groupBy("doc_id", "number").agg(F.flatten(F.collect_set("gone")).alias("at"))
+    cut = texts.join(late.hint("merge"), ["doc_id", "number"]).select("doc_id", "key", "at", "text")
     left = stored(cut.mapInArrow(_strip(size), "doc_id long, key binary, n_removed long, sha256 string, kept string"), "left")
-    part = left.select("doc_id", "key", F.col("n_removed").alias("some"), F.col("sha256").alias("cut_sha256"))
+    part = left.groupBy("doc_id", "key").agg(F.max("n_removed").alias("some"), F.max("sha256").alias("cut_sha256"))
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
     out = known.join(part, ["doc_id", "key"], "left").select(
         "doc_id", "key", "n_words",
