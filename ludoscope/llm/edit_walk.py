@@ -178,7 +178,7 @@ def in_ranges(docs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
         level = upto(F.lit([g[0] for g in groups]))
         inner = upto(F.get(F.array(*[F.lit(g) for g in groups]), level - 1))
         own = F.when(F.col("doc_id").isNull() | (level == 0), F.lit(0)).otherwise((level - 1) * width + inner)
-        at_bound = F.get(F.lit(bounds), own - 1).eqNullSafe(F.col("doc_id"))
+        at_bound = F.coalesce(F.get(F.lit(bounds), own - 1) == F.col("doc_id"), F.lit(False))
         guard = lambda at: F.array(F.struct(at.cast("int").alias("range"), F.lit(1).alias("turn")))
         copies = F.when(at_bound, guard(own - 1)).when(first, guard(F.lit(len(bounds))))
     home = F.array(F.struct(own.cast("int").alias("range"), F.lit(0).alias("turn")))
