@@ -81,7 +81,7 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     call); ``missing`` (no result); ``orphan`` (no call). Of calls, and of results, repeated under one identifier
     the first counts, in the order of turns and then of rows; later ones are ``repeated`` and linked with nothing. Problem says why
     the arguments do not fit the tool's schema: no JSON object, unknown tool, or see ``_problem``; null if they fit. Of schemas
-    repeated under one name that with the largest params, as text, counts. A call that is no object, or without id, is dropped
+    repeated under one name that with the most params counts, of those the largest as text. A call that is no object, or without id, is dropped
     from none of the counts: its identifier is null, and null identifiers never meet.
     """
     # The numbers tell equal rows apart, and are stored so that every later step sees the same ones.
@@ -91,7 +91,7 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     calls = calls.select("conv_id", "turn", "id", "place", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
     results = rows.where("role = 'tool'").select("conv_id", "turn", "id", F.lit(0).alias("place"), "call_id", F.col("text").alias("result"))
     calls, results = _with_first(calls), _with_first(results)
-    best = schemas.groupBy("name").agg(F.max_by("params", F.to_json("params")).alias("params"))
+    best = schemas.groupBy("name").agg(F.max_by("params", F.struct(F.size("params"), F.to_json("params"))).alias("params"))
     calls = calls.join(best, "name", "left").withColumn("fields", _fields(F.col("arguments")))
     problem = (
         F.when(F.col("fields").isNull() | ~F.coalesce(F.trim("arguments").startswith("{"), F.lit(False)), "no object")
