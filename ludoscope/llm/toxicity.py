@@ -247,7 +247,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     Every part is a job over those documents: counts per place, then the evidence of each document with its own count taken
     out, in bins. The driver gets the telling places (2 * PLACES at most) and the bins. Rows without a doc_id, text or label do
     not count; of labels that contradict each other, 1 holds. Without labels of both kinds every score is the share of
-    label 1, or 0.5 without any.
+    label 1, or just below 0.5 without any.
     """
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("_toxic"))
     known = labels.count()
