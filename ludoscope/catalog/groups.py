@@ -89,7 +89,7 @@ def _(spark, sf):
     FROM games WHERE best_num_players IS NOT NULL""")
 def _(spark, sf):
     games = cut_lineage(fx.games(spark, sf))
-    found = clusters.kprototypes(games, _NUM, _CAT, 5, max_iter=10)
+    found = clusters.kprototypes(games, _NUM, _CAT, 5)
     return _facts(found, games.na.drop("any", subset=["best_num_players"]), found.cost > 0)
 
 
@@ -122,10 +122,10 @@ def _(spark, sf):
 
 
 @checked("G6_silhouette_sweep", "games", """
-    SELECT CAST(k AS INTEGER) AS k, true AS in_range FROM range(2, 5) AS r(k) WHERE (SELECT count(*) FROM games) > 0""")
+    SELECT CAST(k AS INTEGER) AS k, true AS in_range FROM range(2, 30) AS r(k) WHERE (SELECT count(*) FROM games) > 0""")
 def _(spark, sf):
     games, attrs = cut_lineage(fx.games(spark, sf)), cut_lineage(fx.attrs(spark, sf))
-    table = clusters.silhouette_sweep(games, attrs, range(2, 5))
+    table = clusters.silhouette_sweep(games, attrs, range(2, 30))
     return table.select("k", F.col("silhouette").between(-1, 1).alias("in_range"))
 
 
@@ -195,7 +195,7 @@ def _(spark, sf):
 def _(spark, sf):
     ratings = cut_lineage(fx.ratings(spark, sf))
     model, recs = scratch_path(spark, "model"), scratch_path(spark, "recs")
-    table = refresh(ratings, model, recs, n=5, iters=[3])
+    table = refresh(ratings, model, recs, n=5)
     stored = spark.read.parquet(recs)
     n_users = stored.agg(F.count_distinct("user_id")).scalar()
     most = stored.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()

@@ -105,7 +105,7 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch_path(spark, "als-model")
     ratings = cut_lineage(fx.ratings(spark, sf))
-    model = collab.fit_als(ratings, max_iter=2)
+    model = collab.fit_als(ratings, max_iter=20)
     collab.save_model(model, path)
     before = collab.score(model, ratings).select("user_id", "game_id", "prediction")
     after = collab.score(collab.load_model(path), ratings).select(

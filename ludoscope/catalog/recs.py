@@ -25,7 +25,7 @@ _SPLIT = f"""
 def _fitted(spark, sf, **als):
     ratings = cut_lineage(fx.ratings(spark, sf))
     train, test = rating_ops.hash_split(ratings, [0.7, 0.3], KEYS)
-    return collab.fit_als(train, **{"max_iter": 5, **als}), train, test, ratings
+    return collab.fit_als(train, **{"max_iter": 20, **als}), train, test, ratings
 
 
 @checked("A1_fit_als", "ratings", f"""
@@ -76,11 +76,11 @@ def _(spark, sf):
 
 @checked("A5_grid_search", "ratings", """
     SELECT rank, CAST(reg AS DOUBLE) AS reg, max_iter, n_best
-    FROM (VALUES (2, 0.2, 2, 1), (2, 0.75, 2, 1), (4, 0.2, 2, 1), (4, 0.75, 2, 1)) AS t(rank, reg, max_iter, n_best)""")
+    FROM (VALUES (5, 0.2, 20, 1), (5, 0.75, 20, 1), (10, 0.2, 20, 1), (10, 0.75, 20, 1)) AS t(rank, reg, max_iter, n_best)""")
 def _(spark, sf):
     ratings = cut_lineage(fx.ratings(spark, sf))
     train, val, _ = rating_ops.hash_split(ratings, [0.6, 0.2, 0.2], KEYS)
-    _, table = collab.grid_search(train, val, [2, 4], [0.2, 0.75], [2])
+    _, table = collab.grid_search(train, val, [5, 10], [0.2, 0.75], [20])
     best = table.where("best").agg(F.count(F.lit(1))).scalar()
     lowest = table.agg(F.min("rmse")).scalar() == table.where("best").agg(F.max("rmse")).scalar()
     return table.select("rank", "reg", "max_iter",
@@ -114,7 +114,7 @@ def _(spark, sf):
     SELECT user_id, least(10, n - rated) AS n_recs, 0::BIGINT AS n_rated, true AS in_order FROM per_user, games""")
 def _(spark, sf):
     ratings = cut_lineage(fx.ratings(spark, sf))
-    model = collab.fit_als(ratings, max_iter=5)
+    model = collab.fit_als(ratings, max_iter=20)
     recs = collab.recommend_all(model, ratings, 10)
     seen = recs.join(ratings.select(*KEYS, F.lit(1).alias("_seen")), KEYS, "left")
     facts = seen.groupBy("user_id").agg(
@@ -189,7 +189,7 @@ USER = "Customer#000000042"
     FROM chosen""")
 def _(spark, sf):
     ratings = cut_lineage(fx.ratings(spark, sf))
-    model = collab.fit_als(ratings, max_iter=5)
+    model = collab.fit_als(ratings, max_iter=20)
     served = cut_lineage(recommend_for_user(
         model, ratings, fx.users(spark, sf), fx.labeled(spark, sf), USER, ["Any"], "20", "200"))
     rated = ratings.where("user_id = 42").select("game_id", F.lit(1).alias("_rated"))
@@ -296,8 +296,8 @@ def _(spark, sf):
 
 
 @checked("K4_cosine_similarity", "tfidf", """
-    SELECT a.doc_id, round(sum(a.tfidf * b.tfidf), 6) AS similarity
-    FROM tfidf a JOIN tfidf b ON a.term = b.term AND b.doc_id = 1 WHERE a.doc_id <> 1 GROUP BY a.doc_id""")
+    SELECT a.doc_id, round(coalesce(sum(a.tfidf * b.tfidf), 0.0), 6) AS similarity
+    FROM tfidf a LEFT JOIN tfidf b ON a.term = b.term AND b.doc_id = 1 WHERE a.doc_id <> 1 GROUP BY a.doc_id""")
 def _(spark, sf):
     near = similar.cosine_similarity(tfidf(fx.docs(spark, sf)), 1)
     return near.withColumn("similarity", F.round("similarity", 6))
@@ -314,8 +314,8 @@ def _(spark, sf):
 
 
 @checked("K6_neighbours_by_text", "tfidf games", """
-    WITH near AS (SELECT a.doc_id, round(sum(a.tfidf * b.tfidf), 9) AS similarity
-                  FROM tfidf a JOIN tfidf b ON a.term = b.term AND b.doc_id = 1 WHERE a.doc_id <> 1 GROUP BY a.doc_id
+    WITH near AS (SELECT a.doc_id, round(coalesce(sum(a.tfidf * b.tfidf), 0.0), 9) AS similarity
+                  FROM tfidf a LEFT JOIN tfidf b ON a.term = b.term AND b.doc_id = 1 WHERE a.doc_id <> 1 GROUP BY a.doc_id
                   ORDER BY 2 DESC, 1 LIMIT 10)
     SELECT doc_id, game, round(similarity, 6) AS similarity FROM near JOIN games ON doc_id = game_id""")
 def _(spark, sf):

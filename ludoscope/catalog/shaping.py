@@ -81,34 +81,27 @@ def _(spark, sf):
     return columns.const_rating(fx.ratings(spark, sf))
 
 
-# Words and types of the item table, as the wide forms need column names.
-WORDS = "anvil blue bolt cold gear gizmo hot large new old plate red ring rod small widget".split()
-TYPES = "ECONOMY LARGE MEDIUM PROMO SMALL STANDARD".split()
-
-
-def _flags(kind: str, names: list[str]) -> str:
-    return ", ".join(
-        f"coalesce(bool_or(kind = '{kind}' AND name = '{n}'), false) AS \"{n}_{kind}\"" for n in names)
+def _flags(where: str) -> str:
+    return f"""
+    SELECT * FROM (PIVOT (SELECT game_id, name || '_' || kind AS c FROM attrs WHERE {where}) ON c USING count(*) > 0 GROUP BY game_id)"""
 
 
 def _wide(spark, sf):
     games, attrs = fx.games(spark, sf), fx.attrs(spark, sf)
-    return columns.concat_features(
-        columns.one_hot(games, attrs, "mechanic", WORDS), columns.one_hot(games, attrs, "category", TYPES))
+    return columns.concat_features(columns.one_hot(games, attrs, "mechanic"), columns.one_hot(games, attrs, "category"))
 
 
-@checked("C9_select_by_name", "attrs", f"SELECT game_id, {_flags('mechanic', WORDS[1:])} FROM attrs GROUP BY game_id")
+@checked("C9_select_by_name", "attrs", _flags("kind = 'mechanic'").replace("SELECT *", "SELECT * EXCLUDE (anvil_mechanic)", 1))
 def _(spark, sf):
     return columns.select_by_name(_wide(spark, sf), "mechanic", ["anvil_mechanic"], ["game_id"])
 
 
-@checked("C10_one_hot", "attrs", f"SELECT game_id, {_flags('category', TYPES)} FROM attrs GROUP BY game_id")
+@checked("C10_one_hot", "attrs", _flags("kind = 'category'"))
 def _(spark, sf):
-    return columns.one_hot(fx.games(spark, sf), fx.attrs(spark, sf), "category", TYPES)
+    return columns.one_hot(fx.games(spark, sf), fx.attrs(spark, sf), "category")
 
 
-@checked("C11_concat_features", "attrs", f"""
-    SELECT game_id, {_flags('mechanic', WORDS)}, {_flags('category', TYPES)} FROM attrs GROUP BY game_id""")
+@checked("C11_concat_features", "attrs", _flags("true"))
 def _(spark, sf):
     return _wide(spark, sf)
 
@@ -154,12 +147,9 @@ def _(spark, sf):
 
 
 @checked("R2_utility_wide", "ratings", """
-    SELECT user_id, """ + ", ".join(
-        f'round(coalesce(sum(rating) FILTER (game_id = {g}), 0.0), 6) AS "{g}"' for g in (1, 2, 3, 5, 8)) + """
-    FROM ratings GROUP BY user_id""")
+    SELECT * FROM (PIVOT ratings ON game_id USING coalesce(sum(rating), 0.0) GROUP BY user_id)""")
 def _(spark, sf):
-    wide = ops.utility_wide(fx.ratings(spark, sf), [1, 2, 3, 5, 8])
-    return wide.select("user_id", *[F.round(F.col(f"`{g}`"), 6).alias(str(g)) for g in (1, 2, 3, 5, 8)])
+    return ops.utility_wide(fx.ratings(spark, sf))
 
 
 @checked("R3_value_counts", "ratings", """
@@ -197,9 +187,15 @@ def _(spark, sf):
 
 
 @checked("R7_counts_and_means", "ratings", """
-    SELECT game_id, count(*) AS n, round(avg(rating), 6) AS mean FROM ratings GROUP BY game_id""")
-def _(spark, sf):
-    return ops.counts_and_means(fx.ratings(spark, sf)).withColumn("mean", F.round("mean", 6))
+    SELECT game_id, count(*) AS n, ((200 * sum(CAST(round(rating * 10000) AS BIGINT)) + count(*)) // (2 * count(*)))::DOUBLE / 1000000 AS mean
+    FROM ratings GROUP BY game_id""")
+def _(spark, sf):
+    # Ratings have four digits, so sums of ten-thousandths are exact, and the mean is rounded half up in whole numbers.
+    ratings = fx.ratings(spark, sf).withColumn("rating", F.round(F.col("rating") * 10_000).cast("long"))
+    found = ops.counts_and_means(ratings)
+    total = F.round(F.col("mean") * F.col("n")).cast("long")
+    mean = F.floor((200 * total + F.col("n")) / (2 * F.col("n")))
+    return found.select("game_id", "n", (mean.cast("double") / 1_000_000).alias("mean"))
 
 
 @checked("R8_split", "ratings", """

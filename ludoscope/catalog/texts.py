@@ -71,11 +71,10 @@ def _(spark, sf):
              UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM split
              UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(t) - 1),
                               lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) FROM split),
-    counts AS (SELECT doc_id, term, count(*) AS tf FROM runs GROUP BY ALL),
-    kept AS (SELECT term FROM counts GROUP BY term HAVING count(*) >= 10)
-    SELECT doc_id, term, tf FROM counts JOIN kept USING (term)""")
+    counts AS (SELECT doc_id, term, count(*) AS tf FROM runs GROUP BY ALL)
+    SELECT doc_id, term, tf FROM counts""")
 def _(spark, sf):
-    return ops.count_vectorize(fx.docs(spark, sf), min_df=10, ngram_range=(1, 3)).select("doc_id", "term", "tf")
+    return ops.term_counts(fx.docs(spark, sf), ngram_range=(1, 3))
 
 
 @checked("T9_top_phrases", "tfidf", """
@@ -219,13 +218,13 @@ def _(spark, sf):
     return topics.cluster_members(fx.topics(spark, sf), fx.games(spark, sf), 5)
 
 
-_LDA = {"k": 5, "max_iter": 4, "min_df": 20, "max_df": 0.2}
+_LDA = {"k": 25, "max_iter": 10, "min_df": 20, "max_df": 0.2}
 
 
 @checked("M9_lda", "docs tf df", """
     WITH kept AS (SELECT DISTINCT doc_id FROM tf JOIN df USING (term)
                   WHERE df >= 20 AND df <= 0.2 * (SELECT count(*) FROM docs))
-    SELECT doc_id, kept.doc_id IS NOT NULL AS has_terms, 5::BIGINT AS n_topics,
+    SELECT doc_id, kept.doc_id IS NOT NULL AS has_terms, 25::BIGINT AS n_topics,
            CASE WHEN kept.doc_id IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS total
     FROM docs LEFT JOIN kept USING (doc_id)""")
 def _(spark, sf):
@@ -236,22 +235,20 @@ def _(spark, sf):
 
 
 @checked("M9_lda_on_tfidf", "docs tf df", """
-    SELECT count(DISTINCT doc_id) AS n_docs, 50::BIGINT AS n_terms, true AS sums_to_one FROM tf JOIN df USING (term)
+    SELECT count(DISTINCT doc_id) AS n_docs, 250::BIGINT AS n_terms, true AS sums_to_one FROM tf JOIN df USING (term)
     WHERE df >= 20 AND df <= 0.2 * (SELECT count(*) FROM docs)""")
 def _(spark, sf):
-    docs = fx.docs(spark, sf)
-    weights = ops.tfidf(docs, min_df=20, max_df=0.2)
-    found = topics.lda(docs, 5, 3, weights=weights)
+    found = topics.lda(fx.docs(spark, sf), 25, 10, min_df=20, max_df=0.2, weighted=True)
     n_terms = topics.lda_terms(found, 10).agg(F.count(F.lit(1))).scalar()
-    totals = topics.doc_topics(found).groupBy("doc_id").agg(F.sum("share").alias("total"))
+    totals = topics.doc_topics(found).groupBy("doc_id").agg(F.sum("share").alias("total")).where("total > 0")
     return totals.agg(
         F.count(F.lit(1)).alias("n_docs"), F.max(n_terms).alias("n_terms"),
         (F.count_if(F.abs(F.col("total") - 1) > 1e-6) == 0).alias("sums_to_one"))
 
 
 @checked("M10_lda_summary", "docs", """
-    SELECT 'shares' AS part, 5::BIGINT AS n, true AS holds FROM (SELECT count(*) FROM docs)
-    UNION ALL SELECT 'relevance', 150, true UNION ALL SELECT 'distances', 10, true""")
+    SELECT 'shares' AS part, 25::BIGINT AS n, true AS holds FROM (SELECT count(*) FROM docs)
+    UNION ALL SELECT 'relevance', 750, true UNION ALL SELECT 'distances', 300, true""")
 def _(spark, sf):
     found = topics.lda(fx.docs(spark, sf), **_LDA)
     n = F.count(F.lit(1)).alias("n")

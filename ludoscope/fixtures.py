@@ -1,6 +1,6 @@
 """Views over the driver's tables that stand in for the catalogue's own (see FIXTURES.md).
 
-Each view has a twin in ``catalog/views.py``, written in SQL for the checks.
+Each view has a twin in ``catalog/base.py``, written in SQL for the checks.
 """
 
 from __future__ import annotations
@@ -13,9 +13,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A plain scan over few files, dealt out to all cores; a scan with enough splits is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A plain scan dealt out to all cores: the test tables are few files."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def ratings(spark: SparkSession, sf: str) -> DataFrame:

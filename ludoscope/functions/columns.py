@@ -38,8 +38,14 @@ def select_by_name(df: DataFrame, substring: str, exclude: Sequence[str] = (), k
     return df.select(*[F.col(f"`{c}`") for c in [*keep, *chosen]])
 
 
-def one_hot(games: DataFrame, attrs: DataFrame, kind: str, names: Sequence[str]) -> DataFrame:
-    """A boolean column ``<name>_<kind>`` per name; games without the attribute hold false."""
+def attribute_names(attrs: DataFrame, kind: str) -> list[str]:
+    """The names of a kind in order, as far as they become columns: as many as the wide form has."""
+    return [r["name"] for r in attrs.where(F.col("kind") == kind).select("name").distinct().orderBy("name").collect()]
+
+
+def one_hot(games: DataFrame, attrs: DataFrame, kind: str, names: Sequence[str] | None = None) -> DataFrame:
+    """A boolean column ``<name>_<kind>`` per name, by default of all there are; games without the attribute hold false."""
+    names = attribute_names(attrs, kind) if names is None else names
     flags = [
         F.coalesce(F.bool_or(F.when(F.col("name") == n, True)), F.lit(False)).alias(f"{n}_{kind}") for n in names
     ]

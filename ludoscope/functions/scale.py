@@ -103,20 +103,3 @@ def product(
     rows = left.withColumn("_lb", block(left_key, left_blocks)).withColumn("_rb", every(right_blocks))
     cols = right.withColumn("_rb", block(right_key, right_blocks)).withColumn("_lb", every(left_blocks))
     return rows.join(cols, ["_lb", "_rb"]).drop("_lb", "_rb")
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Hint a broadcast after counting at most ``max_rows + 1`` rows; a larger table joins by shuffle."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
-def local_if_small(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, int]:
-    """A table read at most ``max_rows + 1`` rows deep, with its size.
-
-    A small one becomes a table of the driver, which Spark joins by broadcast; a larger one is given
-    back as it was.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df, df.count()
-    return df.sparkSession.createDataFrame(rows, df.schema), len(rows)

@@ -12,13 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.scale import broadcast_if_small, salted_lookup, with_position
+from ludoscope.functions.scale import salted_lookup, with_position
 from ludoscope.operators.similar import attribute_sets
 from ludoscope.session import cut_lineage
 
 WORD_BITS = 64
-# A silhouette holds one sum per cluster and row.
-MAX_CLUSTERS = 1000
 
 
 @dataclass
@@ -251,41 +249,40 @@ def cluster_sizes(labels: DataFrame, col: str = "cluster") -> DataFrame:
 def silhouette_samples(attrs: DataFrame, labels: DataFrame, col: str = "cluster") -> DataFrame:
     """(game_id, cluster, silhouette) by Hamming distance, without any pair of games.
 
-    The distance from a game to all games of a cluster follows from the cluster's size and its count
-    of each attribute, so a game needs k sums over the attributes it holds.
+    All distances from a game to the games of a cluster add up to: the cluster's attributes, plus its size times the game's
+    number of attributes, less twice the cluster's count of each attribute the game holds. Games with the same
+    attributes in the same cluster have one score and are one row. Clusters travel as one short row: size and attributes.
     """
     labels = labels.select("game_id", F.col(col).alias("cluster"))
-    held = attrs.select("game_id", "kind", "name").distinct().join(labels, "game_id")
-    sizes = {r["cluster"]: r["n"] for r in cluster_sizes(labels).limit(MAX_CLUSTERS + 1).collect()}
-    if len(sizes) > MAX_CLUSTERS:
-        raise ValueError(f"more than {MAX_CLUSTERS} clusters")
-    clusters = sorted(sizes)
-    counts = held.groupBy("kind", "name").agg(
-        *[F.count(F.when(F.col("cluster") == c, 1)).alias(f"_n{c}") for c in clusters]
+    held = cut_lineage(attrs.select("game_id", "kind", "name").distinct().join(labels, "game_id"))
+    names = F.array_sort(F.collect_list(F.struct("kind", "name"))).alias("terms")
+    sets = labels.join(held.groupBy("game_id").agg(names), "game_id", "left")
+    sets = cut_lineage(sets.withColumn("terms", F.coalesce("terms", F.array().cast(dict(sets.dtypes)["terms"]))))
+    groups = cut_lineage(sets.groupBy("terms", "cluster").agg(F.min("game_id").alias("key")))
+    counts = held.groupBy("kind", "name", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    base = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).join(
+        counts.groupBy("cluster").agg(F.sum("n").alias("base")), "cluster", "left")
+    every = base.agg(F.collect_list(F.struct("cluster", "size", F.coalesce("base", F.lit(0)).alias("base")))).scalar()
+    found = groups.select("key", F.explode("terms").alias("t")).select("key", "t.*").join(
+        counts.withColumnRenamed("cluster", "other"), ["kind", "name"])
+    shared = found.groupBy("key", "other").agg(F.sum("n").alias("shared"))
+    shared = shared.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("other", "shared"))).alias("_shared"))
+    far = groups.join(shared, "key", "left").withColumn("_every", every)
+
+    def total(c: Column) -> Column:
+        both = F.coalesce(F.try_element_at("_shared", c["cluster"]), F.lit(0))
+        return c["base"] + c["size"] * F.size("terms") - 2 * both
+
+    mine = F.get(F.filter("_every", lambda c: c["cluster"] == F.col("cluster")), F.lit(0))
+    others = F.filter("_every", lambda c: c["cluster"] != F.col("cluster"))
+    scored = far.select(
+        "terms", "cluster", mine["size"].alias("_size"), (total(mine) / F.greatest(mine["size"] - 1, F.lit(1))).alias("_a"),
+        F.array_min(F.transform(others, lambda c: total(c) / c["size"])).alias("_b"),
     )
-    totals = counts.agg(*[F.sum(f"_n{c}").alias(f"_n{c}") for c in clusters]).first()
-    base = {c: totals[f"_n{c}"] or 0 for c in clusters}
-    gain = counts.select("kind", "name", *[(sizes[c] - 2 * F.col(f"_n{c}")).alias(f"_g{c}") for c in clusters])
-    sums = held.select("game_id", "kind", "name").join(broadcast_if_small(gain), ["kind", "name"]).groupBy("game_id").agg(
-        *[F.sum(f"_g{c}").alias(f"_g{c}") for c in clusters]
-    )
-    far = labels.join(sums, "game_id", "left")
-
-    def whole(c: int) -> Column:
-        return F.coalesce(f"_g{c}", F.lit(0)) + base[c]
-
-    own, size = F.lit(None).cast("double"), F.lit(None).cast("long")
-    others = []
-    for c in clusters:
-        mine = F.col("cluster") == c
-        own = F.when(mine, whole(c) / max(sizes[c] - 1, 1)).otherwise(own)
-        size = F.when(mine, F.lit(sizes[c])).otherwise(size)
-        others.append(F.when(~mine, whole(c) / sizes[c]))
     a, b = F.col("_a"), F.col("_b")
     score = F.when((F.col("_size") == 1) | b.isNull() | (F.greatest(a, b) == 0), 0.0).otherwise((b - a) / F.greatest(a, b))
-    nearest = F.array_min(F.array(*others))
-    return far.select("game_id", "cluster", own.alias("_a"), nearest.alias("_b"), size.alias("_size")).select(
-        "game_id", "cluster", score.alias("silhouette")
+    return sets.join(scored.select("terms", "cluster", score.alias("silhouette")), ["terms", "cluster"]).select(
+        "game_id", "cluster", "silhouette"
     )
 
 

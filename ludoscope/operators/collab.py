@@ -7,7 +7,6 @@ from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -19,6 +18,9 @@ USERS_PER_BLOCK = 1024
 GAMES_PER_BLOCK = 4096
 
 
+BLOCK_PAIRS = 500_000
+
+
 def fit_als(
     train: DataFrame,
     rank: int = 5,
@@ -26,11 +28,16 @@ def fit_als(
     reg: float = 0.2,
     nonnegative: bool = True,
     seed: int = 1,
-    blocks: int = 10,
+    blocks: int | None = None,
     checkpoint_interval: int = 10,
 ) -> ALSModel:
-    """A1: explicit-feedback ALS; pairs with an unseen user or game are dropped when scoring."""
+    """A1: explicit-feedback ALS; pairs with an unseen user or game are dropped when scoring.
+
+    By default there is a block of users and of games for every ``BLOCK_PAIRS`` ratings, ten at least.
+    """
     shared_dir(train.sparkSession)
+    if blocks is None:
+        blocks = max(10, -(-train.count() // BLOCK_PAIRS))
     als = ALS(
         rank=rank, maxIter=max_iter, regParam=reg, nonnegative=nonnegative, seed=seed,
         numUserBlocks=blocks, numItemBlocks=blocks, implicitPrefs=False, alpha=1.0,
@@ -46,13 +53,13 @@ def score(model: ALSModel, pairs: DataFrame) -> DataFrame:
     return model.transform(pairs)
 
 
-def score_user(model: ALSModel, user: DataFrame, games: DataFrame) -> DataFrame:
+def score_user(model: ALSModel, user_id: int | None, games: DataFrame) -> DataFrame:
     """A2 for one user: the predicted rating of each of ``games``.
 
     The user's factors are a scalar of the plan, so the games are joined on their own ids only and
     one user's rows never meet in one task. A user the model does not know gets no rows.
     """
-    mine = model.userFactors.join(user.select(F.col("user_id").alias("id")), "id").select("features").scalar()
+    mine = model.userFactors.where(F.col("id") == F.lit(user_id)).select("features").scalar()
     factors = model.itemFactors.select(F.col("id").alias("game_id"), F.col("features").alias("_g"))
     scored = games.join(factors, "game_id").withColumn("_u", mine)
     return scored.withColumn("prediction", _dot("_u", "_g")).where("prediction IS NOT NULL").drop("_u", "_g")
@@ -63,10 +70,9 @@ def _dot(a: str, b: str) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def rmse(model: ALSModel, data: DataFrame) -> float:
-    """A3: root mean squared error over the pairs that can be scored."""
-    evaluator = RegressionEvaluator(metricName="rmse", labelCol="rating", predictionCol="prediction")
-    return evaluator.evaluate(score(model, data).na.drop("any", subset=["prediction", "rating"]))
+def rmse(model: ALSModel, data: DataFrame) -> float | None:
+    """A3: root mean squared error over the pairs that can be scored; null if there is none."""
+    return score(model, data).agg(F.sqrt(F.avg(F.pow(F.col("rating") - F.col("prediction"), 2)))).first()[0]
 
 
 def rmse_join(actual: DataFrame, predicted: DataFrame) -> DataFrame:
@@ -96,12 +102,12 @@ def grid_search(
         model = fit_als(train, rank=rank, reg=reg, max_iter=max_iter, **als)
         error = rmse(model, val)
         rows.append((rank, reg, max_iter, error))
-        if error < best_error:
-            best, best_error = model, error
+        if best is None or (error is not None and error < best_error):
+            best, best_error = model, float("inf") if error is None else error
     train.unpersist()
     val.unpersist()
     table = train.sparkSession.createDataFrame(rows, "rank int, reg double, max_iter int, rmse double")
-    return best, table.withColumn("best", F.col("rmse") == F.lit(best_error))
+    return best, table.withColumn("best", F.coalesce(F.col("rmse") == F.lit(best_error), F.lit(False)))
 
 
 def holdout_eval(model: ALSModel, test: DataFrame) -> DataFrame:

@@ -33,8 +33,10 @@ def utility_matrix(ratings: DataFrame, user: str = "user_id", game: str = "game_
     return cells.join(rows, user).join(cols, game).select("row", "col", "rating")
 
 
-def utility_wide(ratings: DataFrame, games: Sequence[int]) -> DataFrame:
-    """R2: the same as one column per game, for a chosen slice of games; missing cells are 0."""
+def utility_wide(ratings: DataFrame, games: Sequence[int] | None = None) -> DataFrame:
+    """R2: the same as one column per game, by default of all that are rated; missing cells are 0."""
+    if games is None:
+        games = [r[0] for r in ratings.select("game_id").distinct().orderBy("game_id").collect()]
     wide = ratings.groupBy("user_id").pivot("game_id", list(games)).agg(F.sum("rating"))
     return wide.na.fill(0.0)
 

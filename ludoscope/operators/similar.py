@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ludoscope.functions.blocks import best_columns, inner_products, vectors
-from ludoscope.functions.scale import broadcast_if_small, local_if_small, salted_lookup, top_per_key, with_position
+from ludoscope.functions.scale import salted_lookup, top_per_key, with_position
 from ludoscope.functions.text import title_score
 from ludoscope.session import cut_lineage
 
@@ -26,7 +26,8 @@ TEXT_BLOCK = 512
 def _shared_counts(games: DataFrame, attrs: DataFrame, probe: int) -> DataFrame:
     """Per game: own attributes, and those shared with the probe; games without attributes hold 0."""
     held = attrs.select("game_id", "kind", "name").distinct()
-    mine, size = local_if_small(held.where(F.col("game_id") == probe).select("kind", "name"))
+    mine = held.where(F.col("game_id") == probe).select("kind", "name")
+    size = mine.agg(F.count(F.lit(1))).scalar()
     counts = (
         held.join(mine.withColumn("_shared", F.lit(True)), ["kind", "name"], "left")
         .groupBy("game_id")
@@ -37,7 +38,7 @@ def _shared_counts(games: DataFrame, attrs: DataFrame, probe: int) -> DataFrame:
         "game_id",
         F.coalesce("own", zero).alias("own"),
         F.coalesce("shared", zero).alias("shared"),
-        F.lit(size).alias("probe"),
+        size.alias("probe"),
     )
 
 
@@ -96,7 +97,7 @@ def attribute_sets(games: DataFrame, attrs: DataFrame) -> DataFrame:
     """(game_id, terms): the numbers of a game's attributes, in order; no attributes, no numbers."""
     names = attrs.select("kind", "name").distinct()
     numbered = with_position(names, [F.col("kind"), F.col("name")], "term", start=0)
-    held = attrs.select("game_id", "kind", "name").distinct().join(broadcast_if_small(numbered), ["kind", "name"])
+    held = attrs.select("game_id", "kind", "name").distinct().join(numbered, ["kind", "name"])
     lists = held.groupBy("game_id").agg(F.array_sort(F.collect_list(F.col("term"))).alias("terms"))
     return games.select(F.col("game_id").cast("long").alias("game_id")).join(lists, "game_id", "left").withColumn(
         "terms", F.coalesce("terms", F.array().cast("array<long>"))
@@ -167,10 +168,10 @@ def cosine_topk(tfidf: DataFrame, k: int, digits: int = 9) -> DataFrame:
 
 
 def cosine_similarity(tfidf: DataFrame, doc_id: int) -> DataFrame:
-    """K4: one document against every other that shares a term with it."""
+    """K4: one document against every other one; a document without a shared term has similarity 0."""
     probe = tfidf.where(F.col("doc_id") == doc_id).select("term", F.col("tfidf").alias("_w"))
-    shared = tfidf.where(F.col("doc_id") != doc_id).join(broadcast_if_small(probe), "term")
-    return shared.groupBy("doc_id").agg(F.sum(F.col("tfidf") * F.col("_w")).alias("similarity"))
+    both = tfidf.where(F.col("doc_id") != doc_id).join(probe, "term", "left")
+    return both.groupBy("doc_id").agg(F.coalesce(F.sum(F.col("tfidf") * F.col("_w")), F.lit(0.0)).alias("similarity"))
 
 
 def fuzzy_match(games: DataFrame, name: str | Column) -> DataFrame:

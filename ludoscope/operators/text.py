@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from ludoscope.functions.scale import salted_lookup, top_per_key, with_position
 from ludoscope.functions.text import terms, tokens
@@ -15,7 +16,8 @@ def comments_corpus(comments: DataFrame, order: Sequence[str], part_rows: int =
     """The comments of each game joined by blanks, in order: (game_id, part, text).
 
     Missing comments are skipped. A game with more than ``part_rows`` comments goes on in a second
-    part and so on, because its whole text need not fit one row; the counts below add parts up.
+    part and so on, because its whole text need not fit one row. Parts are rows of one document: the
+    counts below add them up, count the document once, and let phrases run on over their edges.
     """
     said = comments.where(F.col("comment").isNotNull()).select("game_id", *order, "comment")
     placed = with_position(said, [F.col("game_id"), *[F.col(c) for c in order], F.col("comment")], "_place", start=0)
@@ -38,17 +40,19 @@ def lemmatize(docs: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     """Lower-cased lemmas in place of the tokens.
 
     ``lemmas(token, lemma)`` is the dictionary, one row per lower-cased token; tokens it lacks stay
-    as they are. Characters that are no word characters are stripped.
+    as they are. Characters that are no word characters are stripped. A row is known by its doc_id (and part).
     """
     lower = F.transform("tokens", lambda t: F.lower(t))
     if lemmas is not None:
-        key = [c for c in docs.columns if c != "tokens"]
+        key = [c for c in ("doc_id", "part") if c in docs.columns]
+        others = docs.drop("tokens")
         words = docs.select(*key, F.posexplode_outer(lower).alias("pos", "token"))
         found = salted_lookup(words, lemmas, "token", [*key, "pos"], how="left")
         place = F.when(F.col("token").isNotNull(), F.struct("pos", F.coalesce("lemma", "token").alias("token")))
         docs = found.groupBy(*key).agg(F.array_sort(F.collect_list(place)).alias("_p"))
         lower = F.transform("_p", lambda p: p["token"])
         docs = docs.withColumn("tokens", lower).drop("_p")
+        docs = others.join(docs, key) if others.columns != key else docs
     else:
         docs = docs.withColumn("tokens", lower)
     return docs.withColumn("tokens", F.transform("tokens", lambda t: F.regexp_replace(t, r"[^\p{L}\p{N}_]+", "")))
@@ -66,29 +70,47 @@ def remove_stopwords(docs: DataFrame, stop: Sequence[str]) -> DataFrame:
     return docs.withColumn("tokens", without_stop(F.col("tokens"), stop))
 
 
-def ngrams(words: Column, low: int = 1, high: int = 3) -> Column:
-    """All runs of ``low`` to ``high`` neighbouring words, joined by blanks."""
+def ngrams(words: Column, low: int = 1, high: int = 3, after: Column | None = None) -> Column:
+    """All runs of ``low`` to ``high`` neighbouring words, joined by blanks, that start in ``words``.
+
+    ``after`` holds the words that follow, where a text goes on in another row.
+    """
+    whole = words if after is None else F.concat(words, after)
 
     def of_length(n: int) -> Column:
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
-        runs = F.transform(starts, lambda i: F.array_join(F.slice(words, i, n), " "))
+        last = F.least(F.size(words), F.size(whole) - (n - 1))
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last))
+        runs = F.transform(starts, lambda i: F.array_join(F.slice(whole, i, n), " "))
         return F.coalesce(runs, F.array().cast("array<string>"))
 
     return F.concat(*[of_length(n) for n in range(low, high + 1)])
 
 
+def _with_following(lists: DataFrame, n: int) -> DataFrame:
+    """Parts (doc_id, part, _w) with ``_after``, the first ``n`` words of the parts behind; parts without words are left out."""
+    lists = lists.where(F.size("_w") > 0)
+    heads = lists.select("doc_id", "part", F.slice("_w", 1, n).alias("_head"))
+    behind = Window.partitionBy("doc_id").orderBy("part").rowsBetween(1, n)
+    after = F.slice(F.flatten(F.collect_list("_head").over(behind)), 1, n)
+    return lists.join(heads.select("doc_id", "part", after.alias("_after")), ["doc_id", "part"])
+
+
 def term_counts(docs: DataFrame, stop: Sequence[str] = (), ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
-    """T5: (doc_id, term, tf) over lower-cased words of two or more characters."""
+    """T5: (doc_id, term, tf) over lower-cased words of two or more characters; parts of a document count as one."""
     words = without_stop(terms(F.col("text")), stop)
     if ngram_range != (1, 1):
-        lists = docs.select("doc_id", words.alias("_w"))
-        words = ngrams(F.col("_w"), *ngram_range)
-        return lists.select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(
-            F.count(F.lit(1)).alias("tf")
-        )
-    return docs.select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
+        parted = "part" in docs.columns and ngram_range[1] > 1
+        lists = docs.select("doc_id", *(["part"] if parted else []), words.alias("_w"))
+        if parted:
+            lists = _with_following(lists, ngram_range[1] - 1)
+        words = ngrams(F.col("_w"), *ngram_range, F.col("_after") if parted else None)
+        docs = lists
+    return docs.select("doc_id", F.explode(words).alias("term")).groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
+
+
+def n_documents(docs: DataFrame) -> Column:
+    """The number of documents, each counted once however many parts it has."""
+    return docs.agg(F.count_distinct("doc_id")).scalar()
 
 
 def counted_terms(
@@ -117,7 +139,7 @@ def count_vectorize(
 ) -> DataFrame:
     """T5: term counts of the terms within the document-frequency limits: (doc_id, term, tf, df)."""
     counts, frequencies = counted_terms(docs, stop, ngram_range)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    n_docs = n_documents(docs)
     kept = within_limits(frequencies, n_docs, min_df, max_df)
     return salted_lookup(counts, kept, "term", ["doc_id"], frequencies.withColumnRenamed("df", "_rows"))
 
@@ -140,14 +162,14 @@ def tfidf(
     T10 is this with a domain ``stop`` list and ``max_df=0.5``. ``numbered`` adds ``term_id``.
     """
     counts, frequencies = counted_terms(docs, stop, ngram_range)
-    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    n_docs = n_documents(docs)
     kept = within_limits(frequencies, n_docs, min_df, max_df)
     idf = F.log((1 + n_docs) / (1 + F.col("df"))) + 1
     weights = kept.withColumn("_idf", idf)
     if numbered:
         weights = with_position(weights, [F.col("term")], "term_id", start=0)
     sizes = frequencies.withColumnRenamed("df", "_rows")
-    raw = salted_lookup(counts, weights, "term", ["doc_id"], sizes).withColumn("_w", F.col("tf") * F.col("_idf"))
+    raw = cut_lineage(salted_lookup(counts, weights, "term", ["doc_id"], sizes).withColumn("_w", F.col("tf") * F.col("_idf")))
     norms = raw.groupBy("doc_id").agg(F.sqrt(F.sum(F.col("_w") * F.col("_w"))).alias("_norm"))
     columns = ["doc_id", "term", "tf", (F.col("_w") / F.col("_norm")).alias("tfidf")]
     return raw.join(norms, "doc_id").select(*columns, *(["term_id"] if numbered else []))

@@ -11,14 +11,15 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ludoscope.functions.scale import SALTS, hot_keys, salted_lookup, top_per_key
 from ludoscope.functions.text import terms
 from ludoscope.operators.text import without_stop
-from ludoscope.session import cut_lineage
+from ludoscope.session import cut_lineage, scratch_path
 
 TINY = 1e-12
 
@@ -234,13 +235,8 @@ def topic_sizes(assigned: DataFrame, k: int) -> DataFrame:
     return every.join(counts, "topic", "left").select("topic", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def label_games(games: DataFrame, assigned: DataFrame, official: DataFrame, first: int | None = None) -> DataFrame:
-    """M7: games with their topic and official title; games without either drop out.
-
-    ``first`` keeps the first so many games by id, as the served list was once cut.
-    """
-    if first is not None:
-        games = games.orderBy("game_id").limit(first)
+def label_games(games: DataFrame, assigned: DataFrame, official: DataFrame) -> DataFrame:
+    """M7: games with their topic and official title; games without either drop out."""
     titles = official.select("game_id", F.col("title").alias("_title"))
     joined = games.join(assigned.select("game_id", "topic"), "game_id").join(titles, "game_id")
     return joined.select(
@@ -281,46 +277,45 @@ def lda(
     max_df: float = 1.0,
     stop: Sequence[str] = (),
     seed: int = 34,
-    weights: DataFrame | None = None,
-    vocab_limit: int = 1 << 20,
+    weighted: bool = False,
 ) -> Topics:
-    """M9: LDA on term counts, or on ``weights`` (doc_id, term, tfidf) in place of the counts.
+    """M9: LDA on term counts, or ``weighted`` on TF-IDF rows of length 1 with idf = ln((1 + n) / (1 + df)) + 1.
 
-    MLlib keeps the vocabulary on the driver, so its size is checked; narrow ``min_df`` and
-    ``max_df`` for a larger one.
+    All steps are MLlib's own. It keeps the vocabulary on the driver, and narrower document frequencies make that smaller.
+    The words of a document's parts are brought together, as a document is one vector.
     """
-    if weights is not None:
-        return _lda_on_weights(weights, k, max_iter, seed, vocab_limit)
-    listed = docs.select("doc_id", without_stop(terms(F.col("text")), stop).alias("tokens"))
+    words = without_stop(terms(F.col("text")), stop)
+    if "part" in docs.columns:
+        lists = F.array_sort(F.collect_list(F.struct("part", words.alias("w"))))
+        listed = docs.groupBy("doc_id").agg(F.flatten(F.transform(lists, lambda x: x["w"])).alias("tokens"))
+    else:
+        listed = docs.select("doc_id", words.alias("tokens"))
     limits = {"minDF": float(min_df), "maxDF": float(max_df)}
     if isinstance(max_df, int) or max_df == 1.0:
         limits["maxDF"] = float(max_df) if isinstance(max_df, int) else float((1 << 63) - 1)
-    found = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=vocab_limit + 1, **limits).fit(listed)
-    _check_vocabulary(len(found.vocabulary), vocab_limit)
+    found = CountVectorizer(inputCol="tokens", outputCol="features", vocabSize=(1 << 31) - 1, **limits).fit(listed)
     vectors = found.transform(listed).select("doc_id", "features")
+    if weighted:
+        idf = IDF(inputCol="features", outputCol="_idf").fit(vectors).idf
+        scale = ElementwiseProduct(scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="features", outputCol="_scaled")
+        vectors = Normalizer(p=2.0, inputCol="_scaled", outputCol="_unit").transform(scale.transform(vectors))
+        vectors = vectors.select("doc_id", F.col("_unit").alias("features"))
     return Topics(LDA(k=k, maxIter=max_iter, seed=seed).fit(vectors), found, vectors)
 
 
-def _check_vocabulary(size: int, limit: int) -> None:
-    if size > limit:
-        raise ValueError(f"more than {limit} terms: raise min_df or lower max_df")
-
+def vocabulary_table(topics: Topics) -> DataFrame:
+    """(i, term) of a fitted model, from its stored form."""
+    spark = topics.vectors.sparkSession
+    path = scratch_path(spark, "vocabulary")
+    topics.words.write().save(path)
+    return spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("i", "term"))
 
-def _lda_on_weights(weights: DataFrame, k: int, max_iter: int, seed: int, vocab_limit: int) -> Topics:
-    from pyspark.ml.feature import CountVectorizerModel
-    from pyspark.ml.linalg import VectorUDT, Vectors
 
-    spark = weights.sparkSession
-    names = [r["term"] for r in weights.select("term").distinct().limit(vocab_limit + 1).toLocalIterator()]
-    _check_vocabulary(len(names), vocab_limit)
-    words = CountVectorizerModel.from_vocabulary(sorted(names), inputCol="tokens", outputCol="features")
-    size = len(names)
-    ids = spark.createDataFrame([(t, i) for i, t in enumerate(sorted(names))], "term string, i int")
-    pairs = F.array_sort(F.collect_list(F.struct("i", "tfidf"))).alias("p")
-    packed = weights.join(ids, "term").groupBy("doc_id").agg(pairs)
-    pack = F.udf(lambda p: Vectors.sparse(size, [x[0] for x in p], [x[1] for x in p]), VectorUDT())
-    vectors = packed.select("doc_id", pack("p").alias("features"))
-    return Topics(LDA(k=k, maxIter=max_iter, seed=seed).fit(vectors), words, vectors)
+def _described(topics: Topics, n: int) -> DataFrame:
+    """(topic, rank, i, weight) of the ``n`` heaviest terms of each topic."""
+    heavy = F.arrays_zip(F.col("termIndices").alias("i"), F.col("termWeights").alias("weight"))
+    rows = topics.model.describeTopics(n).select((F.col("topic") + 1).alias("topic"), F.posexplode(heavy).alias("place", "x"))
+    return rows.select("topic", (F.col("place") + 1).alias("rank"), F.col("x.i").alias("i"), F.col("x.weight").alias("weight"))
 
 
 def doc_topics(topics: Topics) -> DataFrame:
@@ -333,26 +328,13 @@ def doc_topics(topics: Topics) -> DataFrame:
 
 def lda_terms(topics: Topics, n: int) -> DataFrame:
     """M9: (topic, rank, term, weight) of the ``n`` heaviest terms."""
-    names = topics.words.vocabulary
-    rows = [
-        (r["topic"] + 1, place + 1, names[i], float(weight))
-        for r in topics.model.describeTopics(n).collect()
-        for place, (i, weight) in enumerate(zip(r["termIndices"], r["termWeights"]))
-    ]
-    return topics.vectors.sparkSession.createDataFrame(rows, "topic int, rank int, term string, weight double")
+    return _described(topics, n).join(vocabulary_table(topics), "i").select("topic", "rank", "term", "weight")
 
 
 def topic_term_table(topics: Topics) -> DataFrame:
-    """(topic, term, p) with p(term | topic), from the fitted k x vocabulary matrix."""
-    spark = topics.vectors.sparkSession
-    counts = topics.model.topicsMatrix().toArray()
-    share = counts / counts.sum(axis=0, keepdims=True)
-    rows = [
-        (topic + 1, term, float(share[i, topic]))
-        for i, term in enumerate(topics.words.vocabulary)
-        for topic in range(share.shape[1])
-    ]
-    return spark.createDataFrame(rows, "topic int, term string, p double")
+    """(topic, term, p) with p(term | topic), for every term."""
+    rows = _described(topics, topics.model.vocabSize())
+    return rows.join(vocabulary_table(topics), "i").select("topic", "term", F.col("weight").alias("p"))
 
 
 def topic_shares(topics: Topics) -> DataFrame:

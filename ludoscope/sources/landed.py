@@ -188,19 +188,26 @@ def parse_user_xml(payloads: DataFrame, col: str = "xml") -> tuple[DataFrame, Da
     return found.where(good), found.where(~good).select("username")
 
 
-# A catalogue entry: a cell of this class, the link to /<type>/<id>/<slug> in it, then the picture.
-_CELL = r'(?s)class="collection_thumbnail".*?href="/[^/"]*/(\d+)/([^"/]*)"'
-_PICTURE = r'(?s)class="collection_thumbnail".*?href="/[^/"]*/(\d+)/([^"/]*)".*?src="[^"]*/pic([^"/]*?)_mt\.jpg"'
+# A catalogue entry: a cell of this class, the link to /<type>/<id>/<slug> in it, and perhaps a picture.
+_CELL = r'(?s)class="collection_thumbnail"(.*?)(?=class="collection_thumbnail"|</td>|$)'
+_LINK = r'href="/[^/"]*/(\d+)/([^"/]*)"'
+_PICTURE = r'src="[^"]*/pic([^"/]*?)_mt\.jpg"'
 
 
-def _matches(html: Column, pattern: str, names: list[str]) -> Column:
-    groups = [F.regexp_extract_all(html, F.lit(pattern), i + 1).alias(n) for i, n in enumerate(names)]
-    return F.arrays_zip(*groups)
+def _cells(html: Column) -> Column:
+    """The cells of a page, each looked at by itself: (id, slug, picture), null where a cell has none."""
+
+    def part(cell: Column, pattern: str, group: int) -> Column:
+        return F.nullif(F.regexp_extract(cell, pattern, group), F.lit(""))
+
+    return F.transform(F.regexp_extract_all(html, F.lit(_CELL), 1), lambda cell: F.struct(
+        part(cell, _LINK, 1).alias("id"), F.when(part(cell, _LINK, 1).isNotNull(), F.regexp_extract(cell, _LINK, 2)).alias("slug"),
+        part(cell, _PICTURE, 1).alias("picture")))
 
 
 def extract_game_links(pages: DataFrame, page: str = "page", col: str = "html") -> DataFrame:
     """(game_id, game, rank) from catalogue pages; the rank is the place over all pages."""
-    cells = pages.select(page, F.posexplode(_matches(F.col(col), _CELL, ["id", "slug"])).alias("pos", "m"))
+    cells = pages.select(page, F.posexplode(_cells(F.col(col))).alias("pos", "m")).where("m.id is not null")
     listed = cells.select(
         page,
         "pos",
@@ -211,8 +218,9 @@ def extract_game_links(pages: DataFrame, page: str = "page", col: str = "html")
 
 
 def extract_thumbnails(pages: DataFrame, col: str = "html") -> DataFrame:
-    """(game_id, slug, picture_id) from the small pictures of catalogue pages."""
-    return pages.select(F.inline(_matches(F.col(col), _PICTURE, ["game_id", "slug", "picture_id"])))
+    """(game_id, slug, picture_id) from the cells of catalogue pages; no picture gives a null."""
+    cells = pages.select(F.inline(_cells(F.col(col)))).where("id is not null")
+    return cells.select(F.col("id").alias("game_id"), "slug", F.col("picture").alias("picture_id"))
 
 
 # Where the pictures lie and how their sizes are named.

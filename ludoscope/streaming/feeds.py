@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 
 from ludoscope.functions.scale import first_per_key
 from ludoscope.schemas import ARTICLES
-from ludoscope.sources.landed import parse_article, skip_loaded_games
+from ludoscope.sources.landed import parse_article
 
 # The one source whose feed covers more than its topic, and the mark of the links kept.
 MIXED_SOURCE, MIXED_MARK = "vox", "politics"
@@ -41,11 +41,15 @@ def load_articles_batch(batch: DataFrame, batch_id: int, out: str, ts: str = "ts
     """W1, one batch: links no earlier batch has stored for their source and day, parsed and stored.
 
     Each batch owns one folder and overwrites it, so doing it again after a failure adds nothing
-    twice. Folders hold one part per day, so only the days of the batch are read back.
+    twice. Folders hold one part per day, and only days between the batch's first and last are read back, of
+    them only those of its links.
     """
     seen = batch.sparkSession.read.schema("source string, url string, batch long, day date").parquet(out)
-    stored = seen.where(F.col("batch") < batch_id).select("source", "day", "url")
     dated = feed_link_filter(batch).withColumn("day", F.to_date(ts))
+    days = dated.agg(F.min("day"), F.max("day")).first()
+    stored = seen.where((F.col("batch") < batch_id) & F.col("day").between(F.lit(days[0]), F.lit(days[1])))
+    keys = dated.select("source", "day", "url").distinct()
+    stored = stored.select("source", "day", "url").join(keys, ["source", "day", "url"], "left_semi")
     fresh = dated.join(stored, ["source", "day", "url"], "left_anti").drop("day")
     articles_from(fresh, ts).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch={batch_id}")
 
@@ -76,15 +80,6 @@ def stream_articles(
     )
 
 
-def recent_links(links: DataFrame, ts: str = "ts", delay: str = "1 day") -> DataFrame:
-    """W1 without a store: a stream's links once per source and day, remembered for ``delay``.
-
-    Rows later than ``delay`` are dropped by Spark; use ``stream_articles`` where that must not be.
-    """
-    dated = feed_link_filter(links).withColumn("day", F.to_date(ts))
-    return dated.withWatermark(ts, delay).dropDuplicatesWithinWatermark(["source", "day", "url"])
-
-
 def read_articles(spark: SparkSession, out: str) -> DataFrame:
     """The stored articles."""
     return spark.read.schema(
@@ -95,7 +90,9 @@ def read_articles(spark: SparkSession, out: str) -> DataFrame:
 def load_ratings_batch(
     batch: DataFrame, batch_id: int, raw_users: DataFrame, store: str, directory: str
 ) -> None:
-    """W4, one batch: new games' ratings to the store, new names to the user directory.
+    """W4, one batch: ratings whose game and user are not in the store, and new names to the user directory.
+
+    Pages of one game may land in different batches, so a game that is known does not make its later pages known.
 
     Each batch owns one folder of either table and overwrites it, so doing a batch again after a
     failure gives the same tables. Its own folder is left out when asking what is loaded.
@@ -106,9 +103,10 @@ def load_ratings_batch(
         folders = spark.read.schema(f"{schema}, batch long").parquet(path)
         return folders.where(F.col("batch") < batch_id).drop("batch")
 
-    loaded = earlier(store, "game string")
+    loaded = earlier(store, "game string, username string").distinct()
     known = earlier(directory, "user_id long, username string")
-    fresh, _ = skip_loaded_games(batch, loaded)
+    loaded = loaded.join(batch.select("game").distinct(), "game", "left_semi").withColumnsRenamed({"game": "_game", "username": "_name"})
+    fresh = batch.join(loaded, (batch["game"] == F.col("_game")) & batch["username"].eqNullSafe(F.col("_name")), "left_anti")
     answers = raw_users.groupBy("username").agg(F.min("user_id").alias("user_id"))
     added = (
         answers.join(known, "username", "left_anti")
@@ -134,7 +132,7 @@ def stream_ratings(
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Append newly landed rating pages, skipping games that are loaded, and extend the directory.
+    """Append newly landed rating pages, skipping ratings that are loaded, and extend the directory.
 
     Batch -1 of both tables holds what was known before the stream began.
     """

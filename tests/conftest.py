@@ -12,10 +12,10 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
-        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+        **{"spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")), "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
            "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "8g"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -160,6 +160,40 @@ def test_corpus_goes_on_in_parts(spark):
     assert rows(got, "game_id", "part", "text") == [(1, 0, "c0 c1"), (1, 1, "c2 c3"), (1, 2, "c4"), (2, 0, "z")]
 
 
+def test_part_edges_cannot_be_seen(spark):
+    said = spark.createDataFrame(
+        [(1, i, t) for i, t in enumerate(["alpha beta gamma", "", "delta", "alpha beta", "gamma delta alpha"])] + [(2, 0, "alpha"), (3, 0, "beta x1 beta"), (3, 1, "alpha")],
+        "game_id int, ord int, comment string")
+
+    def of(rows_per_part):
+        return text_ops.comments_corpus(said, ["ord"], part_rows=rows_per_part).withColumnRenamed("game_id", "doc_id")
+
+    def lda_input(corpus):
+        found = topics.lda(corpus, 2, 3)
+        names = found.words.vocabulary
+        return sorted((r["doc_id"], names[i], r["features"][int(i)]) for r in found.vectors.collect() for i in r["features"].indices)
+
+    def every(corpus):
+        return [
+            rows(text_ops.term_counts(corpus, ngram_range=(1, 3)), "doc_id", "term", "tf"),
+            rows(text_ops.count_vectorize(corpus, max_df=0.5), "doc_id", "term", "tf", "df"),
+            rows(text_ops.tfidf(corpus, ngram_range=(1, 2)).withColumn("tfidf", F.round("tfidf", 12)), "doc_id", "term", "tfidf"),
+            lda_input(corpus),
+        ]
+
+    whole = every(of(10_000))
+    assert every(of(1)) == whole and every(of(2)) == whole
+
+
+def test_catalogue_cells_are_read_one_by_one(spark):
+    page = (
+        '<td class="collection_thumbnail"><a href="/boardgame/1/no-picture">x</a></td><td class="collection_thumbnail"><a href="/boardgame/2/two">'
+        '<img src="https://x/pic7_mt.jpg"></a></td><td class="collection_thumbnail">empty</td><td class="collection_thumbnail"><a href="/boardgame/3/three"></a></td>')
+    pages = spark.createDataFrame([(1, page)], "page int, html string")
+    assert rows(landed.extract_thumbnails(pages), "game_id", "picture_id") == [("1", None), ("2", "7"), ("3", None)]
+    assert rows(landed.extract_game_links(pages), "game_id", "game", "rank") == [(1, "No Picture", 1), (2, "Two", 2), (3, "Three", 3)]
+
+
 def test_lemmas_and_stop_words_keep_repeats(spark):
     docs = spark.createDataFrame([(1, "Running dogs, dogs run"), (2, "")], "doc_id int, text string")
     lemmas = spark.createDataFrame([("running", "run"), ("dogs", "dog")], "token string, lemma string")
@@ -168,7 +202,7 @@ def test_lemmas_and_stop_words_keep_repeats(spark):
     assert rows(text_ops.remove_stopwords(got, ["run"]), "tokens") == [(["dog", "dog"],), ([],)]
 
 
-def test_label_games_first_by_id(spark):
+def test_label_games_needs_topic_and_title(spark):
     games = spark.createDataFrame([(3,), (1,), (2,)], "game_id long")
     for c, t in [("rank", "int"), ("game", "string"), ("description", "string"), ("playing_time", "int"),
                  ("min_players", "int"), ("max_players", "int"), ("best_num_players", "int"), ("avg_rating", "double"),
@@ -177,7 +211,6 @@ def test_label_games_first_by_id(spark):
     topic = spark.createDataFrame([(1, 4), (2, 5), (3, 6)], "game_id long, topic int")
     official = spark.createDataFrame([(1, "One"), (3, "Three")], "game_id long, title string")
     assert rows(topics.label_games(games, topic, official), "game_id", "Game", "nmf") == [(1, "One", 4), (3, "Three", 6)]
-    assert rows(topics.label_games(games, topic, official, first=2), "game_id") == [(1,)]
 
 
 def test_assign_topic_first_wins(spark):

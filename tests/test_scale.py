@@ -42,9 +42,3 @@ def test_product_gives_every_pair_once(spark):
     b = spark.range(53).withColumnRenamed("id", "b")
     pairs = scale.product(a, "a", b, "b", 5, 3).collect()
     assert len(pairs) == 37 * 53 == len({(r["a"], r["b"]) for r in pairs})
-
-
-def test_broadcast_is_only_hinted_when_small(spark):
-    small, large = spark.range(10), spark.range(100)
-    assert "broadcast" in scale.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().lower()
-    assert scale.broadcast_if_small(large, 10) is large

