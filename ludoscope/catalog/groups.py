@@ -55,9 +55,9 @@ def _(spark, sf):
     SELECT (SELECT CAST(sum(cost) AS DOUBLE) FROM sizes) AS cost, CAST(c AS INTEGER) AS cluster, attr FROM modes""")
 def _(spark, sf):
     games, attrs = fx.games(spark, sf), fx.attrs(spark, sf)
-    _, groups, n_words = clusters.signatures(games, attrs)
+    _, groups = clusters.signatures(games, attrs)
     starts = [list(r["terms"]) for r in groups.orderBy("key").limit(4).collect()]
-    moved, cost = clusters.kmodes_pass(groups, starts, n_words)
+    moved, cost = clusters.kmodes_pass(groups, starts)
     names = clusters.with_position(
         attrs.select("kind", "name").distinct(), [F.col("kind"), F.col("name")], "term", start=0)
     modes = spark.createDataFrame([(i, t) for i, c in enumerate(moved) for t in c], "cluster int, term long")

@@ -1,22 +1,21 @@
 """k-modes, k-prototypes and silhouettes (inventory G1-G6).
 
 Games with the same attributes always share a cluster, so the loops run over distinct attribute
-sets with their number of games. The driver holds the k centroids and nothing else.
+sets with their number of games. The driver holds the k centroids, as lists of the attributes they hold.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
-from ludoscope.functions.scale import salted_lookup, with_position
+from ludoscope.functions.scale import salted_lookup, with_position  # noqa: F401
 from ludoscope.operators.similar import attribute_sets
 from ludoscope.session import cut_lineage
 
-WORD_BITS = 64
 
 
 @dataclass
@@ -33,31 +32,10 @@ class Clustering:
         return len(self.costs)
 
 
-def _signed(word: int) -> int:
-    return word - (1 << WORD_BITS) if word >= 1 << (WORD_BITS - 1) else word
-
-
-def _words(terms: Sequence[int], n_words: int) -> list[int]:
-    words = [0] * n_words
-    for t in terms:
-        words[t // WORD_BITS] |= 1 << (t % WORD_BITS)
-    return [_signed(w) for w in words]
-
-
-def pack(terms: Column, n_words: int) -> list[Column]:
-    """The attribute numbers of a row as bitmap words of 64 bits."""
-
-    def word(j: int) -> Column:
-        mine = F.filter(terms, lambda t: F.floor(t / WORD_BITS) == j)
-        bits = F.transform(mine, lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), (t % WORD_BITS).cast("int")))
-        return F.aggregate(bits, F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(b))
-
-    return [word(j).alias(f"w{j}") for j in range(n_words)]
-
-
-def _mismatch(centroid: Sequence[int], n_words: int) -> Column:
-    words = _words(centroid, n_words)
-    return sum((F.bit_count(F.col(f"w{j}").bitwiseXOR(F.lit(words[j]))) for j in range(n_words)), F.lit(0))
+def _mismatch(centroid: Sequence[int]) -> Column:
+    """In how many attributes a set and a centroid differ."""
+    terms = F.array(*[F.lit(t) for t in centroid]).cast("array<long>")
+    return F.size("terms") + len(centroid) - 2 * F.size(F.array_intersect("terms", terms))
 
 
 def _nearest(distances: list[Column]) -> tuple[Column, Column]:
@@ -66,39 +44,36 @@ def _nearest(distances: list[Column]) -> tuple[Column, Column]:
     return F.array_position(table, F.array_min(table)).cast("int") - 1, F.array_min(table)
 
 
-def signatures(games: DataFrame, attrs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """(sets, groups, words): each game's attributes, and the distinct sets as bitmaps with their counts."""
+def signatures(games: DataFrame, attrs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(sets, groups): each game's attributes, and the distinct sets (key, terms, n) with their number of games."""
     sets = cut_lineage(attribute_sets(games, attrs))
-    top = sets.agg(F.max(F.array_max("terms"))).first()[0]
-    n_words = 1 if top is None else top // WORD_BITS + 1
     groups = sets.groupBy("terms").agg(F.min("game_id").alias("key"), F.count(F.lit(1)).alias("n"))
-    return sets, cut_lineage(groups.select("key", "terms", "n", *pack(F.col("terms"), n_words))), n_words
+    return sets, cut_lineage(groups.select("key", "terms", "n"))
 
 
-def _attribute_counts(groups: DataFrame) -> tuple[int, dict[int, int]]:
-    rows = groups.select("n", F.explode(F.concat(F.array(F.lit(-1).cast("long")), F.col("terms"))).alias("t"))
-    counts = {r["t"]: r["n"] for r in rows.groupBy("t").agg(F.sum("n").alias("n")).collect()}
-    return counts.pop(-1), counts
+def _attribute_counts(groups: DataFrame) -> DataFrame:
+    """(t, held): the number of games that hold each attribute."""
+    return groups.select("n", F.explode("terms").alias("t")).groupBy("t").agg(F.sum("n").alias("held"))
 
 
-def init_cao(groups: DataFrame, k: int, n_words: int) -> list[list[int]]:
+def init_cao(groups: DataFrame, k: int) -> list[list[int]]:
     """Dense and far apart first centroids (Cao, Liang and Bai, 2009).
 
     Density is the mean share of games that agree with a set, attribute by attribute; the next
-    centroid has the largest product of density and distance to the nearest chosen one.
+    centroid has the largest product of density and distance to the nearest chosen one. So the centroids for a
+    smaller ``k`` are the first of those for a larger one.
     """
-    total, counts = _attribute_counts(groups)
-    size = max(counts, default=-1) + 1
-    gain = F.expr("array(" + ", ".join(f"{2 * counts.get(t, 0) - total}L" for t in range(max(size, 1))) + ")")
-    base = sum(total - c for c in counts.values())
-    density = F.aggregate(
-        F.transform("terms", lambda t: F.get(gain, t.cast("int"))), F.lit(base).cast("long"), lambda acc, x: acc + x
-    )
-    dense = cut_lineage(groups.withColumn("_density", density))
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    counts = _attribute_counts(groups)
+    base = counts.agg(F.sum(total - F.col("held"))).first()[0] or 0
+    gain = groups.select("key", F.explode("terms").alias("t")).join(counts, "t").groupBy("key").agg(
+        F.sum(2 * F.col("held") - total).alias("_gain"))
+    dense = groups.join(gain, "key", "left").withColumn("_density", base + F.coalesce("_gain", F.lit(0)))
+    dense = cut_lineage(dense.drop("_gain"))
     chosen: list[list[int]] = []
     while len(chosen) < k:
         if chosen:
-            far = [_mismatch(c, n_words) * F.col("_density") for c in chosen]
+            far = [_mismatch(c) * F.col("_density") for c in chosen]
             score = F.least(*far) if len(far) > 1 else far[0]
         else:
             score = F.col("_density")
@@ -109,23 +84,22 @@ def init_cao(groups: DataFrame, k: int, n_words: int) -> list[list[int]]:
     return chosen
 
 
-def init_huang(groups: DataFrame, k: int, n_words: int, seed: int = 34) -> list[list[int]]:
+def init_huang(groups: DataFrame, k: int, seed: int = 34) -> list[list[int]]:
     """Centroids drawn attribute by attribute with the attribute's share as chance (Huang, 1998).
 
     The draw is a digest of seed, centroid and attribute; each drawn set gives way to the nearest
     real one that is not taken yet.
     """
-    total, counts = _attribute_counts(groups)
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    counts = cut_lineage(_attribute_counts(groups))
     chosen: list[list[int]] = []
     taken: list[int] = []
     for c in range(k):
-        drawn = []
-        for t, n in sorted(counts.items()):
-            digest = hashlib.md5(f"{seed}|{c}|{t}".encode()).hexdigest()
-            if int(digest[:8], 16) / 2**32 < n / total:
-                drawn.append(t)
+        digest = F.md5(F.concat(F.lit(f"{seed}|{c}|"), F.col("t").cast("string")))
+        draw = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / (1 << 32)
+        drawn = [r["t"] for r in counts.where(draw < F.col("held") / total).orderBy("t").collect()]
         free = groups.where(~F.col("key").isin(*taken)) if taken else groups
-        near = free.select("terms", "key", _mismatch(drawn, n_words).alias("_d"))
+        near = free.select("terms", "key", _mismatch(drawn).alias("_d"))
         best = near.orderBy("_d", "key").limit(1).first()
         if best is None:
             break
@@ -134,39 +108,32 @@ def init_huang(groups: DataFrame, k: int, n_words: int, seed: int = 34) -> list[
     return chosen
 
 
-def kmodes_pass(groups: DataFrame, centroids: list[list[int]], n_words: int) -> tuple[list[list[int]], float]:
+def kmodes_pass(groups: DataFrame, centroids: list[list[int]]) -> tuple[list[list[int]], float]:
     """One pass: the modes of the groups nearest to each centroid, and the cost before moving.
 
     A mode holds an attribute when more than half of the cluster's games do; an empty cluster keeps
-    its centroid. One aggregation gives sizes, cost and attribute counts.
+    its centroid. One aggregation gives sizes, cost and attribute counts, and only attributes of modes reach the driver.
     """
-    cluster, distance = _nearest([_mismatch(c, n_words) for c in centroids])
+    cluster, distance = _nearest([_mismatch(c) for c in centroids])
     rows = groups.select("n", cluster.alias("c"), distance.alias("d"), F.explode(
         F.concat(F.array(F.lit(-1).cast("long")), F.col("terms"))).alias("t"))
-    sums = rows.groupBy("c", "t").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("d")).alias("cost")).collect()
-    sizes = {r["c"]: r["n"] for r in sums if r["t"] == -1}
-    moved = [list(c) if i not in sizes else [] for i, c in enumerate(centroids)]
-    for r in sums:
-        if r["t"] >= 0 and 2 * r["n"] > sizes[r["c"]]:
+    sums = rows.groupBy("c", "t").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("d")).alias("cost"))
+    size = F.max(F.when(F.col("t") == -1, F.col("n"))).over(Window.partitionBy("c"))
+    kept = sums.withColumn("size", size).where((F.col("t") == -1) | (2 * F.col("n") > F.col("size"))).collect()
+    filled = {r["c"] for r in kept}
+    moved = [[] if i in filled else list(c) for i, c in enumerate(centroids)]
+    for r in kept:
+        if r["t"] >= 0:
             moved[r["c"]].append(r["t"])
-    return [sorted(c) for c in moved], float(sum(r["cost"] for r in sums if r["t"] == -1))
+    return [sorted(c) for c in moved], float(sum(r["cost"] for r in kept if r["t"] == -1))
 
 
-def kmodes(
-    games: DataFrame, attrs: DataFrame, k: int, init: str = "Cao", max_iter: int = 100, seed: int = 34
-) -> Clustering:
-    """G1: k-modes on attribute sets; the mismatch of two sets is the number of attributes they differ in."""
-    sets, groups, n_words = signatures(games, attrs)
-    if init == "Cao":
-        centroids = init_cao(groups, k, n_words)
-    elif init == "Huang":
-        centroids = init_huang(groups, k, n_words, seed)
-    else:
-        raise ValueError("init is 'Cao' or 'Huang'")
+def _run(groups: DataFrame, centroids: list[list[int]], max_iter: int) -> tuple[list[list[int]], list[float]]:
+    """The best centroids and the costs of passes from the given ones until the cost stops to fall."""
     costs: list[float] = []
     best = centroids
     for _ in range(max_iter):
-        moved, cost = kmodes_pass(groups, centroids, n_words)
+        moved, cost = kmodes_pass(groups, centroids)
         if costs and cost >= costs[-1]:
             break
         costs.append(cost)
@@ -174,8 +141,22 @@ def kmodes(
         if moved == centroids:
             break
         centroids = moved
-    cluster, _ = _nearest([_mismatch(c, n_words) for c in best])
-    placed = groups.select("terms", cluster.alias("cluster"))
+    return best, costs
+
+
+def kmodes(
+    games: DataFrame, attrs: DataFrame, k: int, init: str = "Cao", max_iter: int = 100, seed: int = 34
+) -> Clustering:
+    """G1: k-modes on attribute sets; the mismatch of two sets is the number of attributes they differ in."""
+    sets, groups = signatures(games, attrs)
+    if init == "Cao":
+        centroids = init_cao(groups, k)
+    elif init == "Huang":
+        centroids = init_huang(groups, k, seed)
+    else:
+        raise ValueError("init is 'Cao' or 'Huang'")
+    best, costs = _run(groups, centroids, max_iter)
+    placed = groups.select("terms", _nearest([_mismatch(c) for c in best])[0].alias("cluster"))
     labels = salted_lookup(sets, placed, "terms", ["game_id"], groups.select("terms", F.col("n").alias("_rows")))
     return Clustering(labels.select("game_id", "cluster"), best, costs[-1], costs)
 
@@ -246,28 +227,21 @@ def cluster_sizes(labels: DataFrame, col: str = "cluster") -> DataFrame:
     return labels.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
 
 
-def silhouette_samples(attrs: DataFrame, labels: DataFrame, col: str = "cluster") -> DataFrame:
-    """(game_id, cluster, silhouette) by Hamming distance, without any pair of games.
+def _set_scores(placed: DataFrame) -> DataFrame:
+    """(terms, cluster, silhouette) of distinct attribute sets (terms, cluster, n), each standing for n games.
 
     All distances from a game to the games of a cluster add up to: the cluster's attributes, plus its size times the game's
-    number of attributes, less twice the cluster's count of each attribute the game holds. Games with the same
-    attributes in the same cluster have one score and are one row. Clusters travel as one short row: size and attributes.
+    number of attributes, less twice the cluster's count of each attribute the game holds. Clusters travel as
+    one short row: size and attributes.
     """
-    labels = labels.select("game_id", F.col(col).alias("cluster"))
-    held = cut_lineage(attrs.select("game_id", "kind", "name").distinct().join(labels, "game_id"))
-    names = F.array_sort(F.collect_list(F.struct("kind", "name"))).alias("terms")
-    sets = labels.join(held.groupBy("game_id").agg(names), "game_id", "left")
-    sets = cut_lineage(sets.withColumn("terms", F.coalesce("terms", F.array().cast(dict(sets.dtypes)["terms"]))))
-    groups = cut_lineage(sets.groupBy("terms", "cluster").agg(F.min("game_id").alias("key")))
-    counts = held.groupBy("kind", "name", "cluster").agg(F.count(F.lit(1)).alias("n"))
-    base = labels.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).join(
-        counts.groupBy("cluster").agg(F.sum("n").alias("base")), "cluster", "left")
-    every = base.agg(F.collect_list(F.struct("cluster", "size", F.coalesce("base", F.lit(0)).alias("base")))).scalar()
-    found = groups.select("key", F.explode("terms").alias("t")).select("key", "t.*").join(
-        counts.withColumnRenamed("cluster", "other"), ["kind", "name"])
-    shared = found.groupBy("key", "other").agg(F.sum("n").alias("shared"))
-    shared = shared.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("other", "shared"))).alias("_shared"))
-    far = groups.join(shared, "key", "left").withColumn("_every", every)
+    held = placed.select("cluster", "n", F.explode("terms").alias("t"))
+    counts = held.groupBy("t", "cluster").agg(F.sum("n").alias("n"))
+    base = placed.groupBy("cluster").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.size("terms")).alias("base"))
+    every = base.agg(F.collect_list(F.struct("cluster", "size", "base"))).scalar()
+    found = placed.select("terms", "cluster", F.explode("terms").alias("t")).join(counts.select("t", F.col("cluster").alias("other"), "n"), "t")
+    shared = found.groupBy("terms", "cluster", "other").agg(F.sum("n").alias("shared")).groupBy("terms", "cluster").agg(
+        F.map_from_entries(F.collect_list(F.struct("other", "shared"))).alias("_shared"))
+    far = placed.join(shared, ["terms", "cluster"], "left").withColumn("_every", every)
 
     def total(c: Column) -> Column:
         both = F.coalesce(F.try_element_at("_shared", c["cluster"]), F.lit(0))
@@ -276,14 +250,24 @@ def silhouette_samples(attrs: DataFrame, labels: DataFrame, col: str = "cluster"
     mine = F.get(F.filter("_every", lambda c: c["cluster"] == F.col("cluster")), F.lit(0))
     others = F.filter("_every", lambda c: c["cluster"] != F.col("cluster"))
     scored = far.select(
-        "terms", "cluster", mine["size"].alias("_size"), (total(mine) / F.greatest(mine["size"] - 1, F.lit(1))).alias("_a"),
+        "terms", "cluster", "n", mine["size"].alias("_size"), (total(mine) / F.greatest(mine["size"] - 1, F.lit(1))).alias("_a"),
         F.array_min(F.transform(others, lambda c: total(c) / c["size"])).alias("_b"),
     )
     a, b = F.col("_a"), F.col("_b")
     score = F.when((F.col("_size") == 1) | b.isNull() | (F.greatest(a, b) == 0), 0.0).otherwise((b - a) / F.greatest(a, b))
-    return sets.join(scored.select("terms", "cluster", score.alias("silhouette")), ["terms", "cluster"]).select(
-        "game_id", "cluster", "silhouette"
-    )
+    return scored.select("terms", "cluster", "n", score.alias("silhouette"))
+
+
+def silhouette_samples(attrs: DataFrame, labels: DataFrame, col: str = "cluster") -> DataFrame:
+    """(game_id, cluster, silhouette) by Hamming distance, without any pair of games.
+
+    Games with the same attributes in the same cluster have one score and are one row of the work.
+    """
+    labels = labels.select("game_id", F.col(col).alias("cluster"))
+    sets = cut_lineage(attribute_sets(labels, attrs).join(labels, "game_id"))
+    placed = cut_lineage(sets.groupBy("terms", "cluster").agg(F.count(F.lit(1)).alias("n")))
+    scores = _set_scores(placed).drop("n")
+    return sets.join(scores, ["terms", "cluster"]).select("game_id", "cluster", "silhouette")
 
 
 def silhouette(attrs: DataFrame, labels: DataFrame, col: str = "cluster") -> DataFrame:
@@ -291,10 +275,19 @@ def silhouette(attrs: DataFrame, labels: DataFrame, col: str = "cluster") -> Dat
     return silhouette_samples(attrs, labels, col).agg(F.avg("silhouette").alias("silhouette"))
 
 
-def silhouette_sweep(games: DataFrame, attrs: DataFrame, ks: Sequence[int], init: str = "Cao") -> DataFrame:
-    """(k, silhouette) of the k-modes clustering for each k."""
+def silhouette_sweep(games: DataFrame, attrs: DataFrame, ks: Sequence[int], init: str = "Cao", max_iter: int = 100) -> DataFrame:
+    """(k, silhouette) of the k-modes clustering for each k.
+
+    The attribute sets are made once. Cao's centroids are chosen one after the other, so those of the largest k serve
+    every other k too.
+    """
+    _, groups = signatures(games, attrs)
+    chosen = init_cao(groups, max(ks)) if init == "Cao" else []
     rows = []
     for k in ks:
-        labels = cut_lineage(kmodes(games, attrs, k, init).labels)
-        rows.append((k, silhouette(attrs, labels).first()[0]))
+        starts = chosen[:k] if init == "Cao" else init_huang(groups, k)
+        best, _ = _run(groups, starts, max_iter)
+        placed = groups.select("terms", _nearest([_mismatch(c) for c in best])[0].alias("cluster"), "n")
+        mean = _set_scores(placed).agg(F.sum(F.col("silhouette") * F.col("n")) / F.sum("n"))
+        rows.append((k, mean.first()[0]))
     return games.sparkSession.createDataFrame(rows, "k int, silhouette double")
