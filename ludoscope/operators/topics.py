@@ -6,22 +6,25 @@ per row or column. Only k x k numbers ever reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import LDA, LDAModel
 from pyspark.ml.feature import IDF, CountVectorizer, CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.scale import SALTS, hot_keys, salted_lookup, top_per_key
+from ludoscope.functions.scale import SALTS, hot_keys, salted_lookup, top_per_key, with_position
 from ludoscope.functions.text import terms
 from ludoscope.operators.text import without_stop
 from ludoscope.session import cut_lineage, scratch_path
 
 TINY = 1e-12
+#: Ids in a block of a factor, as a power of two, and cells that one place of a block holds on average.
+BLOCK_BITS, STRIPE_CELLS = 12, 500_000
 
 
 @dataclass
@@ -77,25 +80,10 @@ def gram(factor: DataFrame, k: int) -> np.ndarray:
     return out
 
 
-def _literal(matrix: np.ndarray) -> Column:
-    lines = ("array(" + ", ".join(f"{float(x)!r}D" for x in line) + ")" for line in matrix)
-    return F.expr("array(" + ", ".join(lines) + ")")
-
-
 def _dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _update(factor: DataFrame, key: str, sums: DataFrame, products: np.ndarray, alpha: float) -> DataFrame:
-    """One multiplicative step (Lee and Seung, 2001), with an L2 penalty ``alpha``."""
-    known = factor.join(sums, key, "left")
-    line = F.transform(_literal(products), lambda g: _dot(g, F.col("f")))
-    below = F.zip_with(line, F.col("f"), lambda d, x: d + alpha * x + TINY)
-    above = F.coalesce("s", F.transform("f", lambda x: F.lit(0.0)))
-    ratio = F.zip_with(above, below, lambda n, d: n / d)
-    return cut_lineage(known.select(key, "_copies", F.zip_with("f", ratio, lambda x, r: x * r).alias("f")))
-
-
 def start_factor(ids: DataFrame, key: str, k: int, seed: int, scale: Column) -> DataFrame:
     """Starting values in (0, 1] x ``scale`` that depend on the id alone."""
 
@@ -123,6 +111,109 @@ class Placed:
         return cls(by_row, by_col, total / max(by_row.copies.count() * by_col.copies.count(), 1))
 
 
+@dataclass
+class _Stripes:
+    """The cells of one side's blocks of ids, packed: (b, sub, pos, other, value), and the ids themselves (b, pos, id)."""
+
+    cells: DataFrame
+    parts: DataFrame
+    ids: DataFrame
+
+
+def _numbered(cells: DataFrame, key: str) -> DataFrame:
+    """(key, number), every id once."""
+    return with_position(cells.select(key).distinct(), [F.col(key)], f"_{key}", start=0)
+
+
+def _stripes(cells: DataFrame, ids: DataFrame, key: str, other: str) -> _Stripes:
+    """Cells packed by blocks of ``key``, and a block with many cells over several places."""
+    b, pos = F.shiftright(f"_{key}", BLOCK_BITS), F.col(f"_{key}").bitwiseAND((1 << BLOCK_BITS) - 1)
+    rows = cells.select(b.alias("b"), pos.cast("int").alias("pos"), F.col(f"_{other}").alias("other"), "value")
+    parts = cut_lineage(rows.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / STRIPE_CELLS).cast("int").alias("parts")))
+    sub = F.pmod(F.xxhash64("other"), F.col("parts")).cast("int")
+    packed = rows.join(parts, "b").withColumn("sub", sub).groupBy("b", "sub").agg(F.collect_list(F.struct("pos", "other", "value")).alias("_c"))
+    packed = packed.select("b", "sub", *[F.col(f"_c.{n}").alias(n) for n in ("pos", "other", "value")])
+    kept = cut_lineage(packed.repartition("b", "sub").sortWithinPartitions("b", "sub"), keep_partitioning=True)
+    return _Stripes(kept, parts, cut_lineage(ids.select(b.alias("b"), pos.cast("int").alias("pos"), F.col(key).alias("id"))))
+
+
+def _blocks_of(ids: DataFrame, key: str, k: int, seed: int, scale: Column) -> DataFrame:
+    """Starting values as blocks (b, f): a block's rows one behind the other."""
+    rows = start_factor(ids.withColumnRenamed("id", key), key, k, seed, scale)
+    listed = rows.groupBy("b").agg(F.array_sort(F.collect_list(F.struct("pos", "f"))).alias("_l"))
+    return cut_lineage(listed.select("b", F.flatten(F.transform("_l", lambda x: x["f"])).alias("f")))
+
+
+def _block_gram(blocks: DataFrame, k: int) -> np.ndarray:
+    """The k x k products of a factor with itself, summed up over its blocks by Spark."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, k))
+        for batch in batches:
+            for f in batch.column("f"):
+                own = np.asarray(f.values).reshape(-1, k)
+                total += own.T @ own
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(k * k)), pa.array(total.ravel())], names=["i", "g"])
+
+    out = np.zeros(k * k)
+    for r in blocks.select("f").mapInArrow(work, "i long, g double").groupBy("i").agg(F.sum("g").alias("g")).collect():
+        out[r["i"]] = r["g"]
+    return out.reshape(k, k)
+
+
+def _half_step(stripes: _Stripes, given: DataFrame, moved: DataFrame, k: int, alpha: float) -> DataFrame:
+    """New blocks of one factor (Lee and Seung, 2001, with an L2 penalty ``alpha``) from the blocks of the other one.
+
+    Factor blocks go to the stored stripes; a stripe sums up what it has for each id of the other side, and only these
+    sums are shuffled, to the block that moves.
+    """
+    products = _block_gram(given, k)
+    size = 1 << BLOCK_BITS
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for pos, other, value, f in zip(*(batch.column(c) for c in ("pos", "other", "value", "f"))):
+                f = np.asarray(f.values).reshape(-1, k)
+                pos, other, value = (np.asarray(x.values) for x in (pos, other, value))
+                ids, at = np.unique(other, return_inverse=True)
+                total = np.stack([np.bincount(at, value * f[pos, i], minlength=len(ids)) for i in range(k)], axis=1)
+                block = ids >> BLOCK_BITS
+                cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(ids)]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(block[cuts[:-1]]), pa.array([1] * (len(cuts) - 1), pa.int32()),
+                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array((ids & (size - 1)).astype(np.int32))),
+                        pa.ListArray.from_arrays(pa.array((cuts * k).astype(np.int32)), pa.array(total.ravel())),
+                    ],
+                    names=["b", "turn", "pos", "f"],
+                )
+
+    def update(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, old, above = None, np.zeros((0, k)), np.zeros((0, k))
+
+        def done() -> pa.RecordBatch:
+            new = old * above / (old @ products + alpha * old + TINY)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([new.ravel()], pa.list_(pa.float64()))], names=["b", "f"])
+
+        for batch in batches:
+            for b, turn, pos, f in zip(batch.column("b").to_pylist(), batch.column("turn").to_pylist(), batch.column("pos"), batch.column("f")):
+                own = np.asarray(f.values).reshape(-1, k)
+                if turn == 0:
+                    if block is not None:
+                        yield done()
+                    block, old, above = b, own, np.zeros_like(own)
+                else:
+                    above[np.asarray(pos.values)] += own
+        if block is not None:
+            yield done()
+
+    sent = given.join(stripes.parts, "b").select("b", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("sub"), "f")
+    partial = stripes.cells.join(sent, ["b", "sub"]).select("pos", "other", "value", "f").mapInArrow(sums, "b long, turn int, pos array<int>, f array<double>")
+    base = moved.select("b", F.lit(0).alias("turn"), F.array().cast("array<int>").alias("pos"), "f")
+    both = base.unionByName(partial).repartition("b").sortWithinPartitions("b", "turn")
+    return cut_lineage(both.mapInArrow(update, "b long, f array<double>"))
+
+
 def nmf(
     cells: DataFrame | Placed,
     k: int,
@@ -133,25 +224,45 @@ def nmf(
 ) -> Factors:
     """M1: V ~ W H with no negative entry, by multiplicative updates on the cells.
 
-    ``cells`` holds (row, col, value) with the non-zero entries. The cells are stored twice, placed
-    by row and by column, so an iteration moves factor rows only. With ``tol`` the loop ends when
-    the error falls by less than that share.
+    ``cells`` holds (row, col, value) with the non-zero entries. They are stored twice, packed by blocks of rows and by blocks
+    of columns, so an iteration moves factor blocks and sums only. With ``tol`` the loop ends when the error falls
+    by less than that share.
     """
-    placed = cells if isinstance(cells, Placed) else Placed.of(cells)
-    by_row, by_col = placed.by_row, placed.by_col
-    scale = F.lit(float(np.sqrt(placed.mean / k)))
-    w = cut_lineage(start_factor(by_row.copies, "row", k, seed, scale))
-    h = cut_lineage(start_factor(by_col.copies, "col", k, seed, scale))
+    if isinstance(cells, Placed):
+        plain, mean = cells.by_row.cells.select("row", "col", "value"), cells.mean
+    else:
+        plain, mean = cut_lineage(cells.select("row", "col", F.col("value").cast("double").alias("value"))), None
+    rows, cols = _numbered(plain, "row"), _numbered(plain, "col")
+    both = cut_lineage(plain.join(rows, "row").join(cols, "col"))
+    by_row, by_col = _stripes(both, rows, "row", "col"), _stripes(both, cols, "col", "row")
+    if mean is None:
+        total = plain.agg(F.sum("value")).first()[0] or 0.0
+        mean = total / max(by_row.ids.count() * by_col.ids.count(), 1)
+    scale = F.lit(float(np.sqrt(mean / k)))
+    w = _blocks_of(by_row.ids, "row", k, seed, scale)
+    h = _blocks_of(by_col.ids, "col", k, seed, scale)
+
+    def factors() -> Factors:
+        return Factors(_rows_of(w, by_row.ids, "row", k), _rows_of(h, by_col.ids, "col", k), k)
+
     last = None
     for _ in range(iters):
-        h = _update(h, "col", _weighted(by_row, w, "col", k), gram(w, k), alpha)
-        w = _update(w, "row", _weighted(by_col, h, "row", k), gram(h, k), alpha)
+        h = _half_step(by_row, w, h, k, alpha)
+        w = _half_step(by_col, h, w, k, alpha)
         if tol is not None:
-            error = nmf_error(placed, Factors(w.drop("_copies"), h.drop("_copies"), k))
+            error = nmf_error(cells if isinstance(cells, Placed) else plain, factors())
             if last is not None and last - error <= tol * last:
                 break
             last = error
-    return Factors(w.drop("_copies"), h.drop("_copies"), k)
+    return factors()
+
+
+def _rows_of(blocks: DataFrame, ids: DataFrame, key: str, k: int) -> DataFrame:
+    """(key, f), one row per id again."""
+    size = (F.size("f") / k).cast("int")
+    each = F.posexplode(F.transform(F.sequence(F.lit(0), size - 1), lambda i: F.slice("f", i * k + 1, k)))
+    rows = blocks.select("b", each.alias("pos", "f"))
+    return rows.join(ids, ["b", "pos"]).select(F.col("id").alias(key), "f")
 
 
 def nmf_error(cells: DataFrame | Placed, factors: Factors) -> float:
