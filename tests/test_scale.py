@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from ludoscope.functions import scale
+from ludoscope.operators import collab, serve
+from ludoscope.plans import recommend
 
 
 def test_position_is_total_order(spark):
@@ -42,3 +44,39 @@ def test_product_gives_every_pair_once(spark):
     b = spark.range(53).withColumnRenamed("id", "b")
     pairs = scale.product(a, "a", b, "b", 5, 3).collect()
     assert len(pairs) == 37 * 53 == len({(r["a"], r["b"]) for r in pairs})
+
+
+def test_one_served_request_reads_one_users_ratings(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "ratings")
+    rows = [(u, g, float((u * g) % 5 + 1)) for u in range(6) for g in range(12) if (u + g) % 3]
+    spark.createDataFrame(rows, "user_id int, game_id int, rating double").write.parquet(path)
+    ratings = spark.read.parquet(path)
+    model = collab.fit_als(ratings, rank=2, max_iter=2)
+    users = spark.createDataFrame([(4, "ann")], "user_id int, username string")
+    labeled = spark.createDataFrame(
+        [(g, f"game {g}", 60, 1, 4, 2, 1.5, g + 1, g % 9 + 1) for g in range(12)],
+        "game_id int, game string, playing_time int, min_players int, max_players int, best_num_players int, avg_weight double, rank int, topic int")
+    served = recommend.recommend_for_user(model, ratings, users, labeled, "ann")
+    assert sorted(r["game_id"] for r in served.collect()) == [g for g in range(12) if (4 + g) % 3 == 0]
+    assert recommend.recommend_for_user(model, ratings, users, labeled, "nobody").count() == 0
+    # Without the stored step in between the plan shows all that is read.
+    monkeypatch.setattr(recommend, "cut_lineage", lambda df: df)
+    plan = recommend.recommend_for_user(model, ratings, users, labeled, "ann")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan parquet" in line]
+    assert scans and all("EqualTo(user_id,4)" in line and "rating:" not in line.split("ReadSchema")[1] for line in scans)
+
+
+def test_diversified_list_is_evaluated_once(spark, tmp_path):
+    path = str(tmp_path / "ranked")
+    spark.createDataFrame([(g, g % 3 + 1, g + 1) for g in range(9)], "game_id int, topic int, rank int").write.parquet(path)
+    found = serve.diversify(spark.read.parquet(path))
+    assert "FileScan" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["game_id"] for r in found.orderBy("place").collect()][:4] == [0, 1, 2, 3]
+
+
+def test_errors_without_pairs_to_score(spark):
+    rows = [(u, g, 3.0) for u in range(3) for g in range(3)]
+    ratings = spark.createDataFrame(rows, "user_id int, game_id int, rating double")
+    other = spark.createDataFrame([(9, 9, 1.0)], "user_id int, game_id int, rating double")
+    model, table = collab.grid_search(ratings, other, ranks=[2], regs=[0.2], iters=[1])
+    assert model is not None and [r["rmse"] for r in table.collect()] == [None]
