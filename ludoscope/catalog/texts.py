@@ -65,25 +65,30 @@ def _(spark, sf):
     return ops.vocabulary(ops.term_counts(fx.docs(spark, sf)))
 
 
-@checked("T8_ngrams", "docs", r"""
-    WITH split AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM docs),
+_RUNS = r"""
+    split AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS t FROM docs),
     runs AS (SELECT doc_id, unnest(t) AS term FROM split
              UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) FROM split
              UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(t) - 1),
                               lambda i: t[i] || ' ' || t[i + 1] || ' ' || t[i + 2])) FROM split),
-    counts AS (SELECT doc_id, term, count(*) AS tf FROM runs GROUP BY ALL)
-    SELECT doc_id, term, tf FROM counts""")
+    counts AS (SELECT doc_id, term, count(*) AS tf FROM runs GROUP BY ALL)"""
+
+
+@checked("T8_ngrams", "docs", f"WITH {_RUNS} SELECT doc_id, term, tf FROM counts")
 def _(spark, sf):
     return ops.term_counts(fx.docs(spark, sf), ngram_range=(1, 3))
 
 
-@checked("T9_top_phrases", "tfidf", """
+@checked("T9_top_phrases", "docs", f"""
+    WITH {_RUNS},
+    heavy AS (SELECT doc_id, term, tf * (ln((1 + (SELECT count(*) FROM docs)) / (1.0 + df)) + 1) AS w
+              FROM counts JOIN (SELECT term, count(*) AS df FROM counts GROUP BY term) USING (term)),
+    weights AS (SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 9) AS tfidf FROM heavy)
     SELECT doc_id, term, round(tfidf, 6) AS tfidf, rank FROM (
-        SELECT doc_id, term, tfidf, row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, term) AS rank
-        FROM (SELECT doc_id, term, round(tfidf, 9) AS tfidf FROM tfidf))
+        SELECT doc_id, term, tfidf, row_number() OVER (PARTITION BY doc_id ORDER BY tfidf DESC, term) AS rank FROM weights)
     WHERE rank <= 20""")
 def _(spark, sf):
-    weights = ops.tfidf(fx.docs(spark, sf)).withColumn("tfidf", F.round("tfidf", 9))
+    weights = ops.tfidf(fx.docs(spark, sf), ngram_range=(1, 3)).withColumn("tfidf", F.round("tfidf", 9))
     return ops.top_phrases(weights, 20).select(
         "doc_id", "term", F.round("tfidf", 6).alias("tfidf"), F.col("rank").cast("long").alias("rank"))
 

@@ -18,6 +18,22 @@ mustn't can't couldn't cannot could here's how's let's ought that's there's what
 would
 """.split()
 
+# What the second common English list, scikit-learn's, holds beyond the first.
+FURTHER = """
+across afterwards almost alone along already also although always among amongst amoungst amount another anyhow
+anyone anything anyway anywhere around back became become becomes becoming beforehand behind beside besides beyond
+bill bottom call cant co con couldnt cry de describe detail done due eg eight either eleven else elsewhere empty
+enough etc even ever every everyone everything everywhere except fifteen fifty fill find fire first five former
+formerly forty found four front full get give go hasnt hence hereafter hereby herein hereupon however hundred ie inc
+indeed interest keep last latter latterly least less ltd made many may meanwhile might mill mine moreover mostly
+move much must name namely neither never nevertheless next nine nobody none noone nothing nowhere often one onto
+others otherwise part per perhaps please put rather re see seem seemed seeming seems serious several show side
+since sincere six sixty somehow someone something sometime sometimes somewhere still system take ten thence
+thereafter thereby therefore therein thereupon thick thin third though three throughout thru thus together top
+toward towards twelve twenty two un upon us via well whatever whence whenever whereafter whereas whereby wherein
+whereupon wherever whether whither whoever whole whose within without yet
+""".split()
+
 # Clitics removed beside the list, also without their apostrophe.
 CLITICS = ["n't", "'s", "'m", "nt", "s", "m"]
 
@@ -25,4 +41,4 @@ CLITICS = ["n't", "'s", "'m", "nt", "s", "m"]
 DOMAIN = ["player", "game", "piece", "round", "point", "score"]
 
 # Tokens hold no apostrophe, so every entry also stands in its stripped form.
-STOP = sorted({form for word in ENGLISH + CLITICS for form in (word, re.sub(r"\W+", "", word))})
+STOP = sorted({form for word in ENGLISH + FURTHER + CLITICS for form in (word, re.sub(r"\W+", "", word))})

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ludoscope.functions.scale import product, with_position
 
 
+CELL_SIDE = 1_000
+
+
 def dense_ids(df: DataFrame, col: str, start: int = 0, appearance: str | None = None, name: str = "id") -> DataFrame:
     """(value, id) with ids counting up from ``start``.
 
@@ -138,14 +141,19 @@ def unrated_games(ratings: DataFrame, user: DataFrame) -> DataFrame:
 
     ``user`` holds one ``user_id`` or, for an unknown name, no row; then the result is empty.
     """
-    return unrated_all(ratings, user, user_blocks=1, game_blocks=256)
+    return unrated_all(ratings, user)
 
 
-def unrated_all(ratings: DataFrame, users: DataFrame, user_blocks: int = 32, game_blocks: int = 32) -> DataFrame:
-    """The same for all given users at once."""
+def unrated_all(ratings: DataFrame, users: DataFrame) -> DataFrame:
+    """The same for all given users at once.
+
+    The pairs are the feature itself. They are made in cells of about ``CELL_SIDE`` users by as many games, so a cell
+    stays the same however many there are.
+    """
     games = ratings.select("game_id").distinct()
     users = users.select("user_id").distinct()
-    pairs = product(users, "user_id", games, "game_id", user_blocks, game_blocks)
+    blocks = [max(1, -(-side.count() // CELL_SIDE)) for side in (users, games)]
+    pairs = product(users, "user_id", games, "game_id", *blocks)
     rated = ratings.select("user_id", "game_id").join(users, "user_id", "left_semi")
     return pairs.join(rated, ["user_id", "game_id"], "left_anti").select(
         "user_id", "game_id", F.lit(0.0).alias("rating")
