@@ -133,7 +133,7 @@ def _stripes(cells: DataFrame, ids: DataFrame, key: str, other: str) -> _Stripes
     sub = F.pmod(F.xxhash64("other"), F.col("parts")).cast("int")
     packed = rows.join(parts, "b").withColumn("sub", sub).groupBy("b", "sub").agg(F.collect_list(F.struct("pos", "other", "value")).alias("_c"))
     packed = packed.select("b", "sub", *[F.col(f"_c.{n}").alias(n) for n in ("pos", "other", "value")])
-    kept = cut_lineage(packed.repartition("b", "sub").sortWithinPartitions("b", "sub"), keep_partitioning=True)
+    kept = cut_lineage(packed.sortWithinPartitions("b", "sub"), keep_partitioning=True)
     return _Stripes(kept, parts, cut_lineage(ids.select(b.alias("b"), pos.cast("int").alias("pos"), F.col(key).alias("id"))))
 
 
