@@ -11,7 +11,6 @@ of it stay; where a half has no cut, the window grows over it whole and on into
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 import re
 from collections.abc import Callable, Iterable, Iterator
@@ -29,15 +28,13 @@ _CUT = re.compile(r"(?<=\S)[ \n\t\r]")
 Encoder = Callable[[str], list[int]]
 
 
-@functools.lru_cache(maxsize=4)
 def load_ranks(path: str, pattern: str) -> tiktoken.Encoding:
-    """The vocabulary of a rank file (a base64 token and its rank per line), once per process."""
+    """The vocabulary of a rank file: a base64 token and its rank per line."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
     return tiktoken.Encoding(path, pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-@functools.lru_cache(maxsize=4)
 def token_tables(path: str, pattern: str) -> tuple[list[str], list[bytes]]:
     """Each id's decimal text and its bytes."""
     encoding = load_ranks(path, pattern)
