@@ -60,10 +60,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
 
 
+def drop_on_exit(spark: SparkSession, path: str) -> None:
+    """Have Spark's file system delete an intermediate folder when the driver ends."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder as Parquet and go on from the files: columns can be pruned when they are read."""
+    """Write ``df`` to the shared folder as Parquet and go on from the files: columns can be pruned when they are read.
+
+    The files stay as long as the driver runs.
+    """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    drop_on_exit(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
