@@ -23,7 +23,7 @@ from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, functions as F
 
 from ludoscope.llm.frames import ready
-from ludoscope.session import scratch_path, stored
+from ludoscope.session import drop_on_exit, scratch_path, stored
 
 #: Equal payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 100
@@ -186,6 +186,7 @@ def plan_records(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
 def write_archives(pages: DataFrame, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Write every row of ``pages`` as a record into packages in the shared folder: a table (archive, records).
 
+    Like all stored tables, packages stay as long as the driver runs; copy those that are to last.
     A task holds one package in memory, of about ``package_bytes`` and one record, and writes it in one go under a name of its own.
     The table is stored, so packages of attempts that failed are in no row of it.
     Null html is an empty payload; payloads of equal text are stored once if they have REVISIT_BYTES or more. Rows repeated
@@ -221,7 +222,9 @@ def write_archives(pages: DataFrame, package_bytes: int = PACKAGE_BYTES) -> Data
         if index:
             yield close()
 
-    return stored(plan_records(ready(pages)).mapInArrow(work, "archive string, records long"), "packages")
+    packages = stored(plan_records(ready(pages)).mapInArrow(work, "archive string, records long"), "packages")
+    drop_on_exit(pages.sparkSession, folder)
+    return packages
 
 
 def read_archives(packages: DataFrame, payloads: bool = True) -> DataFrame:
