@@ -105,10 +105,11 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((n, n), dtype=np.float64)
     if not len(term):
         return out.astype(np.int64)
+    terms = int(term.max()) + 1
     step = max(1, 4_000_000 // n)
-    for low in range(0, int(term.max()) + 1, step):
+    for low in range(0, terms, step):
         here = (term >= low) & (term < low + step)
-        cells = np.zeros((n, step), dtype=np.float32)
+        cells = np.zeros((n, min(step, terms - low)), dtype=np.float32)
         cells[owner[here], term[here] - low] = 1.0
         out += cells @ cells.T
     return np.rint(out).astype(np.int64)
