@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ludoscope.llm import near_dups, packing, quality, repeats, toxicity
-from ludoscope.llm.catalog import PATTERN, RANKS, held_out, table
+from ludoscope.llm.catalog import ADDED, PATTERN, RANKS, held_out, table
 from ludoscope.session import stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -38,7 +38,7 @@ def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents as pieces in sequences of 1024 ids."""
-    return packing.pack(packing.token_pieces(docs, RANKS, PATTERN))
+    return packing.pack(packing.token_pieces(docs, RANKS, PATTERN, added=ADDED))
 
 
 STAGES = [

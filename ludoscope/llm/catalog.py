@@ -12,6 +12,8 @@ from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, near_dups,
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+#: Of the same vocabulary as the tokenizers library reads it: the text of these tokens is one id.
+ADDED = packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json"))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -99,7 +101,7 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 1024 ids."""
-    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), RANKS, PATTERN))
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), RANKS, PATTERN, added=ADDED))
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

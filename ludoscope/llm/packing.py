@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -21,21 +23,49 @@ END = 2
 GROUP_ROWS = 20_000
 
 
-def token_pieces(docs: DataFrame, path: str, pattern: str, end: int = END, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer's JSON file, and their ids."""
+    with open(path, encoding="utf-8") as f:
+        found = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in found):
+        raise ValueError("an added token is not matched as it stands")
+    return {t["content"]: t["id"] for t in found}
+
+
+def encoder(encode: Callable[[str], list[int]], added: Mapping[str, int]) -> Callable[[str], list[int]]:
+    """``encode``, but wherever the text of an added token stands (the longest if there are more), its id."""
+    if not added:
+        return encode
+    tokens = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def with_added(text: str) -> list[int]:
+        parts = tokens.split(text)
+        if len(parts) == 1:
+            return encode(text)
+        return [i for k, part in enumerate(parts) for i in ([added[part]] if k % 2 else encode(part) if part else [])]
+
+    return with_added
+
+
+def token_pieces(
+    docs: DataFrame, path: str, pattern: str, end: int = END, capacity: int = CAPACITY, ids: bool = False, added: Mapping[str, int] | None = None
+) -> DataFrame:
     """Every document's ids followed by ``end``, in pieces of at most ``capacity``: doc_id, piece, start, length, ids_crc32 (and ids).
 
+    The text of a token in ``added`` gives its id, as in the tokenizers library; without, it is text like any other.
     Only a document longer than that is cut: all its pieces are full but the first, which takes what is left over. A null or
     empty text is the end id alone. Rows are taken one by one, so a repeated row has its pieces again.
     """
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = load_ranks(path, pattern).encode_ordinary
+        ordinary = load_ranks(path, pattern).encode_ordinary
+        encode = encoder(lambda text: encode_tree(text, ordinary), added or {})
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
                 rows: list[tuple] = []
                 for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    own = np.array([*encode_tree(text or "", encode), end], dtype="<u4")
+                    own = np.array([*encode(text or ""), end], dtype="<u4")
                     first = (len(own) - 1) % capacity + 1
                     stops = range(first, len(own) + 1, capacity)
                     for k, stop in enumerate(stops):

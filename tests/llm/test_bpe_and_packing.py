@@ -5,12 +5,13 @@ import random
 import zlib
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from ludoscope.llm import bpe, packing
+from ludoscope.llm import bpe, catalog, packing
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 PARTS = ["a", "b", "the", " ", "  ", "\n", "\t", "é", "'s", "1", "23", "=", "...", "中", " ", "\x1c", "\x85", "😀", "Z", "\r\n", "<|endoftext|>"]
@@ -92,3 +93,21 @@ def test_packed_pieces(spark, library):
         assert [i for r in pieces for i in r["ids"]] == [*library(text or ""), 2]
         assert all(r["length"] == 1024 for r in pieces[1:]) and [r["piece"] for r in pieces] == list(range(len(pieces)))
     assert packing.pack(packing.token_pieces(docs.limit(0), RANKS, PATTERN)).count() == 0
+
+
+def test_query_takes_added_tokens_as_the_library_does(spark, tmp_path):
+    """The library as it is by default: op6 and the pipeline's last stage give its ids for the text of an added token."""
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = list(enumerate([*texts(), "a <|endoftext|> b", "<|endoftext|>" * 3, "x  <|endoftext|>\n <|endoftext|", "word " * 1023 + "<|endoftext|>"]))
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = catalog.table(spark, str(tmp_path), "documents")
+    for packed in (catalog.op6_best_fit_packing(spark, str(tmp_path)), corpus_pipeline.pack_sequences(spark, docs, str(tmp_path))):
+        got = {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in packed.collect()}
+        want = {}
+        for doc_id, text in rows:
+            own = np.array([*default.encode(text, add_special_tokens=False).ids, 2], dtype="<u4")
+            first = (len(own) - 1) % 1024 + 1
+            for k, stop in enumerate(range(first, len(own) + 1, 1024)):
+                start = 0 if k == 0 else stop - 1024
+                want[doc_id, k] = (start, stop - start, zlib.crc32(own[start:stop].tobytes()))
+        assert got == want
