@@ -38,7 +38,10 @@ _BETWEEN[65:91] = _BETWEEN[97:123] = _BETWEEN[128:] = False
 
 @dataclass(frozen=True)
 class Model:
-    """Places with telling log-odds per table, their counts, the two class sizes, what other tokens add, and the calibration."""
+    """Places with telling log-odds per table, their counts, the two class sizes, what other tokens add, and the calibration.
+
+    ``rest`` is what a token adds that does not tell, where every telling one counts; ``rest_once`` where each counts once in its document.
+    """
 
     places: tuple[np.ndarray, ...]
     toxic: tuple[np.ndarray, ...]
@@ -46,6 +49,7 @@ class Model:
     n_toxic: int
     n_clean: int
     rest: float = -0.01
+    rest_once: float = -0.01
     levels: tuple[np.ndarray, np.ndarray] = (np.zeros(1), np.full(1, 0.5))
 
 
@@ -126,23 +130,25 @@ def maximal_segments(scores: Iterable[tuple[float, int, int]]) -> list[tuple[flo
     Each candidate keeps the sums before and after it. A new one joins back over the last candidate that starts lower, as
     long as it ends higher; what is left when the scores end is maximal.
     """
-    found: list[tuple[float, float, int, int]] = []
+    found: list[tuple[float, float, int, int, int]] = []
     total = 0.0
     for score, begin, end in scores:
         before, total = total, total + score
         if score <= 0:
             continue
         low, high = before, total
+        k = len(found) - 1
         while True:
-            k = len(found) - 1
+            # A candidate that starts no lower is passed over with all those that it passed over itself.
             while k >= 0 and found[k][0] >= low:
-                k -= 1
+                k = found[k][4]
             if k < 0 or found[k][1] >= high:
-                found.append((low, high, begin, end))
+                found.append((low, high, begin, end, k))
                 break
-            low, begin = found[k][0], found[k][2]
+            low, begin, back = found[k][0], found[k][2], found[k][4]
             del found[k:]
-    return [(high - low, begin, end) for low, high, begin, end in found]
+            k = back
+    return [(high - low, begin, end) for low, high, begin, end, _ in found]
 
 
 def evidence(segments: list[tuple[float, int, int]], n: int) -> float:
@@ -170,10 +176,7 @@ class Scorer:
             self.at.append(at)
 
     def odds(self, words: Words, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """The words that tell and their log-odds. With labels, each document's own count is taken out first.
-
-        The odds are those of occurring in a document at all, so a word counts where it first stands in its document.
-        """
+        """The words that tell, wherever they stand, and their log-odds. With labels, each document's own count is taken out first."""
         m = self.model
         features = _features(words)
         at = [self.at[t][_places(features, t)] for t in range(TABLES)]
@@ -197,14 +200,16 @@ class Scorer:
         order = np.lexsort((-z, word))
         word, value = word[order], value[order]
         first = np.concatenate(([True], word[1:] != word[:-1])) if len(word) else np.zeros(0, dtype=bool)
-        word, value = word[first], value[first]
+        return word[first], value[first]
+
+    def once(self, words: Words, word: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words that tell, those that stand first in their document: the odds are those of occurring in a document at all."""
         _, once = np.unique(mix(words.hash[word] ^ mix(words.doc[word].astype(np.uint64) + np.uint64(1))), return_index=True)
         once.sort()
         return word[once], value[once]
 
-    def segments(self, words: Words, label: np.ndarray | None = None) -> list[list[tuple[float, int, int]]]:
+    def segments(self, words: Words, word: np.ndarray, value: np.ndarray, rest: float) -> list[list[tuple[float, int, int]]]:
         """Each document's maximal segments as (score, first word, word after the last)."""
-        word, value = self.odds(words, label)
         cut = np.searchsorted(word, words.first)
         out = []
         for i in range(len(words.count)):
@@ -212,7 +217,7 @@ class Scorer:
             last = int(words.first[i])
             for w, v in zip(word[cut[i] : cut[i + 1]].tolist(), value[cut[i] : cut[i + 1]].tolist()):
                 if w > last:
-                    runs.append((self.model.rest * (w - last), last, w))
+                    runs.append((rest * (w - last), last, w))
                 runs.append((v, w, w + 1))
                 last = w + 1
             out.append(maximal_segments(runs) if runs else [])
@@ -268,10 +273,14 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
     model = Model(
         tuple(place[t] - PLACES * k for k, t in enumerate(tables)), tuple(toxic[t] for t in tables), tuple(clean[t] for t in tables), n_toxic, n_clean
     )
-    hits = train.mapInArrow(_hits(model), "toxic long, tells long, words long").groupBy("toxic").agg(F.sum("tells"), F.sum("words")).collect()
-    rate = {r[0]: (r[1] + 0.5) / (r[2] + 1.0) for r in hits}
-    rest = math.log((1 - rate.get(1, 0.0)) / (1 - rate.get(0, 0.0)))
-    model = replace(model, rest=min(rest, -1e-4))
+    hits = train.mapInArrow(_hits(model), "toxic long, tells long, once long, words long")
+    sums = {r[0]: r[1:] for r in hits.groupBy("toxic").agg(F.sum("tells"), F.sum("once"), F.sum("words")).collect()}
+
+    def rest(k: int) -> float:
+        rate = {y: (r[k] + 0.5) / (r[2] + 1.0) for y, r in sums.items()}
+        return min(math.log((1 - rate.get(1, 0.0)) / (1 - rate.get(0, 0.0))), -1e-4)
+
+    model = replace(model, rest=rest(0), rest_once=rest(1))
     bins = train.mapInArrow(_evidence(model), "bin int, toxic long").groupBy("bin", "toxic").count().collect()
     return replace(model, levels=_calibrate([tuple(r) for r in bins]))
 
@@ -283,9 +292,9 @@ def _hits(model: Model):
             label = batch.column("_toxic").to_numpy(zero_copy_only=False).astype(np.int64)
             for row, words in letters(batch.column("text")):
                 own = label[row : row + len(words.count)]
-                word, _ = scorer.odds(words, own)
-                tells = np.bincount(words.doc[word], minlength=len(own))
-                yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(tells), pa.array(words.count)], names=["toxic", "tells", "words"])
+                tells = scorer.odds(words, own)
+                n = [np.bincount(words.doc[word], minlength=len(own)) for word, _ in (tells, scorer.once(words, *tells))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own, *n, words.count)], names=["toxic", "tells", "once", "words"])
 
     return work
 
@@ -301,7 +310,8 @@ def _evidence(model: Model):
             label = batch.column("_toxic").to_numpy(zero_copy_only=False).astype(np.int64)
             for row, words in letters(batch.column("text")):
                 own = label[row : row + len(words.count)]
-                u = [_bin(evidence(s, int(n))) for s, n in zip(scorer.segments(words, own), words.count)]
+                found = scorer.segments(words, *scorer.once(words, *scorer.odds(words, own)), model.rest_once)
+                u = [_bin(evidence(s, int(n))) for s, n in zip(found, words.count)]
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.int32()), pa.array(own)], names=["bin", "toxic"])
 
     return work
@@ -310,8 +320,8 @@ def _evidence(model: Model):
 def score(docs: DataFrame, model: Model, passages: bool = False) -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 from 0.5 on), and with the toxic passages if asked.
 
-    A passage is (score, begin, end) in bytes of the UTF-8 text, for each maximal segment that is significant by itself. Only the
-    text is looked at. A null or empty text has no evidence and gets the score of that. All columns are kept but those
+    A passage is (score, begin, end) in bytes of the UTF-8 text, for each maximal segment over all telling words that is significant by
+    itself. The document's score counts each telling word once, as the calibration does. Only the text is looked at. A null or empty text has no evidence and gets the score of that. All columns are kept but those
     named like a result, which are replaced; every row gets one row.
     """
     results = ["score", "predicted", *(["passages"] if passages else [])]
@@ -326,7 +336,8 @@ def score(docs: DataFrame, model: Model, passages: bool = False) -> DataFrame:
         for batch in batches:
             for row, words in letters(batch.column("text")):
                 n = len(words.count)
-                found = scorer.segments(words)
+                tells = scorer.odds(words)
+                found = scorer.segments(words, *scorer.once(words, *tells), model.rest_once)
                 u = np.array([evidence(s, int(k)) for s, k in zip(found, words.count)], dtype=float)
                 p = scorer.score(np.clip(u, _U_LOW, _U_HIGH))
                 extra = [pa.array(p), pa.array((p >= 0.5).astype(np.int32))]
@@ -337,7 +348,7 @@ def score(docs: DataFrame, model: Model, passages: bool = False) -> DataFrame:
                             for s, a, b in own
                             if s > math.log(KARLIN_K * int(words.count[i]) + 1.0)
                         ]
-                        for i, own in enumerate(found)
+                        for i, own in enumerate(scorer.segments(words, *tells, model.rest))
                     ]
                     extra.append(pa.array(spans, span))
                 part = batch.slice(row, n)

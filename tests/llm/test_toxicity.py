@@ -1,6 +1,7 @@
 """Segments against all of them, learning on planted words, and held-out accuracy on the given labels."""
 
 import random
+import time
 
 import pyarrow as pa
 import pytest
@@ -56,6 +57,26 @@ def test_planted_words_are_found(spark, planted):
     assert sum(bool(r["passages"]) for r in got if truth[r["doc_id"]]) >= 0.9 * sum(truth.values())
 
 
+def test_every_copy_of_a_passage_is_found(spark, planted):
+    docs = spark.createDataFrame([(i, t) for i, t, _ in planted], "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame([(i, y) for i, _, y in planted], "doc_id long, toxic int"))
+    passage, clean = "vexnard grublo vexnard grublo", "ban cert disol gump " * 1500
+    texts = [f"{clean}{passage} {clean}{passage} {clean}", f"vexnard {clean}grublo {clean}{passage} {clean}"]
+    got = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model, passages=True).collect()
+    for r in got:
+        spans = [(p["begin"], p["end"]) for p in r["passages"]]
+        begin = r["text"].find(passage)
+        while begin >= 0:
+            assert any(a <= begin and begin + len(passage) <= b < begin + 2 * len(passage) for a, b in spans), (begin, spans)
+            begin = r["text"].find(passage, begin + 1)
+
+
+def test_segments_of_many_falling_sums_are_linear():
+    began = time.process_time()
+    assert len(toxicity.maximal_segments([(1.0 if i % 2 else -2.0, i, i + 1) for i in range(100_000)])) == 50_000
+    assert time.process_time() - began < 5
+
+
 def test_edges(spark, planted):
     docs = spark.createDataFrame([(i, t) for i, t, _ in planted], "doc_id long, text string")
     labels = spark.createDataFrame([(i, y) for i, _, y in planted] + [(None, 1), (3, None), (10**9, 1)], "doc_id long, toxic int")
