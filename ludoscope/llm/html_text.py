@@ -79,6 +79,20 @@ class Block:
     article: bool = False
     heading: bool = False
     text: str = ""
+    _stops: float | None = None
+
+    @property
+    def density(self) -> float:
+        """The share of links in its text."""
+        return self.links / max(1, len(self.text) - self.text.count(" "))
+
+    @property
+    def stops(self) -> float:
+        """The share of stop words among its words."""
+        if self._stops is None:
+            words = _WORD.findall(self.text.lower())
+            self._stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+        return self._stops
 
 
 @dataclass(slots=True)
@@ -206,27 +220,31 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def judge(block: Block) -> bool | None:
-    """First pass: good, bad, or undecided (None), from the block alone."""
+def judge(block: Block, known: bool = True) -> bool | None:
+    """First pass: good, bad, or undecided (None), from the block alone. Where the stop words are not ``known``, by length and links."""
     if block.skipped:
         return False
     n = len(block.text)
-    links = block.links / max(1, n - block.text.count(" "))
+    links = block.density
     if links > LINKS_HIGH or "©" in block.text and n < LONG:
         return False
     if block.heading:
         return None
     if n < SHORT:
         return False if links > LINKS_LOW else None
-    words = _WORD.findall(block.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / max(1, len(words))
     if links > LINKS_LOW:
-        return None if block.article and stops >= STOPS_HIGH else False
-    if stops >= STOPS_HIGH:
-        return True if n > LONG or block.article else None if stops < 2 * STOPS_HIGH else True
-    if block.article:
-        return True if stops >= STOPS_LOW and n > LONG else None
-    return None if stops >= STOPS_LOW else False
+        return None if block.article and block.stops >= STOPS_HIGH else False
+    if not known:
+        return True
+    if block.stops >= STOPS_HIGH:
+        return True if n > LONG or block.article else None if block.stops < 2 * STOPS_HIGH else True
+    return True if block.article and block.stops >= STOPS_LOW and n > LONG else None
+
+
+def known_language(found: list[Block]) -> bool:
+    """Whether the page's language is one of the stop words': half of the long link-poor text has enough of them."""
+    long = [b for b in found if not b.skipped and b.density <= LINKS_LOW and len(b.text) >= SHORT]
+    return 2 * sum(len(b.text) for b in long if b.stops >= STOPS_HIGH) >= sum(len(b.text) for b in long)
 
 
 def settle(found: list[Block]) -> list[bool]:
@@ -236,7 +254,8 @@ def settle(found: list[Block]) -> list[bool]:
     article at all; elsewhere it is bad.
     """
     whole = any(b.article for b in found)
-    first = [judge(b) if b.article or not whole else False for b in found]
+    known = known_language(found)
+    first = [judge(b, known) if b.article or not whole else False for b in found]
     out = [bool(x) for x in first]
     begin = 0
     while begin < len(found):

@@ -40,6 +40,20 @@ def test_two_passes_without_an_article():
     assert html_text.main_text(page) == f"Heading\n{long}\nShort line.\n{long}"
 
 
+RUSSIAN = "Кошка сидит у окна и смотрит во двор, где дети играют в мяч до самого вечера, пока их не позовут домой."
+MENU = '<div><a href=a>Home of us</a> <a href=b>News for you</a></div>'
+
+
+def test_languages_without_stop_words():
+    for text in (RUSSIAN, "猫坐在窗边看着院子里的孩子们踢球直到傍晚他们被叫回家吃饭为止，" * 4, "Kot siedzi przy oknie, patrzy w stronę ogrodu, gdzie dzieci grają w piłkę przez cały dzień, póki nie zapadnie zmrok."):
+        assert html_text.main_text(f"{MENU}<div><p>{text}</p><p>{text[:20]}</p><p>{text}</p></div><p><a href=c>{text}</a></p>") == f"{text}\n{text[:20].strip()}\n{text}"
+
+
+def test_code_between_paragraphs_stays():
+    code, long = "total = compute(values, weights, axis=0); result[index] = total / scale; " * 3, (LONG * 3).strip()
+    assert html_text.main_text(f"<div><p>{long}</p><pre>{code}</pre><p>{long}</p></div>") == f"{long}\n{code.strip()}\n{long}"
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("<p", "<p"), ("a < b and c > d", "a < b and c > d"), ("<p>x<p>y", "x\ny"), ("&lt;p&gt; &#65;&nbsp;&bogus;", "<p> A &bogus;"),
     ("<!-- open", ""), ("<script>never", ""), ("</p></div>text", "text"), ("<nav>menu", ""), ("<p>a<p>a", "a\na"), ("<![CDATA[x]]>y", "y"),
