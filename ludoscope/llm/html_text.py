@@ -73,9 +73,12 @@ _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 class Block:
     """A stretch of text between block elements."""
 
-    parts: list[str] = field(default_factory=list)
+    #: Text, whether it is a link, whether an inline element's class speaks against it.
+    parts: list[tuple[str, bool, bool]] = field(default_factory=list)
     links: int = 0
     skipped: bool = False
+    #: The elements around it whose class or id speaks against them.
+    marks: tuple[int, ...] = ()
     article: bool = False
     heading: bool = False
     text: str = ""
@@ -100,29 +103,35 @@ class _Open:
     name: str
     skipped: bool
     article: bool
+    marks: tuple[int, ...] = ()
 
 
-def _skipped(name: str, attrs: str, inside: _Open) -> bool:
-    """Whether an element holds no article text by its name, class, id, role, or because it is not shown."""
+#: What speaks against an element: nothing, its class or id (weighed against what it holds), or its name, role, or that it is not shown.
+_NONE, _CLASS, _SURE = 0, 1, 2
+
+
+def _against(name: str, attrs: str, inside: _Open) -> int:
+    """What speaks against an element holding article text."""
     if inside.skipped or name in SKIPPED:
-        return True
+        return _SURE
     if name == "header" and not inside.article:
-        return True
+        return _SURE
     if not attrs or attrs.isspace() or name in ("html", "body", "main"):
-        return False
+        return _NONE
+    found = _NONE
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), next((v for v in values if v), "")
         if key in ("class", "id"):
             words = {w.lower() for w in _PARTS.findall(value)}
             if words & SKIPPED_WORDS or ("header" in words and not inside.article and name != "article"):
-                return True
+                found = _CLASS
         elif key == "role" and value.lower() in SKIPPED_ROLES:
-            return True
+            return _SURE
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return _SURE
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return _SURE
+    return found
 
 
 def blocks(page: str) -> list[Block]:
@@ -130,28 +139,34 @@ def blocks(page: str) -> list[Block]:
     found: list[Block] = []
     base = _Open("", False, False)
     stack: list[_Open] = [base]
-    link, hidden, breaks = 0, 0, 0
+    link, breaks, n_marks = 0, 0, 0
     current = Block()
 
     def close() -> None:
-        nonlocal current
-        text = " ".join("".join(current.parts).split())
+        nonlocal current, n_marks
+        # Inside a paragraph a class alone takes nothing away but links; a block all in such elements is marked as a whole.
+        plain = any(not soft and not text.isspace() for text, _, soft in current.parts)
+        parts = [(text, linked) for text, linked, soft in current.parts if not (plain and soft and linked)]
+        text = " ".join("".join(t for t, _ in parts).split())
         if text:
             current.text = text
+            current.links = sum(len("".join(t.split())) for t, linked in parts if linked)
+            if not plain:
+                n_marks += 1
+                current.marks = (*current.marks, n_marks)
             found.append(current)
         top = stack[-1]
-        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS)
+        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS, marks=top.marks)
 
     def put(raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
-        if hidden:
+        if hidden[_SURE]:
             return
-        current.parts.append(text)
-        if link:
-            current.links += len("".join(text.split()))
+        current.parts.append((text, bool(link), bool(hidden[_CLASS])))
 
     at = 0
-    inline: list[tuple[str, bool]] = []
+    inline: list[tuple[str, int]] = []
+    hidden = [0, 0, 0]
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             raw = page[at : m.start()]
@@ -168,7 +183,7 @@ def blocks(page: str) -> list[Block]:
             if breaks > 1:
                 close()
             else:
-                current.parts.append(" ")
+                current.parts.append((" ", False, False))
             continue
         if name not in BLOCKS:
             if name in VOID or attrs.endswith("/"):
@@ -178,19 +193,20 @@ def blocks(page: str) -> list[Block]:
             if end:
                 for k in range(len(inline) - 1, -1, -1):
                     if inline[k][0] == name:
-                        hidden -= sum(h for _, h in inline[k:])
+                        for _, gone in inline[k:]:
+                            hidden[gone] -= 1
                         del inline[k:]
                         break
             else:
-                gone = bool(attrs) and not stack[-1].skipped and _skipped(name, attrs, stack[-1])
+                gone = _against(name, attrs, stack[-1]) if attrs and not stack[-1].skipped else _NONE
                 inline.append((name, gone))
-                hidden += gone
+                hidden[gone] += 1
             continue
         breaks = 0
         close()
         # A block ends inline elements that were left open.
         inline.clear()
-        link = hidden = 0
+        link, hidden = 0, [0, 0, 0]
         if end:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
@@ -210,10 +226,12 @@ def blocks(page: str) -> list[Block]:
             while stack[-1].name == "p" or stack[-1].name in HEADINGS:
                 stack.pop()
             top = stack[-1]
-            gone = _skipped(name, attrs, top)
-            stack.append(_Open(name, gone, not gone and (top.article or name in ("article", "main"))))
+            gone = _against(name, attrs, top)
+            n_marks += gone == _CLASS
+            marks = (*top.marks, n_marks) if gone == _CLASS else top.marks
+            stack.append(_Open(name, gone == _SURE, gone != _SURE and (top.article or name in ("article", "main")), marks))
         top = stack[-1]
-        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS)
+        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS, marks=top.marks)
     if at < len(page):
         put(page[at:])
     close()
@@ -241,21 +259,43 @@ def judge(block: Block, known: bool = True) -> bool | None:
     return True if block.article and block.stops >= STOPS_LOW and n > LONG else None
 
 
-def known_language(found: list[Block]) -> bool:
-    """Whether the page's language is one of the stop words': half of the long link-poor text has enough of them."""
-    long = [b for b in found if not b.skipped and b.density <= LINKS_LOW and len(b.text) >= SHORT]
-    return 2 * sum(len(b.text) for b in long if b.stops >= STOPS_HIGH) >= sum(len(b.text) for b in long)
+def weigh(found: list[Block]) -> tuple[bool, list[int]]:
+    """Whether the page's language is one of the stop words', and how much running text each block has.
+
+    It is one of theirs if half of the long link-poor text has enough of them. Running text is link-poor and has enough stop words, if
+    these are known. A class speaks against an element unless it holds most of the page's running text, or none is left elsewhere.
+    """
+    poor = [not b.skipped and b.density <= LINKS_LOW for b in found]
+    long = [b for b, x in zip(found, poor) if x and len(b.text) >= SHORT]
+    known = 2 * sum(len(b.text) for b in long if b.stops >= STOPS_HIGH) >= sum(len(b.text) for b in long)
+    mass = [len(b.text) if x and (not known or b.stops >= STOPS_HIGH) else 0 for b, x in zip(found, poor)]
+    if any(b.marks for b in found):
+        inside: dict[int, int] = {}
+        for b, n in zip(found, mass):
+            for mark in b.marks:
+                inside[mark] = inside.get(mark, 0) + n
+        # Against an article without such a class, a line or two do not count.
+        least = LONG if any(b.article and not b.skipped and not b.marks for b in found) else SHORT
+        most = {mark for mark, n in inside.items() if n >= least and 2 * n > sum(mass)}
+        if not any(n for b, n in zip(found, mass) if most.issuperset(b.marks)):
+            most = {mark for mark, n in inside.items() if n >= least}
+        for k, b in enumerate(found):
+            if not most.issuperset(b.marks):
+                b.skipped, mass[k] = True, 0
+    return known, mass
 
 
 def settle(found: list[Block]) -> list[bool]:
     """Second pass: undecided blocks take the label of the nearest decided one in the same region, the good one in a tie.
 
-    Skipped blocks part regions. A region without any decided block is good inside an article, or where the page has no
-    article at all; elsewhere it is bad.
+    Skipped blocks part regions. Where articles hold half of the running text, a block outside of them is good only by itself. A region
+    without any decided block is good inside an article, or where articles do not hold half; elsewhere it is bad.
     """
-    whole = any(b.article for b in found)
-    known = known_language(found)
-    first = [judge(b, known) if b.article or not whole else False for b in found]
+    known, mass = weigh(found)
+    whole = any(b.article and not b.skipped for b in found) and 2 * sum(n for b, n in zip(found, mass) if b.article) >= sum(mass)
+    first = [judge(b, known) for b in found]
+    if whole:
+        first = [x if b.article else x is True and (known or len(b.text) > LONG) for b, x in zip(found, first)]
     out = [bool(x) for x in first]
     begin = 0
     while begin < len(found):

@@ -54,6 +54,25 @@ def test_code_between_paragraphs_stays():
     assert html_text.main_text(f"<div><p>{long}</p><pre>{code}</pre><p>{long}</p></div>") == f"{long}\n{code.strip()}\n{long}"
 
 
+@pytest.mark.parametrize("tag", ["article class='post has-comments'", "div class='content with-sidebar'", "div id='legal-analysis'", "section class='popular-science'"])
+def test_a_class_does_not_drop_most_of_the_text(tag):
+    long, name = (LONG * 3).strip(), tag.split()[0]
+    page = f"{MENU}<{tag}><h1>Heading</h1><p>{long}</p><p>{long}</p><div class='comments'><p>{long}</p></div></{name}><div class='sidebar'>{LONG}</div>"
+    assert html_text.main_text(page) == f"Heading\n{long}\n{long}"
+
+
+def test_an_inline_class_does_not_drop_words():
+    long = (LONG * 3).strip()
+    assert html_text.main_text(f"<p>{long} <span class='notice'>Some words</span> <a class='share' href=x>Tweet it</a> {long}</p>") == f"{long} Some words {long}"
+
+
+def test_text_outside_an_article_is_judged_too():
+    long = (LONG * 3).strip()
+    teaser = f"<article><h2>Read this</h2><p>{LONG}</p></article>"
+    assert html_text.main_text(f"<div>{teaser}<div><p>{long}</p><p>Short line.</p><p>{long}</p></div></div>").endswith(f"{long}\nShort line.\n{long}")
+    assert html_text.main_text(f"<article><p>{long}</p><p>{long}</p></article><div><p>{long}</p></div><p>By us</p>") == "\n".join([long] * 3)
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("<p", "<p"), ("a < b and c > d", "a < b and c > d"), ("<p>x<p>y", "x\ny"), ("&lt;p&gt; &#65;&nbsp;&bogus;", "<p> A &bogus;"),
     ("<!-- open", ""), ("<script>never", ""), ("</p></div>text", "text"), ("<nav>menu", ""), ("<p>a<p>a", "a\na"), ("<![CDATA[x]]>y", "y"),
