@@ -239,6 +239,16 @@ def _(spark, sf):
     return shares.select("doc_id", (F.col("total") > 0).alias("has_terms"), "n_topics", "total")
 
 
+@checked("M9_lda_100", "docs tf df", """
+    WITH kept AS (SELECT DISTINCT doc_id FROM tf JOIN df USING (term)
+                  WHERE df >= 20 AND df <= 0.2 * (SELECT count(*) FROM docs))
+    SELECT doc_id, 100::BIGINT AS n_topics, CASE WHEN kept.doc_id IS NOT NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS total
+    FROM docs LEFT JOIN kept USING (doc_id)""")
+def _(spark, sf):
+    found = topics.lda(fx.docs(spark, sf), **(_LDA | {"k": 100}))
+    return topics.doc_topics(found).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_topics"), F.abs(F.round(F.sum("share"), 6)).alias("total"))
+
+
 @checked("M9_lda_on_tfidf", "docs tf df", """
     SELECT count(DISTINCT doc_id) AS n_docs, 250::BIGINT AS n_terms, true AS sums_to_one FROM tf JOIN df USING (term)
     WHERE df >= 20 AND df <= 0.2 * (SELECT count(*) FROM docs)""")
