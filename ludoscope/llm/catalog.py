@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, near_dups, packing, quality, repeats, toxicity
+from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, mixing, near_dups, packing, quality, repeats, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -211,3 +211,33 @@ SELECT conv_id, turn, role, (row_number() OVER (PARTITION BY conv_id ORDER BY tu
   CASE WHEN role = 'assistant' THEN CASE name WHEN 'summarise' THEN 'wrong type: words' WHEN 'guess' THEN 'unknown tool' END END AS problem
 FROM k
 """
+
+
+@query
+def op12_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of sources takes."""
+    plan = mixing.plan_mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+# Stopped sources come first by size over weight: the first one that need not stop tells what is left for all from there on.
+ORACLES["op12_source_mix"] = r"""
+WITH d AS (
+  SELECT doc_id, source, text, len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size FROM documents),
+sums AS (SELECT source, sum(size)::BIGINT AS s FROM d GROUP BY source),
+placed AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w FROM sums),
+run AS (
+  SELECT *, row_number() OVER (ORDER BY s / w, source NULLS LAST) AS i, sum(s) OVER () AS total, sum(w) OVER () AS weights,
+         sum(s) OVER (ORDER BY s / w, source NULLS LAST) - s AS s_before, sum(w) OVER (ORDER BY s / w, source NULLS LAST) - w AS w_before FROM placed),
+level AS (
+  SELECT i AS first, 150 * total - 200 * s_before AS left_over, weights - w_before AS weight FROM run
+  WHERE w * (150 * total - 200 * s_before) <= 200 * s * (weights - w_before) ORDER BY i LIMIT 1),
+targets AS (
+  SELECT source, s, CASE WHEN i < first THEN CAST(2 * s AS DOUBLE) ELSE CAST(w AS DOUBLE) * CAST(left_over AS DOUBLE) / CAST(100 * weight AS DOUBLE) END AS target
+  FROM run, level),
+rates AS (
+  SELECT d.doc_id, d.size, t.s AS source_size, t.target, CASE WHEN t.s = 0 THEN 0.0 ELSE t.target / CAST(t.s AS DOUBLE) END AS rate,
+         CAST('0x' || substr(md5('0|' || coalesce(CAST(d.doc_id AS VARCHAR), d.text, '-')), 1, 13) AS BIGINT) / 4503599627370496.0 AS draw
+  FROM d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source)
+SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rates
+"""
