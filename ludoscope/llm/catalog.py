@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, mixing, near_dups, packing, quality, repeats, toxicity
+from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, merkle, mixing, near_dups, packing, quality, repeats, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -241,3 +241,72 @@ rates AS (
   FROM d JOIN targets t ON t.source IS NOT DISTINCT FROM d.source)
 SELECT doc_id, size, source_size, target, (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM rates
 """
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof, and the root that its tampered leaf folds to."""
+    edited = [F.replace(F.col(c), F.lit("\n"), F.lit("")) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    manifest = merkle.build(table(spark, sf_dir, "documents"), keep={"edited": F.when(tampered, merkle.leaf_digest(edited))})
+    changes = manifest.leaves.select("tree", "at", F.coalesce("edited", "leaf").alias("digest"), "doc_id", "leaf")
+    digest = lambda c: F.lower(F.hex(c))
+    root = F.lit(manifest.root).cast("binary")
+    return merkle.fold(manifest, changes).select(
+        "doc_id", digest("leaf").alias("leaf"), digest("root").alias("subroot"), digest(root).alias("root"),
+        digest("proof").alias("proof_sha256"), digest("folded").alias("folded_root"), (F.col("folded") == root).alias("verified"))
+
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id AS id, list_reduce([4294967295::BIGINT] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+         lambda c, b: list_reduce([xor(c, b)] || [0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT],
+                                  lambda x, y: xor(x >> 1, (x % 2) * 3988292384))) AS c FROM (SELECT DISTINCT doc_id FROM documents)),
+leaves AS (
+  SELECT doc_id, source, {_LEAF.format("text")} AS leaf,
+         CASE WHEN xor(c, 4294967295) % 2 = 0 THEN {_LEAF.format("replace(text, chr(10), '')")} END AS edited
+  FROM documents LEFT JOIN crc ON id = doc_id),
+numbered AS (
+  SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, count(*) OVER (PARTITION BY source) AS n,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+nodes AS (
+  SELECT tree, 0 AS level, i, leaf AS h, n FROM numbered
+  UNION ALL
+  SELECT tree, level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), max((n + 2) // 3) FROM nodes WHERE n > 1 GROUP BY tree, level, i // 3),
+subroots AS (SELECT tree, h, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, tree AS i, h, n FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 3, sha256(string_agg(h, '' ORDER BY i)), max((n + 2) // 3) FROM tops WHERE n > 1 GROUP BY level, i // 3),
+depth AS (SELECT tree, max(level) AS d FROM nodes GROUP BY tree),
+steps AS (
+  SELECT l.tree, l.i, o.level, string_agg(CASE WHEN o.i < l.i // (3 ** o.level)::BIGINT THEN o.h END, '' ORDER BY o.i) AS before,
+         string_agg(CASE WHEN o.i > l.i // (3 ** o.level)::BIGINT THEN o.h END, '' ORDER BY o.i) AS after
+  FROM numbered l JOIN nodes o ON o.tree = l.tree AND o.n > 1 AND o.i // 3 = l.i // (3 ** (o.level + 1))::BIGINT AND o.i <> l.i // (3 ** o.level)::BIGINT
+  GROUP BY l.tree, l.i, o.level),
+top_steps AS (
+  SELECT s.tree, o.level, string_agg(CASE WHEN o.i < s.tree // (3 ** o.level)::BIGINT THEN o.h END, '' ORDER BY o.i) AS before,
+         string_agg(CASE WHEN o.i > s.tree // (3 ** o.level)::BIGINT THEN o.h END, '' ORDER BY o.i) AS after
+  FROM subroots s JOIN tops o ON o.n > 1 AND o.i // 3 = s.tree // (3 ** (o.level + 1))::BIGINT AND o.i <> s.tree // (3 ** o.level)::BIGINT
+  GROUP BY s.tree, o.level),
+top AS (SELECT max(level) AS d FROM tops),
+ways AS (
+  SELECT l.tree, l.i, g.k AS level, coalesce(CASE WHEN g.k < d.d THEN s.before ELSE t.before END, '') AS before,
+         coalesce(CASE WHEN g.k < d.d THEN s.after ELSE t.after END, '') AS after
+  FROM numbered l JOIN depth d ON d.tree = l.tree JOIN (SELECT unnest(range(0, 64)) AS k) g ON g.k < d.d + (SELECT d FROM top)
+  LEFT JOIN steps s ON s.tree = l.tree AND s.i = l.i AND s.level = g.k
+  LEFT JOIN top_steps t ON t.tree = l.tree AND t.level = g.k - d.d),
+folds AS (
+  SELECT tree, i, 0 AS level, coalesce(edited, leaf) AS h FROM numbered
+  UNION ALL
+  SELECT f.tree, f.i, f.level + 1, sha256(w.before || f.h || w.after) FROM folds f JOIN ways w ON w.tree = f.tree AND w.i = f.i AND w.level = f.level),
+folded AS (SELECT tree, i, arg_max(h, level) AS h FROM folds GROUP BY tree, i),
+proofs AS (SELECT tree, i, sha256(string_agg(before || after, '' ORDER BY level)) AS p FROM ways GROUP BY tree, i),
+root AS (SELECT h FROM tops WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, coalesce(p.p, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM numbered l JOIN subroots s ON s.tree = l.tree JOIN folded f ON f.tree = l.tree AND f.i = l.i
+LEFT JOIN proofs p ON p.tree = l.tree AND p.i = l.i, root r
+"""
