@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ludoscope.llm import archives, bpe, chat, edit_walk, html_text, merkle, mixing, near_dups, packing, quality, repeats, toxicity
+from ludoscope.llm import archives, bpe, chat, collocations, edit_walk, html_text, merkle, mixing, near_dups, packing, quality, repeats, toxicity
 
 # The tokenizer's files are not part of the library; their place is a parameter of the operators.
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -310,3 +310,34 @@ SELECT l.doc_id, l.leaf, s.h AS subroot, r.h AS root, coalesce(p.p, sha256(''))
 FROM numbered l JOIN subroots s ON s.tree = l.tree JOIN folded f ON f.tree = l.tree AND f.i = l.i
 LEFT JOIN proofs p ON p.tree = l.tree AND p.i = l.i, root r
 """
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's phrases that stand together most."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLES["op13_collocations"] = r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+sizes AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+found AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM places, (SELECT unnest(range(1, 6)) AS m) WHERE i + m - 1 <= len(w)),
+grams AS (SELECT lang, m, phrase, count(*) AS f FROM found GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT *, string_split(phrase, ' ') AS w FROM grams WHERE m > 1),
+cuts AS (SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+         FROM candidates, (SELECT unnest(range(1, 5)) AS k) WHERE k < m),
+weighed AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.f AS l, r.f AS r, s.n, ((1000::HUGEINT * c.a * s.n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM cuts c JOIN grams l ON l.lang = c.lang AND l.phrase = c.x JOIN grams r ON r.lang = c.lang AND r.phrase = c.y JOIN sizes s ON s.lang = c.lang),
+scored AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM weighed) WHERE o = 1),
+inner_parts AS (
+  SELECT lang, array_to_string(w[i:i + q - 1], ' ') AS phrase, max(f) AS around
+  FROM candidates, (SELECT unnest(range(1, 5)) AS i), (SELECT unnest(range(2, 5)) AS q) WHERE q < m AND i + q - 1 <= m GROUP BY ALL),
+kept AS (SELECT s.* FROM scored s LEFT JOIN inner_parts p ON p.lang = s.lang AND p.phrase = s.phrase WHERE p.around IS NULL OR p.around < s.a),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM kept)
+SELECT * FROM ranked WHERE rank <= 2000
+"""

@@ -21,4 +21,4 @@ def test_query_matches_sql(spark, con, sf, name):
 
 def test_all_are_registered():
     assert set(catalog.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
