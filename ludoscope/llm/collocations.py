@@ -7,9 +7,9 @@ prefixes, so that a range gets every path that begins with its prefixes, from al
 level, weights summed, and states below the least count go before the next level. The automaton that is left is composed
 with that of the candidates' parts: over whole phrases, a join.
 
-What a prefix is: paths of length 1 and 2 are counted on their own, longer ones by their first three words. A prefix of
-three or four words that holds more than 1/4096 of a sample's windows counts by itself as well, and its windows are cut
-one word later, so it fills no range. The sample says what is split, never what is counted.
+What a prefix is: the first word. One that holds more than 1/4096 of a sample's windows counts by itself, and its windows go
+by their first two words, those of such a pair by three, and so on, so no prefix fills a range. The sample says what is
+split, never what is counted.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from ludoscope.session import cut_lineage, stored
 
 LONGEST, LEAST, BEST, PERCENT = 5, 100, 2000, 100
 #: Words of a shard, words that a range holds on average, and documents of the sample that balances ranges.
-SHARD_WORDS, RANGE_WORDS, SAMPLE_DOCS, HOT_SHARE = 2_000_000, 2_000_000, 4_000, 4096
+SHARD_WORDS, RANGE_WORDS, SAMPLE_DOCS, HOT_SHARE = 800_000, 1_000_000, 4_000, 4096
 _BITS = 21
 _ID = (1 << _BITS) - 1
 _BREAKS = np.zeros(256, dtype=bool)
@@ -94,7 +94,7 @@ class _Shard:
             heads, head = np.unique((w[0] << (2 * _BITS)) | (w[1] << _BITS) | w[2], return_inverse=True)
             whole, counts = np.unique((head.astype(np.int64) << (2 * _BITS)) | (w[3] << _BITS) | w[4], return_counts=True)
             head = heads[whole >> (2 * _BITS)]
-            yield names, np.stack([head >> (2 * _BITS), (head >> _BITS) & _ID, head & _ID, (whole >> _BITS) & _ID, whole & _ID], axis=1), counts
+            yield names, np.stack([head >> (2 * _BITS), (head >> _BITS) & _ID, head & _ID, (whole >> _BITS) & _ID, whole & _ID], axis=1, dtype=np.int32, casting="same_kind"), counts
 
 
 def _prefixes(names: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
@@ -113,24 +113,20 @@ def _cut(windows: np.ndarray, counts: np.ndarray, length: int) -> tuple[np.ndarr
     if not len(windows):
         return windows, counts
     new = np.flatnonzero(np.concatenate(([True], (windows[1:, :length] != windows[:-1, :length]).any(axis=1))))
-    short = np.zeros((len(new), LONGEST), dtype=np.int64)
+    short = np.zeros((len(new), LONGEST), dtype=np.int32)
     short[:, :length] = windows[new, :length]
     return short, np.add.reduceat(counts, new)
 
 
 def _by_base(names: np.ndarray, windows: np.ndarray, counts: np.ndarray, hot: dict[int, np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(base, windows, counts): each counts for its prefixes of ``base`` words and more."""
-    yield 1, *_cut(windows, counts, 1)
-    yield 2, *_cut(windows, counts, 2)
-    left = windows[:, 2] > 0
-    windows, counts = windows[left], counts[left]
-    for base in (3, 4):
+    for base in range(1, LONGEST):
         is_hot = np.isin(_prefixes(names, windows, base), hot[base])
         heads, sums = _cut(windows[is_hot], counts[is_hot], base)
         yield base, np.concatenate((windows[~is_hot], heads)), np.concatenate((counts[~is_hot], sums))
         longer = is_hot & (windows[:, base] > 0)
         windows, counts = windows[longer], counts[longer]
-    yield 5, windows, counts
+    yield LONGEST, windows, counts
 
 
 def _parts(lang: str, shard: _Shard, ranges: int, hot: dict[int, np.ndarray], step: int) -> Iterator[pa.RecordBatch]:
@@ -142,7 +138,7 @@ def _parts(lang: str, shard: _Shard, ranges: int, hot: dict[int, np.ndarray], st
                 continue
             cell = (_prefixes(names, paths, base) % np.uint64(ranges)).astype(np.int64)
             # In order within a range: prefixes of hot paths have come after the others.
-            order = np.lexsort((*[paths[:, d] for d in reversed(range(LONGEST))], cell)) if base in (3, 4) and len(hot[base]) else np.argsort(cell, kind="stable")
+            order = np.lexsort((*[paths[:, d] for d in reversed(range(LONGEST))], cell)) if base < LONGEST and len(hot[base]) else np.argsort(cell, kind="stable")
             cell, paths, sums = cell[order], paths[order], sums[order]
             first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
             shared = np.zeros(len(paths), dtype=np.int64)
@@ -219,7 +215,7 @@ def _unite(rows: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     per_row = np.array([len(x) // (4 if w else 2) for x, w in zip(labels, wide)])
     numbers = coded.indices.to_numpy().astype(np.int64)[numbers + np.repeat(np.cumsum(names) - names, per_row)] + 1
     own = (np.arange(LONGEST) >= shared[:, None]) & (np.arange(LONGEST) < length[:, None])
-    full = np.zeros((len(code), LONGEST), dtype=np.int64)
+    full = np.zeros((len(code), LONGEST), dtype=np.int32)
     full[own] = numbers
     for d in range(LONGEST):
         last = np.maximum.accumulate(np.where(own[:, d], np.arange(len(code)), 0))
@@ -267,7 +263,7 @@ def _count_range(least: int):
 
 
 def _sample_hot(share: int):
-    """From a sample: words (length 0), and the prefixes of three and four words with their windows where they are many."""
+    """From a sample: words (length 0), and the prefixes of up to four words with their windows where they are many."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -276,7 +272,7 @@ def _sample_hot(share: int):
                 shard.add(texts)
                 for names, windows, _ in shard.windows():
                     rows = [(0, 0, shard.size)]
-                    for length in (3, 4):
+                    for length in range(1, LONGEST):
                         held = windows[windows[:, length - 1] > 0]
                         value, n = np.unique(_prefixes(names, held, length), return_counts=True)
                         many = n > max(1, len(held) // (4 * share))
@@ -301,11 +297,11 @@ def phrase_counts(
     share = min(1.0, SAMPLE_DOCS / total)
     sample = rows if share == 1 else rows.sample(share, seed=1)
     seen = sample.mapInArrow(_sample_hot(hot_share), "length int, h long, n long").groupBy("length", "h").agg(F.sum("n").alias("n"))
-    limits = seen.where("length <= 0")
-    found = {r["length"]: r["n"] for r in limits.collect()}
+    seen = cut_lineage(seen)
+    found = {r["length"]: r["n"] for r in seen.where("length <= 0").collect()}
     ranges = max(1, round(found.get(0, 0) / share / range_words))
     hot: dict[int, np.ndarray] = {}
-    for length in (3, 4):
+    for length in range(1, LONGEST):
         # Fewer than ``hot_share`` prefixes can hold more than that share each.
         large = seen.where((F.col("length") == length) & (F.col("n") * hot_share > F.lit(found.get(-length, 0)))) if ranges > 1 else None
         hot[length] = np.array([r["h"] for r in large.select("h").collect()] if large is not None else [], dtype=np.int64).view(np.uint64)
