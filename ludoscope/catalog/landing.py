@@ -8,7 +8,7 @@ from ludoscope import fixtures as fx, schemas
 from ludoscope.catalog.base import checked
 from ludoscope.operators import collab
 from ludoscope.session import cut_lineage, scratch_path
-from ludoscope.sources import landed, tables
+from ludoscope.sources import landed, merged, tables
 
 
 @checked("S1_read_ratings_csv", "ratings", "SELECT * FROM ratings WHERE (user_id + game_id) % 13 <> 0")
@@ -65,22 +65,38 @@ def _(spark, sf):
     return tables.load_table(spark, path)
 
 
-@checked("S7_upsert", "games", """
+_UPSERT = """
     WITH updates AS (SELECT game_id * 2 AS game_id, CASE WHEN game_id % 3 <> 0 THEN game_id END AS playing_time,
                             'yes' AS seen FROM games)
     SELECT coalesce(g.game_id, u.game_id) AS game_id, g.game AS game,
            CASE WHEN u.game_id IS NOT NULL THEN u.playing_time ELSE g.playing_time END AS playing_time,
            u.seen AS seen
-    FROM (SELECT game_id, game, playing_time FROM games) g FULL JOIN updates u ON g.game_id = u.game_id""")
-def _(spark, sf):
+    FROM (SELECT game_id, game, playing_time FROM games) g FULL JOIN updates u ON g.game_id = u.game_id"""
+
+
+def _games_and_updates(spark, sf):
     games = fx.games(spark, sf).select("game_id", "game", "playing_time")
-    updates = games.select(
+    return games, games.select(
         (F.col("game_id") * 2).alias("game_id"),
         F.when(F.col("game_id") % 3 != 0, F.col("game_id")).alias("playing_time"),
         F.lit("yes").alias("seen"))
+
+
+@checked("S7_upsert", "games", _UPSERT)
+def _(spark, sf):
+    games, updates = _games_and_updates(spark, sf)
     return tables.upsert(games, updates, "game_id")
 
 
+@checked("S7_merge_upsert", "games", _UPSERT)
+def _(spark, sf):
+    games, updates = _games_and_updates(spark, sf)
+    path = scratch_path(spark, "merged-games")
+    merged.create_merged(games, path, "game_id", 16)
+    merged.merge_upsert(spark, path, updates)
+    return merged.read_merged(spark, path)
+
+
 @checked("S8_update_where", "ratings users", """
     SELECT username, game_id, CASE WHEN user_id % 3 <> 0 THEN user_id + 1 ELSE -1 END AS user_id
     FROM ratings JOIN users USING (user_id)""")
@@ -91,6 +107,17 @@ def _(spark, sf):
     return tables.update_where(target, mapping, "username", "user_id")
 
 
+@checked("S8_merge_update", "users", """
+    SELECT username, CASE WHEN user_id % 3 <> 0 THEN user_id + 1 ELSE -1 END AS user_id FROM users""")
+def _(spark, sf):
+    users = fx.users(spark, sf)
+    path = scratch_path(spark, "merged-users")
+    merged.create_merged(users.select("username", F.lit(-1).alias("user_id")), path, "username", 16)
+    mapping = users.where("user_id % 3 <> 0").select("username", (F.col("user_id") + 1).alias("user_id"))
+    merged.merge_update(spark, path, mapping.unionByName(mapping.select(F.concat("username", F.lit("?")).alias("username"), "user_id")), "user_id")
+    return merged.read_merged(spark, path)
+
+
 @checked("S9_distinct_values", "", "SELECT DISTINCT source FROM documents")
 def _(spark, sf):
     return tables.distinct_values(fx.table(spark, sf, "documents"), "source")
