@@ -12,10 +12,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ludoscope.functions.blocks import best_columns
 from ludoscope.functions.scale import salted_lookup, top_per_key, with_position
-from ludoscope.session import shared_dir
+from ludoscope.session import cut_lineage, shared_dir
 
 USERS_PER_BLOCK = 1024
-GAMES_PER_BLOCK = 4096
+GAMES_PER_BLOCK = 1024
+#: Blocks of games a block of users meets in the first round, and how many times more up to the end of each one after.
+FIRST_BLOCKS, BLOCK_GROWTH = 4, 8
 
 
 BLOCK_PAIRS = 500_000
@@ -138,62 +140,135 @@ def rank_predictions(scored: DataFrame) -> DataFrame:
     )
 
 
+def _unit_directions(features: str) -> Column:
+    """The direction of a factor in coarse steps: rows that sort together point the same way."""
+    norm = F.sqrt(F.aggregate(features, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
+    return F.transform(features, lambda x: F.floor(8 * x / F.when(norm > 0, norm).otherwise(1.0)))
+
+
+def _block_extremes(games: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every block of games in order: the largest norm, and the largest and smallest value in each place of the factors.
+
+    Ids of factors are ints, so blocks are half a million at most.
+    """
+
+    def extremes(block: pd.DataFrame) -> pd.DataFrame:
+        table = np.stack(block["features"]).astype("f8")
+        norm = np.sqrt((table * table).sum(axis=1)).max()
+        return pd.DataFrame({"gb": [block["gb"].iloc[0]], "norm": [norm], "high": [table.max(axis=0)], "low": [table.min(axis=0)]})
+
+    found = games.groupBy("gb").applyInPandas(extremes, "gb long, norm double, high array<double>, low array<double>").toPandas().sort_values("gb")
+    return found["norm"].to_numpy(), np.stack(found["high"]), np.stack(found["low"])
+
+
+def _reach(users: np.ndarray, norm: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The highest prediction possible of each user (rows) in each block of games (columns).
+
+    No product exceeds that of the norms, nor the sum over places of each value times the block's extreme on its side.
+    """
+    by_norm = np.sqrt((users * users).sum(axis=1))[:, None] * norm[None, :]
+    by_place = np.maximum(users, 0) @ high.T + np.minimum(users, 0) @ low.T
+    return np.minimum(by_norm, by_place)
+
+
 def recommend_all(
-    model: ALSModel, ratings: DataFrame, n: int, users: DataFrame | None = None
+    model: ALSModel, ratings: DataFrame, n: int, users: DataFrame | None = None, stats: dict | None = None
 ) -> DataFrame:
     """The ``n`` best unrated games of every user, or of the given ones: (user_id, game_id, prediction, rank).
 
-    Users and games are cut in blocks by hash. A task holds one block of users, one of games and the
-    ratings between them, multiplies the factors, leaves out what is rated and passes on ``n`` games
-    per user. Someone who rated a third of all games costs no more than anybody else.
+    Games are put in blocks from the longest factor down, users in blocks of like direction. A task holds one block of
+    users, one of games and the ratings between them, multiplies the factors, leaves out what is rated and passes on ``n``
+    games per user. A user's blocks of games come in the order of their highest possible prediction, in rounds; once a user's
+    ``n``-th prediction is above that of a block, the user needs none of its games, and a block of users that needs
+    none never meets it. The result is that of all products. Someone who rated a third of all games costs no more than
+    anybody else. ``stats`` receives users, games and scored, the number of predictions worked out.
     """
     user_factors, game_factors = model.userFactors, model.itemFactors
     if users is not None:
         user_factors = user_factors.join(
             users.select(F.col("user_id").alias("id")).distinct(), "id", "left_semi"
         )
-    user_blocks = max(1, -(-user_factors.count() // USERS_PER_BLOCK))
-    game_blocks = max(1, -(-game_factors.count() // GAMES_PER_BLOCK))
-
-    def block(col: str, count: int):
-        return F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(count)).cast("int")
-
-    def every(count: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-
-    factors = user_factors.select(
-        block("id", user_blocks).alias("ub"), every(game_blocks).alias("gb"),
-        F.lit(True).alias("is_user"), "id", "features",
-    ).unionByName(
-        game_factors.select(
-            every(user_blocks).alias("ub"), block("id", game_blocks).alias("gb"),
-            F.lit(False).alias("is_user"), "id", "features",
-        )
-    )
-    rated = ratings.select(
-        block("user_id", user_blocks).alias("ub"), block("game_id", game_blocks).alias("gb"),
-        F.col("user_id").cast("int").alias("user_id"), F.col("game_id").cast("int").alias("game_id"),
-    ).distinct()
+    length = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
+    games = with_position(game_factors, [length.desc(), F.col("id")], "_place", start=0)
+    games = cut_lineage(games.select(F.floor(F.col("_place") / GAMES_PER_BLOCK).cast("long").alias("gb"), "id", "features"))
+    members = with_position(user_factors, [_unit_directions("features"), F.col("id")], "_place", start=0)
+    members = cut_lineage(members.select(F.floor(F.col("_place") / USERS_PER_BLOCK).cast("long").alias("ub"), "id", "features"))
+    n_users, n_games = members.count(), games.count()
+    schema = "user_id int, game_id int, prediction double"
+    if not n_users or not n_games:
+        return members.sparkSession.createDataFrame([], f"{schema}, rank int")
+    norm, high, low = _block_extremes(games)
+
+    rated = ratings.select(F.col("user_id").cast("int").alias("user_id"), F.col("game_id").cast("int").alias("game_id")).distinct()
+    rated = salted_lookup(rated, members.select(F.col("id").alias("user_id"), "ub"), "user_id", ["game_id"])
+    rated = cut_lineage(salted_lookup(rated, games.select(F.col("id").alias("game_id"), "gb"), "game_id", ["user_id"]))
+
+    def slack(floor: np.ndarray) -> np.ndarray:
+        return floor - 1e-9 * np.maximum(1, np.abs(floor))
+
+    def next_blocks(start: int, stop: int):
+        def choose(block: pd.DataFrame) -> pd.DataFrame:
+            reach = _reach(np.stack(block["features"]).astype("f8"), norm, high, low)
+            order = np.argsort(-reach.max(axis=0), kind="stable")[start:]
+            wanted = (reach[:, order] >= slack(block["floor"].to_numpy())[:, None]).any(axis=0)
+            now = order[: stop - start][wanted[: stop - start]].tolist()
+            # -1: there are more to come.
+            now += [-1] if wanted[stop - start :].any() else []
+            return pd.DataFrame({"ub": [block["ub"].iloc[0]] * len(now), "gb": now}, dtype="i8")
+
+        return choose
 
     def best_in_block(cell: pd.DataFrame, seen: pd.DataFrame) -> pd.DataFrame:
-        us = cell[cell["is_user"]].sort_values("id")
+        us = cell[cell["is_user"]]
         gs = cell[~cell["is_user"]].sort_values("id")
+        nothing = pd.DataFrame({"user_id": [], "game_id": [], "prediction": [], "scored": []})
         if us.empty or gs.empty:
-            return pd.DataFrame({"user_id": [], "game_id": [], "prediction": []})
-        uid, gid = us["id"].to_numpy(), gs["id"].to_numpy()
-        scores = np.stack(us["features"]).astype("f8") @ np.stack(gs["features"]).astype("f8").T
-        seen = seen[seen["user_id"].isin(uid) & seen["game_id"].isin(gid)]
+            return nothing
+        gb = int(gs["gb"].iloc[0])
+        factors = np.stack(us["features"]).astype("f8")
+        live = _reach(factors, norm[gb : gb + 1], high[gb : gb + 1], low[gb : gb + 1])[:, 0] >= slack(us["floor"].to_numpy())
+        us, factors = us[live], factors[live]
+        if us.empty:
+            return nothing
+        order = np.argsort(us["id"].to_numpy())
+        uid, floor, factors, gid = us["id"].to_numpy()[order], us["floor"].to_numpy()[order], factors[order], gs["id"].to_numpy()
+        scores = factors @ np.stack(gs["features"]).astype("f8").T
+        seen = seen[seen["user_id"].isin(uid)]
         scores[np.searchsorted(uid, seen["user_id"]), np.searchsorted(gid, seen["game_id"])] = -np.inf
         rows, cols = best_columns(scores, n)
-        picked = pd.DataFrame({"user_id": uid[rows], "game_id": gid[cols], "prediction": scores[rows, cols]})
-        return picked[np.isfinite(picked["prediction"])]
-
-    best = (
-        factors.groupBy("ub", "gb")
-        .cogroup(rated.groupBy("ub", "gb"))
-        .applyInPandas(best_in_block, "user_id int, game_id int, prediction double")
-    )
-    return top_per_key(best, ["user_id"], [F.col("prediction").desc(), F.col("game_id")], n, "rank")
+        value = scores[rows, cols]
+        held = np.isfinite(value) & (value >= slack(floor)[rows])
+        picked = pd.DataFrame({"user_id": uid[rows[held]], "game_id": gid[cols[held]], "prediction": value[held]})
+        picked["scored"] = 0
+        return pd.concat([picked, pd.DataFrame({"user_id": [uid[0]], "game_id": [gid[0]], "prediction": [np.nan], "scored": [scores.size]})])
+
+    best, start, stop, scored = None, 0, FIRST_BLOCKS, 0
+    while True:
+        floor = F.lit(float("-inf"))
+        if best is not None:
+            floors = best.where(F.col("rank") == n).select(F.col("user_id").alias("id"), F.col("prediction").alias("_floor"))
+            held = members.join(floors, "id", "left").select("ub", "id", "features", F.coalesce("_floor", floor).alias("floor"))
+        else:
+            held = members.withColumn("floor", floor)
+        held = cut_lineage(held)
+        chosen = cut_lineage(held.groupBy("ub").applyInPandas(next_blocks(start, stop), "ub long, gb long"))
+        pairs = chosen.where("gb >= 0")
+        both = held.join(pairs, "ub").select("ub", "gb", F.lit(True).alias("is_user"), "id", "features", "floor").unionByName(
+            games.join(pairs, "gb").select("ub", "gb", F.lit(False).alias("is_user"), "id", "features", floor.alias("floor")))
+        between = rated.join(pairs, ["ub", "gb"], "left_semi").select("user_id", "game_id", F.col("ub").alias("to_ub"), F.col("gb").alias("to_gb"))
+        found = both.groupBy("ub", "gb").cogroup(between.groupBy("to_ub", "to_gb")).applyInPandas(best_in_block, f"{schema}, scored long")
+        if stats is not None:
+            found = cut_lineage(found)
+            scored += found.agg(F.sum("scored")).first()[0] or 0
+        found = found.where("scored = 0").drop("scored")
+        found = found if best is None else found.unionByName(best.drop("rank"))
+        best = cut_lineage(top_per_key(found, ["user_id"], [F.col("prediction").desc(), F.col("game_id")], n, "rank"))
+        if chosen.where("gb < 0").isEmpty():
+            break
+        start, stop = stop, stop * BLOCK_GROWTH
+    if stats is not None:
+        stats.update(users=n_users, games=n_games, scored=scored)
+    return best
 
 
 def attach_labels(scored: DataFrame, labeled: DataFrame) -> DataFrame:

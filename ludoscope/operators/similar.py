@@ -1,26 +1,27 @@
 """Likeness of games by attributes and by text (inventory K1-K6).
 
 One game against all is a join on the attributes it holds. The k nearest of every game are found
-block against block: rows are cut in even blocks by hash, a task multiplies two blocks and passes on
-only the k best per row. Nothing is left out, no pair is ever shuffled, and a popular attribute or
-a large group of equal games cannot fill one task.
+block against block (``bounded``): like rows share a block, a task multiplies two blocks and passes on
+only the k best per row, and blocks whose bound is below what their rows have already never meet. Nothing
+is left out, no pair is ever shuffled, and a popular attribute or a large group of equal games cannot fill
+one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ludoscope.functions.blocks import best_columns, inner_products, vectors
+from ludoscope.functions.blocks import inner_products, vectors
 from ludoscope.functions.scale import salted_lookup, top_per_key, with_position
 from ludoscope.functions.text import title_score
+from ludoscope.operators.bounded import Bound, Measure, best_partners
 from ludoscope.session import cut_lineage
 
 ATTR_BLOCK = 2048
 TEXT_BLOCK = 512
+#: Rows per pivot of the order of texts, up to 256 pivots.
+PIVOT_ROWS = 32
 
 
 def _shared_counts(games: DataFrame, attrs: DataFrame, probe: int) -> DataFrame:
@@ -57,55 +58,20 @@ def jaccard_similarity(games: DataFrame, attrs: DataFrame, probe: int) -> DataFr
     )
 
 
-def nearest_rows(
-    rows: DataFrame, k: int, measure: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], block_rows: int
-) -> DataFrame:
-    """The ``k`` best partners of every row, itself included: (key, partner, score).
-
-    ``rows`` holds (key, terms, weights). ``measure`` turns inner products and the two columns of
-    set sizes into scores. Ties go to the smaller key.
-    """
-    blocks = max(1, -(-rows.count() // block_rows))
-    own = F.pmod(F.xxhash64("key"), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    cells = rows.withColumn("own", own).withColumn("other", other).select(
-        F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "key", "terms", "weights"
-    )
-
-    def best_in_cell(cell: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = cell["lo"].iloc[0], cell["hi"].iloc[0]
-        a = vectors(cell[cell["own"] == lo])
-        b = a if lo == hi else vectors(cell[cell["own"] == hi])
-        products = inner_products(a, b)
-        size_a = np.bincount(a[1], minlength=len(a[0]))[:, None]
-        size_b = np.bincount(b[1], minlength=len(b[0]))[None, :]
-        scores = measure(products, size_a, size_b)
-        parts = []
-        for mine, theirs, table in ((a[0], b[0], scores), (b[0], a[0], scores.T)):
-            if table.size:
-                rows, cols = best_columns(table, k)
-                parts.append(pd.DataFrame({"key": mine[rows], "partner": theirs[cols], "score": table[rows, cols]}))
-            if lo == hi:
-                break
-        return pd.concat(parts) if parts else pd.DataFrame({"key": [], "partner": [], "score": []})
-
-    best = cells.groupBy("lo", "hi").applyInPandas(best_in_cell, "key long, partner long, score double")
-    return top_per_key(best, ["key"], [F.col("score").desc(), F.col("partner")], k, "_n").drop("_n")
-
-
 def attribute_sets(games: DataFrame, attrs: DataFrame) -> DataFrame:
-    """(game_id, terms): the numbers of a game's attributes, in order; no attributes, no numbers."""
-    names = attrs.select("kind", "name").distinct()
-    numbered = with_position(names, [F.col("kind"), F.col("name")], "term", start=0)
-    held = attrs.select("game_id", "kind", "name").distinct().join(numbered, ["kind", "name"])
+    """(game_id, terms): the numbers of a game's attributes, in order, the rarest first; no attributes, no numbers."""
+    held = attrs.select("game_id", "kind", "name").distinct()
+    names = held.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("_games"))
+    numbered = with_position(names, [F.col("_games"), F.col("kind"), F.col("name")], "term", start=0).drop("_games")
+    held = held.join(numbered, ["kind", "name"])
     lists = held.groupBy("game_id").agg(F.array_sort(F.collect_list(F.col("term"))).alias("terms"))
     return games.select(F.col("game_id").cast("long").alias("game_id")).join(lists, "game_id", "left").withColumn(
         "terms", F.coalesce("terms", F.array().cast("array<long>"))
     )
 
 
-def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Callable) -> DataFrame:
-    """Exact top k of every game by a measure on attribute sets.
+def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Measure, bound: Bound, stats: dict | None) -> DataFrame:
+    """Exact top k of every game by a measure on attribute sets. Sets of one size that begin with the same rare attributes share a block.
 
     Games with equal sets are one row of the block step. Such a group needs no more than its k + 1
     smallest ids: ties go to the smaller id, so a larger one can never be among k partners.
@@ -114,7 +80,12 @@ def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Callabl
     key = F.min("game_id").alias("key")
     groups = cut_lineage(sets.groupBy("terms").agg(key, F.count(F.lit(1)).alias("_rows")))
     ones = F.transform("terms", lambda t: F.lit(1.0))
-    near = nearest_rows(groups.select("key", "terms", ones.alias("weights")), k + 1, measure, ATTR_BLOCK)
+    found = best_partners(
+        groups.select("key", "terms", ones.alias("weights")), k + 1, measure, bound, ATTR_BLOCK, [F.size("terms"), F.col("terms"), F.col("key")],
+        count=stats is not None)
+    near = found.best
+    if stats is not None:
+        stats.update(pairs=found.pairs, met=found.met, row_pairs=found.row_pairs, scored=found.scored)
 
     named = salted_lookup(sets, groups.select("terms", "key"), "terms", ["game_id"], groups.select("terms", "_rows"))
     first = top_per_key(named.select("key", "game_id"), ["key"], [F.col("game_id")], k + 1, "_n")
@@ -134,34 +105,89 @@ def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Callabl
     )
 
 
-def hamming_topk(games: DataFrame, attrs: DataFrame, k: int) -> DataFrame:
-    """K2: the ``k`` games nearest by Hamming similarity to every game, disjoint small sets included."""
-    size = max(1, attrs.select("kind", "name").distinct().count())
-    return _attribute_topk(games, attrs, k, lambda shared, a, b: 1 - (a + b - 2 * shared) / size)
+def _fewest_extra(shared: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most attributes a set of each side can share, and the fewest more that either side must have."""
+    most = np.minimum(shared, np.minimum(a[1], b[1]))
+    return most, np.maximum(a[0] - most, 0), np.maximum(b[0] - most, 0)
+
+
+def hamming_measures(size: int) -> tuple[Measure, Bound]:
+    """The Hamming similarity of sets out of ``size`` attributes, and the most that two blocks of sets allow."""
 
+    def bound(shared: np.ndarray, a: tuple, b: tuple) -> np.ndarray:
+        _, left, right = _fewest_extra(shared, a, b)
+        return 1 - np.maximum(np.maximum(b[0] - a[1], a[0] - b[1]), left + right) / size
 
-def jaccard_topk(games: DataFrame, attrs: DataFrame, k: int) -> DataFrame:
-    """K3: the ``k`` games nearest by Jaccard similarity to every game."""
+    return lambda shared, a, b: 1 - (a + b - 2 * shared) / size, bound
+
+
+def jaccard_measures() -> tuple[Measure, Bound]:
+    """The Jaccard similarity of sets, of which empty ones are equal, and the most that two blocks of sets allow."""
 
     def measure(shared: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         union = a + b - shared
         return np.where(union == 0, 1.0, shared / np.maximum(union, 1))
 
-    return _attribute_topk(games, attrs, k, measure)
+    def bound(shared: np.ndarray, a: tuple, b: tuple) -> np.ndarray:
+        most, left, right = _fewest_extra(shared, a, b)
+        best = np.where(most > 0, most / np.maximum(most + left + right, 1), 0.0)
+        return np.where((a[0] == 0) & (b[0] == 0), 1.0, best)
+
+    return measure, bound
+
+
+def hamming_topk(games: DataFrame, attrs: DataFrame, k: int, stats: dict | None = None) -> DataFrame:
+    """K2: the ``k`` games nearest by Hamming similarity to every game, disjoint small sets included.
+
+    ``stats`` receives the pairs of blocks and of rows there are, and those that were compared (met, scored).
+    """
+    size = max(1, attrs.select("kind", "name").distinct().count())
+    return _attribute_topk(games, attrs, k, *hamming_measures(size), stats)
+
+
+def jaccard_topk(games: DataFrame, attrs: DataFrame, k: int, stats: dict | None = None) -> DataFrame:
+    """K3: the ``k`` games nearest by Jaccard similarity to every game; ``stats`` as for K2."""
+    return _attribute_topk(games, attrs, k, *jaccard_measures(), stats)
+
+
+def _nearest_pivots(rows: DataFrame, pivots: int) -> DataFrame:
+    """``rows`` with ``pivot``: which of some drawn rows is most like each, judged by the pivots' 100 largest weights.
+
+    At most 256 pivots are drawn, so what the tasks are sent is bounded. They only say which rows share a block.
+    """
+    drawn = rows.orderBy(F.xxhash64("key"), "key").limit(pivots).select(
+        "key", F.slice(F.array_sort(F.transform(F.arrays_zip("terms", "weights"), lambda x: F.struct((-x["weights"]).alias("w"), x["terms"].alias("t")))), 1, 100).alias("p"))
+    table = drawn.select("key", F.col("p.t").alias("terms"), F.transform("p.w", lambda w: -w).alias("weights")).toPandas()
+    held = vectors(table)
+
+    def label(parts):
+        for part in parts:
+            part = part.sort_values("key")
+            like = inner_products(vectors(part), held)
+            yield part.assign(pivot=like.argmax(axis=1) if like.size else 0)
+
+    return rows.mapInPandas(label, "key long, terms array<long>, weights array<double>, pivot long")
 
 
-def cosine_topk(tfidf: DataFrame, k: int, digits: int = 9) -> DataFrame:
+def cosine_topk(tfidf: DataFrame, k: int, digits: int = 9, stats: dict | None = None) -> DataFrame:
     """K4: the ``k`` documents nearest to every document by cosine of their TF-IDF rows.
 
     Scores are rounded to ``digits`` places before they are ranked, so sums taken in another order
-    cannot change a tie.
+    cannot change a tie. No two documents of two blocks are more alike than the product of the blocks' largest weights per
+    term. ``stats`` as for K2.
     """
     pairs = F.array_sort(F.collect_list(F.struct("term_id", "tfidf")))
     rows = tfidf.groupBy(F.col("doc_id").cast("long").alias("key")).agg(pairs.alias("_p")).select(
         "key", F.col("_p.term_id").alias("terms"), F.col("_p.tfidf").alias("weights")
     )
-    near = nearest_rows(cut_lineage(rows), k + 1, lambda dot, a, b: np.round(dot, digits), TEXT_BLOCK)
-    others = near.where(F.col("key") != F.col("partner"))
+    rows = cut_lineage(rows)
+    rows = _nearest_pivots(rows, min(256, max(1, rows.count() // PIVOT_ROWS)))
+    found = best_partners(
+        rows, k + 1, lambda dot, a, b: np.round(dot, digits), lambda dot, a, b: dot + 10.0**-digits, TEXT_BLOCK, [F.col("pivot"), F.col("key")],
+        count=stats is not None)
+    if stats is not None:
+        stats.update(pairs=found.pairs, met=found.met, row_pairs=found.row_pairs, scored=found.scored)
+    others = found.best.where(F.col("key") != F.col("partner"))
     return top_per_key(others, ["key"], [F.col("score").desc(), F.col("partner")], k, "rank").select(
         F.col("key").alias("doc_id"), F.col("partner").alias("other_id"), F.col("score").alias("similarity"), "rank"
     )

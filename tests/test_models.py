@@ -39,6 +39,45 @@ def test_recommend_all_matches_scoring_every_pair(spark, rated, monkeypatch, blo
     assert n == len(got)
 
 
+class Factors:
+    """A model of given factors."""
+
+    def __init__(self, spark, users, games):
+        kind = "id int, features array<float>"
+        self.userFactors = spark.createDataFrame([(i, list(map(float, f))) for i, f in enumerate(users)], kind)
+        self.itemFactors = spark.createDataFrame([(i, list(map(float, f))) for i, f in enumerate(games)], kind)
+
+
+@pytest.mark.parametrize("signed", [False, True])
+def test_recommend_all_stops_early_and_is_exact(spark, monkeypatch, signed):
+    """Games of very different lengths: most are never scored; equal games and zero factors have ties."""
+    monkeypatch.setattr(collab, "USERS_PER_BLOCK", 8)
+    monkeypatch.setattr(collab, "GAMES_PER_BLOCK", 10)
+    monkeypatch.setattr(collab, "FIRST_BLOCKS", 2)
+    rng = np.random.default_rng(2)
+    users = rng.random((40, 4)) - (0.5 if signed else 0)
+    games = (rng.random((300, 4)) - (0.5 if signed else 0)) * rng.pareto(2, 300)[:, None]
+    games[100:120], users[:2], games[:3] = games[99], 0, 0
+    users, games = users.astype("f4").astype("f8"), games.astype("f4").astype("f8")
+    # User 5 has rated nearly everything, user 6 all.
+    seen = {(5, g) for g in range(297)} | {(6, g) for g in range(300)} | {(u, g) for u in range(40) for g in rng.choice(300, 5).tolist()}
+    ratings = spark.createDataFrame([(u, g, 1.0) for u, g in seen], "user_id int, game_id int, rating double")
+    stats, got = {}, {}
+    for r in collab.recommend_all(Factors(spark, users, games), ratings, 6, stats=stats).collect():
+        got.setdefault(r["user_id"], {})[r["rank"]] = (r["game_id"], round(r["prediction"], 9))
+    for u in range(40):
+        scores = [(-round(float(users[u] @ games[g]), 9), g) for g in range(300) if (u, g) not in seen]
+        assert [got.get(u, {}).get(i + 1) for i in range(min(6, len(scores)))] == [(g, -s) for s, g in sorted(scores)[:6]]
+    assert 6 not in got and len(got[5]) == 3
+    assert stats["users"] == 40 and stats["games"] == 300 and stats["scored"] < 40 * 300 / 2
+
+
+def test_recommend_all_without_factors(spark):
+    ratings = spark.createDataFrame([], "user_id int, game_id int, rating double")
+    none = Factors(spark, np.zeros((0, 2)), np.ones((3, 2)))
+    assert collab.recommend_all(none, ratings, 5).collect() == []
+
+
 def test_recommend_chosen_users(spark, rated):
     ratings, model = rated
     chosen = spark.createDataFrame([(3,), (9000,), (123456,)], "user_id int")

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from ludoscope.functions import blocks
-from ludoscope.operators import similar
+from ludoscope.operators import bounded, similar
 from ludoscope.operators.text import tfidf
 
 
@@ -96,3 +96,71 @@ def test_cosine_topk_is_exact(spark, monkeypatch, block, tile):
         scored = sorted(
             (-round(sum(x * vectors[o].get(w, 0.0) for w, x in v.items()), 9), o) for o in vectors if o != d)
         assert got[d] == [(o, round(-s, 6)) for s, o in scored[:4]]
+
+
+def test_blocks_that_cannot_matter_never_meet(spark, monkeypatch):
+    """Games of some families that share nothing, of different sizes: blocks of different families are ruled out."""
+    monkeypatch.setattr(similar, "ATTR_BLOCK", 20)
+    monkeypatch.setattr(bounded, "FIRST_ROUND", 2)
+    rnd = random.Random(5)
+    sets = {}
+    for family in range(8):
+        names = [f"f{family}n{i}" for i in range(14)]
+        for g in range(60):
+            sets[100 * family + g] = frozenset(rnd.sample(names, 2 + family))
+    games = spark.createDataFrame([(g,) for g in sets], "game_id int")
+    attrs = spark.createDataFrame([(g, "m", n) for g, s in sets.items() for n in s], "game_id int, kind string, name string")
+    size = len(set().union(*sets.values()))
+    for name, measure in (("jaccard_topk", jaccard), ("hamming_topk", hamming)):
+        stats, got = {}, {}
+        for r in getattr(similar, name)(games, attrs, 3, stats=stats).orderBy("game_id", "rank").collect():
+            got.setdefault(r["game_id"], []).append(r["other_id"])
+        for g, s in sets.items():
+            assert got[g] == [o for _, o in sorted((-measure(s, t, size), o) for o, t in sets.items() if o != g)[:3]]
+        assert stats["met"] < stats["pairs"] / 2
+
+
+def test_texts_of_different_words_never_meet(spark, monkeypatch):
+    monkeypatch.setattr(similar, "TEXT_BLOCK", 16)
+    rnd = random.Random(4)
+    rows = [(100 * t + d, " ".join(rnd.choices([f"t{t}w{i}" for i in range(30)], k=12))) for t in range(6) for d in range(32)]
+    weights = tfidf(spark.createDataFrame(rows, "doc_id long, text string"), numbered=True)
+    stats, whole = {}, {}
+    got = sorted(map(tuple, similar.cosine_topk(weights, 3, stats=stats).collect()))
+    monkeypatch.setattr(similar, "TEXT_BLOCK", 10_000)
+    assert got == sorted(map(tuple, similar.cosine_topk(weights, 3, stats=whole).collect()))
+    assert whole == {"pairs": 1, "met": 1, "row_pairs": 192**2, "scored": 192**2}
+    assert stats["met"] < 0.8 * stats["pairs"] and stats["scored"] < 0.6 * stats["row_pairs"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_strips_leave_out_only_what_cannot_enter(monkeypatch, seed):
+    monkeypatch.setattr(bounded, "STRIP", 4)
+    rng = np.random.default_rng(seed)
+    dense = [(rng.random((n, 30)) < 0.3) * (np.arange(30) % 3 == (np.arange(n) // 5 % 3)[:, None]) for n in (23, 17)]
+    sides = []
+    for m in dense:
+        rows, terms = m.nonzero()
+        sides.append((np.arange(len(m)), rows, terms, np.ones(len(rows))))
+    measure, bound = similar.jaccard_measures()
+    full = measure((dense[0].astype(float) @ dense[1].T), dense[0].sum(axis=1)[:, None], dense[1].sum(axis=1)[None, :])
+    floors = tuple(rng.choice([-np.inf, 0.2, 0.5, 1.0], len(m)) for m in dense)
+    strips = tuple([np.flatnonzero(np.arange(len(m)) // 4 == i) for i in range(-(-len(m) // 4))] for m in dense)
+    table = bounded._scores(*sides, measure, bound, floors, strips)
+    needed = (full >= floors[0][:, None]) | (full >= floors[1][None, :])
+    assert (table[needed] == full[needed]).all() and (np.isneginf(table) | (table == full)).all()
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bounds_hold(seed):
+    """No pair of rows of two blocks scores above the bound of their summaries."""
+    rng = np.random.default_rng(seed)
+    n_terms = 12
+    sides = [(rng.random((5, n_terms)) < rng.uniform(0.05, 0.9)).astype(float) for _ in range(2)]
+    limits = [(m.sum(axis=1).min(), m.sum(axis=1).max()) for m in sides]
+    shared = sides[0] @ sides[1].T
+    a, b = sides[0].sum(axis=1)[:, None], sides[1].sum(axis=1)[None, :]
+    top = np.array([[sides[0].max(axis=0) @ sides[1].max(axis=0)]])
+    ends = [(np.array([[low]]), np.array([[high]])) for low, high in limits]
+    for measure, bound in (similar.jaccard_measures(), similar.hamming_measures(n_terms)):
+        assert measure(shared, a, b).max() <= bound(top, *ends)[0, 0] + 1e-12
