@@ -17,6 +17,8 @@ from ludoscope.llm.frames import ready
 SHORT, LONG = 70, 200
 LINKS_HIGH, LINKS_LOW = 0.5, 0.2
 STOPS_HIGH, STOPS_LOW = 0.15, 0.08
+#: Characters of running text from which a page has text of its own beside comments and adverts.
+LEAST_OWN = 40
 
 # Frequent function words of four languages.
 STOP_WORDS = frozenset(
@@ -32,7 +34,7 @@ STOP_WORDS = frozenset(
     """.split()
 )
 # Elements, class words and roles that hold no article text.
-SKIPPED = frozenset("nav footer aside form button select textarea noscript iframe template dialog menu head svg math object canvas audio video".split())
+SKIPPED = frozenset("nav footer aside button select textarea label legend datalist noscript iframe template dialog menu head svg math object canvas audio video".split())
 RAW = "script|style|title"
 SKIPPED_WORDS = frozenset(
     """
@@ -45,6 +47,16 @@ SKIPPED_WORDS = frozenset(
     toolbar copyright disclaimer legal footer footnav masthead topbar bottombar skip hidden print
     """.split()
 )
+#: Of these, the words for what readers, advertisers and the site put beside an article: such an element is not weighed against it.
+FOREIGN_WORDS = frozenset(
+    """
+    ad ads advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos promotion
+    cookie cookies consent gdpr newsletter subscribe subscription signup login signin register
+    comment comments commentlist disqus reply replies respond discussion
+    """.split()
+)
+#: A class that has one of these as well says something about the element's layout or state: has-comments, comments-open.
+STATE_WORDS = frozenset("has with without no open closed enabled disabled allow allowed is show hide".split())
 SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
 BLOCKS = frozenset(
     """
@@ -77,8 +89,9 @@ class Block:
     parts: list[tuple[str, bool, bool]] = field(default_factory=list)
     links: int = 0
     skipped: bool = False
-    #: The elements around it whose class or id speaks against them.
+    #: The elements around it whose class or id speaks against them; whether one of them is foreign to an article.
     marks: tuple[int, ...] = ()
+    foreign: bool = False
     article: bool = False
     heading: bool = False
     text: str = ""
@@ -104,10 +117,12 @@ class _Open:
     skipped: bool
     article: bool
     marks: tuple[int, ...] = ()
+    foreign: bool = False
 
 
-#: What speaks against an element: nothing, its class or id (weighed against what it holds), or its name, role, or that it is not shown.
-_NONE, _CLASS, _SURE = 0, 1, 2
+#: What speaks against an element: nothing, its class or id or that it is a form (weighed against what it holds), a class for what is
+#: foreign to an article (certain while there is other text), or its name, role, or that it is not shown.
+_NONE, _CLASS, _FOREIGN, _SURE = 0, 1, 2, 3
 
 
 def _against(name: str, attrs: str, inside: _Open) -> int:
@@ -116,15 +131,21 @@ def _against(name: str, attrs: str, inside: _Open) -> int:
         return _SURE
     if name == "header" and not inside.article:
         return _SURE
+    form = _CLASS if name == "form" else _NONE
     if not attrs or attrs.isspace() or name in ("html", "body", "main"):
-        return _NONE
-    found = _NONE
+        return form
+    found = form
     for key, *values in _ATTR.findall(attrs):
         key, value = key.lower(), next((v for v in values if v), "")
         if key in ("class", "id"):
-            words = {w.lower() for w in _PARTS.findall(value)}
-            if words & SKIPPED_WORDS or ("header" in words and not inside.article and name != "article"):
-                found = _CLASS
+            for one in value.split():
+                words = {w.lower() for w in _PARTS.findall(one)}
+                if words & FOREIGN_WORDS and not words & STATE_WORDS:
+                    found = _FOREIGN
+                elif words & SKIPPED_WORDS or ("header" in words and not inside.article and name != "article"):
+                    found = max(found, _CLASS)
+        elif key == "role" and value.lower() == "form":
+            found = max(found, _CLASS)
         elif key == "role" and value.lower() in SKIPPED_ROLES:
             return _SURE
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
@@ -156,17 +177,17 @@ def blocks(page: str) -> list[Block]:
                 current.marks = (*current.marks, n_marks)
             found.append(current)
         top = stack[-1]
-        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS, marks=top.marks)
+        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS, marks=top.marks, foreign=top.foreign)
 
     def put(raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
         if hidden[_SURE]:
             return
-        current.parts.append((text, bool(link), bool(hidden[_CLASS])))
+        current.parts.append((text, bool(link), bool(hidden[_CLASS] or hidden[_FOREIGN])))
 
     at = 0
     inline: list[tuple[str, int]] = []
-    hidden = [0, 0, 0]
+    hidden = [0, 0, 0, 0]
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             raw = page[at : m.start()]
@@ -198,7 +219,7 @@ def blocks(page: str) -> list[Block]:
                         del inline[k:]
                         break
             else:
-                gone = _against(name, attrs, stack[-1]) if attrs and not stack[-1].skipped else _NONE
+                gone = _against(name, attrs, stack[-1]) if (attrs or name in SKIPPED) and not stack[-1].skipped else _NONE
                 inline.append((name, gone))
                 hidden[gone] += 1
             continue
@@ -206,7 +227,7 @@ def blocks(page: str) -> list[Block]:
         close()
         # A block ends inline elements that were left open.
         inline.clear()
-        link, hidden = 0, [0, 0, 0]
+        link, hidden = 0, [0, 0, 0, 0]
         if end:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].name == name:
@@ -229,9 +250,10 @@ def blocks(page: str) -> list[Block]:
             gone = _against(name, attrs, top)
             n_marks += gone == _CLASS
             marks = (*top.marks, n_marks) if gone == _CLASS else top.marks
-            stack.append(_Open(name, gone == _SURE, gone != _SURE and (top.article or name in ("article", "main")), marks))
+            inside = gone != _SURE and (top.article or name in ("article", "main"))
+            stack.append(_Open(name, gone == _SURE, inside, marks, top.foreign or gone == _FOREIGN))
         top = stack[-1]
-        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS, marks=top.marks)
+        current = Block(skipped=top.skipped, article=top.article, heading=top.name in HEADINGS, marks=top.marks, foreign=top.foreign)
     if at < len(page):
         put(page[at:])
     close()
@@ -263,12 +285,18 @@ def weigh(found: list[Block]) -> tuple[bool, list[int]]:
     """Whether the page's language is one of the stop words', and how much running text each block has.
 
     It is one of theirs if half of the long link-poor text has enough of them. Running text is link-poor and has enough stop words, if
-    these are known. A class speaks against an element unless it holds most of the page's running text, or none is left elsewhere.
+    these are known. Comments, adverts and the like go while there is other text, however long they are. Another class, or being a form,
+    speaks against an element unless it holds most of the page's running text, or none is left elsewhere.
     """
     poor = [not b.skipped and b.density <= LINKS_LOW for b in found]
     long = [b for b, x in zip(found, poor) if x and len(b.text) >= SHORT]
     known = 2 * sum(len(b.text) for b in long if b.stops >= STOPS_HIGH) >= sum(len(b.text) for b in long)
     mass = [len(b.text) if x and (not known or b.stops >= STOPS_HIGH) else 0 for b, x in zip(found, poor)]
+    # What is foreign to an article is the page's text only if there is nothing else.
+    if any(b.article and not b.skipped and not b.foreign for b in found) or sum(n for b, n in zip(found, mass) if not b.foreign) >= LEAST_OWN:
+        for k, b in enumerate(found):
+            if b.foreign:
+                b.skipped, mass[k] = True, 0
     if any(b.marks for b in found):
         inside: dict[int, int] = {}
         for b, n in zip(found, mass):
@@ -303,14 +331,20 @@ def settle(found: list[Block]) -> list[bool]:
         while stop < len(found) and found[stop].skipped == found[begin].skipped:
             stop += 1
         if not found[begin].skipped:
-            decided = [i for i in range(begin, stop) if first[i] is not None]
+            # From the left and from the right, how far away the last decided block is, and its label.
+            near: list[tuple[int, bool]] = []
+            last = None
             for i in range(begin, stop):
+                last = i if first[i] is not None else last
+                near.append((i - last, bool(first[last])) if last is not None else (len(found), False))
+            last = None
+            for i in range(stop - 1, begin - 1, -1):
+                last = i if first[i] is not None else last
                 if first[i] is None:
-                    if decided:
-                        near = min(decided, key=lambda j: (abs(i - j), not first[j]))
-                        out[i] = bool(first[near])
-                    else:
-                        out[i] = found[i].article or not whole
+                    away, good = near[i - begin]
+                    if last is not None and (last - i, not first[last]) < (away, not good):
+                        away, good = last - i, bool(first[last])
+                    out[i] = good if away < len(found) else found[i].article or not whole
         begin = stop
     return out
 

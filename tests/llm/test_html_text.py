@@ -1,7 +1,9 @@
 """Main text of pages: the given ones, a page with every kind of surroundings, and broken markup."""
 
 import html
+import random
 import re
+import time
 
 import pyarrow.parquet as pq
 import pytest
@@ -61,6 +63,59 @@ def test_a_class_does_not_drop_most_of_the_text(tag):
     assert html_text.main_text(page) == f"Heading\n{long}\n{long}"
 
 
+COMMENTS = "".join(f"<li><p>{LONG * 4}</p></li>" for _ in range(8))
+
+
+@pytest.mark.parametrize("page", [
+    "<div class=post>{a}</div><div id=comments><ol>{c}</ol></div>", "<article>{a}</article><section class=comments>{c}</section>",
+    "<article>{a}<section class='post-comments'>{c}</section></article>", "<main>{a}<div class=replies>{c}</div></main>",
+    "<main><div class='post comments-open'>{a}</div><div class='comment-list'>{c}</div></main>", "<div>{a}</div><div class='disqus thread'>{c}</div>",
+    "<article class='has-comments'>{a}</article><div class=sponsored>{c}</div>", "<form><div>{a}</div><div id=comments>{c}</div></form>",
+])
+def test_comments_longer_than_the_article(page):
+    long = (LONG * 4).strip()
+    assert html_text.main_text(MENU + page.format(a=f"<h1>Heading</h1><p>{long}</p><p>{long}</p>", c=COMMENTS)) == f"Heading\n{long}\n{long}"
+
+
+def test_comments_are_text_where_there_is_nothing_else():
+    long = (LONG * 4).strip()
+    assert html_text.main_text(f"{MENU}<div class=discussion><p>{long}</p></div>") == long
+
+
+def test_a_page_in_a_form():
+    long = (LONG * 3).strip()
+    page = (
+        f"<form id=aspnetForm method=post><input type=hidden name=state value=x>{MENU}<div><h1>Heading</h1><p>{long}</p><p>{long}</p></div>"
+        f"<label>Your mail</label><label for=x>Name of yours</label><select><option>One</select><textarea>Write to us</textarea><button>Send</button></form>"
+    )
+    assert html_text.main_text(page) == f"Heading\n{long}\n{long}"
+    small = "<form><p>Tell us what you think of it and win</p><p>Name</p></form>"
+    assert html_text.main_text(f"<div><p>{long}</p>{small}<p>{long}</p></div>") == f"{long}\n{long}"
+    assert html_text.main_text(f"<article><p>{long}</p>{small}</article>") == long
+
+
+def test_many_blocks_take_time_in_proportion():
+    page = "<article>" + "<p>Short one.</p>" * 20_000 + "</article><div>" + "<p>Another.</p>" * 20_000 + f"<p>{LONG * 3}</p></div>"
+    begin = time.process_time()
+    assert html_text.main_text(page).count("Short one.") == 20_000
+    assert time.process_time() - begin < 6
+
+
+def plain_second_pass(first, articles, whole):
+    decided = [i for i, x in enumerate(first) if x is not None]
+    return [x if x is not None else (first[min(decided, key=lambda j: (abs(i - j), not first[j]))] if decided else articles[i] or not whole) for i, x in enumerate(first)]
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_second_pass_against_a_search(monkeypatch, seed):
+    draw = random.Random(seed)
+    first = [draw.choice([None, None, True, False] if seed % 3 else [None]) for _ in range(draw.randrange(1, 30))]
+    found = [html_text.Block(text="x" * 10) for _ in first]
+    verdicts = iter(first)
+    monkeypatch.setattr(html_text, "judge", lambda block, known: next(verdicts))
+    assert html_text.settle(found) == plain_second_pass(first, [False] * len(first), False)
+
+
 def test_an_inline_class_does_not_drop_words():
     long = (LONG * 3).strip()
     assert html_text.main_text(f"<p>{long} <span class='notice'>Some words</span> <a class='share' href=x>Tweet it</a> {long}</p>") == f"{long} Some words {long}"
