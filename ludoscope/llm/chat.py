@@ -37,9 +37,67 @@ def _fields(arguments: Column) -> Column:
     return F.array_sort(entries)
 
 
+def _canonical_number(token: Column) -> Column:
+    """A number as RFC 8785 writes it: the shortest decimal of its double, without exponent from 1e-6 up to below 1e21."""
+    value = token.try_cast("double")
+    text = F.abs(value).cast("string")
+    whole, fraction = F.regexp_extract(text, r"^([0-9]+)", 1), F.regexp_extract(text, r"\.([0-9]+)", 1)
+    exponent = F.coalesce(F.regexp_extract(text, r"E(-?[0-9]+)$", 1).try_cast("int"), F.lit(0))
+    every = F.concat(whole, fraction)
+    stripped = F.regexp_replace(every, "^0+", "")
+    digits = F.regexp_replace(stripped, "0+$", "")
+    n = F.length(whole) + exponent - (F.length(every) - F.length(stripped))
+    k = F.length(digits)
+    power = F.concat(F.when(n > 0, "+").otherwise("-"), F.abs(n - 1).cast("string"))
+    plain = (
+        F.when(k == 0, "0").when((k <= n) & (n <= 21), F.concat(digits, F.repeat(F.lit("0"), n - k)))
+        .when((n > 0) & (n <= 21), F.concat(F.substring(digits, 1, n), F.lit("."), F.substring(digits, n + 1, k)))
+        .when((n > -6) & (n <= 0), F.concat(F.lit("0."), F.repeat(F.lit("0"), -n), digits))
+        .when(k == 1, F.concat(digits, F.lit("e"), power))
+        .otherwise(F.concat(F.substring(digits, 1, 1), F.lit("."), F.substring(digits, F.lit(2), k), F.lit("e"), power))
+    )
+    infinite = F.coalesce(F.abs(value) == float("inf"), F.lit(True))
+    return F.when(infinite, token).when(value < 0, F.concat(F.lit("-"), plain)).otherwise(plain)
+
+
+# Strings, numbers, and all between them.
+_JSON_TOKENS = r'"(?:[^"\\]++|\\.)*+"|-?[0-9][0-9.eE+-]*+|[^"0-9-]++'
+#: Without one of these outside or inside of strings, all numbers are short integers and stand as they should.
+_ODD_NUMBER = r"[0-9][.eE]|[0-9]{16}|-0"
+
+
 def canonical_json(value: Column) -> Column:
-    """JSON text without white space, the members of every object in the order of their names; null if it is not JSON."""
-    return F.to_json(F.try_parse_json(value))
+    """JSON text as RFC 8785 has it: no white space, members in the order of their names, numbers as those of doubles.
+
+    Null if it is no JSON; an object that has a name twice is none.
+    """
+    text = F.to_json(F.try_parse_json(value))
+    tokens = F.regexp_extract_all(text, F.lit(_JSON_TOKENS), 0)
+    numbered = F.transform(tokens, lambda t: F.when(t.rlike("^-?[0-9]"), _canonical_number(t)).otherwise(t))
+    return F.when(text.rlike(_ODD_NUMBER), F.array_join(numbered, "")).otherwise(text)
+
+
+def arguments_json(arguments: Column) -> Column:
+    """A call's arguments in canonical JSON, given as a value or, as on the wire, as a string that holds one; other text as a string."""
+    return F.coalesce(canonical_json(arguments), json_string(arguments))
+
+
+def calls_json(calls: Column) -> Column:
+    """A message's calls in canonical JSON, their arguments as ``arguments_json`` has them; what is no array of objects as it is."""
+    given = F.from_json(calls, "array<struct<arguments:string>>")
+    members = F.from_json(F.to_json(F.try_parse_json(calls)), "array<map<string,variant>>")
+
+    def one(call: Column, i: Column) -> Column:
+        arguments = F.coalesce(arguments_json(F.get(given, i)["arguments"]), F.lit("null"))
+        pairs = F.transform(
+            F.map_entries(call),
+            lambda e: F.struct(e["key"].alias("key"), F.when(e["key"] == "arguments", arguments).otherwise(canonical_json(F.to_json(e["value"]))).alias("value")),
+        )
+        return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(json_string(p["key"]), F.lit(":"), p["value"])), ","), F.lit("}"))
+
+    objects = F.coalesce(~F.exists(members, lambda m: m.isNull()), F.lit(False)) & F.trim(calls).startswith("[")
+    listed = F.concat(F.lit("["), F.array_join(F.transform(members, one), ","), F.lit("]"))
+    return F.coalesce(F.when(objects, listed), canonical_json(calls), json_string(calls))
 
 
 def _problem(fields: Column, params: Column) -> Column:
@@ -84,8 +142,16 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     repeated under one name that with the most params counts, of those the largest as text. A call that is no object, or without id, is dropped
     from none of the counts: its identifier is null, and null identifiers never meet.
     """
-    # The numbers tell equal rows apart, and are stored so that every later step sees the same ones.
-    rows = stored(messages.select("conv_id", "turn", "role", "text", "calls", "call_id", F.monotonically_increasing_id().alias("id")), "messages")
+    return _link(_numbered(messages), schemas).drop("call_row", "result_row")
+
+
+def _numbered(messages: DataFrame) -> DataFrame:
+    """The messages with numbers that tell equal rows apart, stored so that every later step sees the same ones."""
+    return stored(messages.select("conv_id", "turn", "role", "text", "calls", "call_id", F.monotonically_increasing_id().alias("id")), "messages")
+
+
+def _link(rows: DataFrame, schemas: DataFrame) -> DataFrame:
+    """``link_calls`` on numbered rows, with the numbers of the call's and the result's message."""
     parsed = F.from_json("calls", "array<struct<id:string,name:string,arguments:string>>")
     calls = rows.where(F.col("calls").isNotNull()).select("conv_id", "turn", "id", F.posexplode(parsed).alias("place", "c"))
     calls = calls.select("conv_id", "turn", "id", "place", F.col("c.id").alias("call_id"), F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments"))
@@ -98,10 +164,10 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
         .when(F.col("params").isNull(), "unknown tool").otherwise(_problem(F.col("fields"), F.col("params")))
     )
     calls = calls.select(
-        "conv_id", "call_id", "n", "name", F.coalesce(canonical_json(F.col("arguments")), json_string(F.col("arguments"))).alias("arguments"),
+        "conv_id", "call_id", "n", "name", arguments_json(F.col("arguments")).alias("arguments"), F.col("id").alias("call_row"),
         F.col("turn").alias("call_turn"), F.col("place").alias("call_place"), problem.alias("problem"), F.lit(True).alias("called"),
     )
-    results = results.select("conv_id", "call_id", "n", F.col("turn").alias("result_turn"), "result", F.lit(True).alias("answered"))
+    results = results.select("conv_id", "call_id", "n", F.col("id").alias("result_row"), F.col("turn").alias("result_turn"), "result", F.lit(True).alias("answered"))
     both = calls.alias("c").join(
         results.hint("shuffle_hash").alias("r"),
         (F.col("c.conv_id") == F.col("r.conv_id")) & (F.col("c.call_id") == F.col("r.call_id")) & (F.col("c.n") == 1) & (F.col("r.n") == 1), "full",
@@ -113,7 +179,7 @@ def link_calls(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     )
     return both.select(
         F.coalesce("c.conv_id", "r.conv_id").alias("conv_id"), F.coalesce("c.call_id", "r.call_id").alias("call_id"), "name", "arguments",
-        "call_turn", "call_place", "result_turn", "result", status.alias("status"), "problem",
+        "call_turn", "call_place", "result_turn", "result", status.alias("status"), "problem", "call_row", "result_row",
     )
 
 
@@ -125,9 +191,13 @@ def topological_order(messages: DataFrame, links: DataFrame) -> DataFrame:
     role, call and text. All rows are numbered in one global order of even ranges, less the number of the conversation's
     first row, so a very long conversation is dealt over many tasks.
     """
-    early = links.where("status = 'early'").select("conv_id", F.col("call_id"), F.col("call_turn").alias("_after"), F.col("result_turn").alias("turn"))
-    early = early.withColumn("role", F.lit("tool")).dropDuplicates(["conv_id", "call_id", "turn"])
-    moved = messages.join(early, ["conv_id", "call_id", "turn", "role"], "left")
+    early = links.where("status = 'early'")
+    if "result_row" in links.columns and "id" in messages.columns:
+        early = early.select(F.col("result_row").alias("id"), F.col("call_turn").alias("_after"))
+        moved = messages.join(early, "id", "left")
+    else:
+        early = early.select("conv_id", "call_id", F.col("call_turn").alias("_after"), F.col("result_turn").alias("turn"), F.lit("tool").alias("role"))
+        moved = messages.join(early.dropDuplicates(["conv_id", "call_id", "turn"]), ["conv_id", "call_id", "turn", "role"], "left")
     rows = moved.withColumn("_rank", F.coalesce("_after", "turn")).withColumn("_late", F.when(F.col("_after").isNull(), 0).otherwise(1))
     rows = rows.drop("_after")
     order = [F.col(c).asc_nulls_first() for c in ("conv_id", "_rank", "_late", "turn", "role", "call_id", "text", "calls") if c in rows.columns]
@@ -145,25 +215,24 @@ def format_messages(messages: DataFrame, schemas: DataFrame) -> DataFrame:
     largest status by (orphan, repeated, missing, early, ok) and the first problem by text. Every row gives a line; null text
     is no content, an unknown role stays, a null role is no role. Columns beyond those named are ignored.
     """
-    needed = ["conv_id", "turn", "role", "text", "calls", "call_id"]
-    rows = stored(ready(messages).select(*needed), "messages")
-    links = stored(link_calls(rows, schemas), "links")
+    rows = _numbered(ready(messages))
+    links = stored(_link(rows, schemas), "links")
     ranks = {"ok": 0, "early": 1, "missing": 2, "repeated": 3, "orphan": 4}
     rank = F.coalesce(*[F.when(F.col("status") == s, F.lit(r)) for s, r in ranks.items()])
     worst = F.max_by("status", rank).alias("status")
-    of_calls = links.where("call_turn is not null").groupBy("conv_id", F.col("call_turn").alias("turn")).agg(worst, F.min("problem").alias("problem"))
-    of_results = links.where("result_turn is not null").groupBy("conv_id", F.col("result_turn").alias("turn"), "call_id").agg(worst)
+    # By the numbers of rows, not by keys: keys can be null, and two messages can stand at one turn.
+    of_calls = links.where("call_row is not null").groupBy(F.col("call_row").alias("id")).agg(worst, F.min("problem").alias("problem"))
+    of_results = links.where("result_row is not null").select(F.col("result_row").alias("id"), F.col("status").alias("answer"))
     placed = topological_order(rows, links)
-    calls = placed.where("calls is not null").join(of_calls, ["conv_id", "turn"], "left")
-    answers = placed.where("calls is null and role = 'tool'").join(of_results, ["conv_id", "turn", "call_id"], "left").withColumn("problem", F.lit(None).cast("string"))
-    other = placed.where("calls is null and not coalesce(role = 'tool', false)").withColumn("status", F.lit(None).cast("string")).withColumn("problem", F.lit(None).cast("string"))
-    every = calls.unionByName(answers).unionByName(other)
+    every = placed.join(of_calls, "id", "left").join(of_results, "id", "left")
+    calling = F.col("calls").isNotNull()
+    every = every.withColumn("status", F.when(calling, F.col("status")).otherwise(F.col("answer")))
 
     def member(key: str, value: Column) -> Column:
         return F.concat(F.lit(f'"{key}":'), value)  # Null without a value.
 
     line = F.concat_ws(
-        ",", member("call_id", json_string(F.col("call_id"))), member("calls", F.coalesce(canonical_json(F.col("calls")), json_string(F.col("calls")))),
+        ",", member("call_id", json_string(F.col("call_id"))), member("calls", calls_json(F.col("calls"))),
         member("content", json_string(F.col("text"))), member("role", json_string(F.col("role"))),
     )
     return every.select("conv_id", "turn", "role", "place", F.concat(F.lit("{"), line, F.lit("}")).alias("line"), "status", "problem")

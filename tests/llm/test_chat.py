@@ -1,6 +1,8 @@
 """Tool calls linked with results, checked, ordered and written as canonical JSON."""
 
 import json
+import random
+from collections import Counter
 
 import pytest
 
@@ -60,6 +62,65 @@ def test_lines_and_order(spark, schemas):
     assert chat.format_messages(messages.limit(0), schemas).count() == 0
 
 
+@pytest.mark.parametrize("given, canonical", [
+    ("1.0", "1"), ("1e2", "100"), ("1E20", "100000000000000000000"), ("100000000000000000000", "100000000000000000000"), ("1e21", "1e+21"), ("-0", "0"), ("-0.0", "0"),
+    ("0.000001", "0.000001"), ("1e-7", "1e-7"), ("-123.4500", "-123.45"), ("1.5e300", "1.5e+300"), ("12e-9", "1.2e-8"), ("123456789012345680000", "123456789012345680000"),
+    ("333333333.33333329", "333333333.3333333"), ("4.50", "4.5"), ("2e-3", "0.002"), ('{"b":1.0,"a":[1e2,"1e2 \\\\" 2.0",{"c":-1.50}]}', '{"a":[100,"1e2 \\\\" 2.0",{"c":-1.5}],"b":1}'),
+    ('{"a":1,"a":2}', None), ("", None), ('"x"', '"x"'), (" [ ] ", "[]"), ("no", None),
+])
+def test_canonical_form(spark, given, canonical):
+    given, canonical = (x.replace("\\\\", "\\") if x else x for x in (given, canonical))
+    got = spark.createDataFrame([(given,)], "v string").select(chat.canonical_json(chat.F.col("v"))).first()[0]
+    assert got == canonical
+    if canonical:
+        assert json.loads(got) == pytest.approx(json.loads(given)) if given[0] in "-0123456789" else json.loads(got) == json.loads(given)
+
+
+def test_arguments_as_a_string_are_those_as_an_object(spark, schemas):
+    value = {"y": 1e2, "x": 1.0, "note": "2.0"}
+    rows = [(1, 0, "assistant", None, call("a", value), None, 1), (2, 0, "assistant", None, call("a", json.dumps(value)), None, 1), (3, 0, "assistant", None, call("a", "plain {"), None, 1)]
+    messages = spark.createDataFrame(rows, COLUMNS)
+    lines = {r["conv_id"]: json.loads(r["line"])["calls"][0]["arguments"] for r in chat.format_messages(messages, schemas).collect()}
+    assert lines == {1: value, 2: value, 3: "plain {"}
+    texts = {r["conv_id"]: r["arguments"] for r in chat.link_calls(messages, schemas).collect()}
+    assert texts == {1: '{"note":"2.0","x":1,"y":100}', 2: '{"note":"2.0","x":1,"y":100}', 3: '"plain {"'}
+    raw = {r["conv_id"]: r["line"] for r in chat.format_messages(messages, schemas).collect()}
+    assert raw[1] == raw[2] and all(texts[k] in raw[k] for k in raw)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_lines_and_links_agree(spark, schemas, seed):
+    """Every message with calls or a result has a status, that of its links, whatever keys are null or repeated."""
+    draw = random.Random(seed)
+    rows = []
+    for i in range(120):
+        conv, turn, name = draw.choice([None, 1, 2, 3]), draw.choice([None, 0, 1, 2, 3]), draw.choice([None, "a", "b", "c"])
+        arguments = draw.choice([{"x": 1}, '{"x":1e0}', {"x": "s"}, [], "text", None, 2.0])
+        if draw.random() < 0.5:
+            rows.append((conv, turn, "assistant", f"{i}", call(name, arguments), None, 1))
+        else:
+            rows.append((conv, turn, draw.choice(["tool", "tool", "user", None]), f"{i}", None, name, 1))
+    messages = spark.createDataFrame(rows, COLUMNS)
+    lines = chat.format_messages(messages, schemas).collect()
+    links = chat.link_calls(messages, schemas).collect()
+    assert len(lines) == len(rows)
+    given = {r[3]: r for r in rows}
+    by_text = {json.loads(r["line"])["content"]: r for r in lines}
+    for text, r in by_text.items():
+        conv, turn, role, _, calls, *_ = given[text]
+        assert (r["status"] is not None) == (calls is not None or role == "tool")
+    results = Counter((r["result"], r["status"]) for r in links if r["result"] is not None)
+    assert results == Counter((t, r["status"]) for t, r in by_text.items() if given[t][4] is None and given[t][2] == "tool")
+    called = Counter((r["conv_id"], r["call_turn"], r["status"], r["problem"]) for r in links if r["name"] is not None)
+    assert called == Counter((r["conv_id"], r["turn"], r["status"], r["problem"]) for t, r in by_text.items() if given[t][4] is not None)
+
+
+def test_two_messages_at_one_turn_keep_their_own_status(spark, schemas):
+    rows = [(1, 0, "assistant", "p", call("a", {"x": 1}), None, 1), (1, 0, "assistant", "q", call("b", {"z": 1}), None, 1), (1, 1, "tool", "r", None, "a", 1)]
+    got = {json.loads(r["line"])["content"]: (r["status"], r["problem"]) for r in chat.format_messages(spark.createDataFrame(rows, COLUMNS), schemas).collect()}
+    assert got == {"p": ("ok", None), "q": ("missing", "unknown: z"), "r": ("ok", None)}
+
+
 def test_no_python_on_the_executors(spark, schemas):
     messages = spark.createDataFrame([(1, 0, "assistant", None, call("a", {"x": 1}), None, 1)], COLUMNS)
     plan = chat.format_messages(messages, schemas)._jdf.queryExecution().toString()
