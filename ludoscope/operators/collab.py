@@ -16,6 +16,8 @@ from ludoscope.session import cut_lineage, shared_dir
 
 USERS_PER_BLOCK = 1024
 GAMES_PER_BLOCK = 1024
+#: Bytes of all games' factors up to which they are sent to every task.
+SMALL_FACTORS = 64 << 20
 #: Blocks of games a block of users meets in the first round, and how many times more up to the end of each one after.
 FIRST_BLOCKS, BLOCK_GROWTH = 4, 8
 
@@ -176,18 +178,103 @@ def recommend_all(
 ) -> DataFrame:
     """The ``n`` best unrated games of every user, or of the given ones: (user_id, game_id, prediction, rank).
 
-    Games are put in blocks from the longest factor down, users in blocks of like direction. A task holds one block of
-    users, one of games and the ratings between them, multiplies the factors, leaves out what is rated and passes on ``n``
-    games per user. A user's blocks of games come in the order of their highest possible prediction, in rounds; once a user's
-    ``n``-th prediction is above that of a block, the user needs none of its games, and a block of users that needs
-    none never meets it. The result is that of all products. Someone who rated a third of all games costs no more than
-    anybody else. ``stats`` receives users, games and scored, the number of predictions worked out.
+    Games are put in blocks from the longest factor down. Once a user's ``n``-th prediction is above the highest possible one of
+    a block, the user needs none of its games; the result is that of all products. Factors of games up to ``SMALL_FACTORS``
+    bytes go to every task, which takes its users through the blocks and stops when nobody needs more. Beyond that, blocks of
+    users, of like direction, meet blocks of games in rounds, the most promising first, and a block of users that
+    needs none of a block's games never meets it. ``stats`` receives users, games and scored, the number of predictions worked out.
     """
     user_factors, game_factors = model.userFactors, model.itemFactors
     if users is not None:
         user_factors = user_factors.join(
             users.select(F.col("user_id").alias("id")).distinct(), "id", "left_semi"
         )
+    n_games = game_factors.count()
+    if 4 * model.rank * n_games <= SMALL_FACTORS:
+        return _recommend_small(user_factors, game_factors, ratings, n, stats)
+    return _recommend_in_rounds(user_factors, game_factors, ratings, n, stats)
+
+
+def _slack(floor: np.ndarray) -> np.ndarray:
+    """A little below, as sums taken in another order may differ."""
+    return floor - 1e-9 * np.maximum(1, np.abs(floor))
+
+
+def _recommend_small(user_factors: DataFrame, game_factors: DataFrame, ratings: DataFrame, n: int, stats: dict | None) -> DataFrame:
+    """``recommend_all`` with the games' factors in every task."""
+    spark = user_factors.sparkSession
+    table = game_factors.toPandas()
+    n_users = user_factors.count()
+    schema = "user_id int, game_id int, prediction double, rank int"
+    if not len(table) or not n_users:
+        return spark.createDataFrame([], schema)
+    factors = np.stack(table["features"]).astype("f8")
+    norms = np.sqrt((factors * factors).sum(axis=1))
+    order = np.lexsort((table["id"].to_numpy(), -norms))
+    ids, factors, norms = table["id"].to_numpy()[order], factors[order], norms[order]
+    starts = np.arange(0, len(ids), GAMES_PER_BLOCK)
+    extremes = norms[starts], np.maximum.reduceat(factors, starts), np.minimum.reduceat(factors, starts)
+    sent = spark.sparkContext.broadcast((ids, factors.astype("f4"), extremes))
+    blocks, count = max(1, -(-n_users // USERS_PER_BLOCK)), stats is not None
+
+    def block(col: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(col).cast("int")), F.lit(blocks)).cast("int").alias("ub")
+
+    def best(cell: pd.DataFrame, seen: pd.DataFrame) -> pd.DataFrame:
+        gid, table, (norm, high, low) = sent.value
+        if cell.empty:
+            return pd.DataFrame({"user_id": [], "game_id": [], "prediction": [], "rank": []})
+        cell = cell.sort_values("id")
+        uid, users = cell["id"].to_numpy(), np.stack(cell["features"]).astype("f8")
+        by_id = np.argsort(gid)
+        seen = seen[seen["user_id"].isin(uid) & seen["game_id"].isin(gid)]
+        rated_game = by_id[np.searchsorted(gid[by_id], seen["game_id"].to_numpy())]
+        rated_user = np.searchsorted(uid, seen["user_id"].to_numpy())
+        turn = np.argsort(rated_game, kind="stable")
+        rated_game, rated_user = rated_game[turn], rated_user[turn]
+        reach = _reach(users, norm, high, low)
+        top, named, scored = np.full((len(uid), n), -np.inf), np.full((len(uid), n), np.iinfo("i4").max), 0
+        for b, start in enumerate(range(0, len(gid), GAMES_PER_BLOCK)):
+            floor = _slack(top[:, -1])
+            # Games from here on are no longer than this block's longest.
+            if (reach[:, b:].max(axis=1) < floor).all():
+                break
+            live = np.flatnonzero(reach[:, b] >= floor)
+            if not len(live):
+                continue
+            stop = min(start + GAMES_PER_BLOCK, len(gid))
+            scores = users[live] @ table[start:stop].astype("f8").T
+            low_seen, high_seen = np.searchsorted(rated_game, [start, stop])
+            row = np.searchsorted(live, rated_user[low_seen:high_seen]).clip(max=len(live) - 1)
+            held = live[row] == rated_user[low_seen:high_seen]
+            scores[row[held], rated_game[low_seen:high_seen][held] - start] = -np.inf
+            scored += scores.size
+            columns = np.argsort(gid[start:stop])
+            rows, cols = best_columns(scores[:, columns], n)
+            place = np.arange(len(rows)) - np.searchsorted(rows, np.arange(len(live)))[rows]
+            more, more_named = np.full((len(live), n), -np.inf), np.full((len(live), n), np.iinfo("i4").max)
+            more[rows, place], more_named[rows, place] = scores[rows, columns[cols]], gid[start:stop][columns[cols]]
+            both, both_named = np.hstack([top[live], more]), np.hstack([named[live], more_named])
+            keep = np.lexsort((both_named, -both), axis=1)[:, :n]
+            top[live], named[live] = np.take_along_axis(both, keep, 1), np.take_along_axis(both_named, keep, 1)
+        rows, ranks = np.nonzero(np.isfinite(top))
+        out = pd.DataFrame({"user_id": uid[rows], "game_id": named[rows, ranks], "prediction": top[rows, ranks], "rank": ranks + 1})
+        # The count travels as a row of rank 0, of several if it is large.
+        counts = [min(scored - at, 1 << 30) for at in range(0, scored, 1 << 30)] if count else []
+        return pd.concat([out, pd.DataFrame({"user_id": uid[:1].repeat(len(counts)), "game_id": counts, "prediction": np.nan, "rank": 0})]) if counts else out
+
+    members = user_factors.select(block("id"), "id", "features")
+    rated = ratings.select(block("user_id"), F.col("user_id").cast("int").alias("user_id"), F.col("game_id").cast("int").alias("game_id")).distinct()
+    found = members.groupBy("ub").cogroup(rated.groupBy("ub")).applyInPandas(best, schema)
+    if count:
+        found = cut_lineage(found)
+        stats.update(users=n_users, games=len(ids), scored=found.where("rank = 0").agg(F.sum("game_id")).first()[0] or 0)
+        found = found.where("rank > 0")
+    return found
+
+
+def _recommend_in_rounds(user_factors: DataFrame, game_factors: DataFrame, ratings: DataFrame, n: int, stats: dict | None) -> DataFrame:
+    """``recommend_all`` with blocks of users and of games that meet in rounds."""
     length = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double"))
     games = with_position(game_factors, [length.desc(), F.col("id")], "_place", start=0)
     games = cut_lineage(games.select(F.floor(F.col("_place") / GAMES_PER_BLOCK).cast("long").alias("gb"), "id", "features"))
@@ -203,14 +290,11 @@ def recommend_all(
     rated = salted_lookup(rated, members.select(F.col("id").alias("user_id"), "ub"), "user_id", ["game_id"])
     rated = cut_lineage(salted_lookup(rated, games.select(F.col("id").alias("game_id"), "gb"), "game_id", ["user_id"]))
 
-    def slack(floor: np.ndarray) -> np.ndarray:
-        return floor - 1e-9 * np.maximum(1, np.abs(floor))
-
     def next_blocks(start: int, stop: int):
         def choose(block: pd.DataFrame) -> pd.DataFrame:
             reach = _reach(np.stack(block["features"]).astype("f8"), norm, high, low)
             order = np.argsort(-reach.max(axis=0), kind="stable")[start:]
-            wanted = (reach[:, order] >= slack(block["floor"].to_numpy())[:, None]).any(axis=0)
+            wanted = (reach[:, order] >= _slack(block["floor"].to_numpy())[:, None]).any(axis=0)
             now = order[: stop - start][wanted[: stop - start]].tolist()
             # -1: there are more to come.
             now += [-1] if wanted[stop - start :].any() else []
@@ -226,7 +310,7 @@ def recommend_all(
             return nothing
         gb = int(gs["gb"].iloc[0])
         factors = np.stack(us["features"]).astype("f8")
-        live = _reach(factors, norm[gb : gb + 1], high[gb : gb + 1], low[gb : gb + 1])[:, 0] >= slack(us["floor"].to_numpy())
+        live = _reach(factors, norm[gb : gb + 1], high[gb : gb + 1], low[gb : gb + 1])[:, 0] >= _slack(us["floor"].to_numpy())
         us, factors = us[live], factors[live]
         if us.empty:
             return nothing
@@ -237,7 +321,7 @@ def recommend_all(
         scores[np.searchsorted(uid, seen["user_id"]), np.searchsorted(gid, seen["game_id"])] = -np.inf
         rows, cols = best_columns(scores, n)
         value = scores[rows, cols]
-        held = np.isfinite(value) & (value >= slack(floor)[rows])
+        held = np.isfinite(value) & (value >= _slack(floor)[rows])
         picked = pd.DataFrame({"user_id": uid[rows[held]], "game_id": gid[cols[held]], "prediction": value[held]})
         picked["scored"] = 0
         return pd.concat([picked, pd.DataFrame({"user_id": [uid[0]], "game_id": [gid[0]], "prediction": [np.nan], "scored": [scores.size]})])

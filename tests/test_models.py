@@ -22,9 +22,10 @@ def rated(spark, sf):
     return ratings, collab.fit_als(ratings, max_iter=3)
 
 
-@pytest.mark.parametrize("blocks", [(16, 32), (1024, 4096)])
-def test_recommend_all_matches_scoring_every_pair(spark, rated, monkeypatch, blocks):
+@pytest.mark.parametrize("blocks, small", [((16, 32), 0), ((16, 32), 1 << 20), ((1024, 4096), 1 << 20)])
+def test_recommend_all_matches_scoring_every_pair(spark, rated, monkeypatch, blocks, small):
     ratings, model = rated
+    monkeypatch.setattr(collab, "SMALL_FACTORS", small)
     monkeypatch.setattr(collab, "USERS_PER_BLOCK", blocks[0])
     monkeypatch.setattr(collab, "GAMES_PER_BLOCK", blocks[1])
     got = {(r["user_id"], r["rank"]): r["prediction"] for r in collab.recommend_all(model, ratings, 15).collect()}
@@ -44,13 +45,16 @@ class Factors:
 
     def __init__(self, spark, users, games):
         kind = "id int, features array<float>"
+        self.rank = len(games[0])
         self.userFactors = spark.createDataFrame([(i, list(map(float, f))) for i, f in enumerate(users)], kind)
         self.itemFactors = spark.createDataFrame([(i, list(map(float, f))) for i, f in enumerate(games)], kind)
 
 
+@pytest.mark.parametrize("small", [0, 1 << 20])
 @pytest.mark.parametrize("signed", [False, True])
-def test_recommend_all_stops_early_and_is_exact(spark, monkeypatch, signed):
+def test_recommend_all_stops_early_and_is_exact(spark, monkeypatch, signed, small):
     """Games of very different lengths: most are never scored; equal games and zero factors have ties."""
+    monkeypatch.setattr(collab, "SMALL_FACTORS", small)
     monkeypatch.setattr(collab, "USERS_PER_BLOCK", 8)
     monkeypatch.setattr(collab, "GAMES_PER_BLOCK", 10)
     monkeypatch.setattr(collab, "FIRST_BLOCKS", 2)

@@ -31,10 +31,11 @@ def jaccard(a, b, _):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
-@pytest.mark.parametrize("block", [7, 4096])
+@pytest.mark.parametrize("block, few", [(7, 1), (20, 8), (4096, 8)])
 @pytest.mark.parametrize("name, measure", [("hamming_topk", hamming), ("jaccard_topk", jaccard)])
-def test_topk_is_exact(spark, monkeypatch, name, measure, block):
+def test_topk_is_exact(spark, monkeypatch, name, measure, block, few):
     monkeypatch.setattr(similar, "ATTR_BLOCK", block)
+    monkeypatch.setattr(bounded, "FEW_BLOCKS", few)
     sets, size = catalogue()
     games = spark.createDataFrame([(g,) for g in sets], "game_id int")
     attrs = spark.createDataFrame([(g, "m", n) for g, s in sets.items() for n in s], "game_id int, kind string, name string")
