@@ -132,17 +132,34 @@ def _(spark, sf):
 _KEPT = "(source <> 'vox' OR url LIKE '%politics%')"
 
 
-@checked("W1_stream_articles", "links", f"""
+_STREAMED = f"""
     SELECT DISTINCT source, url, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM links WHERE {_KEPT}
       AND trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', ' ', 'g')) <> ''
-      AND trim(regexp_replace(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), '<[^>]*>', ' ', 'g')) <> ''""")
-def _(spark, sf):
+      AND trim(regexp_replace(regexp_extract(html, '(?is)<article[^>]*>(.*?)</article>', 1), '<[^>]*>', ' ', 'g')) <> ''"""
+
+
+def _streamed(spark, sf, **options):
     landing, out, mark = (scratch_path(spark, n) for n in ("links", "articles", "articles-mark"))
     links = fx.links(spark, sf)
     # Two landings, the second one holding the first again: what was seen is not added twice.
     for part in (links.where("page_id % 3 = 0"), links):
         tables.append_records(part, landing)
-        feeds.stream_articles(spark, landing, links.schema, out, mark).awaitTermination()
+        feeds.stream_articles(spark, landing, links.schema, out, mark, **options).awaitTermination()
+    return out
+
+
+@checked("W1_stream_articles", "links", _STREAMED)
+def _(spark, sf):
+    # A horizon that holds all these days: what was seen is in the stream's state.
+    out = _streamed(spark, sf, horizon_days=36_500)
+    return feeds.read_articles(spark, out).select("source", "url", F.date_format("date_published", "yyyy-MM-dd").alias("day"))
+
+
+@checked("W1_late_articles", "links", _STREAMED)
+def _(spark, sf):
+    # The days are older than the horizon: the store says what was seen. Then all batches but the last become one.
+    out = _streamed(spark, sf)
+    feeds.compact_articles(spark, out)
     return feeds.read_articles(spark, out).select("source", "url", F.date_format("date_published", "yyyy-MM-dd").alias("day"))
 
 

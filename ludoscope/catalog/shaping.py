@@ -82,8 +82,11 @@ def _(spark, sf):
 
 
 def _flags(where: str) -> str:
+    """Every game beside every feature, and whether it has it."""
     return f"""
-    SELECT * FROM (PIVOT (SELECT game_id, name || '_' || kind AS c FROM attrs WHERE {where}) ON c USING count(*) > 0 GROUP BY game_id)"""
+    SELECT g.game_id, n.name || '_' || n.kind AS feature, a.game_id IS NOT NULL AS held
+    FROM games g CROSS JOIN (SELECT DISTINCT kind, name FROM attrs WHERE {where}) n
+    LEFT JOIN attrs a ON a.game_id = g.game_id AND a.kind = n.kind AND a.name = n.name"""
 
 
 def _wide(spark, sf):
@@ -91,19 +94,24 @@ def _wide(spark, sf):
     return columns.concat_features(columns.one_hot(games, attrs, "mechanic"), columns.one_hot(games, attrs, "category"))
 
 
-@checked("C9_select_by_name", "attrs", _flags("kind = 'mechanic'").replace("SELECT *", "SELECT * EXCLUDE (anvil_mechanic)", 1))
+def _as_rows(wide):
+    """The wide frame's columns as rows, so that they can be checked without naming them."""
+    return wide.unpivot("game_id", [F.col(f"`{c}`") for c in wide.columns if c != "game_id"], "feature", "held")
+
+
+@checked("C9_select_by_name", "games attrs", _flags("kind = 'mechanic' AND name <> 'anvil'"))
 def _(spark, sf):
-    return columns.select_by_name(_wide(spark, sf), "mechanic", ["anvil_mechanic"], ["game_id"])
+    return _as_rows(columns.select_by_name(_wide(spark, sf), "mechanic", ["anvil_mechanic"], ["game_id"]))
 
 
-@checked("C10_one_hot", "attrs", _flags("kind = 'category'"))
+@checked("C10_one_hot", "games attrs", _flags("kind = 'category'"))
 def _(spark, sf):
-    return columns.one_hot(fx.games(spark, sf), fx.attrs(spark, sf), "category")
+    return _as_rows(columns.one_hot(fx.games(spark, sf), fx.attrs(spark, sf), "category"))
 
 
-@checked("C11_concat_features", "attrs", _flags("true"))
+@checked("C11_concat_features", "games attrs", _flags("true"))
 def _(spark, sf):
-    return _wide(spark, sf)
+    return _as_rows(_wide(spark, sf))
 
 
 @checked("C12_transpose", "attrs", """
@@ -147,9 +155,14 @@ def _(spark, sf):
 
 
 @checked("R2_utility_wide", "ratings", """
-    SELECT * FROM (PIVOT ratings ON game_id USING coalesce(sum(rating), 0.0) GROUP BY user_id)""")
-def _(spark, sf):
-    return ops.utility_wide(fx.ratings(spark, sf))
+    SELECT user_id, CAST(game_id AS VARCHAR) AS game_id, rating, (SELECT count(DISTINCT game_id) FROM ratings) AS n_cells FROM ratings WHERE rating <> 0""")
+def _(spark, sf):
+    wide = ops.utility_wide(fx.ratings(spark, sf))
+    # Of every user's cells those that are not 0, and how many there are.
+    cells = F.array(*[F.struct(F.lit(c).alias("game_id"), F.col(f"`{c}`").alias("rating")) for c in wide.columns if c != "user_id"])
+    held = F.filter("cells", lambda x: x["rating"] != 0)
+    return wide.select("user_id", cells.alias("cells")).select(
+        "user_id", F.inline(held), F.size("cells").cast("long").alias("n_cells")).select("user_id", "game_id", "rating", "n_cells")
 
 
 @checked("R3_value_counts", "ratings", """

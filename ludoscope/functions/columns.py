@@ -6,6 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+#: Columns of a wide form, which all pass through the driver and every plan.
+WIDEST = 10_000
+
 
 def project_rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """C4: the columns of ``names`` in that order, under their new names."""
@@ -38,9 +41,20 @@ def select_by_name(df: DataFrame, substring: str, exclude: Sequence[str] = (), k
     return df.select(*[F.col(f"`{c}`") for c in [*keep, *chosen]])
 
 
+def column_names(values: DataFrame, col: str) -> list:
+    """The different values of a column in order, to become columns; more than ``WIDEST`` are refused.
+
+    The long form holds the same and has no such limit.
+    """
+    found = [r[0] for r in values.select(col).distinct().orderBy(col).limit(WIDEST + 1).collect()]
+    if len(found) > WIDEST:
+        raise ValueError(f"more than {WIDEST} columns for {col}; use the long form")
+    return found
+
+
 def attribute_names(attrs: DataFrame, kind: str) -> list[str]:
     """The names of a kind in order, as far as they become columns: as many as the wide form has."""
-    return [r["name"] for r in attrs.where(F.col("kind") == kind).select("name").distinct().orderBy("name").collect()]
+    return column_names(attrs.where(F.col("kind") == kind), "name")
 
 
 def one_hot(games: DataFrame, attrs: DataFrame, kind: str, names: Sequence[str] | None = None) -> DataFrame:

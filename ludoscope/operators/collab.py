@@ -97,21 +97,22 @@ def grid_search(
 ) -> tuple[ALSModel, DataFrame]:
     """A5: fit every combination, keep the model with the lowest validation error.
 
-    Returns it with the table (rank, reg, max_iter, rmse, best). ``train`` and ``val`` are kept
+    Returns it with the table (rank, reg, max_iter, rmse, best); of equal errors the first is best. ``train`` and ``val`` are kept
     for the length of the search, as every fit reads them.
     """
     train, val = train.persist(), val.persist()
-    best, best_error, rows = None, float("inf"), []
+    best, best_error, best_row, rows = None, float("inf"), None, []
     for rank, reg, max_iter in itertools.product(ranks, regs, iters):
         model = fit_als(train, rank=rank, reg=reg, max_iter=max_iter, **als)
         error = rmse(model, val)
         rows.append((rank, reg, max_iter, error))
         if best is None or (error is not None and error < best_error):
             best, best_error = model, float("inf") if error is None else error
+            best_row = None if error is None else len(rows) - 1
     train.unpersist()
     val.unpersist()
-    table = train.sparkSession.createDataFrame(rows, "rank int, reg double, max_iter int, rmse double")
-    return best, table.withColumn("best", F.coalesce(F.col("rmse") == F.lit(best_error), F.lit(False)))
+    marked = [(*row, i == best_row) for i, row in enumerate(rows)]
+    return best, train.sparkSession.createDataFrame(marked, "rank int, reg double, max_iter int, rmse double, best boolean")
 
 
 def holdout_eval(model: ALSModel, test: DataFrame) -> DataFrame:

@@ -14,6 +14,22 @@ from ludoscope.sources.landed import parse_article
 MIXED_SOURCE, MIXED_MARK = "vox", "politics"
 
 
+#: Days for which the stream itself knows what it has seen, and where Spark keeps that.
+HORIZON_DAYS = 7
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Parts of a batch of ratings, by a hash of the game.
+RATING_BUCKETS = 64
+
+
+def _bucket(game: str) -> Column:
+    return F.pmod(F.xxhash64(game), F.lit(RATING_BUCKETS)).cast("int")
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def feed_link_filter(links: DataFrame, source: str = "source", url: str = "url") -> DataFrame:
     """From the mixed source only links with the mark, from the others all."""
     return links.where((F.col(source) != MIXED_SOURCE) | F.col(url).contains(MIXED_MARK))
@@ -37,21 +53,37 @@ def articles_from(links: DataFrame, ts: str = "ts", now: Column | None = None) -
     return parse_article(fresh, F.col("source"), now if now is not None else F.col(ts), keep=["day"])
 
 
-def load_articles_batch(batch: DataFrame, batch_id: int, out: str, ts: str = "ts") -> None:
+def _stored_keys(spark: SparkSession, out: str, batch_id: int, first: object, last: object) -> DataFrame:
+    """(source, day, url) that earlier batches have stored for some days."""
+    seen = spark.read.schema("source string, url string, batch long, day date").parquet(out)
+    stored = seen.where((F.col("batch") < batch_id) & F.col("day").between(F.lit(first), F.lit(last)))
+    return stored.select("source", "day", "url")
+
+
+def load_articles_batch(batch: DataFrame, batch_id: int, out: str, ts: str = "ts", horizon_days: int | None = None) -> None:
     """W1, one batch: links no earlier batch has stored for their source and day, parsed and stored.
 
     Each batch owns one folder and overwrites it, so doing it again after a failure adds nothing
-    twice. Folders hold one part per day, and only days between the batch's first and last are read back, of
-    them only those of its links.
+    twice. With ``horizon_days`` the batch holds no link that came in the last days, so the store is asked only for links of
+    older days, and for those of days to come. Folders hold one part per day, and of the store only days between the
+    first and the last of those links are read. A batch without any reads nothing of the store.
     """
-    seen = batch.sparkSession.read.schema("source string, url string, batch long, day date").parquet(out)
+    keys = ["source", "day", "url"]
     dated = feed_link_filter(batch).withColumn("day", F.to_date(ts))
-    days = dated.agg(F.min("day"), F.max("day")).first()
-    stored = seen.where((F.col("batch") < batch_id) & F.col("day").between(F.lit(days[0]), F.lit(days[1])))
-    keys = dated.select("source", "day", "url").distinct()
-    stored = stored.select("source", "day", "url").join(keys, ["source", "day", "url"], "left_semi")
-    fresh = dated.join(stored, ["source", "day", "url"], "left_anti").drop("day")
-    articles_from(fresh, ts).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch={batch_id}")
+    known = F.lit(True)
+    if horizon_days is not None:
+        today = F.current_date()
+        known = F.coalesce((F.col("day") <= F.date_sub(today, horizon_days - 1)) | (F.col("day") > today), F.lit(False))
+    dated = dated.withColumn("_late", known).persist()
+    late = dated.where("_late")
+    days = late.agg(F.min("day"), F.max("day")).first()
+    fresh = dated
+    if days[0] is not None:
+        stored = _stored_keys(batch.sparkSession, out, batch_id, *days)
+        stored = stored.join(late.select(*keys).distinct(), keys, "left_semi")
+        fresh = dated.where("not _late").unionByName(late.join(stored, keys, "left_anti"))
+    articles_from(fresh.drop("day", "_late"), ts).write.mode("overwrite").partitionBy("day").parquet(f"{out}/batch={batch_id}")
+    dated.unpersist()
 
 
 def stream_articles(
@@ -62,24 +94,64 @@ def stream_articles(
     checkpoint: str,
     ts: str = "ts",
     every: str | None = None,
+    horizon_days: int = HORIZON_DAYS,
 ) -> StreamingQuery:
     """Append the articles of newly landed feed files; stop when done, or poll at ``every``.
 
-    The store itself is the memory of what was seen, so a link that lands late is neither lost nor
-    stored twice, and no state grows in the executors.
+    What was seen in the last ``horizon_days`` days, by the time of arrival, is the stream's state, which Spark keeps in
+    RocksDB beside the checkpoint and forgets after that. The time of arrival never runs backwards, so no link is late for the
+    state. One of a day so old that its state may be gone is looked up in the store instead, so a link that lands late
+    is neither lost nor stored twice. Of equal links of one batch any counts.
     """
     nothing = spark.createDataFrame([], StructType([*ARTICLES.fields]).add("day", "date"))
     nothing.write.mode("ignore").partitionBy("day").parquet(f"{out}/batch=-1")
-    links = spark.readStream.schema(schema).parquet(landing)
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+    links = feed_link_filter(spark.readStream.schema(schema).parquet(landing)).withColumn("_day", F.to_date(ts))
+    arrived = links.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", f"{horizon_days} days")
+    unseen = arrived.dropDuplicatesWithinWatermark(["source", "_day", "url"]).drop("_arrived", "_day")
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (
-        links.writeStream.foreachBatch(lambda df, batch_id: load_articles_batch(df, batch_id, out, ts))
+        unseen.writeStream.foreachBatch(lambda df, batch_id: load_articles_batch(df, batch_id, out, ts, horizon_days))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
 
 
+def compact_articles(spark: SparkSession, out: str) -> int:
+    """Put the folders of all batches but the last in one, with one part per day; the number of folders it took.
+
+    For a store whose stream is stopped and that nobody reads meanwhile. The last batch stays, as the stream may have to do it again. The
+    new folder is complete before an old one goes, and a compaction that was cut short is ended by the next one.
+    """
+    fs, place = _file_system(spark, out)
+    draft, done = f"{out}/_compact", f"{out}/_compact_done"
+
+    def numbers() -> list[int]:
+        return sorted(int(s.getPath().getName()[6:]) for s in fs.listStatus(place) if s.getPath().getName().startswith("batch="))
+
+    def finish(last: int) -> None:
+        for n in [n for n in numbers() if n <= last]:
+            fs.delete(_file_system(spark, f"{out}/batch={n}")[1], True)
+        fs.rename(_file_system(spark, draft)[1], _file_system(spark, f"{out}/batch={last}")[1])
+        fs.delete(_file_system(spark, done)[1], True)
+
+    if fs.exists(_file_system(spark, done)[1]):
+        marks = [s.getPath().getName() for s in fs.listStatus(_file_system(spark, done)[1])]
+        if fs.exists(_file_system(spark, draft)[1]):
+            finish(int(marks[0]))
+        else:
+            fs.delete(_file_system(spark, done)[1], True)
+    found = numbers()[:-1]
+    if len(found) < 2:
+        return 0
+    rows = spark.read.schema(StructType([*ARTICLES.fields]).add("batch", "long").add("day", "date")).parquet(out)
+    rows.where(F.col("batch") <= found[-1]).drop("batch").repartition("day").write.mode("overwrite").partitionBy("day").parquet(draft)
+    fs.mkdirs(_file_system(spark, f"{done}/{found[-1]}")[1])
+    finish(found[-1])
+    return len(found)
+
+
 def read_articles(spark: SparkSession, out: str) -> DataFrame:
     """The stored articles."""
     return spark.read.schema(
@@ -94,6 +166,9 @@ def load_ratings_batch(
 
     Pages of one game may land in different batches, so a game that is known does not make its later pages known.
 
+    Which games are known is a table of its own beside the store (``.games``), with a row per game. Only for games of the batch that are
+    in it is the store read, and of the store only the buckets of those games; a batch of new games reads nothing of it.
+
     Each batch owns one folder of either table and overwrites it, so doing a batch again after a
     failure gives the same tables. Its own folder is left out when asking what is loaded.
     """
@@ -103,10 +178,17 @@ def load_ratings_batch(
         folders = spark.read.schema(f"{schema}, batch long").parquet(path)
         return folders.where(F.col("batch") < batch_id).drop("batch")
 
-    loaded = earlier(store, "game string, username string").distinct()
+    batch = batch.persist()
+    games = batch.select("game").distinct()
+    again = earlier(f"{store}.games", "game string").join(games, "game", "left_semi").distinct().persist()
+    buckets = [r[0] for r in again.select(_bucket("game").alias("b")).distinct().collect()]
     known = earlier(directory, "user_id long, username string")
-    loaded = loaded.join(batch.select("game").distinct(), "game", "left_semi").withColumnsRenamed({"game": "_game", "username": "_name"})
-    fresh = batch.join(loaded, (batch["game"] == F.col("_game")) & batch["username"].eqNullSafe(F.col("_name")), "left_anti")
+    fresh = batch
+    if buckets:
+        # Only the parts of the store that hold the batch's known games.
+        loaded = earlier(store, "game string, username string, bucket int").where(F.col("bucket").isin(buckets)).select("game", "username")
+        loaded = loaded.join(again, "game", "left_semi").distinct().withColumnsRenamed({"game": "_game", "username": "_name"})
+        fresh = batch.join(loaded, (batch["game"] == F.col("_game")) & batch["username"].eqNullSafe(F.col("_name")), "left_anti")
     answers = raw_users.groupBy("username").agg(F.min("user_id").alias("user_id"))
     added = (
         answers.join(known, "username", "left_anti")
@@ -116,9 +198,12 @@ def load_ratings_batch(
     resolved = fresh.join(known.unionByName(added), "username", "left").select(
         "game", "game_id", "user_id", "username", "rating", "comment"
     )
-    # Ratings first: they do not read this batch's directory folder.
-    resolved.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
+    # Ratings first: they do not read this batch's directory folder. A game is listed before its ratings are stored.
+    games.join(again, "game", "left_anti").write.mode("overwrite").parquet(f"{store}.games/batch={batch_id}")
+    resolved.withColumn("bucket", _bucket("game")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={batch_id}")
     added.write.mode("overwrite").parquet(f"{directory}/batch={batch_id}")
+    again.unpersist()
+    batch.unpersist()
 
 
 def stream_ratings(
@@ -139,7 +224,8 @@ def stream_ratings(
     empty = spark.createDataFrame(
         [], "game string, game_id string, user_id long, username string, rating double, comment string"
     )
-    empty.write.mode("ignore").parquet(f"{store}/batch=-1")
+    empty.withColumn("bucket", F.lit(0)).write.mode("ignore").partitionBy("bucket").parquet(f"{store}/batch=-1")
+    empty.select("game").write.mode("ignore").parquet(f"{store}.games/batch=-1")
     users.select(F.col("user_id").cast("long").alias("user_id"), "username").write.mode("ignore").parquet(
         f"{directory}/batch=-1"
     )

@@ -1,6 +1,10 @@
 """Streams run twice and batches done again give the batch result."""
 
-from pyspark.sql import functions as F
+import datetime
+import glob
+import os
+
+from pyspark.sql import DataFrameReader, functions as F
 
 from ludoscope.streaming import feeds
 
@@ -35,10 +39,85 @@ def test_articles_once_per_source_and_day(spark, tmp_path):
     batch = feeds.articles_from(first.unionByName(second)).select("source", "day", "url")
     assert sorted((r[0], str(r[1]), r[2]) for r in batch.collect()) == both
     # A batch that is done again replaces its own folder.
-    feeds.load_articles_batch(second, 1, out)
+    number = feeds.read_articles(spark, out).where("url = 'old'").select("_metadata.file_path").first()[0].split("batch=")[1].split("/")[0]
+    feeds.load_articles_batch(second, int(number), out)
     assert sorted((r["source"], str(r["day"]), r["url"]) for r in feeds.read_articles(spark, out).collect()) == both
 
 
+def test_recent_links_are_known_without_the_store(spark, tmp_path, monkeypatch):
+    """The stream is stopped between batches; its state is read from the checkpoint again."""
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    today = datetime.date.today()
+    asked = []
+    real = feeds._stored_keys
+    monkeypatch.setattr(feeds, "_stored_keys", lambda *a: asked.append(a[3:]) or real(*a))
+
+    def poll(rows):
+        links(spark, rows).write.mode("append").parquet(landing)
+        feeds.stream_articles(spark, landing, links(spark, rows).schema, out, mark).awaitTermination()
+        return sorted((r["source"], r["url"]) for r in feeds.read_articles(spark, out).collect())
+
+    one, two = (f"{today - datetime.timedelta(days=d)} 01:00:00" for d in (0, 1))
+    assert poll([("u1", "cnn", one), ("u1", "cnn", one), ("u1", "nyt", one)]) == [("cnn", "u1"), ("nyt", "u1")]
+    assert poll([("u1", "cnn", one), ("u2", "cnn", two)]) == [("cnn", "u1"), ("cnn", "u2"), ("nyt", "u1")]
+    assert poll([("u2", "cnn", two), ("u1", "nyt", one)]) == [("cnn", "u1"), ("cnn", "u2"), ("nyt", "u1")]
+    assert asked == []
+    # Days before the horizon are asked for, and only they.
+    old = "2020-05-05 00:00:00"
+    assert len(poll([("old", "cnn", old), ("u1", "cnn", one)])) == 4
+    assert len(poll([("old", "cnn", old)])) == 4
+    assert asked[0] == (datetime.date(2020, 5, 5), datetime.date(2020, 5, 5))
+    # A link of an old day whose state is gone is found in the store.
+    feeds.load_articles_batch(links(spark, [("old", "cnn", old)]), 99, out, "ts", feeds.HORIZON_DAYS)
+    assert len(feeds.read_articles(spark, out).collect()) == 4
+
+
+def test_compaction(spark, tmp_path):
+    landing, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+
+    def poll(*urls):
+        rows = links(spark, [(u, "cnn", f"2024-01-0{1 + i % 3} 00:00:00") for i, u in enumerate(urls)])
+        rows.write.mode("append").parquet(landing)
+        feeds.stream_articles(spark, landing, rows.schema, out, mark).awaitTermination()
+        return sorted((r["url"], str(r["day"])) for r in feeds.read_articles(spark, out).collect())
+
+    for k in range(3):
+        before = poll(f"a{k}", f"b{k}", f"c{k}")
+    last = max(numbers := [int(p.split("batch=")[1]) for p in glob.glob(f"{out}/batch=*")])
+    assert feeds.compact_articles(spark, out) == len(numbers) - 1
+    assert {int(p.split("batch=")[1]) for p in glob.glob(f"{out}/batch=*")} == {last - 1, last}
+    assert poll("a0", "b1") == before
+    assert len(poll("a0", "new")) == len(before) + 1
+    # One that was cut short after its mark is ended by the next.
+    now = sorted(map(str, feeds.read_articles(spark, out).collect()))
+    draft = spark.read.parquet(out).where(F.col("batch") <= last).drop("batch")
+    draft.write.partitionBy("day").parquet(f"{out}/_compact")
+    os.makedirs(f"{out}/_compact_done/{last}")
+    feeds.compact_articles(spark, out)
+    assert sorted(map(str, feeds.read_articles(spark, out).collect())) == now and not os.path.exists(f"{out}/_compact")
+
+
+def test_new_games_do_not_read_the_store(spark, tmp_path, monkeypatch):
+    landing, store, names, mark = (str(tmp_path / n) for n in ("in", "store", "names", "mark"))
+    schema = "game string, game_id string, username string, rating double, comment string"
+    users = spark.createDataFrame([(1, "ann")], "user_id long, username string")
+    read = []
+    real = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *p, **k: read.append(p[0]) or real(self, *p, **k))
+
+    def load(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(landing)
+        read.clear()
+        feeds.stream_ratings(spark, landing, spark.createDataFrame([], schema).schema, users, users, store, names, mark).awaitTermination()
+        return store in read
+
+    assert not load([("G", "1", "ann", 5.0, None), ("G", "1", None, 6.0, "x"), ("G", "1", None, 7.0, "y")])
+    assert not load([("H", "2", "ann", 5.0, None)])
+    assert load([("H", "2", "ann", 5.0, None), ("H", "2", "bob", 5.0, None), ("I", "3", "ann", 1.0, None), ("G", "1", None, 8.0, "z")])
+    rows = sorted((r["game"], str(r["username"]), r["rating"]) for r in spark.read.parquet(store).collect())
+    assert rows == [("G", "None", 6.0), ("G", "None", 7.0), ("G", "ann", 5.0), ("H", "ann", 5.0), ("H", "bob", 5.0), ("I", "ann", 1.0)]
+
+
 def test_ratings_skip_loaded_games_and_extend_directory(spark, tmp_path):
     landing, store, names, mark = (str(tmp_path / n) for n in ("in", "store", "names", "mark"))
     schema = "game string, game_id string, username string, rating double, comment string"
