@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ludoscope import fixtures as fx
 from ludoscope.catalog.base import checked
-from ludoscope.operators import clusters, collab
+from ludoscope.operators import clusters, collab, foldin
 from ludoscope.plans.recommend import refresh
 from ludoscope.session import cut_lineage, scratch_path
 from ludoscope.sources import landed, tables
@@ -220,3 +220,19 @@ def _(spark, sf):
     known = collab.load_model(model).rank == 5
     return table.select("rank", (F.lit(known) & (F.col("test_rmse") > 0)).alias("error_known"), n_users.alias("n_users"),
                         most.alias("most_recs"), rated.alias("n_rated"))
+
+
+@checked("W5_fold_in", "ratings", """
+    WITH f AS (SELECT user_id, rating, 1.0 + game_id % 3 AS x, 0.5 + game_id % 7 AS y FROM ratings),
+    s AS (SELECT user_id, sum(x * x) + 0.2 * count(*) AS xx, sum(x * y) AS xy, sum(y * y) + 0.2 * count(*) AS yy, sum(rating * x) AS bx, sum(rating * y) AS b_y
+          FROM f WHERE user_id % 5 = 0 GROUP BY user_id),
+    free AS (SELECT *, (bx * yy - b_y * xy) / (xx * yy - xy * xy) AS px, (b_y * xx - bx * xy) / (xx * yy - xy * xy) AS py FROM s)
+    SELECT user_id, round(CASE WHEN px < 0 THEN 0 WHEN py < 0 THEN bx / xx ELSE px END, 3)::DOUBLE AS first_place,
+           round(CASE WHEN py < 0 THEN 0 WHEN px < 0 THEN b_y / yy ELSE py END, 3)::DOUBLE AS second_place FROM free""")
+def _(spark, sf):
+    ratings = fx.ratings(spark, sf)
+    # Factors of the games by rule, so that the users' can be worked out in SQL.
+    place = [1.0 + F.col("id") % 3, 0.5 + F.col("id") % 7]
+    games = ratings.select(F.col("game_id").alias("id")).distinct().select("id", F.array(*[p.cast("float") for p in place]).alias("features"))
+    found = foldin.fold_in(games, ratings.where("user_id % 5 = 0"), "user_id", "game_id", 2, 0.2)
+    return found.select(F.col("id").alias("user_id"), *[F.round(F.col("features")[i].cast("double"), 3).alias(n) for i, n in enumerate(("first_place", "second_place"))])
