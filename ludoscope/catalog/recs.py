@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ludoscope import fixtures as fx
 from ludoscope.catalog.base import checked
-from ludoscope.operators import collab, ratings as rating_ops, serve, similar
+from ludoscope.operators import collab, ratings as rating_ops, serve, similar, titles
 from ludoscope.operators.text import tfidf
 from ludoscope.plans.recommend import recommend_for_user, recommend_similar
 from ludoscope.session import cut_lineage
@@ -321,3 +321,17 @@ def _(spark, sf):
 def _(spark, sf):
     near = similar.neighbours_by_text(tfidf(fx.docs(spark, sf)), fx.games(spark, sf), 1, 10)
     return near.withColumn("similarity", F.round("similarity", 6))
+
+
+@checked("K5_match_names", "games", r"""
+    WITH forms AS (SELECT game_id, game, list_aggregate(list_sort(regexp_extract_all(lower(game), '[\p{L}\p{N}_]+')), 'string_agg', ' ') AS s FROM games),
+    names AS (SELECT name, list_aggregate(list_sort(regexp_extract_all(lower(name), '[\p{L}\p{N}_]+')), 'string_agg', ' ') AS s
+              FROM (SELECT DISTINCT replace(substr(game, 2), 'g', 'gg') AS name FROM games)),
+    scored AS (SELECT name, game_id, game, 1 - levenshtein(n.s, f.s) / greatest(length(n.s), length(f.s)) AS score FROM names n, forms f
+               WHERE abs(length(n.s) - length(f.s)) <= 0.3 * greatest(length(n.s), length(f.s)))
+    SELECT name, game_id, game, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY score DESC, game, game_id) AS r FROM scored)
+    WHERE r = 1 AND score >= 0.7 - 1e-9""")
+def _(spark, sf):
+    games = fx.games(spark, sf).select("game_id", "game")
+    names = games.select(F.replace(F.substr("game", F.lit(2)), F.lit("g"), F.lit("gg")).alias("name"))
+    return titles.match_names(titles.build_title_index(games), names).withColumn("score", F.round("score", 9))

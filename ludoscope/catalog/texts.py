@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ludoscope import fixtures as fx
 from ludoscope.catalog.base import checked
 from ludoscope.functions.stopwords import DOMAIN, STOP
-from ludoscope.operators import text as ops, topics
+from ludoscope.functions.text import terms
+from ludoscope.operators import lemmas, text as ops, topics
 from ludoscope.session import cut_lineage
 
 
@@ -273,3 +274,67 @@ def _(spark, sf):
         n, ((F.min("divergence") >= 0) & (F.max("divergence") <= 0.6932)).alias("holds"))
     parts = [d.withColumn("part", F.lit(p)) for p, d in (("shares", shares), ("relevance", relevance), ("distances", far))]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Languages stand in for topics: their words' shares are p(term | topic).
+_LANGUAGES = r"""
+    by_lang AS (SELECT lang AS topic, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')) AS term FROM documents WHERE lang IN ('de', 'en', 'fr')),
+    n AS (SELECT topic, term, count(*) AS n FROM by_lang GROUP BY ALL),
+    tbl AS (SELECT topic, term, n / sum(n) OVER (PARTITION BY topic) AS p FROM n),
+    shares AS (SELECT topic, sum(n) / (SELECT sum(n) FROM n) AS share FROM n GROUP BY topic)"""
+
+
+def _languages(spark, sf):
+    words = fx.table(spark, sf, "documents").where(F.col("lang").isin("de", "en", "fr"))
+    counts = cut_lineage(words.select(F.col("lang").alias("topic"), F.explode(terms(F.col("text"))).alias("term")).groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n")))
+    totals = counts.groupBy("topic").agg(F.sum("n").alias("total"))
+    table = counts.join(totals, "topic").select("topic", "term", (F.col("n") / F.col("total")).alias("p"))
+    return table, totals.select("topic", (F.col("total") / totals.agg(F.sum("total")).scalar()).alias("share"))
+
+
+@checked("M10_term_saliency", "", f"""
+    WITH {_LANGUAGES},
+    joint AS (SELECT term, topic, p, share, p * share AS j, sum(p * share) OVER (PARTITION BY term) AS p_all FROM tbl JOIN shares USING (topic)),
+    scored AS (SELECT term, max(p_all) AS p, sum(j / p_all * ln(j / p_all / share)) AS told FROM joint GROUP BY term)
+    SELECT term, round(p, 6) AS p, round(told, 6) AS distinctiveness, round(p * told, 6) AS saliency FROM scored
+    ORDER BY round(p * told, 12) DESC, term LIMIT 30""")
+def _(spark, sf):
+    return topics.term_saliency(*_languages(spark, sf)).select("term", *[F.round(c, 6).alias(c) for c in ("p", "distinctiveness", "saliency")])
+
+
+@checked("M10_topic_map", "", f"""
+    WITH {_LANGUAGES},
+    every AS (SELECT a.topic AS topic_a, b.topic AS topic_b, t.term FROM shares a JOIN shares b ON a.topic < b.topic, (SELECT DISTINCT term FROM tbl) t),
+    both AS (SELECT e.topic_a, e.topic_b, coalesce(x.p, 0) AS pa, coalesce(y.p, 0) AS pb FROM every e
+             LEFT JOIN tbl x ON x.topic = e.topic_a AND x.term = e.term LEFT JOIN tbl y ON y.topic = e.topic_b AND y.term = e.term)
+    SELECT topic_a, topic_b, round(sum(CASE WHEN pa > 0 THEN pa * ln(2 * pa / (pa + pb)) ELSE 0 END + CASE WHEN pb > 0 THEN pb * ln(2 * pb / (pa + pb)) ELSE 0 END) / 2, 6) AS apart
+    FROM both GROUP BY ALL""")
+def _(spark, sf):
+    # Three points fit in a plane, so their distances on the map are the divergences.
+    placed = topics.topic_map(*_languages(spark, sf))
+    a, b = (placed.select(*[F.col(c).alias(f"{c}_{s}") for c in ("topic", "x", "y")]) for s in "ab")
+    apart = F.hypot(F.col("x_a") - F.col("x_b"), F.col("y_a") - F.col("y_b"))
+    return a.join(b, F.col("topic_a") < F.col("topic_b")).select("topic_a", "topic_b", F.round(apart, 6).alias("apart"))
+
+
+# Rules by hand, the longest suffix first in the SQL.
+_RULES = {"ing": "3:", "nning": "4:", "ies": "3:y", "es": "2:", "s": "1:", "ss": "0:", "ed": "2:", "tion": "3:e"}
+_CASES = " ".join(f"WHEN length(token) > {len(x)} AND ends_with(token, '{x}') THEN left(token, length(token) - {r.split(':')[0]}) || '{r.split(':')[1]}'"
+                  for x, r in sorted(_RULES.items(), key=lambda t: (-len(t[0]), t[0])))
+
+
+@checked("T3_lemmas_by_rule", "", rf"""
+    WITH words AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS token FROM documents)
+    SELECT token, CASE WHEN token = 'des' THEN 'de' WHEN token = 'les' THEN 'le' {_CASES} ELSE token END AS lemma FROM words""")
+def _(spark, sf):
+    words = fx.docs(spark, sf).select(F.explode(terms(F.col("text"))).alias("token"))
+    exceptions = spark.sql("SELECT * FROM VALUES ('des', 'de'), ('les', 'le') AS t(token, lemma)")
+    return lemmas.lemmas_of(words, _RULES, exceptions)
+
+
+@checked("T3_learnt_lemmas", "lemmas", "SELECT token, lemma FROM lemmas")
+def _(spark, sf):
+    # Learnt from the pairs, rules and exceptions give them back.
+    pairs = fx.lemmas(spark, sf)
+    rules, exceptions = lemmas.learn_rules(pairs)
+    return lemmas.lemmas_of(pairs, rules, exceptions)

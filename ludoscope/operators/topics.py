@@ -475,16 +475,74 @@ def term_relevance(topics: Topics, lam: float = 0.6, n: int = 30) -> DataFrame:
 
 def topic_distances(topics: Topics) -> DataFrame:
     """Jensen-Shannon divergence between every two topics, in nats."""
-    table = topic_term_table(topics)
-    a = table.withColumnsRenamed({"topic": "topic_a", "p": "pa"})
-    b = table.withColumnsRenamed({"topic": "topic_b", "p": "pb"})
+    return divergences(topic_term_table(topics))
+
+
+def divergences(table: DataFrame) -> DataFrame:
+    """The same of a table (topic, term, p): (topic_a, topic_b, divergence), topic_a being the smaller. A term a topic lacks has p = 0 there."""
+    # k topics per term, so the pairs of a term are k x k however many documents there are.
+    a = table.select(F.col("topic").alias("topic_a"), "term", F.col("p").alias("pa"))
+    b = table.select(F.col("topic").alias("topic_b"), "term", F.col("p").alias("pb"))
     pa, pb = F.col("pa"), F.col("pb")
     middle = (pa + pb) / 2
 
     def half(p: Column) -> Column:
         return F.when(p > 0, p * F.log(p / middle)).otherwise(0.0) / 2
 
-    # k topics per term, so the pairs of a term are k x k however many documents there are.
-    return a.join(b, "term").where(F.col("topic_a") < F.col("topic_b")).groupBy("topic_a", "topic_b").agg(
-        F.sum(half(pa) + half(pb)).alias("divergence")
-    )
+    both = a.join(b, "term").where(F.col("topic_a") < F.col("topic_b"))
+    shared = both.groupBy("topic_a", "topic_b").agg(F.sum(half(pa) + half(pb)).alias("d"), F.sum("pa").alias("in_a"), F.sum("pb").alias("in_b"))
+    # A term of one topic alone adds p log(2) / 2: what of either topic's total was not met above.
+    totals = table.groupBy("topic").agg(F.sum("p").alias("total"))
+    ids = totals.select(F.col("topic").alias("topic_a"), F.col("total").alias("all_a"), F.lit(1).alias("_k"))
+    pairs = ids.join(totals.select(F.col("topic").alias("topic_b"), F.col("total").alias("all_b"), F.lit(1).alias("_k")), "_k").where("topic_a < topic_b")
+    every = pairs.join(shared, ["topic_a", "topic_b"], "left")
+    zero = F.lit(0.0)
+    alone = F.col("all_a") - F.coalesce("in_a", zero) + F.col("all_b") - F.coalesce("in_b", zero)
+    return every.select("topic_a", "topic_b", (F.coalesce("d", zero) + alone * float(np.log(2)) / 2).alias("divergence"))
+
+
+def plane(distances: np.ndarray) -> np.ndarray:
+    """Classical scaling: points in the plane whose distances are the best fit of rank two to a symmetric table of distances.
+
+    Signs are fixed: of each axis, the point farthest from the middle, the first of several, is on the positive side.
+    """
+    k = len(distances)
+    middle = np.eye(k) - 1.0 / k
+    values, vectors = np.linalg.eigh(-0.5 * middle @ (distances**2) @ middle)
+    out = np.zeros((k, 2))
+    for axis, i in enumerate(np.argsort(-values, kind="stable")[:2]):
+        at = vectors[:, i] * np.sqrt(max(values[i], 0.0))
+        far = int(np.argmax(np.abs(at) > np.abs(at).max() * (1 - 1e-9)))
+        out[:, axis] = -at if at[far] < 0 else at
+    return out
+
+
+def topic_map(table: DataFrame, shares: DataFrame) -> DataFrame:
+    """(topic, x, y, share), topics of a table (topic, term, p) placed so that distances stand for divergences.
+
+    The k x k divergences go through the driver.
+    """
+    spark = table.sparkSession
+    ids = [r[0] for r in shares.select("topic").orderBy("topic").collect()]
+    number = {t: i for i, t in enumerate(ids)}
+    distances = np.zeros((len(ids), len(ids)))
+    for r in divergences(table).collect():
+        i, j = number[r["topic_a"]], number[r["topic_b"]]
+        distances[i, j] = distances[j, i] = r["divergence"]
+    rows = [(t, float(x), float(y)) for t, (x, y) in zip(ids, plane(distances) if ids else [])]
+    kind = table.schema["topic"].dataType.simpleString()
+    return spark.createDataFrame(rows, f"topic {kind}, x double, y double").join(shares.select("topic", "share"), "topic")
+
+
+def term_saliency(table: DataFrame, shares: DataFrame, n: int = 30) -> DataFrame:
+    """The ``n`` most salient terms over all topics, (term, p, distinctiveness, saliency).
+
+    p is the term's share of the corpus; its distinctiveness how far its topics differ from those of the corpus (the sum over topics of
+    p(t|w) log(p(t|w) / p(t))); saliency is their product. Ties go by term.
+    """
+    joint = table.where("p > 0").join(shares.where("share > 0").select("topic", "share"), "topic").withColumn("_j", F.col("p") * F.col("share"))
+    # The sum of j/p log(j/(p share)) over topics is the sum of j log(p(w|t)) / p - log(p).
+    sums = joint.groupBy("term").agg(F.sum("_j").alias("_p"), F.sum(F.col("_j") * F.log("p")).alias("_s"))
+    told = F.col("_s") / F.col("_p") - F.log("_p")
+    scored = sums.select("term", F.col("_p").alias("p"), told.alias("distinctiveness"), (F.col("_p") * told).alias("saliency"))
+    return scored.orderBy(F.round(F.col("saliency"), 12).desc(), "term").limit(n)
