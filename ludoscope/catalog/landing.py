@@ -41,6 +41,39 @@ def _(spark, sf):
         F.round("avg_weight", 6).alias("avg_weight"))
 
 
+def _records(spark, sf):
+    """Game records with a field per attribute, as the store has them; every seventh holds one more."""
+    held = fx.attrs(spark, sf).select("game_id", F.concat("name", F.lit("_"), "kind").alias("field"))
+    flags = held.groupBy("game_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("field", F.lit(True))))).alias("flags"))
+    game = fx.games(spark, sf).join(flags, "game_id")
+    core = F.to_json(F.struct("game_id", "game", "rank", F.when(F.col("game_id") % 7 == 0, F.struct((F.col("game_id") * 2).alias("votes"))).alias("award")))
+    path = scratch_path(spark, "records")
+    game.select(core.alias("core"), F.to_json("flags").alias("more")).select(
+        F.concat(F.expr("left(core, length(core) - 1)"), F.lit(","), F.substr("more", F.lit(2))).alias("value")).write.text(path)
+    return tables.read_game_records(spark, path)
+
+
+@checked("S3_record_attributes", "attrs", "SELECT CAST(game_id AS BIGINT) AS game_id, kind, name FROM attrs")
+def _(spark, sf):
+    return tables.record_attributes(_records(spark, sf))
+
+
+@checked("S3_record_fields", "games attrs", """
+    SELECT name || '_' || kind AS field, count(*) AS n FROM attrs GROUP BY ALL
+    UNION ALL SELECT 'game_id', count(*) FROM games UNION ALL SELECT 'game', count(*) FROM games
+    UNION ALL SELECT 'rank', count(rank) FROM games UNION ALL SELECT 'award', count(*) FROM games WHERE game_id % 7 = 0""")
+def _(spark, sf):
+    return tables.record_fields(_records(spark, sf)).groupBy("field").agg(F.sum("n").alias("n"))
+
+
+@checked("S3_record_field", "games", """
+    SELECT CAST(game_id AS BIGINT) AS game_id, game, rank, CASE WHEN game_id % 7 = 0 THEN CAST(game_id * 2 AS BIGINT) END AS votes FROM games""")
+def _(spark, sf):
+    return _records(spark, sf).select(
+        "game_id", tables.record_field("game").alias("game"), tables.record_field("rank", "int").alias("rank"),
+        F.try_variant_get("record", "$.award.votes", "bigint").alias("votes"))
+
+
 @checked("S4_read_descriptions", "docs", "SELECT doc_id, text FROM docs")
 def _(spark, sf):
     games = fx.docs(spark, sf).withColumnsRenamed({"doc_id": "game_id", "text": "description"})

@@ -305,10 +305,10 @@ def _(spark, sf):
 @checked("M10_topic_map", "", f"""
     WITH {_LANGUAGES},
     every AS (SELECT a.topic AS topic_a, b.topic AS topic_b, t.term FROM shares a JOIN shares b ON a.topic < b.topic, (SELECT DISTINCT term FROM tbl) t),
-    both AS (SELECT e.topic_a, e.topic_b, coalesce(x.p, 0) AS pa, coalesce(y.p, 0) AS pb FROM every e
+    met AS (SELECT e.topic_a, e.topic_b, coalesce(x.p, 0) AS pa, coalesce(y.p, 0) AS pb FROM every e
              LEFT JOIN tbl x ON x.topic = e.topic_a AND x.term = e.term LEFT JOIN tbl y ON y.topic = e.topic_b AND y.term = e.term)
     SELECT topic_a, topic_b, round(sum(CASE WHEN pa > 0 THEN pa * ln(2 * pa / (pa + pb)) ELSE 0 END + CASE WHEN pb > 0 THEN pb * ln(2 * pb / (pa + pb)) ELSE 0 END) / 2, 6) AS apart
-    FROM both GROUP BY ALL""")
+    FROM met GROUP BY ALL""")
 def _(spark, sf):
     # Three points fit in a plane, so their distances on the map are the divergences.
     placed = topics.topic_map(*_languages(spark, sf))
@@ -338,3 +338,63 @@ def _(spark, sf):
     pairs = fx.lemmas(spark, sf)
     rules, exceptions = lemmas.learn_rules(pairs)
     return lemmas.lemmas_of(pairs, rules, exceptions)
+
+
+def _vcol_sql(key: str, other: str, k: int) -> str:
+    """The means of drawn lines; with these ids every topic draws some."""
+    draw = f"CAST('0x' || substr(md5('vcol34|' || {other} || '|' || i), 1, 6) AS BIGINT) / 16777216.0 < 0.2"
+    return f"""
+        SELECT v.{key}, l.i, sum(v.value * l.drawn) / max(l.n) AS f
+        FROM v JOIN (SELECT {other}, i, CAST({draw} AS INTEGER) AS drawn, sum(CAST({draw} AS INTEGER)) OVER (PARTITION BY i) AS n
+                     FROM (SELECT DISTINCT {other} FROM v), range({k}) AS r(i)) l ON l.{other} = v.{other} GROUP BY v.{key}, l.i"""
+
+
+@checked("M1_vcol_start", "attrs", f"""
+    WITH {_V}, w AS ({_vcol_sql("row", "col", 8)}), h AS ({_vcol_sql("col", "row", 8)})
+    SELECT 'w' AS side, CAST(row AS VARCHAR) AS id, i, round(f, 6) AS f FROM w UNION ALL SELECT 'h', col, i, round(f, 6) FROM h""")
+def _(spark, sf):
+    cells = cut_lineage(_cells(spark, sf))
+
+    def long(key, other, side):
+        start = topics.vcol_start(cells, key, other, 8, 34)
+        return start.select(F.lit(side).alias("side"), F.col(key).cast("string").alias("id"), F.posexplode("f").alias("i", "f"))
+
+    both = long("row", "col", "w").unionByName(long("col", "row", "h"))
+    return both.select("side", "id", F.col("i").cast("long").alias("i"), F.round("f", 6).alias("f"))
+
+
+_SEEDS = (34, 35, 36)
+_LABELS = " UNION ALL ".join(
+    f"SELECT row, {run} AS run, arg_max(i, f) AS topic FROM (SELECT row, i, (CAST('0x' || substr(md5('row{seed}|' || row || '|' || i), 1, 6) AS BIGINT) + 1) AS f "
+    f"FROM (SELECT DISTINCT row FROM v), range(4) AS r(i)) GROUP BY row" for run, seed in enumerate(_SEEDS))
+
+
+@checked("M3_consensus", "attrs", f"""
+    WITH {_V}, labels AS ({_LABELS}),
+    pairs AS (SELECT a.row AS x, b.row AS y, avg(CASE WHEN a.topic = b.topic THEN 1.0 ELSE 0.0 END) AS c FROM labels a JOIN labels b ON a.run = b.run GROUP BY ALL)
+    SELECT (SELECT count(DISTINCT row) FROM v) AS n, 3::BIGINT AS runs, round(avg(4 * (c - 0.5) * (c - 0.5)), 9) AS dispersion FROM pairs""")
+def _(spark, sf):
+    # Labels by rule, so that the table of all pairs can be made in SQL.
+    rows = _cells(spark, sf).select("row").distinct()
+    labels = [topics.assign_topic(topics.start_factor(rows, "row", 4, seed, F.lit(1.0))).withColumn("run", F.lit(run)) for run, seed in enumerate(_SEEDS)]
+    found = topics.consensus_dispersion(labels[0].unionByName(labels[1]).unionByName(labels[2]))
+    return found.withColumn("dispersion", F.round("dispersion", 9))
+
+
+def _sweep_sql(ranks) -> str:
+    """The error after one step at each rank, every update written out."""
+    parts, errors = [_V], []
+    for k in ranks:
+        body = _nmf_sql(k, 1, 0.0)
+        body = body[len("WITH ") + len(_V) + 2:]
+        for name in ("w0", "h0", "w1", "h1", "g_", "n_", "d_"):
+            body = body.replace(f" {name}", f" r{k}_{name}").replace(f"\n{name}", f"\nr{k}_{name}")
+        parts.append(body)
+        parts.append(f"r{k}_fitted AS (SELECT a.row, b.col, sum(a.f * b.f) AS x FROM r{k}_w1 a JOIN r{k}_h1 b USING (i) GROUP BY ALL)")
+        errors.append(f"SELECT {k} AS k, round(sqrt(sum((coalesce(value, 0) - x) ** 2)), 4) AS error FROM r{k}_fitted LEFT JOIN v USING (row, col)")
+    return "WITH " + ",\n".join(parts) + "\n" + " UNION ALL ".join(errors)
+
+
+@checked("M3_sweep_ranks", "attrs", _sweep_sql((10, 15, 20, 25)))
+def _(spark, sf):
+    return topics.nmf_sweep(_cells(spark, sf), [10, 15, 20, 25], iters=1).select("k", F.round("error", 4).alias("error"))

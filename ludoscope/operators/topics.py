@@ -95,6 +95,26 @@ def start_factor(ids: DataFrame, key: str, k: int, seed: int, scale: Column) ->
     return ids.select(key, *kept, F.array(*[draw(i) * scale for i in range(k)]).alias("f"))
 
 
+def vcol_start(cells: DataFrame, key: str, other: str, k: int, seed: int, share: float = 0.2) -> DataFrame:
+    """Starting values (key, f) as means: topic i starts from the mean of the ``other`` lines of the matrix drawn for it.
+
+    About ``share`` of the lines are drawn for each topic, by a digest of their id; a topic that draws none takes all. With rows
+    as ``key`` that is the mean of drawn columns, and the other way round.
+    """
+    text = lambda i: F.concat_ws("|", F.lit(f"vcol{seed}"), F.col(other).cast("string"), F.lit(str(i)))
+    drawn = [F.conv(F.substring(F.md5(text(i)), 1, 6), 16, 10).cast("double") / (1 << 24) < share for i in range(k)]
+    lines = cells.select(other).distinct().agg(F.count(F.lit(1)).alias("n"), *[F.count_if(d).alias(f"n{i}") for i, d in enumerate(drawn)]).first()
+    sums = [F.sum(F.when(d if lines[f"n{i}"] else F.lit(True), F.col("value")).otherwise(0.0)) / float(lines[f"n{i}"] or max(lines["n"], 1)) for i, d in enumerate(drawn)]
+    return cells.groupBy(key).agg(F.array(*sums).alias("f"))
+
+
+def _blocks_from(ids: DataFrame, factor: DataFrame, key: str) -> DataFrame:
+    """Starting values (key, f) as blocks (b, f)."""
+    rows = ids.join(factor.withColumnRenamed(key, "id"), "id")
+    listed = rows.groupBy("b").agg(F.array_sort(F.collect_list(F.struct("pos", "f"))).alias("_l"))
+    return cut_lineage(listed.select("b", F.flatten(F.transform("_l", lambda x: x["f"])).alias("f")))
+
+
 @dataclass
 class Placed:
     """The cells of a matrix, stored once by row and once by column, with their mean."""
@@ -221,9 +241,12 @@ def nmf(
     alpha: float = 0.0,
     seed: int = 34,
     tol: float | None = None,
+    start: str = "draw",
 ) -> Factors:
     """M1: V ~ W H with no negative entry, by multiplicative updates on the cells.
 
+    ``start`` is ``draw`` (a number per id) or ``vcol`` (means of drawn columns for W, of drawn rows for H).
+
     ``cells`` holds (row, col, value) with the non-zero entries. They are stored twice, packed by blocks of rows and by blocks
     of columns, so an iteration moves factor blocks and sums only. With ``tol`` the loop ends when the error falls
     by less than that share.
@@ -239,8 +262,12 @@ def nmf(
         total = plain.agg(F.sum("value")).first()[0] or 0.0
         mean = total / max(by_row.ids.count() * by_col.ids.count(), 1)
     scale = F.lit(float(np.sqrt(mean / k)))
-    w = _blocks_of(by_row.ids, "row", k, seed, scale)
-    h = _blocks_of(by_col.ids, "col", k, seed, scale)
+    if start == "vcol":
+        w = _blocks_from(by_row.ids, vcol_start(plain, "row", "col", k, seed), "row")
+        h = _blocks_from(by_col.ids, vcol_start(plain, "col", "row", k, seed), "col")
+    else:
+        w = _blocks_of(by_row.ids, "row", k, seed, scale)
+        h = _blocks_of(by_col.ids, "col", k, seed, scale)
 
     def factors() -> Factors:
         return Factors(_rows_of(w, by_row.ids, "row", k), _rows_of(h, by_col.ids, "col", k), k)
@@ -327,6 +354,36 @@ def nmf_sweep(cells: DataFrame, ranks: Sequence[int], iters: int = 100, alpha: f
     )
 
 
+def consensus_dispersion(labels: DataFrame) -> DataFrame:
+    """M3: how alike several runs' clusterings are: one row (n, runs, dispersion) from ``labels`` (row, run, topic).
+
+    The consensus of two rows is the share of runs that put them together, the dispersion the mean of 4 (c - 1/2)^2 over all
+    pairs, 1 if all runs agree. No table of pairs is made: the sum of c follows from the sizes of topics, that of c^2 from the sizes of
+    two runs' topics' common parts, of which there are (runs x topics)^2. Every row has a label in every run.
+    """
+    lists = labels.groupBy("row").agg(F.collect_list(F.struct("run", "topic")).alias("l"))
+    one = lists.select(F.explode("l").alias("a"), "l")
+    common = one.select("a", F.explode("l").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    own = F.col("a.run") == F.col("b.run")
+    sums = common.agg(
+        F.sum(F.when(own & (F.col("a.topic") == F.col("b.topic")), F.col("n") * F.col("n"))).alias("once"),
+        F.sum(F.col("n") * F.col("n")).alias("twice"), F.sum(F.when(own, F.col("n"))).alias("rows"), F.count_distinct(F.col("a.run")).alias("runs"))
+    n, runs = F.col("rows") / F.col("runs"), F.col("runs").cast("double")
+    spread = 4 * F.col("twice") / (runs * runs) - 4 * F.col("once") / runs + n * n
+    return sums.select(n.cast("long").alias("n"), F.col("runs"), (spread / (n * n)).alias("dispersion"))
+
+
+def nmf_consensus(cells: DataFrame, k: int, runs: int, iters: int = 100, alpha: float = 0.0, seed: int = 34, start: str = "vcol") -> DataFrame:
+    """M3: the dispersion of ``runs`` factorisations that start from different draws, rows labelled by their strongest topic."""
+    placed = Placed.of(cells)
+    labels = None
+    for run in range(runs):
+        found = nmf(placed, k, iters, alpha, seed + run, start=start)
+        one = assign_topic(found.w).select("row", F.lit(run).alias("run"), "topic")
+        labels = one if labels is None else labels.unionByName(one)
+    return consensus_dispersion(labels).withColumn("k", F.lit(k))
+
+
 def topic_terms(h: DataFrame, n: int, key: str = "col") -> DataFrame:
     """M4: (topic, rank, term, weight) of the ``n`` heaviest terms of each topic."""
     long = h.select(F.col(key).alias("term"), F.posexplode("f").alias("topic", "weight"))

@@ -37,6 +37,43 @@ def read_games(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     return (reader.schema(schemas.GAMES) if fmt == "json" else reader).load(path)
 
 
+def read_game_records(spark: SparkSession, path: str) -> DataFrame:
+    """S3: game records of any fields, one JSON object per line: (game_id, record), the record as a variant.
+
+    No schema is needed, so a field nobody has seen before loads like any other. A line that is no JSON has a null record.
+    """
+    record = F.try_parse_json("value")
+    return spark.read.text(path).select(F.try_variant_get(record, "$.game_id", "bigint").alias("game_id"), record.alias("record"))
+
+
+def record_field(field: str, kind: str = "string", record: str = "record") -> Column:
+    """S3: one top-level field of a record as a type; null where it is missing or does not convert. A name may hold one kind of quotes."""
+    quote = next((q for q in "'\"" if q not in field), None)
+    if quote is None:
+        raise ValueError("a path cannot name a field with both kinds of quotes")
+    return F.try_variant_get(F.col(record), f"$[{quote}{field}{quote}]", kind)
+
+
+def record_schema(records: DataFrame) -> DataFrame:
+    """S3: one row (schema): the type that holds every record there is, found from the data."""
+    return records.agg(F.schema_of_variant_agg("record").alias("schema"))
+
+
+def record_fields(records: DataFrame) -> DataFrame:
+    """S3: (field, type, n): every top-level field of the records, its type and how many hold it. A field of several types has several rows."""
+    members = F.from_json(F.to_json("record"), "map<string,variant>")
+    return records.select(F.explode(members).alias("field", "v")).groupBy("field", F.schema_of_variant("v").alias("type")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def record_attributes(records: DataFrame, kinds: Sequence[str] = ("mechanic", "category")) -> DataFrame:
+    """S3: (game_id, kind, name) of the fields ``<name>_<kind>`` that are true, whatever names there are."""
+    members = F.from_json(F.to_json("record"), "map<string,variant>")
+    fields = records.select("game_id", F.explode(members).alias("field", "v")).where(F.try_variant_get("v", "$", "boolean"))
+    kind = F.coalesce(*[F.when(F.col("field").endswith(f"_{k}"), F.lit(k)) for k in kinds])
+    return fields.withColumn("kind", kind).where("kind IS NOT NULL").select(
+        "game_id", "kind", F.expr("left(field, length(field) - length(kind) - 1)").alias("name")).distinct()
+
+
 def read_descriptions(games: DataFrame) -> DataFrame:
     """The description column as a corpus; the id is carried, row order is never relied on."""
     return games.select(F.col("game_id").alias("doc_id"), F.col("description").alias("text"))

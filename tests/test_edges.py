@@ -216,3 +216,21 @@ def test_label_games_needs_topic_and_title(spark):
 def test_assign_topic_first_wins(spark):
     w = spark.createDataFrame([(1, [0.2, 0.5, 0.5]), (2, [0.0, 0.0, 0.0])], "row int, f array<double>")
     assert rows(topics.assign_topic(w)) == [(1, 2), (2, 1)]
+
+
+def test_records_of_any_fields(spark, tmp_path):
+    path = str(tmp_path / "records")
+    lines = [
+        '{"game_id": 1, "game": "a", "Dice_mechanic": true, "odd \'name\'": {"x": [1, 2]}}', '{"game_id": "2", "Dice_mechanic": false, "War_category": true}',
+        "broken", "", '{"game": null, "War_category": "yes", "n": 1.5}', "[1]", '{"game_id": 9, "_mechanic": true}',
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    records = tables.read_game_records(spark, path)
+    assert records.count() == 7 and records.where("record is null").count() == 2
+    assert sorted((r["game_id"], r["kind"], r["name"]) for r in tables.record_attributes(records).where("game_id is not null").collect()) == [
+        (1, "mechanic", "Dice"), (2, "category", "War"), (9, "mechanic", "")]
+    one = records.where("game_id = 1").select(tables.record_field("odd 'name'").alias("x"), tables.record_field("none", "int").alias("y")).first()
+    assert one["x"] == '{"x":[1,2]}' and one["y"] is None
+    fields = {(r["field"], r["n"]) for r in tables.record_fields(records).collect()}
+    assert ("Dice_mechanic", 2) in fields and ("n", 1) in fields
+    assert "odd" in tables.record_schema(records.where("game_id = 1")).first()["schema"]

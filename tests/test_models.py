@@ -187,3 +187,28 @@ def test_silhouette_of_lone_members(spark):
 
 def test_const_schema(spark):
     assert spark.createDataFrame([], schemas.RATINGS).columns == ["user_id", "game_id", "rating"]
+
+
+def test_vcol_start_and_consensus_against_numpy(spark):
+    rng = np.random.default_rng(4)
+    v = (rng.random((30, 12)) < 0.4) * rng.random((30, 12))
+    v[:, 0] = 1.0
+    cells = spark.createDataFrame([(int(r), int(c), float(v[r, c])) for r, c in zip(*v.nonzero())], "row int, col int, value double")
+    start = {r["row"]: r["f"] for r in topics.vcol_start(cells, "row", "col", 3, 7).collect()}
+    import hashlib
+
+    for i in range(3):
+        drawn = [c for c in range(12) if int(hashlib.md5(f"vcol7|{c}|{i}".encode()).hexdigest()[:6], 16) / (1 << 24) < 0.2] or list(range(12))
+        assert np.allclose([start[r][i] for r in range(30)], v[:, drawn].mean(axis=1))
+    found = topics.nmf(cells, 3, iters=5, start="vcol")
+    w, h = (np.array([r["f"] for r in f.orderBy(k).collect()]) for f, k in ((found.w, "row"), (found.h, "col")))
+    assert (w >= 0).all() and (h >= 0).all() and topics.nmf_error(cells, found) == pytest.approx(np.linalg.norm(v - w @ h.T), rel=1e-6)
+
+    labels = rng.integers(0, 3, (4, 50))
+    labels[1] = labels[0]
+    rows = [(int(r), run, int(t)) for run in range(4) for r, t in enumerate(labels[run])]
+    got = topics.consensus_dispersion(spark.createDataFrame(rows, "row int, run int, topic int")).first()
+    c = np.mean([a[:, None] == a[None] for a in labels], axis=0)
+    assert (got["n"], got["runs"]) == (50, 4) and got["dispersion"] == pytest.approx((4 * (c - 0.5) ** 2).mean())
+    one = topics.nmf_consensus(cells, 2, 2, iters=2).first()
+    assert one["k"] == 2 and 0 <= one["dispersion"] <= 1
