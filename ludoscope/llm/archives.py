@@ -34,14 +34,25 @@ _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ZIP64_SIZE = 0xFFFFFFFF
 
 
+#: Schemes of a shared folder, and what Arrow calls them. ``hdfs`` and ``viewfs`` need Hadoop's native library where tasks run.
+SCHEMES = {"s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "gcs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss", "file": "file", "": "file"}
+
+
+def store_uri(uri: str) -> str:
+    """The URI as Arrow reads it; one without a scheme is a path. Unknown schemes are an error, so ask before a job starts."""
+    scheme = uri.split(":", 1)[0].lower() if "://" in uri or uri.startswith("file:") else ""
+    if scheme not in SCHEMES:
+        raise ValueError(f"packages cannot be kept under {scheme}://; known are {', '.join(k for k in SCHEMES if k)}")
+    return f"{SCHEMES[scheme]}{uri[len(scheme) :]}" if scheme else uri
+
+
 def open_store(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    """The file system and path of a URI; one without a scheme is a path."""
-    if "://" in uri or uri.startswith("file:"):
-        parts = urllib.parse.urlsplit(uri)
-        if parts.scheme == "file":
-            return arrow_fs.LocalFileSystem(), urllib.parse.unquote(parts.path)
-        return arrow_fs.FileSystem.from_uri(uri)
-    return arrow_fs.LocalFileSystem(), uri
+    """The file system and path of a URI."""
+    uri = store_uri(uri)
+    parts = urllib.parse.urlsplit(uri)
+    if parts.scheme == "file":
+        return arrow_fs.LocalFileSystem(), urllib.parse.unquote(parts.path)
+    return arrow_fs.FileSystem.from_uri(uri) if "://" in uri else (arrow_fs.LocalFileSystem(), uri)
 
 
 # --- reading ZIP ---
@@ -194,6 +205,7 @@ def write_archives(pages: DataFrame, package_bytes: int = PACKAGE_BYTES) -> Data
     others refer to. Further columns are ignored.
     """
     folder = scratch_path(pages.sparkSession, "archives")
+    store_uri(folder)
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)

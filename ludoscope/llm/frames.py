@@ -21,6 +21,18 @@ def ready(df: DataFrame) -> DataFrame:
     return df
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """Names that ``df`` has no column of: those wanted, or with more underscores before them. Case does not tell columns apart."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def binary_rows(matrix: np.ndarray) -> pa.Array:
     """A binary column with one row of a two-dimensional array per value."""
     width = matrix.shape[1] * matrix.itemsize

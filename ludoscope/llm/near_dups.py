@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ludoscope.llm.frames import binary_rows, components, meeting_blocks, per_group, ready, roots
+from ludoscope.llm.frames import binary_rows, components, free_names, meeting_blocks, per_group, ready, roots
 from ludoscope.llm.hyperminhash import BANDS, BUCKETS, bands, estimate, registers
 from ludoscope.llm.words import Words, word_chunks
 from ludoscope.session import stored
@@ -193,12 +193,13 @@ def drop_near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     Groups are those of ``near_duplicates`` over rows, so of rows repeated under one doc_id one stays too. Documents without
     words are in no group and all stay. All columns are kept.
     """
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    groups = near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), percent).where("n_shingles > 0")
+    (row,) = free_names(docs, "_row")
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), percent).where("n_shingles > 0")
     # Only groups of two or more can lose a row.
     sizes = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("component_id")
-    members = groups.join(sizes, "component_id").select(F.col("doc_id").alias("_row"), "component_id").join(rows.select("_row", "doc_id"), "_row")
+    members = groups.join(sizes, "component_id").select(F.col("doc_id").alias("_row"), "component_id").join(rows.select(F.col(row).alias("_row"), "doc_id"), "_row")
     order = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "_row")
     stays = members.groupBy("component_id").agg(F.min(order).alias("first"))
-    gone = members.join(stays, "component_id").where(F.col("_row") != F.col("first._row")).select("_row")
-    return rows.join(gone, "_row", "left_anti").select(*docs.columns)
+    gone = members.join(stays, "component_id").where(F.col("_row") != F.col("first._row")).select(F.col("_row").alias(row))
+    return rows.join(gone, row, "left_anti").select(*docs.columns)

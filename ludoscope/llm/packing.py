@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 from ludoscope.llm.bpe import encode_tree, load_ranks
-from ludoscope.llm.frames import ready
+from ludoscope.llm.frames import free_names, ready
 from ludoscope.session import stored
 
 CAPACITY = 1024
@@ -147,40 +147,42 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_RO
     if any(size is None or not 1 <= size <= capacity for size in counts):
         raise ValueError("a length is out of range")
     counts.pop(capacity, None)
+    (place,) = free_names(pieces, "_number")
     slots: dict[int, list[tuple[int, int, int]]] = {size: [] for size in counts}
     given = dict.fromkeys(counts, 0)
     sequence = 0
     for items, bins in plan_bins(counts, capacity):
-        place = 0
+        filled = 0
         for size in items:
-            slots[size].append((given[size], sequence - given[size], place))
+            slots[size].append((given[size], sequence - given[size], filled))
             given[size] += bins
-            place += size
+            filled += size
         sequence += bins
     table = {size: np.array(rows, dtype=np.int64) for size, rows in slots.items()}
 
     def place_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, number = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", "_number"))
+            size, number = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("length", place))
             bins, offset = np.zeros(len(size), dtype=np.int64), np.zeros(len(size), dtype=np.int64)
             for own in np.unique(size):
                 here = size == own
                 rows = table[int(own)]
                 slot = np.searchsorted(rows[:, 0], number[here], side="right") - 1
                 bins[here], offset[here] = number[here] + rows[slot, 1], rows[slot, 2]
-            kept = batch.drop_columns(["_number"])
+            kept = batch.drop_columns([place])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(bins), pa.array(offset)], names=[*kept.schema.names, "sequence_id", "offset"])
 
     salts = max(1, -(-max(counts.values(), default=0) // group_rows))
     salt = F.pmod(F.xxhash64(*[c for c in ("doc_id", "piece") if c in pieces.columns]), F.lit(salts)).cast("int")
-    partial = pieces.where(F.col("length") < capacity).withColumn("_salt", salt)
-    sizes = partial.groupBy("length", "_salt").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("length", "_salt", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    salted, row, ahead = free_names(pieces, "_salt", "_row", "_before")
+    partial = pieces.where(F.col("length") < capacity).withColumn(salted, salt)
+    sizes = partial.groupBy("length", salted).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("length").orderBy(salted).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("length", salted, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(ahead))
     order = [F.col(c) for c in pieces.columns if dict(pieces.dtypes)[c].split("<")[0] not in ("array", "map")]
-    number = F.row_number().over(Window.partitionBy("length", "_salt").orderBy(*order)) - 1
-    numbered = partial.withColumn("_row", number).join(sizes, ["length", "_salt"]).withColumn("_number", F.col("_before") + F.col("_row"))
-    numbered = numbered.select(*pieces.columns, "_number")
+    number = F.row_number().over(Window.partitionBy("length", salted).orderBy(*order)) - 1
+    numbered = partial.withColumn(row, number).join(sizes, ["length", salted]).withColumn(place, F.col(ahead) + F.col(row))
+    numbered = numbered.select(*pieces.columns, place)
     schema = StructType(list(pieces.schema.fields)).add("sequence_id", "long").add("offset", "long")
     whole = pieces.where(F.col("length") == capacity).select(
         "*", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from ludoscope.llm.frames import ready
+from ludoscope.llm.frames import free_names, ready
 from ludoscope.llm.words import Words, mix, word_chunks
 from ludoscope.session import stored
 
@@ -25,6 +25,7 @@ WINDOW, GRAM = 50, 8
 TEXTS = 1024
 #: Words of a reference that one automaton holds, and all of it may hold.
 SHARD_WORDS, REFERENCE_WORDS = 50_000, 2_000_000
+REFERENCE_BYTES = 64 << 20
 
 
 class SuffixAutomaton:
@@ -306,8 +307,9 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     found, left = find_repeats(docs, size)
     gone = found.where("n_removed = n_words and n_words > 0").select("doc_id", "key", F.lit("").alias("kept")).distinct()
     change = left.join(gone.select("doc_id", "key"), ["doc_id", "key"], "left_anti").unionByName(gone)
-    changes = change.groupBy("doc_id").agg(F.collect_list(F.struct("key", "kept")).alias("_changes"))
-    both = docs.join(changes, "doc_id", "left").select(*[c for c in columns if c != "text"], "text", "_changes")
+    (listed,) = free_names(docs, "_changes")
+    changes = change.groupBy("doc_id").agg(F.collect_list(F.struct("key", "kept")).alias(listed))
+    both = docs.join(changes, "doc_id", "left").select(*[c for c in columns if c != "text"], "text", listed)
     schema = StructType(list(both.schema.fields)[:-1])
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,11 +317,11 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             for row, words in word_chunks(batch.column("text")):
                 part = batch.slice(row, len(words.count))
                 texts = part.column("text").to_pylist()
-                for i, own in enumerate(part.column("_changes").to_pylist()):
+                for i, own in enumerate(part.column(listed).to_pylist()):
                     for change in own or ():
                         if change["key"] == _key(words, i):
                             texts[i] = change["kept"]
-                rest = part.drop_columns(["text", "_changes"])
+                rest = part.drop_columns(["text", listed])
                 yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(texts, pa.string())], names=[*rest.schema.names, "text"])
 
     out = both.mapInArrow(work, schema)
@@ -334,15 +336,15 @@ def strip_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
 def strip_references(docs: DataFrame, references: DataFrame, size: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` with every word removed that lies in a span of at least ``size`` words which occurs in a text of ``references``.
 
-    The references (text) are broadcast to the tasks, so they may hold REFERENCE_WORDS words in all; more is an error. A task
-    builds the automata of their shards once and streams its documents through each. A reference longer than a shard
+    The references (text) are broadcast to the tasks up to REFERENCE_WORDS words and REFERENCE_BYTES bytes in all; more of them meet the
+    documents by their windows, see ``_strip_windows``, with the same result. A task builds the automata of their shards once and streams its documents through each. A reference longer than a shard
     goes on in the next one with an overlap, so no span is lost that is no longer than the overlap of 4 * size words; longer ones
     are found as overlapping parts. Null and empty texts stay as they are.
     """
     counted = references.where("text is not null").select("text", F.size(F.split(F.trim("text"), "\\s+")).alias("n"))
-    total = counted.agg(F.sum("n")).first()[0] or 0
-    if total > REFERENCE_WORDS:
-        raise ValueError(f"{total} words of reference are too many to broadcast; strip_repeats takes any number")
+    total = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    if total[0] > REFERENCE_WORDS or total[1] > REFERENCE_BYTES:
+        return _strip_windows(docs, references, size)
     held = docs.sparkSession.sparkContext.broadcast([r["text"] for r in counted.select("text").collect()])
     plain = ready(docs)
 
@@ -389,3 +391,54 @@ def strip_references(docs: DataFrame, references: DataFrame, size: int = WINDOW,
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 
     return plain.mapInArrow(work, plain.schema)
+
+
+def _windows_with(size: int, row: str, flagged: str):
+    """For rows with a list ``flagged`` of anchors: the windows that have one of them, (row, at, window, check)."""
+
+    def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, words in word_chunks(batch.column("text")):
+                part = batch.slice(first, len(words.count))
+                starts, hashes, anchors = _anchored(words, size)
+                cut = np.searchsorted(words.doc[starts], np.arange(len(words.count) + 1))
+                ids, lists = part.column(row).to_pylist(), part.column(flagged)
+                for i in range(len(words.count)):
+                    here = np.arange(cut[i], cut[i + 1])
+                    here = here[np.isin(anchors[here], np.asarray(lists[i].values).view(np.uint64))]
+                    check = mix(hashes[here] ^ anchors[here]) ^ words.hash[starts[here]] ^ mix(words.hash[starts[here] + size - 1])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([ids[i]] * len(here), pa.int64()), pa.array((starts[here] - words.first[i]).astype(np.int32)), pa.array(hashes[here].view(np.int64)), pa.array(check.view(np.int64))],
+                        names=["row", "at", "window", "check"])
+
+    return work
+
+
+def _strip_windows(docs: DataFrame, references: DataFrame, size: int) -> DataFrame:
+    """``strip_references`` for references of any size: windows of ``size`` words meet by their hashes.
+
+    Only windows whose anchor stands on both sides are hashed and shuffled. A window counts once however often the references have it, and
+    a document's windows are as many as its words. Two windows are taken for one if 128 bits of hashes agree.
+    """
+    (row,) = free_names(docs, "_row")
+    rows = stored(ready(docs).withColumn(row, F.monotonically_increasing_id()), "rows")
+    given = stored(references.where("text is not null").select("text", F.monotonically_increasing_id().alias("row")), "references")
+
+    def anchors(df: DataFrame) -> DataFrame:
+        plain = df.select(F.col("row").alias("doc_id"), "text").mapInArrow(_survey(size), "doc_id long, n_words long, key binary, sha256 string, anchors array<long>")
+        return plain.select(F.col("doc_id").alias("row"), F.explode("anchors").alias("anchor"))
+
+    mine, theirs = anchors(rows.select(F.col(row).alias("row"), "text")), anchors(given)
+    shared = stored(theirs.select("anchor").distinct().join(mine.select("anchor").distinct(), "anchor"), "anchors")
+
+    def windows(df: DataFrame, own: DataFrame) -> DataFrame:
+        held = own.join(shared, "anchor").groupBy("row").agg(F.collect_set("anchor").alias("anchors"))
+        return df.join(held.hint("merge"), "row").select("row", "text", "anchors").mapInArrow(_windows_with(size, "row", "anchors"), "row long, at int, window long, check long")
+
+    known = windows(given, theirs).select("window", "check").distinct()
+    found = windows(rows.select(F.col(row).alias("row"), "text"), mine).join(known, ["window", "check"])
+    cut = found.groupBy("row").agg(F.collect_set("at").alias("at"))
+    texts = rows.select(F.col(row).alias("row"), "text").join(cut.hint("merge"), "row").select(F.col("row").alias("doc_id"), F.lit(b"").alias("key"), "at", "text")
+    (kept,) = free_names(rows, "_kept")
+    left = texts.mapInArrow(_strip(size), "doc_id long, key binary, n_removed long, sha256 string, kept string").select(F.col("doc_id").alias(row), F.col("kept").alias(kept))
+    return rows.join(left, row, "left").withColumn("text", F.coalesce(kept, "text")).select(*docs.columns)

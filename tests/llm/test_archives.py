@@ -82,3 +82,19 @@ def test_a_damaged_payload_is_an_error():
 def test_uris():
     assert archives.open_store("file:///a/b%20c")[1] == "/a/b c" and archives.open_store("/a/b")[1] == "/a/b" and archives.open_store("file:/a")[1] == "/a"
     assert os.sep == "/"
+
+
+@pytest.mark.parametrize("uri, mapped", [
+    ("s3a://bucket/a b/x.zip", "s3://bucket/a b/x.zip"), ("s3n://b/x", "s3://b/x"), ("s3://b/x", "s3://b/x"), ("S3A://b/x", "s3://b/x"), ("hdfs://host:8020/x", "hdfs://host:8020/x"),
+    ("gcs://b/x", "gs://b/x"), ("file:/tmp/x", "file:/tmp/x"), ("/tmp/x", "/tmp/x"),
+])
+def test_schemes(uri, mapped):
+    assert archives.store_uri(uri) == mapped
+
+
+def test_unknown_schemes_are_refused_before_the_job(spark, monkeypatch):
+    with pytest.raises(ValueError, match="nowhere"):
+        archives.store_uri("nowhere://b/x")
+    monkeypatch.setattr(archives, "scratch_path", lambda *a: "nowhere://b/x")
+    with pytest.raises(ValueError):
+        archives.write_archives(spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string"))

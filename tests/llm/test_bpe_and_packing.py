@@ -111,3 +111,14 @@ def test_query_takes_added_tokens_as_the_library_does(spark, tmp_path):
                 start = 0 if k == 0 else stop - 1024
                 want[doc_id, k] = (start, stop - start, zlib.crc32(own[start:stop].tobytes()))
         assert got == want
+
+
+def test_packing_keeps_columns_with_names_of_our_own(spark):
+    rows = [(i, 0, 0, 100 + i, f"n{i}", f"s{i}", f"r{i}", f"b{i}") for i in range(30)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, _number string, _salt string, _row string, _before string")
+    got = packing.pack(pieces).collect()
+    assert sorted((r["doc_id"], r["_number"], r["_salt"], r["_row"], r["_before"]) for r in got) == sorted((r[0], *r[4:]) for r in rows)
+    filled = {}
+    for r in got:
+        filled.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    assert all(sum(n for _, n in own) <= 1024 and all(a + n == b for (a, n), (b, _) in zip(sorted(own), sorted(own)[1:])) for own in filled.values())

@@ -91,3 +91,10 @@ def test_estimates_follow_similarity():
             jaccard = len(np.intersect1d(*sets)) / len(np.union1d(*sets))
             regs = hyperminhash.registers(np.concatenate(sets), np.array([0, len(sets[0]), len(sets[0]) + len(sets[1])]))
             assert abs(hyperminhash.estimate(regs[0], regs[1]) - jaccard) < 0.17
+
+
+def test_a_column_of_our_own_name_stays(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (3, "other words here for all of us", "c")], "doc_id long, text string, _row string")
+    got = near_dups.drop_near_duplicates(docs)
+    assert got.columns == docs.columns and sorted((r["doc_id"], r["_row"]) for r in got.collect()) == [(1, "a"), (3, "c")]

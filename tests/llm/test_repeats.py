@@ -87,5 +87,23 @@ def test_given_references(spark):
     refs = spark.createDataFrame([(f"x {passage} y",), (None,)], "text string")
     got = {r["doc_id"]: r["text"] for r in repeats.strip_references(docs, refs).collect()}
     assert got == {1: "before after", 2: "q1 q2 q3", 3: None}
-    with pytest.raises(ValueError):
-        repeats.strip_references(docs, refs.union(refs).crossJoin(spark.range(30_000)).select("text"))
+
+
+@pytest.mark.parametrize("bound", ["REFERENCE_WORDS", "REFERENCE_BYTES"])
+def test_references_beyond_the_bound_give_the_same(spark, monkeypatch, bound):
+    rows = [(i, t, "r", "k") for i, t in corpus(7)]
+    docs = spark.createDataFrame([*rows[:80], (900, None, "r", "k"), rows[0]], "doc_id long, text string, _row string, _kept string")
+    refs = spark.createDataFrame([(t,) for _, t, *_ in rows[80:]] + [(None,), ("",)], "text string")
+    want = sorted(map(str, repeats.strip_references(docs, refs, 10).collect()))
+    monkeypatch.setattr(repeats, bound, 5)
+    got = repeats.strip_references(docs, refs, 10)
+    assert got.columns == docs.columns and sorted(map(str, got.collect())) == want
+    assert want != sorted(map(str, docs.collect()))
+    assert repeats.strip_references(docs, refs.limit(0), 10).count() == docs.count()
+
+
+def test_columns_with_names_of_our_own(spark):
+    long = " ".join(f"a{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, long, "c", 1), (2, long + " end", "d", 2)], "doc_id long, text string, _changes string, __changes int")
+    got = repeats.strip_repeats(docs)
+    assert got.columns == docs.columns and sorted((r["doc_id"], r["text"], r["_changes"]) for r in got.collect()) == [(1, long, "c"), (2, "end", "d")]
