@@ -386,7 +386,7 @@ def _sweep_sql(ranks) -> str:
     parts, errors = [_V], []
     for k in ranks:
         body = _nmf_sql(k, 1, 0.0)
-        body = body[len("WITH ") + len(_V) + 2:]
+        body = "\n" + body[len("WITH ") + len(_V) + 2:]
         for name in ("w0", "h0", "w1", "h1", "g_", "n_", "d_"):
             body = body.replace(f" {name}", f" r{k}_{name}").replace(f"\n{name}", f"\nr{k}_{name}")
         parts.append(body)
