@@ -84,6 +84,27 @@ def _(spark, sf):
     return clusters.kprototypes(fx.games(spark, sf), _NUM, _CAT, 5, gamma=0.5, max_iter=1).labels
 
 
+def _cao_sql(k: int) -> str:
+    """The start written out, one choice after the other."""
+    parts = ["""rows AS (SELECT game_id, avg_weight, playing_time::DOUBLE AS playing_time, best_num_players, min_players FROM games WHERE best_num_players IS NOT NULL),
+    combos AS (SELECT best_num_players AS b, min_players AS m, avg(avg_weight) AS w, avg(playing_time) AS t FROM rows GROUP BY ALL),
+    dense AS (SELECT *, (SELECT count(*) FROM rows WHERE best_num_players = b) + (SELECT count(*) FROM rows WHERE min_players = m) AS d FROM combos)"""]
+    for c in range(k):
+        apart = [f"(SELECT CAST(dense.b <> p{o}.b AS INTEGER) + CAST(dense.m <> p{o}.m AS INTEGER) FROM p{o})" for o in range(c)]
+        score = "d" if not apart else f"d * least({', '.join([*apart, apart[0]])})"
+        parts.append(f"p{c} AS (SELECT {c} AS c, b, m, w, t FROM dense WHERE {score} > 0 ORDER BY {score} DESC, b, m LIMIT 1)")
+    return "WITH " + ",\n".join(parts) + ",\nstarts AS (" + " UNION ALL ".join(f"SELECT * FROM p{c}" for c in range(k)) + ")"
+
+
+@checked("G2_kprototypes_cao", "games", _cao_sql(5) + """,
+    far AS (SELECT r.game_id, c, (r.avg_weight - s.w) * (r.avg_weight - s.w) + (r.playing_time - s.t) * (r.playing_time - s.t)
+                   + 0.5 * (CAST(r.best_num_players <> s.b AS INTEGER) + CAST(r.min_players <> s.m AS INTEGER)) AS d FROM rows r, starts s)
+    SELECT game_id, CAST(c AS INTEGER) AS cluster FROM (
+        SELECT *, row_number() OVER (PARTITION BY game_id ORDER BY round(d, 9), c) AS r FROM far) WHERE r = 1""")
+def _(spark, sf):
+    return clusters.kprototypes(fx.games(spark, sf), _NUM, _CAT, 5, gamma=0.5, max_iter=1, init="Cao").labels
+
+
 @checked("G2_kprototypes_loop", "games", """
     SELECT count(*) AS n_games, 0::BIGINT AS n_unplaced, true AS cost_falls, true AS cost_holds
     FROM games WHERE best_num_players IS NOT NULL""")

@@ -6,7 +6,9 @@ it lies, and a payload that does not parse is kept aside by ``split_rejects`` in
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -266,26 +268,59 @@ def resolve_user_ids(comments: DataFrame, users: DataFrame, raw_users: DataFrame
     return comments.join(directory, "username", "left"), directory
 
 
-# Named characters of HTML text.
-HTML_ENTITIES = [
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-]
+def unescape_html(text: Column) -> Column:
+    """Character references resolved once: the names of HTML 4 and ``apos``, decimal and hexadecimal numbers; unknown ones stay."""
+    names = F.map_from_arrays(F.array(*[F.lit(n) for n in _NAMES]), F.array(*[F.lit(c) for c in _NAMES.values()]))
+
+    def resolved(part: Column) -> Column:
+        end = F.locate(";", part)
+        name = F.substring(part, F.lit(2), end - 2)
+        digits = F.regexp_extract(part, r"^&#([0-9]{1,7});", 1)
+        hexes = F.regexp_extract(part, r"^&#[xX]([0-9a-fA-F]{1,6});", 1)
+        code = F.when(digits != "", digits.cast("int")).when(hexes != "", F.conv(hexes, 16, 10).cast("int"))
+        whole = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        # The code's four bytes, read as UTF-32.
+        sign = F.coalesce(F.when(whole, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")), F.element_at(names, name))
+        return F.when(part.startswith("&") & (end > 2) & sign.isNotNull(), F.concat(sign, F.substr(part, end + 1))).otherwise(part)
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "(?=&)"), resolved), "")).otherwise(text)
+
+
+#: From the standard library, so that the table is not written out here.
+_NAMES = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 
 
 def html_text(html: Column) -> Column:
     """The readable text of an HTML fragment: no scripts, no tags, entities resolved, blanks collapsed."""
     html = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")
-    html = F.regexp_replace(html, r"<[^>]*>", " ")
-    for entity, plain in HTML_ENTITIES:
-        html = F.replace(html, F.lit(entity), F.lit(plain))
-    return F.trim(F.regexp_replace(html, r"\s+", " "))
+    text = F.replace(unescape_html(F.regexp_replace(html, r"<[^>]*>", " ")), F.lit("\u00a0"), F.lit(" "))
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def first_article(html: Column) -> Column:
+    """What stands inside the first article element, others nested in it included; empty without one, all to the end if it stays open."""
+    parts = F.split(html, r"(?i)(?=</?article\b)")
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("text"), F.lit(False).alias("done"))
+
+    def step(state: Column, part: Column) -> Column:
+        opens, closes = part.rlike(r"(?i)^<article\b"), part.rlike(r"(?i)^</article\b")
+        depth = state["depth"] + F.when(opens, 1).when(closes & (state["depth"] > 0), -1).otherwise(0)
+        done = state["done"] | (closes & (state["depth"] == 1))
+        behind = F.regexp_replace(part, r"(?i)^</?article\b[^>]*>", "")
+        text = F.when(state["done"] | (depth == 0), state["text"]).otherwise(F.concat(state["text"], F.lit(" "), behind))
+        return F.struct(depth.alias("depth"), text.alias("text"), done.alias("done"))
+
+    return F.aggregate(parts, start, step)["text"]
+
+
+def meta_contents(html: Column, names: Sequence[str]) -> Column:
+    """The contents of the meta elements whose name or property is one of ``names``, whatever the order of attributes and the quotes."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?is)<meta\b[^>]*>"), 0)
+    wanted = "|".join(re.escape(n) for n in names)
+    mine = F.filter(tags, lambda t: t.rlike(rf"(?is)\s(?:name|property|itemprop)\s*=\s*[\"']?(?:{wanted})[\"'\s/>]"))
+    content = r"(?is)\scontent\s*=\s*(?:\"([^\"]*)\"|'([^']*)')"
+    found = F.transform(mine, lambda t: F.trim(unescape_html(F.concat(F.regexp_extract(t, content, 1), F.regexp_extract(t, content, 2)))))
+    return F.filter(found, lambda x: x != "")
 
 
 def parse_article(
@@ -301,9 +336,9 @@ def parse_article(
     ``keep`` names columns of ``pages`` to carry along.
     """
     html = F.col(col)
-    body = html_text(F.regexp_extract(html, r"(?is)<article[^>]*>(.*?)</article>", 1))
-    authors = F.regexp_extract_all(html, F.lit(r'(?i)<meta name="author" content="([^"]*)"'), 1)
-    date = F.regexp_extract(html, r'(?i)<meta property="article:published_time" content="([^"]*)"', 1)
+    body = html_text(first_article(html))
+    authors = meta_contents(html, ["author", "article:author"])
+    date = F.get(meta_contents(html, ["article:published_time"]), 0)
     parsed = pages.where(html.isNotNull() & (html != "")).select(
         F.col(url).alias("url"),
         source.alias("source"),
