@@ -37,9 +37,9 @@ def shares(spark, sf: str) -> dict[str, float]:
     games, attrs = fx.games(spark, sf), fx.attrs(spark, sf)
     for name, search in (("K2_hamming_topk", similar.hamming_topk), ("K3_jaccard_topk", similar.jaccard_topk)):
         search(games, attrs, 9, stats=(stats := {}))
-        out[name] = round(stats["scored"] / max(stats["row_pairs"], 1), 4)
+        out[name] = round(stats["met"] / stats["pairs"], 4)
     similar.cosine_topk(tfidf(fx.docs(spark, sf), numbered=True), 10, stats=(stats := {}))
-    out["K4_cosine_topk"] = round(stats["scored"] / max(stats["row_pairs"], 1), 4)
+    out["K4_cosine_topk"] = round(stats["met"] / stats["pairs"], 4)
     ratings = cut_lineage(fx.ratings(spark, sf))
     collab.recommend_all(collab.fit_als(ratings, max_iter=10), ratings, 20, stats=(stats := {}))
     out["A9_recommend_all"] = round(stats["scored"] / max(stats["users"] * stats["games"], 1), 4)

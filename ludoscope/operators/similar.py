@@ -81,11 +81,10 @@ def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Measure
     groups = cut_lineage(sets.groupBy("terms").agg(key, F.count(F.lit(1)).alias("_rows")))
     ones = F.transform("terms", lambda t: F.lit(1.0))
     found = best_partners(
-        groups.select("key", "terms", ones.alias("weights")), k + 1, measure, bound, ATTR_BLOCK, [F.size("terms"), F.col("terms"), F.col("key")],
-        count=stats is not None)
+        groups.select("key", "terms", ones.alias("weights")), k + 1, measure, bound, ATTR_BLOCK, [F.size("terms"), F.col("terms"), F.col("key")])
     near = found.best
     if stats is not None:
-        stats.update(pairs=found.pairs, met=found.met, row_pairs=found.row_pairs, scored=found.scored)
+        stats.update(pairs=found.pairs, met=found.met)
 
     named = salted_lookup(sets, groups.select("terms", "key"), "terms", ["game_id"], groups.select("terms", "_rows"))
     first = top_per_key(named.select("key", "game_id"), ["key"], [F.col("game_id")], k + 1, "_n")
@@ -139,7 +138,7 @@ def jaccard_measures() -> tuple[Measure, Bound]:
 def hamming_topk(games: DataFrame, attrs: DataFrame, k: int, stats: dict | None = None) -> DataFrame:
     """K2: the ``k`` games nearest by Hamming similarity to every game, disjoint small sets included.
 
-    ``stats`` receives the pairs of blocks and of rows there are, and those that were compared (met, scored).
+    ``stats`` receives the pairs of blocks there are and those that were compared (met).
     """
     size = max(1, attrs.select("kind", "name").distinct().count())
     return _attribute_topk(games, attrs, k, *hamming_measures(size), stats)
@@ -183,10 +182,9 @@ def cosine_topk(tfidf: DataFrame, k: int, digits: int = 9, stats: dict | None =
     rows = cut_lineage(rows)
     rows = _nearest_pivots(rows, min(256, max(1, rows.count() // PIVOT_ROWS)))
     found = best_partners(
-        rows, k + 1, lambda dot, a, b: np.round(dot, digits), lambda dot, a, b: dot + 10.0**-digits, TEXT_BLOCK, [F.col("pivot"), F.col("key")],
-        count=stats is not None)
+        rows, k + 1, lambda dot, a, b: np.round(dot, digits), lambda dot, a, b: dot + 10.0**-digits, TEXT_BLOCK, [F.col("pivot"), F.col("key")])
     if stats is not None:
-        stats.update(pairs=found.pairs, met=found.met, row_pairs=found.row_pairs, scored=found.scored)
+        stats.update(pairs=found.pairs, met=found.met)
     others = found.best.where(F.col("key") != F.col("partner"))
     return top_per_key(others, ["key"], [F.col("score").desc(), F.col("partner")], k, "rank").select(
         F.col("key").alias("doc_id"), F.col("partner").alias("other_id"), F.col("score").alias("similarity"), "rank"

@@ -130,26 +130,7 @@ def test_texts_of_different_words_never_meet(spark, monkeypatch):
     got = sorted(map(tuple, similar.cosine_topk(weights, 3, stats=stats).collect()))
     monkeypatch.setattr(similar, "TEXT_BLOCK", 10_000)
     assert got == sorted(map(tuple, similar.cosine_topk(weights, 3, stats=whole).collect()))
-    assert whole == {"pairs": 1, "met": 1, "row_pairs": 192**2, "scored": 192**2}
-    assert stats["met"] < 0.8 * stats["pairs"] and stats["scored"] < 0.6 * stats["row_pairs"]
-
-
-@pytest.mark.parametrize("seed", range(6))
-def test_strips_leave_out_only_what_cannot_enter(monkeypatch, seed):
-    monkeypatch.setattr(bounded, "STRIP", 4)
-    rng = np.random.default_rng(seed)
-    dense = [(rng.random((n, 30)) < 0.3) * (np.arange(30) % 3 == (np.arange(n) // 5 % 3)[:, None]) for n in (23, 17)]
-    sides = []
-    for m in dense:
-        rows, terms = m.nonzero()
-        sides.append((np.arange(len(m)), rows, terms, np.ones(len(rows))))
-    measure, bound = similar.jaccard_measures()
-    full = measure((dense[0].astype(float) @ dense[1].T), dense[0].sum(axis=1)[:, None], dense[1].sum(axis=1)[None, :])
-    floors = tuple(rng.choice([-np.inf, 0.2, 0.5, 1.0], len(m)) for m in dense)
-    strips = tuple([np.flatnonzero(np.arange(len(m)) // 4 == i) for i in range(-(-len(m) // 4))] for m in dense)
-    table = bounded._scores(*sides, measure, bound, floors, strips)
-    needed = (full >= floors[0][:, None]) | (full >= floors[1][None, :])
-    assert (table[needed] == full[needed]).all() and (np.isneginf(table) | (table == full)).all()
+    assert whole == {"pairs": 1, "met": 1} and stats["met"] < 0.8 * stats["pairs"]
 
 
 @pytest.mark.parametrize("seed", range(20))
