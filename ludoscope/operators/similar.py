@@ -58,12 +58,15 @@ def jaccard_similarity(games: DataFrame, attrs: DataFrame, probe: int) -> DataFr
     )
 
 
-def attribute_sets(games: DataFrame, attrs: DataFrame) -> DataFrame:
-    """(game_id, terms): the numbers of a game's attributes, in order, the rarest first; no attributes, no numbers."""
+def attribute_sets(games: DataFrame, attrs: DataFrame, rarest_first: bool = False) -> DataFrame:
+    """(game_id, terms): the numbers of a game's attributes, in order; no attributes, no numbers.
+
+    Numbers follow kind and name, or ``rarest_first`` how many games have the attribute.
+    """
     held = attrs.select("game_id", "kind", "name").distinct()
     names = held.groupBy("kind", "name").agg(F.count(F.lit(1)).alias("_games"))
-    numbered = with_position(names, [F.col("_games"), F.col("kind"), F.col("name")], "term", start=0).drop("_games")
-    held = held.join(numbered, ["kind", "name"])
+    order = [*([F.col("_games")] if rarest_first else []), F.col("kind"), F.col("name")]
+    held = held.join(with_position(names, order, "term", start=0).drop("_games"), ["kind", "name"])
     lists = held.groupBy("game_id").agg(F.array_sort(F.collect_list(F.col("term"))).alias("terms"))
     return games.select(F.col("game_id").cast("long").alias("game_id")).join(lists, "game_id", "left").withColumn(
         "terms", F.coalesce("terms", F.array().cast("array<long>"))
@@ -76,7 +79,7 @@ def _attribute_topk(games: DataFrame, attrs: DataFrame, k: int, measure: Measure
     Games with equal sets are one row of the block step. Such a group needs no more than its k + 1
     smallest ids: ties go to the smaller id, so a larger one can never be among k partners.
     """
-    sets = cut_lineage(attribute_sets(games, attrs))
+    sets = cut_lineage(attribute_sets(games, attrs, rarest_first=True))
     key = F.min("game_id").alias("key")
     groups = cut_lineage(sets.groupBy("terms").agg(key, F.count(F.lit(1)).alias("_rows")))
     ones = F.transform("terms", lambda t: F.lit(1.0))
