@@ -29,6 +29,8 @@ from ludoscope.session import cut_lineage, stored
 LONGEST, LEAST, BEST, PERCENT = 5, 100, 2000, 100
 #: Words of a shard, words that a range holds on average, and documents of the sample that balances ranges.
 SHARD_WORDS, RANGE_WORDS, SAMPLE_DOCS, HOT_SHARE = 800_000, 1_000_000, 4_000, 4096
+#: Tasks that unite ranges; Spark's shuffles do not grow well beyond this.
+MOST_TASKS = 20_000
 _BITS = 21
 _ID = (1 << _BITS) - 1
 _BREAKS = np.zeros(256, dtype=bool)
@@ -306,7 +308,9 @@ def phrase_counts(
         large = seen.where((F.col("length") == length) & (F.col("n") * hot_share > F.lit(found.get(-length, 0)))) if ranges > 1 else None
         hot[length] = np.array([r["h"] for r in large.select("h").collect()] if large is not None else [], dtype=np.int64).view(np.uint64)
     parts = rows.mapInArrow(_shards(ranges, hot, shard_words), _PARTS)
-    return parts.repartition("cell").sortWithinPartitions("cell").mapInArrow(per_group("cell", _count_range(least)), "lang string, phrase string, length int, f long")
+    # As many tasks as ranges, so that a task stays the same size however much there is; a task may also take several ranges in turn.
+    tasks = min(max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ranges), MOST_TASKS)
+    return parts.repartition(tasks, "cell").sortWithinPartitions("cell").mapInArrow(per_group("cell", _count_range(least)), "lang string, phrase string, length int, f long")
 
 
 def collocations(docs: DataFrame, least: int = LEAST, best: int = BEST, percent: int = PERCENT) -> DataFrame:
