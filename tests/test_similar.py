@@ -78,6 +78,7 @@ def test_best_columns_breaks_ties_by_column():
 @pytest.mark.parametrize("block, tile", [(5, 3), (512, 4096)])
 def test_cosine_topk_is_exact(spark, monkeypatch, block, tile):
     monkeypatch.setattr(similar, "TEXT_BLOCK", block)
+    monkeypatch.setattr(bounded, "FEW_BLOCKS", 2)
     monkeypatch.setattr(blocks, "TERM_TILE", tile)
     rnd = random.Random(3)
     words = [f"w{i}" for i in range(40)]
@@ -103,6 +104,7 @@ def test_blocks_that_cannot_matter_never_meet(spark, monkeypatch):
     """Games of some families that share nothing, of different sizes: blocks of different families are ruled out."""
     monkeypatch.setattr(similar, "ATTR_BLOCK", 20)
     monkeypatch.setattr(bounded, "FIRST_ROUND", 2)
+    monkeypatch.setattr(bounded, "FEW_BLOCKS", 1)
     rnd = random.Random(5)
     sets = {}
     for family in range(8):
@@ -123,6 +125,7 @@ def test_blocks_that_cannot_matter_never_meet(spark, monkeypatch):
 
 def test_texts_of_different_words_never_meet(spark, monkeypatch):
     monkeypatch.setattr(similar, "TEXT_BLOCK", 16)
+    monkeypatch.setattr(bounded, "FEW_BLOCKS", 1)
     rnd = random.Random(4)
     rows = [(100 * t + d, " ".join(rnd.choices([f"t{t}w{i}" for i in range(30)], k=12))) for t in range(6) for d in range(32)]
     weights = tfidf(spark.createDataFrame(rows, "doc_id long, text string"), numbered=True)
