@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ludoscope.functions import scale
-from ludoscope.operators import collab, serve
+from ludoscope.operators import collab, ratings as rating_ops, serve
 from ludoscope.plans import recommend
 
 
@@ -80,3 +80,19 @@ def test_errors_without_pairs_to_score(spark):
     other = spark.createDataFrame([(9, 9, 1.0)], "user_id int, game_id int, rating double")
     model, table = collab.grid_search(ratings, other, ranks=[2], regs=[0.2], iters=[1])
     assert model is not None and [r["rmse"] for r in table.collect()] == [None]
+
+
+def test_unrated_pairs_of_several_cells_are_made_behind_the_last_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(rating_ops, "CELL_SIDE", 3)
+    rated = [(u, g, 1.0) for u in range(7) for g in range(9) if (u * 5 + g) % 4 == 0] + [(1, None, 1.0), (None, 2, 1.0)]
+    ratings = spark.createDataFrame(rated + rated[:5], "user_id int, game_id int, rating double")
+    users = spark.createDataFrame([(u,) for u in (*range(8), 3, None)], "user_id int")
+    found = rating_ops.unrated_all(ratings, users)
+    held = {(u, g) for u, g, _ in rated if u is not None and g is not None}
+    games = {g for _, g, _ in rated}
+    expected = [(u, g) for u in (*range(8), None) for g in games if (u, g) not in held]
+    key = lambda p: tuple(-1 if x is None else x for x in p)
+    assert sorted(((r["user_id"], r["game_id"]) for r in found.collect()), key=key) == sorted(expected, key=key)
+    # Sizes of plans do not tell how many copies a list becomes; the pairs themselves are not shuffled.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [_ub" in plan and "BroadcastHashJoin [_ub" not in plan and "LeftAnti" not in plan
