@@ -96,3 +96,8 @@ def test_unrated_pairs_of_several_cells_are_made_behind_the_last_shuffle(spark,
     # Sizes of plans do not tell how many copies a list becomes; the pairs themselves are not shuffled.
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin [_ub" in plan and "BroadcastHashJoin [_ub" not in plan and "LeftAnti" not in plan
+
+
+def test_blocks_of_a_fit_rise_with_what_a_block_holds_only():
+    assert [collab.als_blocks(n) for n in (0, 600_000, 36_000_000, 216_000_000)] == [10] * 4
+    assert collab.als_blocks(10_000_000_000) * collab.BLOCK_PAIRS >= 10_000_000_000
