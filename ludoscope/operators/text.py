@@ -96,8 +96,14 @@ def _with_following(lists: DataFrame, n: int) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, stop: Sequence[str] = (), ngram_range: tuple[int, int] = (1, 1)) -> DataFrame:
-    """T5: (doc_id, term, tf) over lower-cased words of two or more characters; parts of a document count as one."""
+    """T5: (doc_id, term, tf) over lower-cased words of two or more characters; parts of a document count as one.
+
+    Whole texts are brought together by document, so their terms, which take many times their room, are counted where they are. A
+    document in parts may be of any size and has its terms shuffled instead.
+    """
     words = without_stop(terms(F.col("text")), stop)
+    if "part" not in docs.columns:
+        docs = docs.select("doc_id", "text").repartition("doc_id")
     if ngram_range != (1, 1):
         parted = "part" in docs.columns and ngram_range[1] > 1
         lists = docs.select("doc_id", *(["part"] if parted else []), words.alias("_w"))

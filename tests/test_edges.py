@@ -234,3 +234,13 @@ def test_records_of_any_fields(spark, tmp_path):
     fields = {(r["field"], r["n"]) for r in tables.record_fields(records).collect()}
     assert ("Dice_mechanic", 2) in fields and ("n", 1) in fields
     assert "odd" in tables.record_schema(records.where("game_id = 1")).first()["schema"]
+
+
+def test_terms_are_counted_without_shuffling_them(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (1, "bb cc"), (None, "aa bb"), (2, None), (3, "")], "doc_id long, text string")
+    counts = text_ops.term_counts(docs, ngram_range=(1, 2))
+    assert sorted(map(tuple, counts.where("doc_id = 1").collect())) == [
+        (1, "aa", 2), (1, "aa bb", 1), (1, "bb", 2), (1, "bb aa", 1), (1, "bb cc", 1), (1, "cc", 1)]
+    assert sorted(r["term"] for r in counts.where("doc_id IS NULL").collect()) == ["aa", "aa bb", "bb"]
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "hashpartitioning(doc_id" in plan and ", term#" not in plan.split("hashpartitioning")[1].split(")")[0]
