@@ -244,3 +244,16 @@ def test_terms_are_counted_without_shuffling_them(spark):
     assert sorted(r["term"] for r in counts.where("doc_id IS NULL").collect()) == ["aa", "aa bb", "bb"]
     plan = counts._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "hashpartitioning(doc_id" in plan and ", term#" not in plan.split("hashpartitioning")[1].split(")")[0]
+
+
+def test_weights_are_shuffled_twice_and_a_probe_not_at_all(spark):
+    docs = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc"), (None, "aa bb"), (3, "dd")], "doc_id long, text string")
+    weights = text_ops.tfidf(docs)
+    assert {r["doc_id"] for r in weights.collect()} == {1, 2, 3}
+    near = similar.cosine_similarity(weights, 1)
+    norms = {r["doc_id"]: r["n"] for r in weights.groupBy("doc_id").agg(F.sum(F.col("tfidf") * F.col("tfidf")).alias("n")).collect()}
+    assert all(abs(n - 1) < 1e-12 for n in norms.values())
+    found = {r["doc_id"]: r["similarity"] for r in near.collect()}
+    assert found[3] == 0 and 0 < found[2] < 1
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [term" in plan
