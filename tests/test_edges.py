@@ -257,3 +257,14 @@ def test_weights_are_shuffled_twice_and_a_probe_not_at_all(spark):
     assert found[3] == 0 and 0 < found[2] < 1
     plan = near._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [term" in plan
+
+
+def test_wide_rows_of_many_games_equal_the_columns(spark):
+    given = [(1, 3, 2.0), (1, 3, 1.0), (1, 4, 0.0), (2, 5, 4.0), (None, 3, 1.5), (3, 4, None), (3, 5, 1.0)]
+    ratings = spark.createDataFrame(given, "user_id int, game_id int, rating double")
+    wide = {(r["user_id"], c): r[c] for r in rating_ops.utility_wide(ratings).collect() for c in ("3", "4", "5") if r[c]}
+    got = rating_ops.utility_rows(ratings).collect()
+    assert {(r["user_id"], c["game_id"]): c["rating"] for r in got for c in r["cells"]} == wide and {r["n_cells"] for r in got} == {3}
+    # 30,000 games took as many columns, whose plan alone took minutes.
+    many = spark.range(60_000).select(F.floor(F.col("id") / 6).alias("user_id"), (F.col("id") % 30_000).alias("game_id"), F.lit(1.0).alias("rating"))
+    assert rating_ops.utility_rows(many).agg(F.sum(F.size("cells")), F.max("n_cells")).first()[:] == (60_000, 30_000)
