@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ludoscope import schemas
 from ludoscope.functions.scale import with_position
 from ludoscope.functions.text import clean_description, title_words
+from ludoscope.session import stored
 
 XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
 
@@ -245,10 +246,14 @@ def batch_ids(games: DataFrame, order: str, n: int = 100) -> DataFrame:
 
 
 def split_rejects(payloads: DataFrame, schema: str, row_tag: str, col: str = "xml") -> tuple[DataFrame, DataFrame]:
-    """(readable, rejected) payloads; the rejected ones keep their keys for another try."""
-    parsed = _xml(payloads, col, schema, row_tag)
-    bad = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull()
-    return parsed.where(~bad).drop("_doc"), parsed.where(bad).drop("_doc")
+    """(readable, rejected) payloads; the rejected ones keep their keys for another try.
+
+    Payloads are parsed once and stored with what came of it, so either part reads the columns it is asked for.
+    """
+    parsed = _xml(payloads, col, schema, row_tag).select(*payloads.columns, "_doc._corrupt", F.col("_doc").isNull().alias("_none"))
+    bad = F.col("_none") | F.col("_corrupt").isNotNull()
+    judged = stored(parsed.select(*payloads.columns, bad.alias("_bad")), "payloads")
+    return judged.where(~F.col("_bad")).drop("_bad"), judged.where("_bad").drop("_bad")
 
 
 def skip_loaded_games(new: DataFrame, loaded: DataFrame) -> tuple[DataFrame, DataFrame]:
