@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -36,6 +39,25 @@ def tokenize(docs: DataFrame, col: str = "text") -> DataFrame:
     return docs.withColumn("tokens", tokens(F.col(col))).drop(col)
 
 
+def _put_lemmas(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of words ``_t`` with the lemmas of the known ones among them, ``_w``, in their place."""
+    for batch in batches:
+        known, texts = batch.column("_w").flatten(), batch.column("_t")
+        lists = texts.flatten()
+        words = lists.flatten()
+        if len(known):
+            at = pc.index_in(words, value_set=known.field("token"))
+            words = pc.coalesce(pc.take(known.field("lemma"), at), words)
+
+        def ends(of: pa.ListArray) -> pa.Array:
+            lengths = pc.fill_null(pc.list_value_length(of), 0).to_numpy(zero_copy_only=False)
+            return pa.array(np.concatenate(([0], np.cumsum(lengths))).astype("i4"))
+
+        done = pa.ListArray.from_arrays(ends(texts), pa.ListArray.from_arrays(ends(lists), words))
+        keys = [c for c in batch.schema.names if c not in ("_t", "_w")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keys), done], names=[*keys, "_t"])
+
+
 def lemmatize(docs: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     """Lower-cased lemmas in place of the tokens.
 
@@ -46,12 +68,17 @@ def lemmatize(docs: DataFrame, lemmas: DataFrame | None = None) -> DataFrame:
     if lemmas is not None:
         key = [c for c in ("doc_id", "part") if c in docs.columns]
         others = docs.drop("tokens")
-        words = docs.select(*key, F.posexplode_outer(lower).alias("pos", "token"))
-        found = salted_lookup(words, lemmas, "token", [*key, "pos"], how="left")
-        place = F.when(F.col("token").isNotNull(), F.struct("pos", F.coalesce("lemma", "token").alias("token")))
-        docs = found.groupBy(*key).agg(F.array_sort(F.collect_list(place)).alias("_p"))
-        lower = F.transform("_p", lambda p: p["token"])
-        docs = docs.withColumn("tokens", lower).drop("_p")
+        held = docs.select(*key, lower.alias("_t"))
+        # Each word of a document once, and on from there only those the dictionary knows; texts stay lists.
+        words = held.select(*key, F.explode(F.array_distinct("_t")).alias("token"))
+        known = words.join(lemmas.where("token IS NOT NULL").select("token", "lemma"), "token").select(
+            *key, F.lit(None).cast("array<string>").alias("_t"), F.struct("token", "lemma").alias("_w"))
+        whole = held.withColumn("_w", F.lit(None).cast("struct<token:string,lemma:string>")).unionByName(known)
+        found = whole.groupBy(*key).agg(F.collect_list("_t").alias("_t"), F.collect_list("_w").alias("_w"))
+        # Rows of one document are one text, their words in order of place.
+        places = F.flatten(F.transform("_t", lambda t: F.transform(t, lambda x, i: F.struct(i.alias("pos"), x.alias("token")))))
+        docs = found.mapInArrow(_put_lemmas, found.select(*key, "_t").schema).select(*key, F.when(F.size("_t") > 1, F.transform(
+            F.array_sort(places), lambda p: p["token"])).otherwise(F.flatten("_t")).alias("tokens"))
         docs = others.join(docs, key) if others.columns != key else docs
     else:
         docs = docs.withColumn("tokens", lower)

@@ -268,3 +268,21 @@ def test_wide_rows_of_many_games_equal_the_columns(spark):
     # 30,000 games took as many columns, whose plan alone took minutes.
     many = spark.range(60_000).select(F.floor(F.col("id") / 6).alias("user_id"), (F.col("id") % 30_000).alias("game_id"), F.lit(1.0).alias("rating"))
     assert rating_ops.utility_rows(many).agg(F.sum(F.size("cells")), F.max("n_cells")).first()[:] == (60_000, 30_000)
+
+
+def test_rejects_are_parsed_once(spark):
+    """Either part reads stored rows; before, each parsed all payloads again."""
+    df = spark.createDataFrame([(1, '<items><item id="1"></item></items>'), (2, "<items><item"), (None, None)], "page int, xml string")
+    good, bad = landed.split_rejects(df, schemas.COMMENTS_XML, "items")
+    assert good.columns == bad.columns == ["page", "xml"] and rows(bad, "page", "xml") == [(2, "<items><item"), (None, None)]
+    assert all("xml_to_structs" not in plan and "from_xml" not in plan for plan in (str(d._jdf.queryExecution()) for d in (good, bad)))
+
+
+def test_lemmas_leave_texts_in_lists(spark):
+    """Rows of one document are one text, missing texts and ids stay; words and their places are not taken apart, as they were before."""
+    docs = spark.createDataFrame([(1, "b Running a"), (1, "dogs c"), (2, None), (3, ""), (None, "Dogs x dogs"), (4, "none here")], "doc_id int, text string")
+    lemmas = spark.createDataFrame([("running", "run"), ("dogs", "dog"), ("x", None), (None, "y")], "token string, lemma string")
+    found = text_ops.lemmatize(text_ops.tokenize(docs), lemmas)
+    got = {r["doc_id"]: r["tokens"] for r in found.collect()}
+    assert got == {1: ["b", "dog", "c", "run", "a"], 2: [], 3: [], 4: ["none", "here"], None: ["dog", "x", "dog"]}
+    assert "posexplode" not in str(found._jdf.queryExecution())
