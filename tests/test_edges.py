@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ludoscope import schemas
+from ludoscope import fixtures as fx, schemas
 from ludoscope.functions import columns, text
 from ludoscope.operators import ratings as rating_ops, serve, similar, text as text_ops, topics
 from ludoscope.plans.recommend import recommend_similar
@@ -286,3 +286,13 @@ def test_lemmas_leave_texts_in_lists(spark):
     got = {r["doc_id"]: r["tokens"] for r in found.collect()}
     assert got == {1: ["b", "dog", "c", "run", "a"], 2: [], 3: [], 4: ["none", "here"], None: ["dog", "x", "dog"]}
     assert "posexplode" not in str(found._jdf.queryExecution())
+
+
+def test_scans_are_dealt_out_as_shuffles_are(spark, sf):
+    """As many tasks as cores, as before, would let a task grow with the table."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        assert fx.docs(spark, sf).rdd.getNumPartitions() == 37
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
