@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ludoscope.functions import blocks
 from ludoscope.operators import bounded, similar
@@ -149,3 +150,20 @@ def test_bounds_hold(seed):
     ends = [(np.array([[low]]), np.array([[high]])) for low, high in limits]
     for measure, bound in (similar.jaccard_measures(), similar.hamming_measures(n_terms)):
         assert measure(shared, a, b).max() <= bound(top, *ends)[0, 0] + 1e-12
+
+
+def test_blocks_are_shipped_by_groups_and_in_steps(spark, monkeypatch):
+    """40 blocks meet in pairs: a block goes out once per group of blocks, not once per block."""
+    monkeypatch.setattr(bounded, "SHIPMENTS", 3)
+    monkeypatch.setattr(bounded, "FEW_BLOCKS", 50)
+    rng = np.random.default_rng(8)
+    m = rng.integers(0, 4, (200, 12)).astype(float)
+    rows = spark.createDataFrame([(i, np.flatnonzero(v).tolist(), v[v > 0].tolist()) for i, v in enumerate(m)], "key long, terms array<long>, weights array<double>")
+    found = bounded.best_partners(rows, 4, lambda dot, a, b: dot, lambda dot, a, b: dot, 5, ["key"])
+    dots, got = m @ m.T, {}
+    for r in found.best.orderBy("key", F.col("score").desc(), "partner").collect():
+        got.setdefault(r["key"], []).append((r["partner"], r["score"]))
+    for i in range(200):
+        assert got[i] == [(int(j), dots[i, j]) for j in np.lexsort((np.arange(200), -dots[i]))[:4]]
+    # One block at a time, each of the 820 pairs would send two blocks, or one if it is a block's own.
+    assert found.met == found.pairs == 820 and found.shipped < 820
