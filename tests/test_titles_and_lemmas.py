@@ -36,6 +36,24 @@ def test_names_find_what_a_full_scan_finds(spark, least):
     assert "zzzzzzzzzz" not in got
 
 
+def test_names_met_edit_by_edit_find_the_same(spark, monkeypatch):
+    monkeypatch.setattr(titles, "MEETINGS", -1)
+    test_names_find_what_a_full_scan_finds(spark, 0.85)
+
+
+def test_numbered_titles_do_not_all_meet(spark, monkeypatch):
+    """Titles of few words and a number share all but the number's grams, so their pairs by grams are a square."""
+    monkeypatch.setattr(titles, "MEETINGS", 40)
+    games = spark.createDataFrame([(i, f"{a} {b} {i}") for i, (a, b) in enumerate([(a, b) for a in ("red", "large", "old") for b in ("bolt", "gear")] * 60)], "game_id int, game string")
+    names = games.select(F.replace(F.substr("game", F.lit(2)), F.lit("g"), F.lit("gg")).alias("name"))
+    stats = {}
+    got = {r["name"]: (r["game"], round(r["score"], 9)) for r in titles.match_names(titles.build_title_index(games), names, stats).collect()}
+    every = names.join(games, F.lit(True)).withColumn("score", similar.title_score(F.col("game"), F.col("name"))).where("score >= 0.7 - 1e-9")
+    best = every.groupBy("name").agg(F.min(F.struct((-F.col("score")).alias("s"), "game")).alias("t")).collect()
+    assert got == {r["name"]: (r["t"]["game"], round(-r["t"]["s"], 9)) for r in best}
+    assert stats["crowded"] > 300 and stats["met"] <= 40 * 360
+
+
 def test_bound_has_to_say_something(spark):
     with pytest.raises(ValueError):
         titles.build_title_index(spark.createDataFrame([(1, "x")], "game_id int, game string"), 0.5)
