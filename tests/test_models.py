@@ -212,3 +212,13 @@ def test_vcol_start_and_consensus_against_numpy(spark):
     assert (got["n"], got["runs"]) == (50, 4) and got["dispersion"] == pytest.approx((4 * (c - 0.5) ** 2).mean())
     one = topics.nmf_consensus(cells, 2, 2, iters=2).first()
     assert one["k"] == 2 and 0 <= one["dispersion"] <= 1
+
+
+def test_a_sweep_packs_its_cells_once(spark, monkeypatch):
+    cells = cut_lineage(spark.createDataFrame([(i, i * j % 7, 1.0 + i % 3) for i in range(12) for j in range(1, 4)], "row long, col long, value double").distinct())
+    packed, whole = [], topics._stripes
+    monkeypatch.setattr(topics, "_stripes", lambda *a: packed.append(a) or whole(*a))
+    got = {r["k"]: r for r in topics.nmf_sweep(cells, [2, 3], iters=1).collect()}
+    assert len(packed) == 2
+    for k in (2, 3):
+        assert got[k]["error"] == pytest.approx(topics.nmf_error(cells, topics.nmf(cells, k, iters=1)), rel=1e-9)
