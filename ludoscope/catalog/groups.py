@@ -218,8 +218,9 @@ def _(spark, sf):
     raw, _ = landed.parse_user_xml(fx.user_pages(spark, sf))
     raw = cut_lineage(raw)
     users = fx.users(spark, sf).where("user_id % 2 = 0")
-    # The second landing repeats the games of the first one; they are skipped.
-    for part in (rated.where("game_id % 2 = 0"), rated):
+    # The second landing repeats the rows of the first one, copied from there; they are skipped.
+    for even in (True, False):
+        part = rated.where("game_id % 2 = 0") if even else rated.where("game_id % 2 <> 0").unionByName(tables.load_table(spark, landing))
         tables.append_records(part, landing)
         feeds.stream_ratings(spark, landing, rated.schema, raw, users, store, names, mark).awaitTermination()
     return spark.read.parquet(store).groupBy("game").agg(

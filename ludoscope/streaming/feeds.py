@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from ludoscope.functions.scale import first_per_key
 from ludoscope.schemas import ARTICLES
@@ -19,6 +20,10 @@ HORIZON_DAYS = 7
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Parts of a batch of ratings, by a hash of the game.
 RATING_BUCKETS = 64
+#: Ratings of a batch to a file of the store, about; a bucket with more is dealt out to several tasks by game.
+FILE_ROWS = 1_000_000
+#: So many known games of a batch are sent to all tasks, to leave the store's other games where they lie.
+FEW_GAMES = 100_000
 
 
 def _bucket(game: str) -> Column:
@@ -166,8 +171,11 @@ def load_ratings_batch(
 
     Pages of one game may land in different batches, so a game that is known does not make its later pages known.
 
-    Which games are known is a table of its own beside the store (``.games``), with a row per game. Only for games of the batch that are
-    in it is the store read, and of the store only the buckets of those games; a batch of new games reads nothing of it.
+    Which games are known is a table of its own beside the store (``.games``), with a row per game. Only if the batch has games
+    that are in it is the store read, and of the store only the buckets of those games; a batch of new games reads nothing of it.
+
+    Rows are moved twice: by name, to get their user's id, and by bucket, where those that are stored are met and the others
+    are written. The batch is read twice, first for its games only, so it has to be the same each time.
 
     Each batch owns one folder of either table and overwrites it, so doing a batch again after a
     failure gives the same tables. Its own folder is left out when asking what is loaded.
@@ -178,32 +186,55 @@ def load_ratings_batch(
         folders = spark.read.schema(f"{schema}, batch long").parquet(path)
         return folders.where(F.col("batch") < batch_id).drop("batch")
 
-    batch = batch.persist()
-    games = batch.select("game").distinct()
-    again = earlier(f"{store}.games", "game string").join(games, "game", "left_semi").distinct().persist()
-    buckets = [r[0] for r in again.select(_bucket("game").alias("b")).distinct().collect()]
+    listed = earlier(f"{store}.games", "game string").distinct().withColumn("_again", F.lit(True))
+    games = batch.groupBy("game").agg(F.count(F.lit(1)).alias("n")).join(listed, "game", "left").persist()
+    again = games.where("_again").select("game")
+    held = games.groupBy(_bucket("game").alias("b")).agg(F.count_if("_again").alias("again"), F.sum("n").alias("n")).collect()
+    buckets = [r["b"] for r in held if r["again"]]
+    parts = 1 + sum(r["n"] for r in held) // (RATING_BUCKETS * FILE_ROWS)
+
     known = earlier(directory, "user_id long, username string")
-    fresh = batch
-    if buckets:
-        # Only the parts of the store that hold the batch's known games.
-        loaded = earlier(store, "game string, username string, bucket int").where(F.col("bucket").isin(buckets)).select("game", "username")
-        loaded = loaded.join(again, "game", "left_semi").distinct().withColumnsRenamed({"game": "_game", "username": "_name"})
-        fresh = batch.join(loaded, (batch["game"] == F.col("_game")) & batch["username"].eqNullSafe(F.col("_name")), "left_anti")
     answers = raw_users.groupBy("username").agg(F.min("user_id").alias("user_id"))
-    added = (
-        answers.join(known, "username", "left_anti")
-        .join(fresh.select("username"), "username", "left_semi")
-        .select("user_id", "username")
-    )
-    resolved = fresh.join(known.unionByName(added), "username", "left").select(
+    new = answers.join(known, "username", "left_anti").select("user_id", "username").persist()
+    # Names are few beside ratings, and a hash of them spares sorting the ratings.
+    names = known.unionByName(new).hint("shuffle_hash")
+    resolved = batch.join(names, "username", "left").select(
         "game", "game_id", "user_id", "username", "rating", "comment"
     )
-    # Ratings first: they do not read this batch's directory folder. A game is listed before its ratings are stored.
-    games.join(again, "game", "left_anti").write.mode("overwrite").parquet(f"{store}.games/batch={batch_id}")
-    resolved.withColumn("bucket", _bucket("game")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={batch_id}")
+    loaded = None
+    if buckets:
+        # Only the parts of the store that hold the batch's known games. A null game is never known.
+        loaded = earlier(store, "game string, username string, bucket int").where(F.col("bucket").isin(buckets) & F.col("game").isNotNull())
+        if sum(r["again"] for r in held) <= FEW_GAMES:
+            loaded = loaded.join(F.broadcast(again), "game", "left_semi")
+    fresh = _by_bucket(resolved, loaded, parts)
+    # A game is listed before its ratings are stored.
+    games.where("_again IS NULL").select("game").write.mode("overwrite").parquet(f"{store}.games/batch={batch_id}")
+    fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/batch={batch_id}")
+    # Of the new names those that the stored rows have.
+    used = spark.read.schema("user_id long, username string").parquet(f"{store}/batch={batch_id}").select("user_id", "username")
+    added = new.limit(0) if new.isEmpty() else used.join(new.select("username"), "username", "left_semi").distinct()
     added.write.mode("overwrite").parquet(f"{directory}/batch={batch_id}")
-    again.unpersist()
-    batch.unpersist()
+    new.unpersist()
+    games.unpersist()
+
+
+def _by_bucket(rows: DataFrame, loaded: DataFrame | None, parts: int) -> DataFrame:
+    """Rows whose game and name are not among the loaded ones, each bucket in ``parts`` tasks of its own.
+
+    Both meet in the one shuffle that the write by bucket needs anyway, which a join by game and name could not use.
+    """
+    if loaded is not None:
+        rows = rows.withColumn("_stored", F.lit(False)).unionByName(loaded.drop("bucket").withColumn("_stored", F.lit(True)), allowMissingColumns=True)
+    part = F.pmod(F.shiftright(F.xxhash64("game"), RATING_BUCKETS.bit_length() - 1), F.lit(parts)).cast("int")
+    rows = rows.withColumn("bucket", _bucket("game")).withColumn("_task", F.col("bucket") * parts + part)
+    rows = rows.repartitionById(RATING_BUCKETS * parts, "_task")
+    if loaded is not None:
+        # The hash comes first, as it is compared faster than texts.
+        same = Window.partitionBy("_hash", "_task", "game", "username")
+        rows = rows.withColumn("_hash", F.xxhash64("game", "username")).withColumn("_known", F.max("_stored").over(same))
+        rows = rows.where(~F.col("_known")).drop("_stored", "_hash", "_known")
+    return rows.drop("_task")
 
 
 def stream_ratings(

@@ -4,7 +4,7 @@ import datetime
 import glob
 import os
 
-from pyspark.sql import DataFrameReader, functions as F
+from pyspark.sql import DataFrameReader, DataFrameWriter, functions as F
 
 from ludoscope.streaming import feeds
 
@@ -137,3 +137,63 @@ def test_ratings_skip_loaded_games_and_extend_directory(spark, tmp_path):
     again = spark.createDataFrame([("G", "1", "ann", 5.0, None), ("G", "1", "cyd", 5.0, None), ("H", "2", "dan", 6.0, "x")], schema)
     feeds.load_ratings_batch(again, 1, raw, store, names)
     assert sorted((r["game"], r["username"], r["user_id"]) for r in spark.read.parquet(store).collect()) == both
+
+
+RATED = "game string, game_id string, username string, rating double, comment string"
+
+
+def stored_ratings(spark, tmp_path, *batches, raw=((2, "bob"),), users=((1, "ann"),)):
+    """The store after the batches, and the user directory."""
+    store, names = str(tmp_path / "store"), str(tmp_path / "names")
+    raw, users = (spark.createDataFrame(list(r), "user_id long, username string") for r in (raw, users))
+    nothing = spark.createDataFrame([], RATED)
+    nothing.write.parquet(str(tmp_path / "in"))
+    feeds.stream_ratings(spark, str(tmp_path / "in"), nothing.schema, raw, users, store, names, str(tmp_path / "mark")).awaitTermination()
+    for number, rows in enumerate(batches):
+        feeds.load_ratings_batch(spark.createDataFrame(rows, RATED), number, raw, store, names)
+    return store, names
+
+
+def test_ratings_of_a_batch_are_moved_twice(spark, tmp_path, monkeypatch):
+    """By name for the user's id and by bucket for the store, which also says what is loaded."""
+    written = {}
+    real = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: written.update({path: self._df}) or real(self, path, *a, **k))
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        store, _ = stored_ratings(spark, tmp_path, [("G", "1", "ann", 5.0, "x")], [("G", "1", "ann", 5.0, "x"), ("G", "1", "bob", 6.0, "y")])
+        node, moves = written[f"{store}/batch=1"]._jdf.queryExecution().executedPlan().initialPlan(), 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    while node.children().size():
+        moves += node.getClass().getSimpleName() == "ShuffleExchangeExec"
+        node = next(c for c in (node.children().apply(i) for i in range(node.children().size())) if "comment" in c.output().toString())
+    assert moves == 2
+    assert sorted((r["username"], r["user_id"]) for r in spark.read.parquet(store).collect()) == [("ann", 1), ("bob", 2)]
+
+
+def test_a_large_bucket_has_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(feeds, "FILE_ROWS", 4, raising=False)
+    rows = [(f"G{i}", str(i), name, 5.0, None) for i in range(100) for name in ("ann", "bob", None)]
+    more = rows + [(f"G{i}", str(i), "cyd", 5.0, None) for i in range(150)]
+    store, _ = stored_ratings(spark, tmp_path, rows, more)
+    found = spark.read.parquet(store)
+    assert found.where("bucket IS NULL").isEmpty()
+    assert sorted((r[0], str(r[1])) for r in found.select("game", "username").collect()) == sorted({(r[0], str(r[2])) for r in more})
+    held = {tuple(r) for r in found.select("batch", "bucket", "game", F.input_file_name()).collect()}
+    assert len({(b, f) for _, b, _, f in held}) > len({(n, b) for n, b, _, _ in held})
+    # No game lies in two files of a batch.
+    assert len(held) == len({(n, g) for n, _, g, _ in held})
+
+
+def test_odd_ratings_are_kept_as_they_were(spark, tmp_path):
+    """Ratings without a game are never known; equal rows of one batch stay, and a name the directory has twice gives two."""
+    none, twice = (None, "0", "ann", 1.0, None), ("G", "1", "bob", 2.0, None)
+    store, names = stored_ratings(
+        spark, tmp_path, [none, twice, twice, ("H", "2", "dan", 3.0, None)], [none, twice, ("G", "1", "ann", 4.0, None), ("H", "2", "eve", 3.0, None)],
+        raw=((2, "bob"), (1, "ann"), (9, "zoe"), (7, "bob"), (5, "eve")), users=((1, "ann"), (3, "ann")))
+    rows = sorted((str(r["game"]), r["username"], r["user_id"] or 0) for r in spark.read.parquet(store).collect())
+    assert rows == [("G", "ann", 1), ("G", "ann", 3), ("G", "bob", 2), ("G", "bob", 2), ("H", "dan", 0), ("H", "eve", 5)] + [("None", "ann", 1)] * 2 + [("None", "ann", 3)] * 2
+    assert sorted((r["username"], r["user_id"], r["batch"]) for r in spark.read.parquet(names).collect()) == [
+        ("ann", 1, -1), ("ann", 3, -1), ("bob", 2, 0), ("eve", 5, 1)]
