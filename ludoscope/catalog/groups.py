@@ -215,7 +215,7 @@ def _(spark, sf):
     rated = fx.ratings(spark, sf).join(fx.users(spark, sf), "user_id").join(
         fx.games(spark, sf).select("game_id", "game"), "game_id").select(
         "game", F.col("game_id").cast("string").alias("game_id"), "username", "rating", F.lit("").alias("comment"))
-    raw, _ = landed.parse_user_xml(fx.user_pages(spark, sf))
+    raw, _ = landed.parse_user_xml(fx.spread(fx.user_pages(spark, sf)))
     raw = cut_lineage(raw)
     users = fx.users(spark, sf).where("user_id % 2 = 0")
     # The second landing repeats the rows of the first one, copied from there; they are skipped.
