@@ -8,7 +8,7 @@ from ludoscope import fixtures as fx
 from ludoscope.catalog.base import checked
 from ludoscope.operators import clusters, collab, foldin
 from ludoscope.plans.recommend import refresh
-from ludoscope.session import cut_lineage, scratch_path
+from ludoscope.session import cut_lineage, scratch_path, stored
 from ludoscope.sources import landed, tables
 from ludoscope.streaming import feeds
 
@@ -232,13 +232,13 @@ def _(spark, sf):
         WHERE CAST('0x' || substr(md5('34|' || user_id || '|' || game_id), 1, 8) AS BIGINT) / 4294967296.0 < 0.6) AS n_users,
         5::BIGINT AS most_recs, 0::BIGINT AS n_rated""")
 def _(spark, sf):
-    ratings = cut_lineage(fx.ratings(spark, sf))
+    ratings = stored(fx.ratings(spark, sf), "ratings")
     model, recs = scratch_path(spark, "model"), scratch_path(spark, "recs")
     table = refresh(ratings, model, recs, n=5)
-    stored = spark.read.parquet(recs)
-    n_users = stored.agg(F.count_distinct("user_id")).scalar()
-    most = stored.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
-    rated = stored.join(ratings, ["user_id", "game_id"], "left_semi").agg(F.count(F.lit(1))).scalar()
+    listed = spark.read.parquet(recs)
+    n_users = listed.agg(F.count_distinct("user_id")).scalar()
+    most = listed.groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).scalar()
+    rated = listed.join(ratings, ["user_id", "game_id"], "left_semi").agg(F.count(F.lit(1))).scalar()
     known = collab.load_model(model).rank == 5
     return table.select("rank", (F.lit(known) & (F.col("test_rmse") > 0)).alias("error_known"), n_users.alias("n_users"),
                         most.alias("most_recs"), rated.alias("n_rated"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ludoscope import fixtures as fx, schemas
 from ludoscope.catalog.base import checked
 from ludoscope.operators import collab
-from ludoscope.session import cut_lineage, scratch_path
+from ludoscope.session import scratch_path, stored
 from ludoscope.sources import landed, merged, tables
 
 
@@ -164,7 +164,7 @@ def _(spark, sf):
 @checked("S11_save_load_model", "ratings", "SELECT count(*) AS n_pairs, count(*) AS n_equal FROM ratings")
 def _(spark, sf):
     path = scratch_path(spark, "als-model")
-    ratings = cut_lineage(fx.ratings(spark, sf))
+    ratings = stored(fx.ratings(spark, sf), "ratings")
     model = collab.fit_als(ratings, max_iter=20)
     collab.save_model(model, path)
     before = collab.score(model, ratings).select("user_id", "game_id", "prediction")
