@@ -46,3 +46,26 @@ def test_a_fit_keeps_few_iterations_on_disk(spark, monkeypatch):
     monkeypatch.setattr(collab, "ALS", _Fit)
     ratings = spark.createDataFrame([(1, 1, 1.0)], "user_id int, game_id int, rating double")
     assert 1 <= collab.fit_als(ratings)["checkpointInterval"] <= 3
+
+
+def test_blocks_of_a_fit_follow_the_memory_of_a_task(spark, monkeypatch):
+    assert collab.als_blocks(216_000_000, 12_000_000) == 18 and collab.als_blocks(30, 0) == 30
+    assert 0 < collab.task_pairs(spark) < 8 << 30
+    monkeypatch.setattr(collab, "ALS", _Fit)
+    monkeypatch.setattr(collab, "task_pairs", lambda s: 3)
+    ratings = spark.range(60).selectExpr("cast(id as int) user_id", "cast(id as int) game_id", "1.0D rating")
+    assert collab.fit_als(ratings)["numUserBlocks"] == collab.fit_als(ratings)["numItemBlocks"] == 20
+
+
+def test_reach_is_worked_out_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(collab, "SMALL_FACTORS", 0)
+    monkeypatch.setattr(collab, "USERS_PER_BLOCK", 16)
+    monkeypatch.setattr(collab, "GAMES_PER_BLOCK", 4)
+    monkeypatch.setattr(collab, "REACH_ROWS", 5)
+    rows = [(u, g, float((u * 7 + g * 3) % 5 + 1)) for u in range(24) for g in range(30) if (u + g) % 3]
+    ratings = spark.createDataFrame(rows, "user_id int, game_id int, rating double")
+    model = collab.fit_als(ratings, rank=2, max_iter=2)
+    found = collab.recommend_all(model, ratings, 3)
+    monkeypatch.setattr(collab, "REACH_ROWS", 1 << 30)
+    whole = collab.recommend_all(model, ratings, 3)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect())) and found.count() == 72
