@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ludoscope import session
-from ludoscope.operators import collab
+from ludoscope.operators import bounded, collab
 
 
 def _shuffle_mb(spark) -> float:
@@ -69,3 +69,16 @@ def test_reach_is_worked_out_in_slices(spark, monkeypatch):
     monkeypatch.setattr(collab, "REACH_ROWS", 1 << 30)
     whole = collab.recommend_all(model, ratings, 3)
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect())) and found.count() == 72
+
+
+def test_a_search_for_partners_keeps_one_step_on_disk(spark, monkeypatch):
+    made, gone = [], []
+    stored_at, delete = bounded.stored_at, bounded.delete
+    monkeypatch.setattr(bounded, "stored_at", lambda df, name: made.append(stored_at(df, name)) or made[-1])
+    monkeypatch.setattr(bounded, "delete", lambda s, path: gone.append(path) or delete(s, path))
+    monkeypatch.setattr(bounded, "SHIPMENTS", 1)
+    rows = spark.range(90).selectExpr("id key", "array(id % 7, 10 + id % 5) terms", "array(1.0D, 0.5D) weights")
+    before = _shuffle_mb(spark)
+    found = bounded.best_partners(rows, 3, lambda dot, a, b: dot, lambda dot, a, b: dot, 5, [F.col("key")])
+    assert found.best.count() == 270
+    assert len(made) > 2 and gone == [path for _, path in made[:-1]] and _shuffle_mb(spark) - before < 0.5
